@@ -1,4 +1,5 @@
 from strata.functions.scalars import (  # noqa: F401
+    iso_utc_offset,
     iso_utc_z,
     json_array,
     json_text,

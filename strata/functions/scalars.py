@@ -83,6 +83,11 @@ def iso_utc_z(ts: ColumnOrName) -> Column:
     )
 
 
+def iso_utc_offset(ts: ColumnOrName) -> Column:
+    """UTC ISO-8601 text ending in ``+00:00`` (fraction only when non-zero)."""
+    return F.regexp_replace(iso_utc_z(ts), "Z$", "+00:00")
+
+
 def run_id(ts: ColumnOrName) -> Column:
     """Run identifier at one-second resolution: ``YYYYMMDDTHHMMSSZ`` (UTC)."""
     return F.date_format(_col(ts), "yyyyMMdd'T'HHmmss'Z'")

@@ -21,9 +21,9 @@ DAILY_FIELDS = "temperature_2m_max,temperature_2m_min,precipitation_sum"
 REQUEST_TIMEZONE = "UTC"
 FORECAST_DAYS = 7
 
-# A dimension whose serialized size is below this many bytes may be broadcast;
-# larger ones are joined by shuffle.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+def fits_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
@@ -35,18 +35,20 @@ def lookup_dimension(
     name_col: str,
     dim: DataFrame,
     dim_key: str,
-    dim_size_bytes: int | None = None,
+    max_broadcast_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Join rows to ``dim`` on ``lower(trim(name))``; return ``(matched, rejects)``.
 
     ``rejects`` holds the rows whose name has no dimension entry (the caller
     decides whether that is an error). The dimension is broadcast only when its
-    size is known to be under ``BROADCAST_LIMIT_BYTES``; otherwise the planner
-    and AQE choose from measured sizes.
+    row count is proven to be at most ``max_broadcast_rows`` (a bounded
+    ``limit(n + 1).count()`` probe reads at most n + 1 rows); otherwise the
+    join is left to the planner and AQE, which switch to a broadcast only from
+    measured sizes and otherwise shuffle.
     """
     keyed = df.withColumn("__key", lookup_key(name_col))
     d = dim.withColumn("__key", lookup_key(dim_key))
-    if dim_size_bytes is not None and dim_size_bytes <= BROADCAST_LIMIT_BYTES:
+    if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
         d = F.broadcast(d)
     matched = keyed.join(d.drop(dim_key), on="__key", how="inner").drop("__key")
     rejects = keyed.join(d.select("__key"), on="__key", how="left_anti").drop("__key")
@@ -55,7 +57,7 @@ def lookup_dimension(
 
 def request_plan(cities: DataFrame, name_col: str, dim: DataFrame, dim_key: str = "city_key") -> tuple[DataFrame, DataFrame]:
     """Coordinates plus the fixed forecast parameters for every requested city."""
-    matched, rejects = lookup_dimension(cities, name_col, dim, dim_key, dim_size_bytes=len(CITY_COORDINATES) * 64)
+    matched, rejects = lookup_dimension(cities, name_col, dim, dim_key, max_broadcast_rows=10_000)
     plan = matched.select(
         "*",
         F.lit(CURRENT_FIELDS).alias("current"),
