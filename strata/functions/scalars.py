@@ -69,6 +69,20 @@ def parse_iso_utc(c: ColumnOrName) -> Column:
     return _col(c).cast("timestamp")
 
 
+def order_key(ts: ColumnOrName, ident: ColumnOrName) -> Column:
+    """A DECIMAL(38,0) that sorts exactly like ``(ts, ident)`` (NULL if either is NULL).
+
+    ``(unix_micros(ts) + 1e17) * 1e20 + (ident + 2^63)``: timestamps of years
+    1..9999 and any BIGINT id fit without overlap. ``max_by(x, key)`` over it
+    keeps a fixed-width aggregation buffer, so the aggregate runs as a hash
+    aggregate with a map-side partial step instead of a sort-based one.
+    """
+    micros = F.unix_micros(_col(ts).cast("timestamp")).cast("decimal(38,0)")
+    big = lambda v: F.lit(str(v)).cast("decimal(38,0)")
+    ident_c = _col(ident).cast("decimal(38,0)") + big(2**63)
+    return ((micros + big(10**17)) * big(10**20) + ident_c).cast("decimal(38,0)")
+
+
 def to_date(c: ColumnOrName) -> Column:
     return _col(c).cast("date")
 

@@ -18,6 +18,7 @@ from strata.operators.arrays import explode_aligned
 from strata.operators.windows import latest_per_key, latest_snapshot, rank_within, sort_spec
 from strata.plans import events as E
 from strata.plans import weather as W
+from strata.plans.layers import materialize
 from strata.sources.append import append_counts, append_if_absent
 from strata.sources.envelope import build_envelope, parse_envelope
 from strata.sources.lookup import lookup_dimension
@@ -25,7 +26,42 @@ from strata.sources.raw_documents import with_partition_columns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+LOAD_TIME = "2024-02-01 00:00:00"
+
+
+def layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The written raw, staging and daily-summary tables built from ``events``.
+
+    Each layer is built from the written layer beneath it, exactly once per
+    version of the events table; queries then compute their own layer on top.
+    """
+    src = [table_path(sf, "events")]
+    at = F.lit(LOAD_TIME).cast("timestamp")
+    raw = materialize(spark, "events_raw", src, lambda: E.raw_layer(table(spark, sf, "events")))
+    cur = materialize(spark, "events_staging_current", src, lambda: W.build_staging_current(raw, at))
+    daily = materialize(spark, "events_staging_daily", src, lambda: W.build_staging_daily(raw, at))
+    summary = materialize(spark, "events_daily_summary", src, lambda: W.build_daily_summary(daily, at))
+    return {"raw": raw, "staging_current": cur, "staging_daily": daily, "daily_summary": summary}
+
+
+def mart_set(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The four marts; rankings and rolling read the written daily summary."""
+    lay = layers(spark, sf)
+    at = F.lit(LOAD_TIME).cast("timestamp")
+    summary = lay["daily_summary"]
+    return {
+        "city_current_weather": W.build_mart_current(lay["staging_current"], at),
+        "daily_city_weather_summary": summary,
+        "daily_temperature_rankings": W.build_rankings(summary, at),
+        "city_rolling_3day_metrics": W.build_rolling(summary, at),
+    }
 
 
 # ---------------------------------------------------------------- scalars
@@ -180,13 +216,13 @@ STAGING_DAILY_COLS = ["raw_file_path", "city", "forecast_date", "temperature_max
 
 
 def q_staging_current(spark, sf):
-    cur, _ = E.staging(table(spark, sf, "events"))
-    return cur.select(*STAGING_CURRENT_COLS)
+    raw = layers(spark, sf)["raw"]
+    return W.build_staging_current(raw).select(*STAGING_CURRENT_COLS)
 
 
 def q_staging_daily(spark, sf):
-    _, daily = E.staging(table(spark, sf, "events"))
-    return daily.select(*STAGING_DAILY_COLS)
+    raw = layers(spark, sf)["raw"]
+    return W.build_staging_daily(raw).select(*STAGING_DAILY_COLS)
 
 
 def q_latest_per_key(spark, sf):
@@ -196,30 +232,30 @@ def q_latest_per_key(spark, sf):
 
 
 def q_mart_current(spark, sf):
-    return E.marts(table(spark, sf, "events"))["city_current_weather"].select(*W.MART_CURRENT_COLS)
+    return W.build_mart_current(layers(spark, sf)["staging_current"]).select(*W.MART_CURRENT_COLS)
 
 
 def q_latest_snapshot(spark, sf):
-    _, daily = E.staging(table(spark, sf, "events"))
+    daily = layers(spark, sf)["staging_daily"]
     rows = latest_snapshot(daily, ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
     return rows.select("city", "forecast_date", "temperature_max_c", "temperature_min_c", "precipitation_mm", "source_ingested_at_utc")
 
 
 def q_daily_summary(spark, sf):
-    return E.marts(table(spark, sf, "events"))["daily_city_weather_summary"].select(*W.DAILY_SUMMARY_COLS)
+    return W.build_daily_summary(layers(spark, sf)["staging_daily"]).select(*W.DAILY_SUMMARY_COLS)
 
 
 def q_rank_per_day(spark, sf):
-    return E.marts(table(spark, sf, "events"))["daily_temperature_rankings"].select(*W.RANKING_COLS)
+    return W.build_rankings(layers(spark, sf)["daily_summary"]).select(*W.RANKING_COLS)
 
 
 def q_rolling_metrics(spark, sf):
-    return E.marts(table(spark, sf, "events"))["city_rolling_3day_metrics"].select(*W.ROLLING_COLS)
+    return W.build_rolling(layers(spark, sf)["daily_summary"]).select(*W.ROLLING_COLS)
 
 
 def q_rolling_history(spark, sf):
     """Rolling metrics over every staged day (all snapshots), so date gaps occur."""
-    _, daily = E.staging(table(spark, sf, "events"))
+    daily = layers(spark, sf)["staging_daily"]
     per_day = latest_per_key(daily, ["city", "forecast_date"], W.latest_order())
     return W.rolling_metrics(W.summarize_daily(per_day))
 
@@ -232,7 +268,7 @@ def _city_count(events: DataFrame) -> int:
 
 def q_dq_checks(spark, sf):
     ev = table(spark, sf, "events")
-    return Q.collect_checks(E.marts(ev), city_count=_city_count(ev), forecast_days=7)
+    return Q.collect_checks(mart_set(spark, sf), city_count=_city_count(ev), forecast_days=7)
 
 
 def q_dq_summary(spark, sf):
@@ -297,27 +333,27 @@ def q_contract_cast(spark, sf):
 # ---------------------------------------------------------------- views
 
 def q_overview(spark, sf):
-    return V.overview(E.marts(table(spark, sf, "events")))
+    return V.overview(mart_set(spark, sf))
 
 
 def q_view_current(spark, sf):
-    return V.view_current(E.marts(table(spark, sf, "events"))["city_current_weather"])
+    return V.view_current(mart_set(spark, sf)["city_current_weather"])
 
 
 def q_view_daily(spark, sf):
-    return V.view_daily(E.marts(table(spark, sf, "events"))["daily_city_weather_summary"])
+    return V.view_daily(mart_set(spark, sf)["daily_city_weather_summary"])
 
 
 def q_view_rankings(spark, sf):
-    return V.view_rankings(E.marts(table(spark, sf, "events"))["daily_temperature_rankings"])
+    return V.view_rankings(mart_set(spark, sf)["daily_temperature_rankings"])
 
 
 def q_view_rolling(spark, sf):
-    return V.view_rolling(E.marts(table(spark, sf, "events"))["city_rolling_3day_metrics"])
+    return V.view_rolling(mart_set(spark, sf)["city_rolling_3day_metrics"])
 
 
 def q_view_json(spark, sf):
-    return V.iso_strings(V.view_current(E.marts(table(spark, sf, "events"))["city_current_weather"]))
+    return V.iso_strings(V.view_current(mart_set(spark, sf)["city_current_weather"]))
 
 
 QUERIES = {

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.scalars import order_key
 from strata.sources.envelope import build_envelope, parse_envelope
 from strata.sources.raw_documents import with_partition_columns
 from strata.plans import weather as W
@@ -41,17 +42,26 @@ def forecast_documents(events: DataFrame) -> DataFrame:
         "value",
         k_of("props").alias("k"),
     )
+    ev = ev.withColumn("okey", order_key("ts", "event_id"))
     daily = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.max("value").alias("tmax"),
         F.min("value").alias("tmin"),
         F.min("k").alias("kmin"),
-        F.max_by(F.struct("ts", "value", "k"), F.struct("ts", "event_id")).alias("last"),
-        F.min_by(F.struct("ts", "value"), F.struct("ts", "event_id")).alias("first"),
+        F.max("okey").alias("last_key"),
+        F.max("ts").alias("last_ts"),
+        F.max_by("value", "okey").alias("last_value"),
+        F.max_by("k", "okey").alias("last_k"),
+        F.min("okey").alias("first_key"),
+        F.min_by("value", "okey").alias("first_value"),
     )
     weekly = daily.groupBy("user_id", F.date_trunc("week", F.col("day").cast("timestamp")).alias("week")).agg(
         F.sort_array(F.collect_list(F.struct("day", "tmax", "tmin", "kmin"))).alias("days"),
-        F.max_by("last", "last.ts").alias("last"),
-        F.min_by("first", "first.ts").alias("first"),
+        F.struct(
+            F.max("last_ts").alias("ts"),
+            F.max_by("last_value", "last_key").alias("value"),
+            F.max_by("last_k", "last_key").alias("k"),
+        ).alias("last"),
+        F.struct(F.min_by("first_value", "first_key").alias("value")).alias("first"),
     )
     city = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
     payload = F.struct(
