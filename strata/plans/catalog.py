@@ -390,3 +390,54 @@ QUERIES = {
     "view_rolling": q_view_rolling,
     "view_json": q_view_json,
 }
+
+
+# ---------------------------------------------------------------- files end to end
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from strata.session import shared_dir
+
+    return shared_dir(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _land_event_documents(spark, sf, landing: str, before=None) -> None:
+    from strata.sources.raw_documents import write_raw_documents
+
+    ev = table(spark, sf, "events")
+    if before is not None:
+        ev = ev.where(F.col("ts") < before)
+    write_raw_documents(E.forecast_documents(ev), landing, source_dir=E.EVENTS_SOURCE)
+
+
+def q_full_refresh(spark, sf):
+    """Write the event documents as files, run the whole refresh, read the published summary."""
+    import datetime as dt
+
+    from strata.plans.refresh import refresh_all
+
+    root = _scratch(spark, "full_refresh")
+    _land_event_documents(spark, sf, f"{root}/landing")
+    ev = table(spark, sf, "events")
+    res = refresh_all(spark, f"{root}/landing", f"{root}/warehouse", city_count=_city_count(ev), run_at=dt.datetime(2024, 2, 1), source_dir=E.EVENTS_SOURCE)
+    return res["marts"]["daily_city_weather_summary"].select(*W.DAILY_SUMMARY_COLS)
+
+
+def q_incremental_ingest(spark, sf):
+    """Two landing runs (an earlier partial one, then a full replay) through the streaming loader."""
+    from strata.plans.refresh import RAW_TABLE
+    from strata.streaming.ingest import ingest_available
+
+    root = _scratch(spark, "incremental")
+    landing, wh, ck = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
+    _land_event_documents(spark, sf, landing, before=_earlier_load_cutoff())
+    ingest_available(spark, landing, wh, ck, loaded_at="2024-01-15 00:00:00", source_dir=E.EVENTS_SOURCE)
+    _land_event_documents(spark, sf, landing)
+    ingest_available(spark, landing, wh, ck, loaded_at="2024-02-01 00:00:00", source_dir=E.EVENTS_SOURCE)
+    raw = spark.read.parquet(f"{wh}/{RAW_TABLE}")
+    return raw.select("raw_file_path", "source", "city", "ingested_at_utc")
+
+
+QUERIES["full_refresh"] = q_full_refresh
+QUERIES["incremental_ingest"] = q_incremental_ingest

@@ -249,6 +249,8 @@ SELECT CAST((SELECT count(*) FROM mart_current) AS BIGINT) AS current_city_count
        CAST((SELECT count(*) FROM rankings) AS BIGINT) AS ranking_row_count,
        CAST((SELECT count(*) FROM rolling) AS BIGINT) AS rolling_row_count,
        (SELECT max(source_ingested_at_utc) FROM summary) AS latest_snapshot_at"""),
+    "full_refresh": _with(MARTS, "SELECT * FROM summary"),
+    "incremental_ingest": _with(DOCS, "SELECT raw_file_path, 'events' AS source, city, week AS ingested_at_utc FROM docs"),
     "view_current": _with(MARTS, "SELECT * FROM mart_current ORDER BY city"),
     "view_daily": _with(MARTS, "SELECT * FROM summary ORDER BY forecast_date, city"),
     "view_rankings": _with(MARTS, "SELECT * FROM rankings ORDER BY forecast_date, max_temperature_rank, city"),

@@ -14,7 +14,7 @@ log = logging.getLogger("strata.sources")
 
 # Fixed values of the landing layout.
 SOURCE_DIR = "open_meteo"
-RAW_FILE_GLOB = "source=open_meteo/year=*/month=*/day=*/run_id=*/city=*.json"
+RAW_FILE_GLOB = "source={source}/year=*/month=*/day=*/run_id=*/city=*.json"
 # The stable key of a document: its path relative to the landing base,
 # ending at the ``city=<slug>.json`` segment (a Spark-written document is a
 # part file inside a directory of that name).
@@ -45,7 +45,7 @@ def with_partition_columns(df: DataFrame, city: str | Column, run_at: str | Colu
     )
 
 
-def write_raw_documents(docs: DataFrame, base: str, mode: str = "append") -> None:
+def write_raw_documents(docs: DataFrame, base: str, mode: str = "append", source_dir: str = SOURCE_DIR) -> None:
     """Write documents (``value`` + partition columns) under the landing layout.
 
     Each document lands in ``.../run_id=<id>/city=<slug>.json/`` as one text
@@ -53,7 +53,7 @@ def write_raw_documents(docs: DataFrame, base: str, mode: str = "append") -> Non
     one task.
     """
     out = docs.select(
-        F.lit(SOURCE_DIR).alias("source"), "year", "month", "day", "run_id",
+        F.lit(source_dir).alias("source"), "year", "month", "day", "run_id",
         F.concat("city_slug", F.lit(".json")).alias("city"), "value",
     )
     (
@@ -64,7 +64,7 @@ def write_raw_documents(docs: DataFrame, base: str, mode: str = "append") -> Non
     )
 
 
-def read_raw_documents(spark: SparkSession, base: str, glob: str = RAW_FILE_GLOB) -> DataFrame:
+def read_raw_documents(spark: SparkSession, base: str, source_dir: str = SOURCE_DIR, glob: str = RAW_FILE_GLOB) -> DataFrame:
     """One row per document file: ``value`` (whole text) and ``raw_file_path``.
 
     ``raw_file_path`` is relative to ``base`` so moving the landing area does not
@@ -72,7 +72,7 @@ def read_raw_documents(spark: SparkSession, base: str, glob: str = RAW_FILE_GLOB
     warning. Partition directories are not parsed as columns: the document's
     own fields are authoritative.
     """
-    pattern = base.rstrip("/") + "/" + glob
+    pattern = base.rstrip("/") + "/" + glob.format(source=source_dir)
     try:
         df = spark.read.text(pattern, wholetext=True)
     except AnalysisException as exc:
