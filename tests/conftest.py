@@ -47,7 +47,7 @@ def forecast_document(city, ingested="2099-01-01T00:00:00Z", daily=None, current
             "request_params": {"forecast_days": 7, "timezone": "UTC"},
             "api_response": {
                 "current": {"time": "2026-03-13T14:45", "interval": 900, "temperature_2m": t, "relative_humidity_2m": h, "wind_speed_10m": w},
-                "daily": {"time": list(days or DAYS), "temperature_2m_max": mx, "temperature_2m_min": mn, "precipitation_sum": pr},
+                "daily": {"time": list(days or DAYS), "temperature_2m_max": list(mx), "temperature_2m_min": list(mn), "precipitation_sum": list(pr)},
             },
         },
     }
