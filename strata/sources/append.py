@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.windows import latest_per_key
+
 
 def dedupe_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first under ``order`` (deterministic).
+    """One row per key, the first under ``order`` (sort expressions; deterministic when total).
 
-    Written as ``min_by`` over a struct: a hash aggregate with a map-side
-    partial step, so a key repeated many times is combined before the shuffle.
+    ``row_number() = 1`` per key: Catalyst adds a partial ``WindowGroupLimit``
+    before the shuffle, so a key repeated many times is cut to one row per map
+    task before it is moved.
     """
-    others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.select(*keys).distinct()
-    row = F.struct(*[F.col(c) for c in others])
-    rank = F.struct(*order) if order else F.lit(0)
-    picked = df.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
+    return latest_per_key(df, keys, order or [F.lit(1)])
 
 
 def append_if_absent(
