@@ -35,18 +35,24 @@ def view_rolling(mart: DataFrame) -> DataFrame:
 def overview(marts: dict[str, DataFrame]) -> DataFrame:
     """Exactly one row: four mart row counts and the newest snapshot time (NULL when empty).
 
-    Each count is its own one-row aggregate (parquet answers ``count(*)`` from
-    footers); the one-row results are joined, never the tables.
+    Each figure is a one-row aggregate over its own table (parquet answers
+    ``count(*)`` from footers); the one-row results are stacked and folded
+    into a single row, so no table is ever joined to another.
     """
-    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("bigint").alias(name))
-    out = (
-        one(marts["city_current_weather"], "current_city_count")
-        .crossJoin(one(marts["daily_city_weather_summary"], "summary_row_count"))
-        .crossJoin(one(marts["daily_temperature_rankings"], "ranking_row_count"))
-        .crossJoin(one(marts["city_rolling_3day_metrics"], "rolling_row_count"))
-        .crossJoin(marts["daily_city_weather_summary"].agg(F.max("source_ingested_at_utc").alias("latest_snapshot_at")))
-    )
-    return out
+    figures = [
+        ("current_city_count", marts["city_current_weather"], F.count(F.lit(1)).cast("bigint")),
+        ("summary_row_count", marts["daily_city_weather_summary"], F.count(F.lit(1)).cast("bigint")),
+        ("ranking_row_count", marts["daily_temperature_rankings"], F.count(F.lit(1)).cast("bigint")),
+        ("rolling_row_count", marts["city_rolling_3day_metrics"], F.count(F.lit(1)).cast("bigint")),
+        ("latest_snapshot_at", marts["daily_city_weather_summary"], F.max("source_ingested_at_utc")),
+    ]
+    names = [n for n, _, _ in figures]
+    types = {n: df.agg(e.alias(n)).schema[n].dataType for n, df, e in figures}
+    stacked = None
+    for name, df, expr in figures:
+        one = df.agg(expr.alias(name)).select(*[F.col(n) if n == name else F.lit(None).cast(types[n]).alias(n) for n in names])
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return stacked.agg(*[F.max(n).alias(n) for n in names])
 
 
 def is_ready(marts: dict[str, DataFrame]) -> bool:

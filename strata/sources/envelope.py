@@ -53,15 +53,21 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
         raise ValueError("on_error must be 'raise' or 'reject'")
     others = [c for c in df.columns if c != "value"]
     doc = F.try_parse_json("value")
-    keys = F.when(F.substring(F.ltrim("value"), 1, 1) == "{", F.json_object_keys("value"))
-    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.coalesce(keys, F.array().cast("array<string>")))
+    # A present key holding JSON null yields a variant null (not SQL NULL);
+    # only an absent key (or a non-object document) yields SQL NULL. The
+    # document is parsed once; presence is read from the parsed variant.
+    missing = F.filter(
+        F.array(*[F.when(F.try_variant_get(F.col("__doc"), f"$.{k}", "variant").isNull(), F.lit(k)) for k in REQUIRED_KEYS]),
+        lambda k: k.isNotNull(),
+    )
     ts_text = F.try_variant_get("__doc", "$.ingested_at_utc", "string")
     reason = (
         F.when(F.col("__doc").isNull(), F.lit("invalid JSON document"))
         .when(F.size("__missing") > 0, F.concat(F.lit("missing keys "), F.array_join("__missing", ", ")))
         .when(ts_text.isNotNull() & ts_text.try_cast("timestamp").isNull(), F.lit("unparseable ingested_at_utc"))
     )
-    staged = df.select(*others, "value", doc.alias("__doc"), missing.alias("__missing"))
+    staged = df.select(*others, "value", doc.alias("__doc"))
+    staged = staged.withColumn("__missing", missing)
     staged = staged.withColumn("__reason", reason)
     if on_error == "raise":
         label = F.coalesce(F.col(path_col), F.lit("<document>")) if path_col in others else F.lit("<document>")
