@@ -306,6 +306,7 @@ def q_contract_unique(spark, sf):
 
 def q_contract_fk(spark, sf):
     t = lambda n: table(spark, sf, n)
+    lay = layers(spark, sf)
     return K.contract_summary({
         "lineitem_orders": K.fk_violations(t("lineitem"), t("orders"), ["l_orderkey"], ["o_orderkey"]),
         "lineitem_part": K.fk_violations(t("lineitem"), t("part"), ["l_partkey"], ["p_partkey"]),
@@ -313,6 +314,8 @@ def q_contract_fk(spark, sf):
         "orders_customer": K.fk_violations(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
         "customer_nation": K.fk_violations(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
         "labels_documents": K.fk_violations(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
+        "staging_current_raw": K.fk_violations(lay["staging_current"], lay["raw"], ["raw_record_id"]),
+        "staging_daily_raw": K.fk_violations(lay["staging_daily"], lay["raw"], ["raw_record_id"]),
     })
 
 

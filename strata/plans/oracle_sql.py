@@ -229,13 +229,15 @@ UNION ALL
 SELECT doc_id, 'toxic' AS "column" FROM documents d ANTI JOIN labels l USING (doc_id)""",
     "contract_unique": """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
-    "contract_fk": """
+    "contract_fk": _with(STAGING, """
 SELECT 'lineitem_orders' AS contract, CAST((SELECT count(*) FROM lineitem ANTI JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey IS NOT NULL) AS BIGINT) AS violations
 UNION ALL SELECT 'lineitem_part', (SELECT count(*) FROM lineitem ANTI JOIN part ON l_partkey = p_partkey WHERE l_partkey IS NOT NULL)
 UNION ALL SELECT 'lineitem_supplier', (SELECT count(*) FROM lineitem ANTI JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey IS NOT NULL)
 UNION ALL SELECT 'orders_customer', (SELECT count(*) FROM orders ANTI JOIN customer ON o_custkey = c_custkey WHERE o_custkey IS NOT NULL)
 UNION ALL SELECT 'customer_nation', (SELECT count(*) FROM customer ANTI JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey IS NOT NULL)
-UNION ALL SELECT 'labels_documents', (SELECT count(*) FROM labels l ANTI JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id IS NOT NULL)""",
+UNION ALL SELECT 'labels_documents', (SELECT count(*) FROM labels l ANTI JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id IS NOT NULL)
+UNION ALL SELECT 'staging_current_raw', (SELECT count(*) FROM stg_current s ANTI JOIN docs d ON s.raw_file_path = d.raw_file_path)
+UNION ALL SELECT 'staging_daily_raw', (SELECT count(*) FROM stg_daily s ANTI JOIN docs d ON s.raw_file_path = d.raw_file_path)"""),
     "contract_cast": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c AS "column", v AS value FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_quantity' AS c, CAST(l_quantity AS VARCHAR) AS v, TRY_CAST(l_quantity AS DECIMAL(6,2)) IS NULL AND l_quantity IS NOT NULL AS bad FROM lineitem

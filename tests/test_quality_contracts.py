@@ -66,3 +66,13 @@ def test_apply_schema_reject_and_raise(spark):
     strict, _ = K.apply_schema(df, schema, keys=["id"], on_error="raise")
     with pytest.raises(PySparkException):
         strict.collect()
+
+
+def test_create_if_absent_and_declared_not_null(spark, tmp_path):
+    from strata.schemas import MART_DAILY_SUMMARY, TABLES, create_if_absent, not_null_columns
+
+    wh = str(tmp_path / "wh")
+    assert sorted(create_if_absent(spark, wh)) == sorted(TABLES)
+    assert create_if_absent(spark, wh) == []
+    assert spark.read.parquet(f"{wh}/mart/daily_city_weather_summary").schema.fieldNames() == MART_DAILY_SUMMARY.fieldNames()
+    assert "is_wet_day" in not_null_columns(MART_DAILY_SUMMARY)
