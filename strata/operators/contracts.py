@@ -52,12 +52,16 @@ def apply_schema(df: DataFrame, schema: StructType, keys: list[str], on_error: s
     fields = [f for f in schema.fields if f.name not in keys]
     tried = df.select(
         *keys,
+        *[F.col(f.name).alias(f"__src_{f.name}") for f in fields],
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields],
-        *[F.col(f.name).cast("string").alias(f"__src_{f.name}") for f in fields],
     )
+    # The original value is rendered as text only for the failing cells.
     bad = F.filter(
         F.array(*[
-            F.when(F.col(f"__src_{f.name}").isNotNull() & F.col(f.name).isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"__src_{f.name}").alias("value")))
+            F.when(
+                F.col(f"__src_{f.name}").isNotNull() & F.col(f.name).isNull(),
+                F.struct(F.lit(f.name).alias("column"), F.col(f"__src_{f.name}").cast("string").alias("value")),
+            )
             for f in fields
         ]),
         lambda x: x.isNotNull(),

@@ -154,7 +154,12 @@ LINE_CHUNK = 8
 
 
 def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK) -> DataFrame:
-    """Per-order JSON documents with parallel line arrays, at most ``chunk`` lines each."""
+    """Per-order VARIANT documents with parallel line arrays, at most ``chunk`` lines each.
+
+    Line positions come from ``row_number`` per order (a sort, no in-memory
+    grouping), and a document is cut every ``chunk`` lines, so no document
+    grows with the size of an order.
+    """
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     lines = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
@@ -175,7 +180,7 @@ def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK) -> DataFrame:
             F.transform("ls.l_shipdate", lambda d: F.date_format(d, "yyyy-MM-dd")).alias("shipdate"),
         ).alias("lines"),
     )
-    return docs.select("l_orderkey", F.parse_json(F.to_json(body)).alias("doc"))
+    return docs.select("l_orderkey", F.to_variant_object(body).alias("doc"))
 
 
 def _explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:
