@@ -6,11 +6,20 @@ Tables live under a warehouse folder:
   path's year/month/day, keyed by ``raw_file_path``
 * ``staging/weather_current_conditions`` and ``staging/weather_daily_forecast``
   append-only, keyed by ``raw_record_id`` (+ ``forecast_date``)
-* ``mart/``                          versioned snapshots of the four marts,
-  switched by a pointer (see ``sources.snapshot``)
+* ``_loads``                       a small ledger: one row per load and stage
+  (``raw`` is written *before* the raw rows, ``staged`` after staging)
+* ``mart/``                        versioned snapshots of the four marts plus
+  the latest-snapshot state they were derived from, switched by a pointer
+
+Work per run is proportional to the new documents, not to the history:
+staging reads only the raw rows of loads not yet staged (found from the
+ledger, read with a pushed-down filter), and the marts are maintained from
+the previous published state plus the newly staged rows. Because staging is
+append-only, ``latest(state ∪ new) = latest(all staging)`` exactly; the first
+run, or ``rebuild=True``, computes from all of staging instead.
 
 Every step is an idempotent append or an atomic publish, so re-running after a
-failure (or with the same landing files) changes nothing that was done.
+failure at any point neither loses nor duplicates rows.
 """
 
 from __future__ import annotations
@@ -22,17 +31,22 @@ from pyspark.sql import functions as F
 
 from strata.operators.contracts import enforce_not_null
 from strata.operators.quality import collect_checks
+from strata.operators.windows import latest_per_key, latest_snapshot
 from strata.plans import weather as W
+from strata.schemas import STAGING_CURRENT
 from strata.sources.append import append_counts, append_if_absent
 from strata.sources.envelope import parse_envelope
 from strata.sources.raw_documents import SOURCE_DIR, read_raw_documents
-from strata.sources.snapshot import publish_snapshot, read_snapshot
+from strata.sources.snapshot import current_version, publish_snapshot, read_snapshot
 
 RAW_TABLE = "raw/weather_api_responses"
 STG_CURRENT = "staging/weather_current_conditions"
 STG_DAILY = "staging/weather_daily_forecast"
+LEDGER = "_loads"
 MART_DIR = "mart"
 MART_NAMES = ["city_current_weather", "daily_city_weather_summary", "daily_temperature_rankings", "city_rolling_3day_metrics"]
+STATE_CURRENT = "_state_current"
+STATE_DAILY = "_state_daily"
 
 # NOT NULL columns of the mart tables; a NULL fails the refresh before publish.
 MART_NOT_NULL = {
@@ -71,38 +85,82 @@ def with_path_partitions(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_raw(spark: SparkSession, docs: DataFrame, warehouse: str, loaded_at) -> dict:
-    """Append parsed documents to the raw table, skipping paths already loaded."""
-    good, _ = parse_envelope(docs, on_error="raise")
-    incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(loaded_at).cast("timestamp")))
+# ---------------------------------------------------------------- ledger
+
+def mark_load(spark: SparkSession, warehouse: str, loaded_at: str, stage: str) -> None:
+    spark.createDataFrame([(loaded_at, stage)], "loaded_at string, stage string").select(
+        F.col("loaded_at").cast("timestamp").alias("loaded_at_utc"), "stage"
+    ).coalesce(1).write.mode("append").parquet(_path(warehouse, LEDGER))
+
+
+def pending_loads(spark: SparkSession, warehouse: str) -> list:
+    """Load times written to raw but not yet staged (a handful of ledger rows)."""
+    if not _exists(spark, _path(warehouse, LEDGER)):
+        return []
+    led = spark.read.parquet(_path(warehouse, LEDGER))
+    raw = led.where("stage = 'raw'").select("loaded_at_utc").distinct()
+    done = led.where("stage = 'staged'").select("loaded_at_utc").distinct()
+    return [r[0] for r in raw.join(done, "loaded_at_utc", "left_anti").collect()]
+
+
+# ---------------------------------------------------------------- raw and staging
+
+def append_raw(spark: SparkSession, incoming: DataFrame, warehouse: str, loaded_at: str) -> None:
+    """Append raw rows not yet present; the ledger entry is written first."""
+    mark_load(spark, warehouse, loaded_at, "raw")
     existing = read_table(spark, warehouse, RAW_TABLE, incoming)
-    counts = append_counts(incoming.select("raw_file_path"), existing.select("raw_file_path"), ["raw_file_path"]).first()
     new = append_if_absent(incoming, existing, ["raw_file_path"], prune_on=["year", "month", "day"])
     new.write.mode("append").partitionBy("year", "month", "day").parquet(_path(warehouse, RAW_TABLE))
-    return {"inserted": counts["inserted"], "skipped": counts["skipped"], "total": counts["total"]}
 
 
-def load_staging(spark: SparkSession, warehouse: str, loaded_at) -> None:
-    """Stage raw rows loaded in this run; keys already staged are skipped."""
-    raw = spark.read.parquet(_path(warehouse, RAW_TABLE)).where(F.col("loaded_at_utc") == F.lit(loaded_at).cast("timestamp"))
-    at = F.lit(loaded_at).cast("timestamp")
-    cur = W.build_staging_current(raw, at)
-    daily = W.build_staging_daily(raw, at)
-    cur_have = read_table(spark, warehouse, STG_CURRENT, cur)
-    daily_have = read_table(spark, warehouse, STG_DAILY, daily)
-    append_if_absent(cur, cur_have, ["raw_record_id"]).write.mode("append").parquet(_path(warehouse, STG_CURRENT))
-    append_if_absent(daily, daily_have, ["raw_record_id", "forecast_date"]).write.mode("append").parquet(_path(warehouse, STG_DAILY))
+def load_raw(spark: SparkSession, docs: DataFrame, warehouse: str, loaded_at: str) -> dict:
+    """Parse documents and append them to the raw table, skipping paths already loaded."""
+    good, _ = parse_envelope(docs, on_error="raise")
+    incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(loaded_at).cast("timestamp")))
+    existing = read_table(spark, warehouse, RAW_TABLE, incoming)
+    counts = append_counts(incoming.select("raw_file_path"), existing.select("raw_file_path"), ["raw_file_path"]).first()
+    append_raw(spark, incoming, warehouse, loaded_at)
+    return {"inserted": counts["inserted"], "skipped": counts["skipped"], "total": counts["total"]}
 
 
-def build_marts(spark: SparkSession, warehouse: str, refreshed_at, strict: bool = True) -> dict[str, DataFrame]:
-    """The four marts from the staging tables; the summary is written once and reused."""
-    at = F.lit(refreshed_at).cast("timestamp")
-    cur = spark.read.parquet(_path(warehouse, STG_CURRENT))
-    daily = spark.read.parquet(_path(warehouse, STG_DAILY))
-    marts = {"city_current_weather": W.build_mart_current(cur, at), "daily_city_weather_summary": W.build_daily_summary(daily, at)}
-    if strict:
-        marts = {k: enforce_not_null(v, MART_NOT_NULL[k], k) for k, v in marts.items()}
-    return marts
+def _in_loads(col: str, loads: list):
+    return F.col(col).isin([F.lit(t).cast("timestamp") for t in loads]) if loads else F.lit(False)
+
+
+def load_staging(spark: SparkSession, warehouse: str, loads: list, staged_at: str) -> None:
+    """Stage the raw rows of ``loads``; keys already staged are skipped, then the loads are marked."""
+    if loads and _exists(spark, _path(warehouse, RAW_TABLE)):
+        raw = spark.read.parquet(_path(warehouse, RAW_TABLE)).where(_in_loads("loaded_at_utc", loads))
+        at = F.lit(staged_at).cast("timestamp")
+        for rel, rows, keys in (
+            (STG_CURRENT, W.build_staging_current(raw, at), ["raw_record_id"]),
+            (STG_DAILY, W.build_staging_daily(raw, at), ["raw_record_id", "forecast_date"]),
+        ):
+            have = read_table(spark, warehouse, rel, rows).where(_in_loads("raw_loaded_at_utc", loads))
+            append_if_absent(rows, have, keys).write.mode("append").parquet(_path(warehouse, rel))
+    for t in loads:
+        mark_load(spark, warehouse, t.strftime("%Y-%m-%d %H:%M:%S.%f") if hasattr(t, "strftime") else str(t), "staged")
+
+
+# ---------------------------------------------------------------- marts
+
+def latest_state(spark: SparkSession, warehouse: str, loads: list, rebuild: bool) -> tuple[DataFrame, DataFrame]:
+    """Latest staged current row per city, and latest-snapshot daily rows per (city, date)."""
+    cur_all = spark.read.parquet(_path(warehouse, STG_CURRENT)) if _exists(spark, _path(warehouse, STG_CURRENT)) else None
+    daily_all = spark.read.parquet(_path(warehouse, STG_DAILY))
+    mart = _path(warehouse, MART_DIR)
+    if rebuild or current_version(spark, mart) is None:
+        cur_rows, daily_rows = cur_all, daily_all
+    else:
+        daily_rows = read_snapshot(spark, mart, STATE_DAILY).unionByName(daily_all.where(_in_loads("raw_loaded_at_utc", loads)))
+        cur_rows = read_snapshot(spark, mart, STATE_CURRENT)
+        if cur_all is not None:
+            cur_rows = cur_rows.unionByName(cur_all.where(_in_loads("raw_loaded_at_utc", loads)))
+    if cur_rows is None:
+        cur_rows = spark.createDataFrame([], STAGING_CURRENT)
+    cur = latest_per_key(cur_rows, ["city"], W.latest_order())
+    daily = latest_snapshot(daily_rows, ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
+    return cur, daily
 
 
 def refresh_all(
@@ -114,34 +172,33 @@ def refresh_all(
     run_at: _dt.datetime | None = None,
     strict: bool = True,
     source_dir: str = SOURCE_DIR,
+    rebuild: bool = False,
 ) -> dict:
-    """Load, stage, rebuild and publish the marts, then run the quality checks.
+    """Load, stage, maintain and publish the marts, then build the quality checks.
 
-    Returns ``{"raw": counts, "version": published version, "checks": DataFrame}``.
-    The rankings and rolling marts are computed from the *published* daily
-    summary, so the summary lineage runs once.
+    Returns ``{"raw": counts, "version", "checks": DataFrame, "marts": {name: DataFrame}}``.
     """
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     stamp = run_at.strftime("%Y-%m-%d %H:%M:%S.%f")
-    docs = read_raw_documents(spark, landing, source_dir)
-    counts = load_raw(spark, docs, warehouse, stamp)
-    if _exists(spark, _path(warehouse, RAW_TABLE)):
-        load_staging(spark, warehouse, stamp)
+    counts = load_raw(spark, read_raw_documents(spark, landing, source_dir), warehouse, stamp)
+    loads = pending_loads(spark, warehouse)
+    load_staging(spark, warehouse, loads, stamp)
     if not _exists(spark, _path(warehouse, STG_DAILY)):
-        return {"raw": counts, "version": None, "checks": None}
-    first = build_marts(spark, warehouse, stamp, strict)
-    version = publish_snapshot(spark, first, _path(warehouse, MART_DIR + "/stage1"))
-    summary = read_snapshot(spark, _path(warehouse, MART_DIR + "/stage1"), "daily_city_weather_summary", version)
-    cur = read_snapshot(spark, _path(warehouse, MART_DIR + "/stage1"), "city_current_weather", version)
+        return {"raw": counts, "version": None, "checks": None, "marts": None}
+    cur_state, daily_state = latest_state(spark, warehouse, loads, rebuild)
     at = F.lit(stamp).cast("timestamp")
+
+    def checked(name, df):
+        return enforce_not_null(df, MART_NOT_NULL[name], name) if strict else df
+
     tables = {
-        "city_current_weather": cur,
-        "daily_city_weather_summary": summary,
-        "daily_temperature_rankings": W.build_rankings(summary, at),
-        "city_rolling_3day_metrics": W.build_rolling(summary, at),
+        STATE_CURRENT: cur_state,
+        STATE_DAILY: daily_state,
+        "city_current_weather": lambda r: checked("city_current_weather", r(STATE_CURRENT).select(*W.MART_CURRENT_COLS, at.alias("refreshed_at_utc"))),
+        "daily_city_weather_summary": lambda r: checked("daily_city_weather_summary", W.summarize_daily(r(STATE_DAILY)).withColumn("refreshed_at_utc", at)),
+        "daily_temperature_rankings": lambda r: checked("daily_temperature_rankings", W.build_rankings(r("daily_city_weather_summary"), at)),
+        "city_rolling_3day_metrics": lambda r: checked("city_rolling_3day_metrics", W.build_rolling(r("daily_city_weather_summary"), at)),
     }
-    if strict:
-        tables = {k: enforce_not_null(v, MART_NOT_NULL[k], k) for k, v in tables.items()}
     version = publish_snapshot(spark, tables, _path(warehouse, MART_DIR))
     published = {n: read_snapshot(spark, _path(warehouse, MART_DIR), n, version) for n in MART_NAMES}
     return {"raw": counts, "version": version, "checks": collect_checks(published, city_count, forecast_days), "marts": published}

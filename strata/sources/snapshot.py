@@ -4,25 +4,35 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 POINTER = "_CURRENT"
 
+TableSpec = DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
 
-def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> str:
+
+def publish_snapshot(spark: SparkSession, tables: dict[str, TableSpec], base: str) -> str:
     """Full refresh of several tables as one unit.
 
-    Every table is written under ``base/v=<version>/<name>``; only after all
-    writes succeed is the pointer ``base/_CURRENT`` replaced. Readers resolve
-    the pointer first, so they see either the old set or the new set, never a
-    mix, and a failed refresh leaves the previous version in place. A failed
-    task is retried by Spark; the output committer discards partial files.
+    Every table is written under ``base/v=<version>/<name>`` in the given
+    order; a table may be a function of the tables already written (it gets a
+    reader for them), so a derived table reads its parent from storage
+    instead of recomputing the parent's lineage. Only after all writes succeed
+    is the pointer ``base/_CURRENT`` replaced: readers resolve the pointer
+    first and see either the old set or the new one, and a failed refresh
+    leaves the previous version current.
     """
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     version = f"{stamp}-{uuid.uuid4().hex[:8]}"
     root = f"{base.rstrip('/')}/v={version}"
-    for name, df in tables.items():
+
+    def written(name: str) -> DataFrame:
+        return spark.read.parquet(f"{root}/{name}")
+
+    for name, spec in tables.items():
+        df = spec(written) if callable(spec) else spec
         df.write.mode("errorifexists").parquet(f"{root}/{name}")
     spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{base.rstrip('/')}/{POINTER}"
@@ -31,10 +41,11 @@ def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], base: st
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    try:
-        rows = spark.read.text(f"{base.rstrip('/')}/{POINTER}").take(1)
-    except Exception:  # no snapshot published yet
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return None
+    rows = spark.read.text(f"{base.rstrip('/')}/{POINTER}").take(1)
     return rows[0][0] if rows else None
 
 

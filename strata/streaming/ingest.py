@@ -8,12 +8,13 @@ as the batch loader, so a batch replayed after a failure inserts nothing twice.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans import weather as W
-from strata.plans.refresh import RAW_TABLE, _path, read_table, with_path_partitions
-from strata.sources.append import append_if_absent
+from strata.plans.refresh import append_raw, with_path_partitions
 from strata.sources.envelope import parse_envelope
 from strata.sources.raw_documents import _KEY_PATTERN, RAW_FILE_GLOB, SOURCE_DIR
 
@@ -37,12 +38,10 @@ def ingest_available(
     """Load every landing document not yet seen by this checkpoint, then stop."""
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        at = F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
+        stamp = loaded_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         good, _ = parse_envelope(batch, on_error="raise")
-        incoming = with_path_partitions(W.build_raw(good, loaded_at=at))
-        existing = read_table(spark, warehouse, RAW_TABLE, incoming)
-        new = append_if_absent(incoming, existing, ["raw_file_path"], prune_on=["year", "month", "day"])
-        new.write.mode("append").partitionBy("year", "month", "day").parquet(_path(warehouse, RAW_TABLE))
+        incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(stamp).cast("timestamp")))
+        append_raw(spark, incoming, warehouse, stamp)
 
     query = (
         raw_document_stream(spark, landing, source_dir)
