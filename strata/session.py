@@ -56,3 +56,43 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
     return base.rstrip("/") + "/" + name
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` (e.g. 100 TB on a large cluster).
+
+    Shuffles start with about one partition per ``partition_bytes`` of input
+    (bounded), and AQE coalesces them to the advisory size at run time, so
+    each task's share fits comfortably in executor memory and spills stay
+    rare. Scan splits use the same size. A shuffle partition more than 4x the
+    median and over 512 MB counts as skewed and is split by AQE's skew join.
+    """
+    parts = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total
+
+
+def tune_for_inputs(spark: SparkSession, paths: list[str], partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Apply ``scale_conf`` for the measured size of ``paths``; returns what was set."""
+    conf = scale_conf(input_bytes(spark, paths), partition_bytes)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf

@@ -73,3 +73,14 @@ def test_lookup_broadcasts_only_bounded_dimension(spark):
     assert hinted(matched) and matched.count() == 100
     matched2, _ = lookup_dimension(facts, "name", dim, "key", max_broadcast_rows=3)
     assert not hinted(matched2) and matched2.count() == 100
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+
+    big = scale_conf(100 * 1024**4)  # 100 TB
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    mid = scale_conf(1024**4)  # 1 TB / 256 MB
+    assert mid["spark.sql.shuffle.partitions"] == "4096"
+    assert scale_conf(1024)["spark.sql.shuffle.partitions"] == "200"
+    assert mid["spark.sql.files.maxPartitionBytes"] == "256m"
