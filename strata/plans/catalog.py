@@ -6,6 +6,9 @@ whose column names match the SQL oracle of the same key.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
@@ -19,10 +22,13 @@ from strata.operators.windows import latest_per_key, latest_snapshot, rank_withi
 from strata.plans import events as E
 from strata.plans import weather as W
 from strata.plans.layers import materialize
+from strata.plans.refresh import RAW_TABLE, refresh_all
+from strata.session import shared_dir
+from strata.streaming.ingest import ingest_available
 from strata.sources.append import append_counts, append_if_absent
 from strata.sources.envelope import build_envelope, parse_envelope
 from strata.sources.lookup import lookup_dimension
-from strata.sources.raw_documents import with_partition_columns
+from strata.sources.raw_documents import with_partition_columns, write_raw_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,6 +146,8 @@ def q_dimension_lookup(spark, sf):
 
 
 def q_dimension_rejects(spark, sf):
+    """Unmatched side of the lookup: suppliers request the nation named by twice
+    their nation key, so keys above 12 name no nation and are rejected."""
     sup = table(spark, sf, "supplier").select(
         "s_suppkey", F.concat(F.lit("Nation_"), (F.col("s_nationkey") * 2).cast("string")).alias("requested")
     )
@@ -403,16 +411,10 @@ QUERIES = {
 # ---------------------------------------------------------------- files end to end
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from strata.session import shared_dir
-
     return shared_dir(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def _land_event_documents(spark, sf, landing: str, before=None) -> None:
-    from strata.sources.raw_documents import write_raw_documents
-
     ev = table(spark, sf, "events")
     if before is not None:
         ev = ev.where(F.col("ts") < before)
@@ -421,10 +423,6 @@ def _land_event_documents(spark, sf, landing: str, before=None) -> None:
 
 def q_full_refresh(spark, sf):
     """Write the event documents as files, run the whole refresh, read the published summary."""
-    import datetime as dt
-
-    from strata.plans.refresh import refresh_all
-
     root = _scratch(spark, "full_refresh")
     _land_event_documents(spark, sf, f"{root}/landing")
     ev = table(spark, sf, "events")
@@ -434,9 +432,6 @@ def q_full_refresh(spark, sf):
 
 def q_incremental_ingest(spark, sf):
     """Two landing runs (an earlier partial one, then a full replay) through the streaming loader."""
-    from strata.plans.refresh import RAW_TABLE
-    from strata.streaming.ingest import ingest_available
-
     root = _scratch(spark, "incremental")
     landing, wh, ck = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
     _land_event_documents(spark, sf, landing, before=_earlier_load_cutoff())

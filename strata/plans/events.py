@@ -91,21 +91,3 @@ def raw_layer(events: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     docs = forecast_documents(events)
     good, _ = parse_envelope(docs.select("value", "raw_file_path"), on_error="raise")
     return W.build_raw(good, loaded_at=loaded_at if loaded_at is not None else F.lit("2024-02-01 00:00:00").cast("timestamp"))
-
-
-def staging(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    raw = raw_layer(events)
-    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return W.build_staging_current(raw, at), W.build_staging_daily(raw, at)
-
-
-def marts(events: DataFrame) -> dict[str, DataFrame]:
-    cur, daily = staging(events)
-    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    summary = W.build_daily_summary(daily, at)
-    return {
-        "city_current_weather": W.build_mart_current(cur, at),
-        "daily_city_weather_summary": summary,
-        "daily_temperature_rankings": W.build_rankings(summary, at),
-        "city_rolling_3day_metrics": W.build_rolling(summary, at),
-    }
