@@ -36,6 +36,21 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_keys: list[str], pa
     return child.where(present).join(p, on=child_keys, how="left_anti")
 
 
+def fk_violation_count(child: DataFrame, parent: DataFrame, child_keys: list[str], parent_keys: list[str] | None = None) -> DataFrame:
+    """One row ``violations``: child rows whose non-NULL key has no parent.
+
+    Child keys are counted first (a partial aggregate, so a key repeated
+    millions of times crosses the shuffle as one row per map task), then only
+    the distinct keys are anti-joined with the parent keys.
+    """
+    parent_keys = parent_keys or child_keys
+    p = parent.select(*[F.col(pk).alias(ck) for ck, pk in zip(child_keys, parent_keys)]).distinct()
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_keys])
+    per_key = child.where(present).groupBy(*child_keys).agg(F.count(F.lit(1)).alias("__n"))
+    orphans = per_key.join(p, on=child_keys, how="left_anti")
+    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))
+
+
 def apply_schema(df: DataFrame, schema: StructType, keys: list[str], on_error: str = "reject") -> tuple[DataFrame, DataFrame]:
     """Cast columns to the declared schema; returns ``(typed, rejects)``.
 
@@ -86,8 +101,11 @@ def enforce_not_null(df: DataFrame, cols: list[str], table: str) -> DataFrame:
 
 
 def contract_summary(violations: dict[str, DataFrame]) -> DataFrame:
-    """``(contract, violations)`` counts for several violation frames."""
-    parts = [v.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(F.lit(k).alias("contract"), "violations") for k, v in violations.items()]
+    """``(contract, violations)`` rows; each input is a violation frame or a one-row ``violations`` count."""
+    parts = []
+    for k, v in violations.items():
+        one = v if v.columns == ["violations"] else v.agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+        parts.append(one.select(F.lit(k).alias("contract"), "violations"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -214,12 +214,17 @@ def _explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:
     )
 
 
+def line_documents(spark, sf) -> DataFrame:
+    """The per-order line documents, written once per version of ``lineitem``."""
+    return materialize(spark, "lineitem_documents", [table_path(sf, "lineitem")], lambda: _line_documents(table(spark, sf, "lineitem")))
+
+
 def q_parallel_arrays(spark, sf):
-    return _explode_lines(_line_documents(table(spark, sf, "lineitem")), ragged=False)
+    return _explode_lines(line_documents(spark, sf), ragged=False)
 
 
 def q_ragged_arrays(spark, sf):
-    return _explode_lines(_line_documents(table(spark, sf, "lineitem")), ragged=True)
+    return _explode_lines(line_documents(spark, sf), ragged=True)
 
 
 # ---------------------------------------------------------------- staging / mart (events mapping)
@@ -321,14 +326,14 @@ def q_contract_fk(spark, sf):
     t = lambda n: table(spark, sf, n)
     lay = layers(spark, sf)
     return K.contract_summary({
-        "lineitem_orders": K.fk_violations(t("lineitem"), t("orders"), ["l_orderkey"], ["o_orderkey"]),
-        "lineitem_part": K.fk_violations(t("lineitem"), t("part"), ["l_partkey"], ["p_partkey"]),
-        "lineitem_supplier": K.fk_violations(t("lineitem"), t("supplier"), ["l_suppkey"], ["s_suppkey"]),
-        "orders_customer": K.fk_violations(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
-        "customer_nation": K.fk_violations(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
-        "labels_documents": K.fk_violations(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
-        "staging_current_raw": K.fk_violations(lay["staging_current"], lay["raw"], ["raw_record_id"]),
-        "staging_daily_raw": K.fk_violations(lay["staging_daily"], lay["raw"], ["raw_record_id"]),
+        "lineitem_orders": K.fk_violation_count(t("lineitem"), t("orders"), ["l_orderkey"], ["o_orderkey"]),
+        "lineitem_part": K.fk_violation_count(t("lineitem"), t("part"), ["l_partkey"], ["p_partkey"]),
+        "lineitem_supplier": K.fk_violation_count(t("lineitem"), t("supplier"), ["l_suppkey"], ["s_suppkey"]),
+        "orders_customer": K.fk_violation_count(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
+        "customer_nation": K.fk_violation_count(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
+        "labels_documents": K.fk_violation_count(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
+        "staging_current_raw": K.fk_violation_count(lay["staging_current"], lay["raw"], ["raw_record_id"]),
+        "staging_daily_raw": K.fk_violation_count(lay["staging_daily"], lay["raw"], ["raw_record_id"]),
     })
 
 

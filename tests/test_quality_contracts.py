@@ -76,3 +76,11 @@ def test_create_if_absent_and_declared_not_null(spark, tmp_path):
     assert create_if_absent(spark, wh) == []
     assert spark.read.parquet(f"{wh}/mart/daily_city_weather_summary").schema.fieldNames() == MART_DAILY_SUMMARY.fieldNames()
     assert "is_wet_day" in not_null_columns(MART_DAILY_SUMMARY)
+
+
+def test_fk_violation_count_matches_rows(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "id long")
+    child = spark.createDataFrame([(1,), (3,), (3,), (4,), (None,)], "pid long")
+    assert K.fk_violation_count(child, parent, ["pid"], ["id"]).first().violations == 3
+    assert K.fk_violations(child, parent, ["pid"], ["id"]).count() == 3
+    assert K.fk_violation_count(child.where("pid = 1"), parent, ["pid"], ["id"]).first().violations == 0
