@@ -26,12 +26,13 @@ def _json_path(path: str | list[str]) -> str:
 
 
 def json_text(doc: ColumnOrName, path: str | list[str]) -> Column:
-    """Text at a JSON path; missing key or JSON null gives NULL.
+    """Text at a JSON path of a VARIANT document; missing key or JSON null gives NULL.
 
-    ``doc`` may be a VARIANT column (parsed once, cheap path access) or a
-    JSON string column. Objects and arrays come back as JSON text.
+    Documents are parsed to VARIANT once (``parse_json``/``parse_envelope``) so
+    every path is read from the binary form. Objects and arrays come back as
+    JSON text.
     """
-    return F.try_variant_get(_as_variant(doc), _json_path(path), "string")
+    return F.try_variant_get(_col(doc), _json_path(path), "string")
 
 
 def json_array(doc: ColumnOrName, path: str | list[str], element: str = "string") -> Column:
@@ -40,13 +41,7 @@ def json_array(doc: ColumnOrName, path: str | list[str], element: str = "string"
     A missing path, JSON null or a non-array value gives NULL, so an explode
     over it yields no rows.
     """
-    return F.try_variant_get(_as_variant(doc), _json_path(path), f"array<{element}>")
-
-
-def _as_variant(doc: ColumnOrName) -> Column:
-    # Callers hold documents as VARIANT (see sources.envelope.parse_envelope),
-    # so the JSON text is parsed once per document, not once per path.
-    return _col(doc)
+    return F.try_variant_get(_col(doc), _json_path(path), f"array<{element}>")
 
 
 def to_decimal(c: ColumnOrName, precision: int, scale: int) -> Column:

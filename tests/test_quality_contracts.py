@@ -84,3 +84,19 @@ def test_fk_violation_count_matches_rows(spark):
     assert K.fk_violation_count(child, parent, ["pid"], ["id"]).first().violations == 3
     assert K.fk_violations(child, parent, ["pid"], ["id"]).count() == 3
     assert K.fk_violation_count(child.where("pid = 1"), parent, ["pid"], ["id"]).first().violations == 0
+
+
+def test_iso_json_serialises_dates_and_instants(spark):
+    import datetime as dt
+    import json
+
+    from strata.operators.views import iso_json, iso_strings
+
+    df = spark.createDataFrame(
+        [("Prague", dt.date(2026, 3, 13), dt.datetime(2099, 1, 1), Decimal("1.50"))],
+        "city string, d date, ts timestamp, x decimal(6,2)",
+    )
+    row = iso_strings(df).first()
+    assert (row.d, row.ts, row.x) == ("2026-03-13", "2099-01-01T00:00:00+00:00", Decimal("1.50"))
+    doc = json.loads(iso_json(df).first().value)
+    assert doc == {"city": "Prague", "d": "2026-03-13", "ts": "2099-01-01T00:00:00+00:00", "x": 1.5}
