@@ -11,7 +11,8 @@ holds a large share of the rows:
   window over the whole key.
 * ``rank_within`` splits each ranking partition by the ranked value: a small
   histogram gives the count of rows ahead of every value, and only rows tied
-  on the value are ordered together.
+  on the value are ordered together; a tie group past a row bound switches to
+  an exact global-sort rank that spreads every group over many tasks.
 * ``rolling_rows`` is a physical-rows frame over (key, date) rows; with one row
   per key and date a partition is bounded by the calendar, not by the data.
 """
@@ -70,24 +71,34 @@ def rank_within(
     df: DataFrame,
     by: list[str],
     value: str,
-    tiebreak: list[Column],
+    tiebreak: list[str],
     out: str,
     descending: bool = True,
     nulls_first: bool | None = None,
+    max_tie_rows: int | None = 5_000_000,
 ) -> DataFrame:
-    """``RANK() OVER (PARTITION BY by ORDER BY value, *tiebreak)`` as BIGINT.
+    """``RANK() OVER (PARTITION BY by ORDER BY value, *tiebreak ASC)`` as BIGINT.
 
     rank = (rows in the partition strictly ahead on ``value``)
            + RANK among the rows tied on ``value``, ordered by ``tiebreak``.
     The first term comes from a (by, value) histogram - one row per distinct
     value, built with a partial aggregate - so no task has to sort a whole
     ranking partition; only rows sharing one value are sorted together.
+
+    When the histogram shows a tie group larger than ``max_tie_rows`` (checked
+    with one small aggregate over the histogram), the rank is computed by
+    ``rank_by_global_sort`` instead, which splits every group across tasks.
+    ``max_tie_rows=None`` skips the check.
     """
     vspec = sort_spec(value, descending, nulls_first)
     hist = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    if max_tie_rows is not None:
+        biggest = hist.agg(F.max("__n")).first()[0]
+        if biggest is not None and biggest > max_tie_rows:
+            return rank_by_global_sort(df, by, [vspec, *[sort_spec(t) for t in tiebreak]], [value, *tiebreak], out)
     ahead_w = Window.partitionBy(*_cols(by)).orderBy(vspec).rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select(*by, F.col(value).alias("__v"), F.coalesce(F.sum("__n").over(ahead_w), F.lit(0)).alias("__ahead"))
-    tie_w = Window.partitionBy(*_cols(by), F.col(value)).orderBy(*tiebreak)
+    tie_w = Window.partitionBy(*_cols(by), F.col(value)).orderBy(*[sort_spec(t) for t in tiebreak])
     ranked = df.withColumn("__tie", F.rank().over(tie_w))
     cond = [ranked[b].eqNullSafe(hist[b]) for b in by] + [ranked[value].eqNullSafe(hist["__v"])]
     joined = ranked.join(hist, on=cond, how="inner")
@@ -97,6 +108,40 @@ def rank_within(
     )
 
 
+_ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
+
+
+def rank_by_global_sort(df: DataFrame, by: list[str], order: list[Column], order_cols: list[str], out: str) -> DataFrame:
+    """Exact ``RANK() OVER (PARTITION BY by ORDER BY order)`` with no group in one task.
+
+    The rows are sorted globally (range partitioning on ``by`` + ``order``
+    splits even a single huge group over many tasks) and numbered within each
+    sorted partition; a reliable ``checkpoint()`` fixes those positions so the
+    later passes see the same ones. Per-partition row counts (one row per
+    partition) turn local numbers into global positions; the rank of a row is
+    the first position of its full sort key minus the first position of its
+    group, plus one, so equal keys share a rank as RANK requires.
+    """
+    keys = [*by, *order_cols]
+    sorted_df = df.orderBy(*[F.col(b).asc_nulls_first() for b in by], *order).withColumn("__mid", F.monotonically_increasing_id())
+    fixed = sorted_df.checkpoint(eager=True)
+    part = F.shiftright("__mid", _ROW_BITS).alias("__part")
+    local = (F.col("__mid") - F.shiftleft(F.shiftright("__mid", _ROW_BITS), _ROW_BITS)).alias("__local")
+    numbered = fixed.select("*", part, local)
+    counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    # one row per sorted partition: bounded by the partition count
+    placed = numbered.join(F.broadcast(offsets), "__part").withColumn("__pos", F.col("__off") + F.col("__local"))
+    first_of_key = placed.groupBy(*keys).agg(F.min("__pos").alias("__kpos"))
+    first_of_group = placed.groupBy(*by).agg(F.min("__pos").alias("__gpos"))
+    key_rank = first_of_key.alias("k").join(
+        first_of_group.alias("g"), on=[F.col(f"k.{b}").eqNullSafe(F.col(f"g.{b}")) for b in by], how="inner"
+    ).select(*[F.col(f"k.{c}").alias(c) for c in keys], (F.col("__kpos") - F.col("__gpos") + 1).cast("bigint").alias(out))
+    rows = df.alias("r").join(key_rank.alias("q"), on=[F.col(f"r.{c}").eqNullSafe(F.col(f"q.{c}")) for c in keys], how="inner")
+    return rows.select(*[F.col(f"r.{c}") for c in df.columns], F.col(f"q.{out}"))
+
+
 def rolling_rows(
     df: DataFrame,
     by: list[str],

@@ -157,7 +157,7 @@ def build_rankings(daily: DataFrame, refreshed_at: Column | None = None) -> Data
         daily.select("forecast_date", "city", "temperature_max_c", "temperature_avg_c", "precipitation_mm"),
         by=["forecast_date"],
         value="temperature_max_c",
-        tiebreak=[sort_spec("city")],
+        tiebreak=["city"],
         out="max_temperature_rank",
     )
     return ranked.select(*RANKING_COLS, _stamp(refreshed_at).alias("refreshed_at_utc"))

@@ -14,9 +14,25 @@ def test_rank_within_matches_plain_rank(spark):
     rng = random.Random(7)
     rows = [(rng.randint(0, 3), rng.choice([None, *range(5)]), rng.randint(0, 4), i) for i in range(400)]
     df = spark.createDataFrame(rows, "d int, v int, t int, id int")
-    got = {r.id: r.rk for r in rank_within(df, ["d"], "v", [sort_spec("t")], "rk").collect()}
-    w = Window.partitionBy("d").orderBy(F.col("v").desc_nulls_first(), F.col("t").asc())
+    w = Window.partitionBy("d").orderBy(F.col("v").desc_nulls_first(), F.col("t").asc_nulls_last())
     want = {r.id: r.rk for r in df.select("id", F.rank().over(w).alias("rk")).collect()}
+    got = {r.id: r.rk for r in rank_within(df, ["d"], "v", ["t"], "rk").collect()}
+    assert got == want
+    # force the global-sort path (every tie group counts as hot)
+    split = {r.id: r.rk for r in rank_within(df, ["d"], "v", ["t"], "rk", max_tie_rows=0).collect()}
+    assert split == want
+
+
+def test_global_sort_rank_with_null_keys_and_one_hot_group(spark):
+    rows = [(None if i % 17 == 0 else i % 2, 5 if i % 3 else None, i % 11, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "d int, v int, t int, id int")
+    w = Window.partitionBy("d").orderBy(F.col("v").desc_nulls_first(), F.col("t").asc_nulls_last())
+    want = {r.id: r.rk for r in df.select("id", F.rank().over(w).alias("rk")).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        got = {r.id: r.rk for r in rank_within(df, ["d"], "v", ["t"], "rk", max_tie_rows=10).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got == want
 
 
