@@ -111,16 +111,19 @@ def rank_within(
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
 
 
-def rank_by_global_sort(df: DataFrame, by: list[str], order: list[Column], order_cols: list[str], out: str) -> DataFrame:
-    """Exact ``RANK() OVER (PARTITION BY by ORDER BY order)`` with no group in one task.
+def rank_by_global_sort(
+    df: DataFrame, by: list[str], order: list[Column], order_cols: list[str], out: str, ties: str = "rank"
+) -> DataFrame:
+    """Exact ``RANK()`` (or ``ROW_NUMBER()``) ``OVER (PARTITION BY by ORDER BY order)``, no group in one task.
 
     The rows are sorted globally (range partitioning on ``by`` + ``order``
     splits even a single huge group over many tasks) and numbered within each
     sorted partition; a reliable ``checkpoint()`` fixes those positions so the
     later passes see the same ones. Per-partition row counts (one row per
-    partition) turn local numbers into global positions; the rank of a row is
-    the first position of its full sort key minus the first position of its
-    group, plus one, so equal keys share a rank as RANK requires.
+    partition) turn local numbers into global positions. With ``ties="rank"``
+    a row's rank is the first position of its full sort key minus the first
+    position of its group, plus one, so equal keys share a rank; with
+    ``ties="row_number"`` it is the row's own position in its group.
     """
     keys = [*by, *order_cols]
     sorted_df = df.orderBy(*[F.col(b).asc_nulls_first() for b in by], *order).withColumn("__mid", F.monotonically_increasing_id())
@@ -133,6 +136,10 @@ def rank_by_global_sort(df: DataFrame, by: list[str], order: list[Column], order
     offsets = counts.select("__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
     # one row per sorted partition: bounded by the partition count
     placed = numbered.join(F.broadcast(offsets), "__part").withColumn("__pos", F.col("__off") + F.col("__local"))
+    if ties == "row_number":
+        first_of_group = placed.groupBy(*by).agg(F.min("__pos").alias("__gpos"))
+        rows = placed.alias("r").join(first_of_group.alias("g"), on=[F.col(f"r.{b}").eqNullSafe(F.col(f"g.{b}")) for b in by], how="inner")
+        return rows.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r.__pos") - F.col("g.__gpos") + 1).cast("bigint").alias(out))
     first_of_key = placed.groupBy(*keys).agg(F.min("__pos").alias("__kpos"))
     first_of_group = placed.groupBy(*by).agg(F.min("__pos").alias("__gpos"))
     key_rank = first_of_key.alias("k").join(
@@ -142,6 +149,23 @@ def rank_by_global_sort(df: DataFrame, by: list[str], order: list[Column], order
     return rows.select(*[F.col(f"r.{c}") for c in df.columns], F.col(f"q.{out}"))
 
 
+def row_positions(
+    df: DataFrame, by: list[str], order: list[str], out: str, max_group_rows: int | None = 5_000_000
+) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT.
+
+    A plain window when every group is at most ``max_group_rows`` rows (group
+    sizes come from one partial aggregate); otherwise the global-sort form, so
+    a hot group is numbered by many tasks.
+    """
+    if max_group_rows is not None:
+        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+        if biggest is not None and biggest > max_group_rows:
+            return rank_by_global_sort(df, by, [sort_spec(c) for c in order], order, out, ties="row_number")
+    w = Window.partitionBy(*_cols(by)).orderBy(*[sort_spec(c) for c in order])
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+
+
 def rolling_rows(
     df: DataFrame,
     by: list[str],

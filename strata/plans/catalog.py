@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
 
@@ -18,7 +18,7 @@ from strata.operators import contracts as K
 from strata.operators import quality as Q
 from strata.operators import views as V
 from strata.operators.arrays import explode_aligned
-from strata.operators.windows import latest_per_key, latest_snapshot, rank_within, sort_spec
+from strata.operators.windows import latest_per_key, latest_snapshot, row_positions, sort_spec
 from strata.plans import events as E
 from strata.plans import weather as W
 from strata.plans.layers import materialize
@@ -161,17 +161,17 @@ def q_dimension_rejects(spark, sf):
 LINE_CHUNK = 8
 
 
-def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK) -> DataFrame:
+def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK, max_group_rows: int | None = 5_000_000) -> DataFrame:
     """Per-order VARIANT documents with parallel line arrays, at most ``chunk`` lines each.
 
-    Line positions come from ``row_number`` per order (a sort, no in-memory
-    grouping), and a document is cut every ``chunk`` lines, so no document
-    grows with the size of an order.
+    Line positions come from ``row_positions`` per order (a window, or a
+    global sort when one order is huge), and a document is cut every
+    ``chunk`` lines, so no document grows with the size of an order.
     """
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    lines = lineitem.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
-    ).withColumn("pos", F.row_number().over(w))
+    lines = row_positions(
+        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
+        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pos", max_group_rows=max_group_rows,
+    )
     lines = lines.withColumn("chunk", F.floor((F.col("pos") - 1) / chunk).cast("int"))
     docs = lines.groupBy("l_orderkey", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("pos", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))).alias("ls")

@@ -75,3 +75,25 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,8)]" in plan
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
+
+
+def test_row_positions_both_paths(spark):
+    from strata.operators.windows import row_positions
+
+    rows = [(i % 3 if i % 5 else 0, (i * 7) % 101, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, o int, id int")
+    w = Window.partitionBy("g").orderBy("o", "id")
+    want = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+    assert {r.id: r.p for r in row_positions(df, ["g"], ["o", "id"], "p").collect()} == want
+    assert {r.id: r.p for r in row_positions(df, ["g"], ["o", "id"], "p", max_group_rows=50).collect()} == want
+
+
+def test_line_documents_hot_order_path(spark):
+    from conftest import SF_SMALL
+
+    from strata.plans.catalog import _explode_lines, _line_documents, table
+
+    li = table(spark, SF_SMALL, "lineitem")
+    normal = sorted(map(tuple, _explode_lines(_line_documents(li), False).collect()))
+    split = sorted(map(tuple, _explode_lines(_line_documents(li, max_group_rows=1), False).collect()))
+    assert normal == split and len(normal) == li.count()
