@@ -13,6 +13,8 @@ holds a large share of the rows:
   histogram gives the count of rows ahead of every value, and only rows tied
   on the value are ordered together; a tie group past a row bound switches to
   an exact global-sort rank that spreads every group over many tasks.
+* ``row_positions`` is ``ROW_NUMBER()`` with the same switch to a global sort
+  when one group is too large for a task.
 * ``rolling_rows`` is a physical-rows frame over (key, date) rows; with one row
   per key and date a partition is bounded by the calendar, not by the data.
 """

@@ -93,14 +93,19 @@ def mark_load(spark: SparkSession, warehouse: str, loaded_at: str, stage: str) -
     ).coalesce(1).write.mode("append").parquet(_path(warehouse, LEDGER))
 
 
-def pending_loads(spark: SparkSession, warehouse: str) -> list:
-    """Load times written to raw but not yet staged (a handful of ledger rows)."""
+def pending_loads(spark: SparkSession, warehouse: str) -> list[str]:
+    """Load times written to raw but not yet staged (a handful of ledger rows).
+
+    Returned as UTC text formatted inside Spark, so the driver's own time zone
+    never shifts them.
+    """
     if not _exists(spark, _path(warehouse, LEDGER)):
         return []
     led = spark.read.parquet(_path(warehouse, LEDGER))
     raw = led.where("stage = 'raw'").select("loaded_at_utc").distinct()
     done = led.where("stage = 'staged'").select("loaded_at_utc").distinct()
-    return [r[0] for r in raw.join(done, "loaded_at_utc", "left_anti").collect()]
+    pending = raw.join(done, "loaded_at_utc", "left_anti")
+    return [r[0] for r in pending.select(F.date_format("loaded_at_utc", "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()]
 
 
 # ---------------------------------------------------------------- raw and staging
@@ -123,11 +128,11 @@ def load_raw(spark: SparkSession, docs: DataFrame, warehouse: str, loaded_at: st
     return {"inserted": counts["inserted"], "skipped": counts["skipped"], "total": counts["total"]}
 
 
-def _in_loads(col: str, loads: list):
+def _in_loads(col: str, loads: list[str]):
     return F.col(col).isin([F.lit(t).cast("timestamp") for t in loads]) if loads else F.lit(False)
 
 
-def load_staging(spark: SparkSession, warehouse: str, loads: list, staged_at: str) -> None:
+def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_at: str) -> None:
     """Stage the raw rows of ``loads``; keys already staged are skipped, then the loads are marked."""
     if loads and _exists(spark, _path(warehouse, RAW_TABLE)):
         raw = spark.read.parquet(_path(warehouse, RAW_TABLE)).where(_in_loads("loaded_at_utc", loads))
@@ -139,12 +144,12 @@ def load_staging(spark: SparkSession, warehouse: str, loads: list, staged_at: st
             have = read_table(spark, warehouse, rel, rows).where(_in_loads("raw_loaded_at_utc", loads))
             append_if_absent(rows, have, keys).write.mode("append").parquet(_path(warehouse, rel))
     for t in loads:
-        mark_load(spark, warehouse, t.strftime("%Y-%m-%d %H:%M:%S.%f") if hasattr(t, "strftime") else str(t), "staged")
+        mark_load(spark, warehouse, t, "staged")
 
 
 # ---------------------------------------------------------------- marts
 
-def latest_state(spark: SparkSession, warehouse: str, loads: list, rebuild: bool) -> tuple[DataFrame, DataFrame]:
+def latest_state(spark: SparkSession, warehouse: str, loads: list[str], rebuild: bool) -> tuple[DataFrame, DataFrame]:
     """Latest staged current row per city, and latest-snapshot daily rows per (city, date)."""
     cur_all = spark.read.parquet(_path(warehouse, STG_CURRENT)) if _exists(spark, _path(warehouse, STG_CURRENT)) else None
     daily_all = spark.read.parquet(_path(warehouse, STG_DAILY))
