@@ -132,10 +132,20 @@ def _in_loads(col: str, loads: list[str]):
     return F.col(col).isin([F.lit(t).cast("timestamp") for t in loads]) if loads else F.lit(False)
 
 
-def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_at: str) -> None:
-    """Stage the raw rows of ``loads``; keys already staged are skipped, then the loads are marked."""
+def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_at: str, strict: bool = True) -> None:
+    """Stage the raw rows of ``loads``; keys already staged are skipped, then the loads are marked.
+
+    In strict mode a document whose daily arrays are JSON null or not arrays
+    fails the load (its loads stay pending); otherwise such documents simply
+    contribute no daily rows.
+    """
     if loads and _exists(spark, _path(warehouse, RAW_TABLE)):
         raw = spark.read.parquet(_path(warehouse, RAW_TABLE)).where(_in_loads("loaded_at_utc", loads))
+        if strict:
+            bad = W.daily_array_rejects(raw).limit(5).collect()
+            if bad:
+                shown = "; ".join(f"{r.raw_file_path}: {r.field} {r.reason}" for r in bad)
+                raise ValueError(f"Malformed daily arrays: {shown}")
         at = F.lit(staged_at).cast("timestamp")
         for rel, rows, keys in (
             (STG_CURRENT, W.build_staging_current(raw, at), ["raw_record_id"]),
@@ -187,7 +197,7 @@ def refresh_all(
     stamp = run_at.strftime("%Y-%m-%d %H:%M:%S.%f")
     counts = load_raw(spark, read_raw_documents(spark, landing, source_dir), warehouse, stamp)
     loads = pending_loads(spark, warehouse)
-    load_staging(spark, warehouse, loads, stamp)
+    load_staging(spark, warehouse, loads, stamp, strict)
     if not _exists(spark, _path(warehouse, STG_DAILY)):
         return {"raw": counts, "version": None, "checks": None, "marts": None}
     cur_state, daily_state = latest_state(spark, warehouse, loads, rebuild)

@@ -108,6 +108,32 @@ def build_staging_daily(raw: DataFrame, loaded_at: Column | None = None) -> Data
     )
 
 
+def daily_array_rejects(raw: DataFrame) -> DataFrame:
+    """Documents whose daily arrays are present but unusable: ``raw_record_id, raw_file_path, field, reason``.
+
+    A missing array is not an error (the document just has no daily rows), but
+    a JSON ``null`` or a non-array value where an array belongs is: the source
+    system failed the whole load on it. ``build_staging_daily`` yields no rows
+    for such documents; this report names them so a strict load can refuse.
+    """
+    fields = ["time", *[src for src, _, _ in DAILY_FIELDS.values()]]
+    checks = []
+    for field in fields:
+        path = "$." + ".".join([*DAILY_PATH, field])
+        v = F.try_variant_get("payload", path, "variant")
+        reason = (
+            F.when(v.isNull(), F.lit(None))
+            .when(F.is_variant_null(v), F.lit("JSON null instead of an array"))
+            .when(F.try_variant_get("payload", path, "array<variant>").isNull(), F.lit("not an array"))
+        )
+        checks.append(F.when(reason.isNotNull(), F.struct(F.lit(field).alias("field"), reason.alias("reason"))))
+    bad = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    flagged = raw.select("raw_record_id", "raw_file_path", bad.alias("__bad")).where(F.size("__bad") > 0)
+    return flagged.select("raw_record_id", "raw_file_path", F.explode("__bad").alias("__b")).select(
+        "raw_record_id", "raw_file_path", F.col("__b.field").alias("field"), F.col("__b.reason").alias("reason")
+    )
+
+
 MART_CURRENT_COLS = ["city", "current_time_utc", "temperature_c", "relative_humidity_pct", "wind_speed_kmh", "source_ingested_at_utc"]
 DAILY_SUMMARY_COLS = [
     "city", "forecast_date", "temperature_max_c", "temperature_min_c", "temperature_avg_c",

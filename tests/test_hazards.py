@@ -196,3 +196,35 @@ def test_h14_city_case_is_kept(spark, tmp_path):
 def test_h1_fixture_documents_are_pretty_printed():
     doc = json.dumps(forecast_document("Prague"), indent=2)
     assert doc.count("\n") > 10 and set(DAILY) >= {"Prague"}
+
+
+def test_h4_malformed_daily_arrays_are_reported(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    ok = forecast_document("Prague")
+    null_arr = forecast_document("Vienna")
+    null_arr["payload"]["api_response"]["daily"]["time"] = None
+    scalar = forecast_document("Berlin")
+    scalar["payload"]["api_response"]["daily"]["precipitation_sum"] = 3.5
+    missing = forecast_document("Warsaw")
+    del missing["payload"]["api_response"]["daily"]["temperature_2m_max"]
+    for city, doc in [("prague", ok), ("vienna", null_arr), ("berlin", scalar), ("warsaw", missing)]:
+        write_doc(base, FIXTURE_RUN, city, doc)
+    raw = raw_of(spark, base)
+    rejects = sorted((r.raw_file_path.split("city=")[1], r.field, r.reason) for r in W.daily_array_rejects(raw).collect())
+    assert rejects == [
+        ("berlin.json", "precipitation_sum", "not an array"),
+        ("vienna.json", "time", "JSON null instead of an array"),
+    ]
+    assert W.build_staging_daily(raw).select("city").distinct().count() == 1
+
+
+def test_h4_strict_refresh_refuses_malformed_arrays(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    doc = forecast_document("Prague")
+    doc["payload"]["api_response"]["daily"]["time"] = "2026-03-13"
+    write_doc(base, FIXTURE_RUN, "prague", doc)
+    with pytest.raises(ValueError, match="Malformed daily arrays"):
+        refresh_all(spark, base, str(tmp_path / "wh"), city_count=1, run_at=dt.datetime(2099, 1, 2))
+    res = refresh_all(spark, base, str(tmp_path / "wh2"), city_count=1, run_at=dt.datetime(2099, 1, 2), strict=False)
+    assert res["marts"]["city_current_weather"].count() == 1
+    assert res["marts"]["daily_city_weather_summary"].count() == 0
