@@ -26,6 +26,8 @@ HEADLINE = [
     "dq_checks", "overview", "parallel_arrays", "ragged_arrays", "envelope_rejects",
     "idempotent_append", "json_extract", "partition_columns", "contract_unique", "contract_cast",
     "contract_fk", "contract_not_null", "dimension_lookup",
+    "dimension_rejects", "append_counts", "dq_summary", "dq_driver_tables",
+    "view_current", "view_daily", "view_rankings", "view_rolling", "view_json",
 ]
 
 
