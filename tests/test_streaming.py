@@ -18,3 +18,36 @@ def test_available_now_loads_each_file_once(spark, landing, tmp_path):
     raw = spark.read.parquet(f"{wh}/{RAW_TABLE}")
     assert raw.count() == 6
     assert raw.where("city = 'Prague'").count() == 2
+
+
+def test_spark_written_landing_round_trip(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from strata.sources.envelope import build_envelope, parse_envelope
+    from strata.sources.raw_documents import read_raw_documents, with_partition_columns, write_raw_documents
+
+    rows = spark.createDataFrame(
+        [("Prague", dt.datetime(2026, 3, 13, 12, 30)), ("New York", dt.datetime(2026, 3, 13, 12, 30))],
+        "city string, run_at timestamp",
+    )
+    staged = with_partition_columns(rows, "city", "run_at")
+    docs = build_envelope(staged, "city", F.struct(F.col("city").alias("city")), "run_at",
+                          keep=["year", "month", "day", "run_id", "city_slug", "raw_file_path"])
+    base = str(tmp_path / "landing")
+    write_raw_documents(docs, base)
+    back = read_raw_documents(spark, base)
+    got = sorted((r.raw_file_path for r in back.collect()))
+    assert got == [
+        "source=open_meteo/year=2026/month=03/day=13/run_id=20260313T123000Z/city=new_york.json",
+        "source=open_meteo/year=2026/month=03/day=13/run_id=20260313T123000Z/city=prague.json",
+    ]
+    good, rejects = parse_envelope(back, on_error="reject")
+    assert rejects.count() == 0 and sorted(r.city for r in good.collect()) == ["New York", "Prague"]
+
+
+def test_no_landing_files_is_an_empty_read(spark, tmp_path):
+    from strata.sources.raw_documents import read_raw_documents
+
+    assert read_raw_documents(spark, str(tmp_path / "nothing")).count() == 0
