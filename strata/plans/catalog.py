@@ -332,8 +332,8 @@ def q_contract_fk(spark, sf):
         "orders_customer": K.fk_violation_count(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
         "customer_nation": K.fk_violation_count(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
         "labels_documents": K.fk_violation_count(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
-        "staging_current_raw": K.fk_violation_count(lay["staging_current"], lay["raw"], ["raw_record_id"]),
-        "staging_daily_raw": K.fk_violation_count(lay["staging_daily"], lay["raw"], ["raw_record_id"]),
+        "staging_current_raw": K.fk_violation_count(lay["staging_current"], lay["raw"], ["raw_file_path"]),
+        "staging_daily_raw": K.fk_violation_count(lay["staging_daily"], lay["raw"], ["raw_file_path"]),
     })
 
 

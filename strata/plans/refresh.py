@@ -148,8 +148,10 @@ def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_a
                 raise ValueError(f"Malformed daily arrays: {shown}")
         at = F.lit(staged_at).cast("timestamp")
         for rel, rows, keys in (
-            (STG_CURRENT, W.build_staging_current(raw, at), ["raw_record_id"]),
-            (STG_DAILY, W.build_staging_daily(raw, at), ["raw_record_id", "forecast_date"]),
+            # keyed by the document path, which is unique; the 64-bit record id
+            # is a hash of it and could collide across billions of documents
+            (STG_CURRENT, W.build_staging_current(raw, at), ["raw_file_path"]),
+            (STG_DAILY, W.build_staging_daily(raw, at), ["raw_file_path", "forecast_date"]),
         ):
             have = read_table(spark, warehouse, rel, rows).where(_in_loads("raw_loaded_at_utc", loads))
             append_if_absent(rows, have, keys).write.mode("append").parquet(_path(warehouse, rel))

@@ -74,8 +74,8 @@ TABLES = {
 }
 PRIMARY_KEYS = {
     "raw/weather_api_responses": ["raw_file_path"],
-    "staging/weather_current_conditions": ["raw_record_id"],
-    "staging/weather_daily_forecast": ["raw_record_id", "forecast_date"],
+    "staging/weather_current_conditions": ["raw_file_path"],
+    "staging/weather_daily_forecast": ["raw_file_path", "forecast_date"],
     "mart/city_current_weather": ["city"],
     "mart/daily_city_weather_summary": ["city", "forecast_date"],
     "mart/daily_temperature_rankings": ["forecast_date", "city"],
