@@ -2,10 +2,11 @@
 
 Tables live under a warehouse folder:
 
-* ``raw/weather_api_responses``    append-only, partitioned by the landing
-  path's year/month/day, keyed by ``raw_file_path``
+* ``raw/weather_api_responses``    append-only, partitioned by load date and
+  the landing path's year/month/day, keyed by ``raw_file_path``
 * ``staging/weather_current_conditions`` and ``staging/weather_daily_forecast``
-  append-only, keyed by ``raw_record_id`` (+ ``forecast_date``)
+  append-only, partitioned by the raw load date, keyed by ``raw_file_path``
+  (+ ``forecast_date``)
 * ``_loads``                       a small ledger: one row per load and stage
   (``raw`` is written *before* the raw rows, ``staged`` after staging)
 * ``mart/``                        versioned snapshots of the four marts plus
@@ -13,7 +14,7 @@ Tables live under a warehouse folder:
 
 Work per run is proportional to the new documents, not to the history:
 staging reads only the raw rows of loads not yet staged (found from the
-ledger, read with a pushed-down filter), and the marts are maintained from
+ledger; partition pruning on the load date), and the marts are maintained from
 the previous published state plus the newly staged rows. Because staging is
 append-only, ``latest(state ∪ new) = latest(all staging)`` exactly; the first
 run, or ``rebuild=True``, computes from all of staging instead.
@@ -28,12 +29,13 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.contracts import enforce_not_null
 from strata.operators.quality import collect_checks
 from strata.operators.windows import latest_per_key, latest_snapshot
 from strata.plans import weather as W
-from strata.schemas import STAGING_CURRENT
+from strata.schemas import RAW_WEATHER, STAGING_CURRENT, STAGING_DAILY
 from strata.sources.append import append_counts, append_if_absent
 from strata.sources.envelope import parse_envelope
 from strata.sources.raw_documents import SOURCE_DIR, read_raw_documents
@@ -45,6 +47,20 @@ STG_DAILY = "staging/weather_daily_forecast"
 LEDGER = "_loads"
 MART_DIR = "mart"
 MART_NAMES = ["city_current_weather", "daily_city_weather_summary", "daily_temperature_rankings", "city_rolling_3day_metrics"]
+RAW_PARTITIONS = ["load_date", "year", "month", "day"]
+
+
+def _with_strings(schema: StructType, names: list[str]) -> StructType:
+    return StructType([*schema.fields, *[StructField(n, StringType()) for n in names]])
+
+
+# Declared read schemas: partition values stay text (no type inference), and
+# a table folder holding no data files still reads as an empty table.
+TABLE_SCHEMAS = {
+    RAW_TABLE: _with_strings(RAW_WEATHER, RAW_PARTITIONS),
+    STG_CURRENT: _with_strings(STAGING_CURRENT, ["raw_load_date"]),
+    STG_DAILY: _with_strings(STAGING_DAILY, ["raw_load_date"]),
+}
 STATE_CURRENT = "_state_current"
 STATE_DAILY = "_state_daily"
 
@@ -67,18 +83,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_table(spark: SparkSession, base: str, rel: str, schema_of: DataFrame) -> DataFrame:
-    """The table at ``rel``, or an empty frame with ``schema_of``'s schema."""
+def read_table(spark: SparkSession, base: str, rel: str) -> DataFrame:
+    """The warehouse table ``rel`` read with its declared schema (empty when absent)."""
     path = _path(base, rel)
+    schema = TABLE_SCHEMAS[rel]
     if _exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], schema_of.schema)
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
 def with_path_partitions(raw: DataFrame) -> DataFrame:
+    """Add the partition columns of the raw table: load date, then the landing path's date."""
     parts = r"year=([^/]+)/month=([^/]+)/day=([^/]+)/"
     return raw.select(
         "*",
+        F.date_format("loaded_at_utc", "yyyy-MM-dd").alias("load_date"),
         F.regexp_extract("raw_file_path", parts, 1).alias("year"),
         F.regexp_extract("raw_file_path", parts, 2).alias("month"),
         F.regexp_extract("raw_file_path", parts, 3).alias("day"),
@@ -113,23 +132,32 @@ def pending_loads(spark: SparkSession, warehouse: str) -> list[str]:
 def append_raw(spark: SparkSession, incoming: DataFrame, warehouse: str, loaded_at: str) -> None:
     """Append raw rows not yet present; the ledger entry is written first."""
     mark_load(spark, warehouse, loaded_at, "raw")
-    existing = read_table(spark, warehouse, RAW_TABLE, incoming)
+    existing = read_table(spark, warehouse, RAW_TABLE)
     new = append_if_absent(incoming, existing, ["raw_file_path"], prune_on=["year", "month", "day"])
-    new.write.mode("append").partitionBy("year", "month", "day").parquet(_path(warehouse, RAW_TABLE))
+    new.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(_path(warehouse, RAW_TABLE))
 
 
 def load_raw(spark: SparkSession, docs: DataFrame, warehouse: str, loaded_at: str) -> dict:
     """Parse documents and append them to the raw table, skipping paths already loaded."""
     good, _ = parse_envelope(docs, on_error="raise")
     incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(loaded_at).cast("timestamp")))
-    existing = read_table(spark, warehouse, RAW_TABLE, incoming)
-    counts = append_counts(incoming.select("raw_file_path"), existing.select("raw_file_path"), ["raw_file_path"]).first()
+    existing = read_table(spark, warehouse, RAW_TABLE)
+    parts = ["year", "month", "day"]
+    counts = append_counts(
+        incoming.select("raw_file_path", *parts), existing.select("raw_file_path", *parts), ["raw_file_path"], prune_on=parts
+    ).first()
     append_raw(spark, incoming, warehouse, loaded_at)
     return {"inserted": counts["inserted"], "skipped": counts["skipped"], "total": counts["total"]}
 
 
-def _in_loads(col: str, loads: list[str]):
-    return F.col(col).isin([F.lit(t).cast("timestamp") for t in loads]) if loads else F.lit(False)
+def _in_loads(col: str, loads: list[str], date_col: str | None = None):
+    """Rows of the given loads; ``date_col`` (a partition column) prunes to their load dates."""
+    if not loads:
+        return F.lit(False)
+    cond = F.col(col).isin([F.lit(t).cast("timestamp") for t in loads])
+    if date_col:
+        cond = F.col(date_col).isin(sorted({t[:10] for t in loads})) & cond
+    return cond
 
 
 def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_at: str, strict: bool = True) -> None:
@@ -140,7 +168,7 @@ def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_a
     contribute no daily rows.
     """
     if loads and _exists(spark, _path(warehouse, RAW_TABLE)):
-        raw = spark.read.parquet(_path(warehouse, RAW_TABLE)).where(_in_loads("loaded_at_utc", loads))
+        raw = read_table(spark, warehouse, RAW_TABLE).where(_in_loads("loaded_at_utc", loads, "load_date"))
         if strict:
             bad = W.daily_array_rejects(raw).limit(5).collect()
             if bad:
@@ -153,8 +181,9 @@ def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_a
             (STG_CURRENT, W.build_staging_current(raw, at), ["raw_file_path"]),
             (STG_DAILY, W.build_staging_daily(raw, at), ["raw_file_path", "forecast_date"]),
         ):
-            have = read_table(spark, warehouse, rel, rows).where(_in_loads("raw_loaded_at_utc", loads))
-            append_if_absent(rows, have, keys).write.mode("append").parquet(_path(warehouse, rel))
+            rows = rows.withColumn("raw_load_date", F.date_format("raw_loaded_at_utc", "yyyy-MM-dd"))
+            have = read_table(spark, warehouse, rel).where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date"))
+            append_if_absent(rows, have, keys).write.mode("append").partitionBy("raw_load_date").parquet(_path(warehouse, rel))
     for t in loads:
         mark_load(spark, warehouse, t, "staged")
 
@@ -163,18 +192,19 @@ def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_a
 
 def latest_state(spark: SparkSession, warehouse: str, loads: list[str], rebuild: bool) -> tuple[DataFrame, DataFrame]:
     """Latest staged current row per city, and latest-snapshot daily rows per (city, date)."""
-    cur_all = spark.read.parquet(_path(warehouse, STG_CURRENT)) if _exists(spark, _path(warehouse, STG_CURRENT)) else None
-    daily_all = spark.read.parquet(_path(warehouse, STG_DAILY))
+    cur_all = read_table(spark, warehouse, STG_CURRENT)
+    daily_all = read_table(spark, warehouse, STG_DAILY)
     mart = _path(warehouse, MART_DIR)
     if rebuild or current_version(spark, mart) is None:
-        cur_rows, daily_rows = cur_all, daily_all
+        cur_rows = cur_all.drop("raw_load_date")
+        daily_rows = daily_all.drop("raw_load_date")
     else:
-        daily_rows = read_snapshot(spark, mart, STATE_DAILY).unionByName(daily_all.where(_in_loads("raw_loaded_at_utc", loads)))
-        cur_rows = read_snapshot(spark, mart, STATE_CURRENT)
-        if cur_all is not None:
-            cur_rows = cur_rows.unionByName(cur_all.where(_in_loads("raw_loaded_at_utc", loads)))
-    if cur_rows is None:
-        cur_rows = spark.createDataFrame([], STAGING_CURRENT)
+        daily_rows = read_snapshot(spark, mart, STATE_DAILY).unionByName(
+            daily_all.where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date")).drop("raw_load_date")
+        )
+        cur_rows = read_snapshot(spark, mart, STATE_CURRENT).unionByName(
+            cur_all.where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date")).drop("raw_load_date")
+        )
     cur = latest_per_key(cur_rows, ["city"], W.latest_order())
     daily = latest_snapshot(daily_rows, ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
     return cur, daily

@@ -40,13 +40,17 @@ def append_if_absent(
     return incoming.join(have.select(*keys), on=keys, how="left_anti")
 
 
-def append_counts(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+def append_counts(new: DataFrame, existing: DataFrame, keys: list[str], prune_on: list[str] | None = None) -> DataFrame:
     """One row ``inserted, skipped, total`` for appending ``new`` onto ``existing``.
 
     ``total`` counts incoming rows; a key repeated inside ``new`` or already in
-    ``existing`` is skipped.
+    ``existing`` is skipped. ``prune_on`` restricts ``existing`` to the
+    partitions ``new`` touches, as in ``append_if_absent``.
     """
-    hits = existing.select(*keys).distinct().withColumn("__have", F.lit(True))
+    have = existing
+    if prune_on:
+        have = existing.join(new.select(*prune_on).distinct(), on=prune_on, how="left_semi")
+    hits = have.select(*keys).distinct().withColumn("__have", F.lit(True))
     per_key = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     joined = per_key.join(hits, on=keys, how="left")
     return joined.agg(

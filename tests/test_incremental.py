@@ -60,3 +60,15 @@ def test_crash_before_staging_is_recovered(spark, tmp_path, landing):
     assert res["raw"]["inserted"] == 0
     assert res["marts"]["daily_city_weather_summary"].count() == 35
     assert all(r.passed for r in res["checks"].collect())
+
+
+def test_pending_load_read_prunes_partitions(spark, landing, tmp_path):
+    from strata.plans.refresh import RAW_TABLE, _in_loads, read_table
+
+    wh = str(tmp_path / "wh")
+    refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 2))
+    df = read_table(spark, wh, RAW_TABLE).where(_in_loads("loaded_at_utc", ["2099-01-05 00:00:00.000000"], "load_date"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan and "2099-01-05" in plan
+    assert df.count() == 0
+    assert read_table(spark, wh, RAW_TABLE).where("load_date = '2099-01-02'").count() == 5
