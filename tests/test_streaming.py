@@ -51,3 +51,17 @@ def test_no_landing_files_is_an_empty_read(spark, tmp_path):
     from strata.sources.raw_documents import read_raw_documents
 
     assert read_raw_documents(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_streaming_ingest_then_refresh_from_raw(spark, landing, tmp_path):
+    import datetime as dt
+
+    from strata.plans.refresh import pending_loads, refresh_from_raw
+
+    wh, ck = str(tmp_path / "wh"), str(tmp_path / "ck")
+    ingest_available(spark, landing, wh, ck, loaded_at="2099-01-02 00:00:00")
+    assert len(pending_loads(spark, wh)) == 1
+    res = refresh_from_raw(spark, wh, city_count=5, run_at=dt.datetime(2099, 1, 2, 1))
+    assert res["marts"]["daily_city_weather_summary"].count() == 35
+    assert all(r.passed for r in res["checks"].collect())
+    assert pending_loads(spark, wh) == []
