@@ -84,3 +84,26 @@ def test_scale_conf_sizes_partitions():
     assert mid["spark.sql.shuffle.partitions"] == "4096"
     assert scale_conf(1024)["spark.sql.shuffle.partitions"] == "200"
     assert mid["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+def test_tune_for_inputs_measures_files(spark):
+    import os
+
+    from conftest import SF_SMALL
+
+    from strata.session import input_bytes, scale_conf, tune_for_inputs
+
+    path = f"{SF_SMALL}/lineitem.parquet"
+    assert input_bytes(spark, [path]) == os.path.getsize(path)
+    keys = list(scale_conf(0))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        conf = tune_for_inputs(spark, [path])
+        assert conf["spark.sql.shuffle.partitions"] == "200"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
