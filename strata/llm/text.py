@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 #: Bytes of text worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 2 << 20
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_IN_WORD = np.ones(256, bool)
-_IN_WORD[list(SEPARATORS)] = False
+IN_WORD = np.ones(256, bool)
+IN_WORD[list(SEPARATORS)] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -105,7 +105,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> W
     """All words of the texts; ``lower`` maps A-Z to a-z first."""
     if lower:
         data = _LOWER[data]
-    inside = _IN_WORD[data]
+    inside = IN_WORD[data]
     n = len(data)
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
@@ -162,46 +162,50 @@ class UnitCache:
     """Ids of text units that recur, so each distinct unit is encoded once for a while.
 
     ``encode(list of bytes)`` gives a list of id lists. The cache lives in the
-    Python worker, holds at most ``limit`` units and starts again when full.
+    Python worker, holds at most ``limit`` units (about 50 bytes each) and
+    starts again when full.
     """
 
-    def __init__(self, encode, limit: int = 500_000):
+    def __init__(self, encode, limit: int = 1_500_000):
         self.encode, self.limit = encode, limit
         self._reset()
 
     def _reset(self) -> None:
-        self.place: dict[int, int] = {}
-        self.count = np.zeros(1024, np.int64)
-        self.start = np.zeros(1024, np.int64)
+        self.keys = np.zeros(0, np.uint64)
+        self.slots = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int32)
         self.ids = np.zeros(4096, np.int32)
+        self.start = np.zeros(0, np.int64)
         self.used = 0
 
-    def _add(self, hashes: list[int], lists: list) -> None:
-        n, more = len(self.place), sum(map(len, lists))
-        while len(self.count) < n + len(lists):
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        while len(self.ids) < self.used + more:
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.count[n : n + len(lists)] = counts
-        self.start[n : n + len(lists)] = self.used + np.cumsum(counts) - counts
+    def _add(self, keys: np.ndarray, at: np.ndarray, lists: list) -> None:
+        """Take in units with these sorted keys, which belong before places ``at``."""
+        n, counts = len(self.keys), np.fromiter(map(len, lists), np.int32, len(lists))
+        more = int(counts.sum())
+        if len(self.ids) < self.used + more:
+            self.ids = np.concatenate([self.ids, np.zeros(max(more, len(self.ids) // 2), np.int32)])
         self.ids[self.used : self.used + more] = np.fromiter((i for x in lists for i in x), np.int32, more)
+        self.start = np.append(self.start, self.used + np.cumsum(counts, dtype=np.int64) - counts)
+        self.count = np.append(self.count, counts)
         self.used += more
-        self.place.update(zip(hashes, range(n, n + len(lists))))
+        self.slots = np.insert(self.slots, at, np.arange(n, n + len(lists), dtype=np.int32))
+        self.keys = np.insert(self.keys, at, keys)
 
     def lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the units in order, and how many each unit has."""
         if len(start) == 0:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        h, at, inverse = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
-        if len(self.place) + len(h) > self.limit:
+        keys, at, inverse = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.limit:
             self._reset()
-        known = h.tolist()
-        new = [k for k, x in enumerate(known) if x not in self.place]
-        if new:
-            spans = at[new]
-            self._add([known[k] for k in new], self.encode([data[a:b].tobytes() for a, b in zip(start[spans].tolist(), end[spans].tolist())]))
-        slot = np.fromiter((self.place[x] for x in known), np.int64, len(known))[inverse.ravel()]
-        counts = self.count[slot]
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inner = place < len(self.keys)
+        new[inner] = self.keys[place[inner]] != keys[inner]
+        if new.any():
+            a, b = start[at[new]], end[at[new]]
+            self._add(keys[new], place[new], self.encode([data[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist())]))
+            place = np.searchsorted(self.keys, keys)
+        slot = self.slots[place][inverse.ravel()]
+        counts = self.count[slot].astype(np.int64)
         return self.ids[ranges(self.start[slot], counts)], counts
