@@ -5,16 +5,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.decontaminate import find_contamination
+from strata.llm.quality_rules import quality_verdicts
+from strata.llm.secret_scan import secret_digests
 from strata.llm.sentencepiece_codec import encode_offsets
-from strata.llm.tables import read
+from strata.llm.tables import new_folder, read
+from strata.llm.token_planes import token_file_digests
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(read(spark, sf_dir, "documents"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_offsets(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(read(spark, sf_dir, "documents"))
+
+
+def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(spark, read(spark, sf_dir, "documents"), new_folder(spark, "token-files"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_quality_rules": op3_quality_rules,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_secret_scan": op5_secret_scan,
+    "op9_token_planes": op9_token_planes,
 }
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
