@@ -143,6 +143,14 @@ def window_hashes(word: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
     return mix(total)
 
 
+def sequence_hashes(word: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each range of words, from running sums."""
+    total = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * _power(_BASE, len(word)), out=total[1:])
+    h = (total[end] - total[start]) * _power(_BASE_INVERSE, len(word) + 1)[start]
+    return mix(h + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def window_starts(words: Words, width: int) -> np.ndarray:
     """Word positions from which ``width`` words follow inside the same text."""
     last = np.repeat(words.first[1:], words.counts())
