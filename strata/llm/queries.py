@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm.brown_lm import score
 from strata.llm.decontaminate import find_contamination
 from strata.llm.jaccard_join import jaccard_components
+from strata.llm.licenses import scan_licenses
 from strata.llm.quality_rules import quality_verdicts
 from strata.llm.rule_ensemble import classify
 from strata.llm.secret_scan import secret_digests
@@ -21,6 +22,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
