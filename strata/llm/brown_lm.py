@@ -142,6 +142,20 @@ def pair_counts(train: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     return out.reshape(side, side)
 
 
+def common_words(counts: DataFrame) -> Vocabulary:
+    """The most frequent words, ``COMMON_WORDS`` at most: those of the highest bins of a
+    logarithmic histogram of counts (a few thousand bins at most), so no task sorts all words."""
+    bins = counts.where(F.col("word") != END).withColumn("bin", F.floor(F.log2("n") * 64).cast("int"))
+    cut, held = None, 0
+    for r in sorted(bins.groupBy("bin").count().collect(), reverse=True):
+        held += r["count"]
+        if held > COMMON_WORDS:
+            break
+        cut = r["bin"]
+    found = bins.where(F.lit(False) if cut is None else F.col("bin") >= cut).select("word", "n").toArrow()
+    return Vocabulary(found["word"].to_numpy(), found["n"].to_numpy())
+
+
 # ---------------------------------------------------------------- classes
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -283,8 +297,7 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
     counts = written(word_counts(train), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("e")).first()
     n_tokens, n_words, ends = total["n"], total["v"], total["e"]
-    common = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).toArrow()
-    vocabulary = Vocabulary(common["word"].to_numpy(), common["n"].to_numpy())
+    vocabulary = common_words(counts)
     model = ClassModel(pair_counts(train, vocabulary), n_tokens, n_words)
 
     rows = _score_rows(docs, vocabulary, model, ends)
