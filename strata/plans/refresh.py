@@ -2,52 +2,65 @@
 
 Tables live under a warehouse folder:
 
-* ``raw/weather_api_responses``    append-only, partitioned by load date and
-  the landing path's year/month/day, keyed by ``raw_file_path``
+* ``raw/weather_api_responses``    append-only, partitioned by load and the
+  landing path's year/month/day, keyed by ``raw_file_path``
 * ``staging/weather_current_conditions`` and ``staging/weather_daily_forecast``
-  append-only, partitioned by the raw load date, keyed by ``raw_file_path``
+  append-only, partitioned by the raw load, keyed by ``raw_file_path``
   (+ ``forecast_date``)
 * ``_loads``                       a small ledger: one row per load and stage
   (``raw`` is written *before* the raw rows, ``staged`` after staging)
-* ``mart/``                        versioned snapshots of the four marts plus
-  the latest-snapshot state they were derived from, switched by a pointer
-
-Work per run is proportional to the new documents, not to the history:
-staging reads only the raw rows of loads not yet staged (found from the
-ledger; partition pruning on the load date), and the marts are maintained from
-the previous published state plus the newly staged rows. Because staging is
-append-only, ``latest(state ∪ new) = latest(all staging)`` exactly; the first
-run, or ``rebuild=True``, computes from all of staging instead.
-
-Every step is an idempotent append or an atomic publish, so re-running after a
-failure at any point neither loses nor duplicates rows.
+* ``_rejects``                     what staging could not take, by document
+* ``mart/``                        versions of the four marts plus the
+  latest-snapshot state they were derived from; a version's marker also names
+  the loads that it covers
+
+Every load has an id of its own, whatever the clock says, and passes three
+stages: raw, staged, published. A step takes whatever has finished the step
+before and not its own, so a run continues where an earlier one failed:
+
+* raw but not staged: staging reads those loads (partition pruning on the id)
+* staged but not covered by a published version: the marts are maintained from
+  the last published state plus the staged rows of those loads
+
+A load counts as published by the marker that makes its version current, so a
+failed publish (a NULL in a NOT NULL column, a crash) leaves its loads to the
+next run, which raises the same error until newer data mends it. Staging is
+append-only, so ``latest(state + new) = latest(all staging)``; the first run
+and ``rebuild=True`` compute from all of staging.
+
+Work per run follows the new documents: the landing area is listed without
+content, only days with unknown paths are read, and only new loads are staged.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators.contracts import enforce_not_null
+from strata.operators.contracts import enforce_not_null, not_null_violations, unique_violations
 from strata.operators.quality import collect_checks
-from strata.operators.windows import latest_per_key, latest_snapshot
+from strata.operators.windows import latest_per_key, latest_snapshot, sort_spec
 from strata.plans import weather as W
-from strata.schemas import RAW_WEATHER, STAGING_CURRENT, STAGING_DAILY
-from strata.sources.append import append_counts, append_if_absent
+from strata.schemas import PRIMARY_KEYS, RAW_WEATHER, STAGING_CURRENT, STAGING_DAILY, TABLES, not_null_columns
+from strata.sources.append import append_counts, append_if_absent, dedupe_first
 from strata.sources.envelope import parse_envelope
-from strata.sources.raw_documents import SOURCE_DIR, read_raw_documents
-from strata.sources.snapshot import current_version, publish_snapshot, read_snapshot
+from strata.sources.raw_documents import DAY_COLS, SOURCE_DIR, in_days, landed_last, landing_paths, read_raw_documents
+from strata.sources.snapshot import covered, current_version, publish_snapshot, read_snapshot
+from strata.sources.storage import exists
 
 RAW_TABLE = "raw/weather_api_responses"
 STG_CURRENT = "staging/weather_current_conditions"
 STG_DAILY = "staging/weather_daily_forecast"
 LEDGER = "_loads"
+REJECTS = "_rejects"
 MART_DIR = "mart"
 MART_NAMES = ["city_current_weather", "daily_city_weather_summary", "daily_temperature_rankings", "city_rolling_3day_metrics"]
-RAW_PARTITIONS = ["load_date", "year", "month", "day"]
+LOAD = "load_id"
+RAW_LOAD = "raw_load_id"
 
 
 def _with_strings(schema: StructType, names: list[str]) -> StructType:
@@ -57,159 +70,184 @@ def _with_strings(schema: StructType, names: list[str]) -> StructType:
 # Declared read schemas: partition values stay text (no type inference), and
 # a table folder holding no data files still reads as an empty table.
 TABLE_SCHEMAS = {
-    RAW_TABLE: _with_strings(RAW_WEATHER, RAW_PARTITIONS),
-    STG_CURRENT: _with_strings(STAGING_CURRENT, ["raw_load_date"]),
-    STG_DAILY: _with_strings(STAGING_DAILY, ["raw_load_date"]),
+    RAW_TABLE: _with_strings(RAW_WEATHER, [LOAD, *DAY_COLS]),
+    STG_CURRENT: _with_strings(STAGING_CURRENT, [RAW_LOAD]),
+    STG_DAILY: _with_strings(STAGING_DAILY, [RAW_LOAD]),
 }
 STATE_CURRENT = "_state_current"
 STATE_DAILY = "_state_daily"
 
-# NOT NULL columns of the mart tables; a NULL fails the refresh before publish.
-MART_NOT_NULL = {
-    "city_current_weather": ["city", "current_time_utc", "source_ingested_at_utc"],
-    "daily_city_weather_summary": ["city", "forecast_date", "is_wet_day", "source_ingested_at_utc"],
-    "daily_temperature_rankings": ["forecast_date", "city", "max_temperature_rank"],
-    "city_rolling_3day_metrics": ["city", "forecast_date"],
-}
+
+def mart_not_null(name: str) -> list[str]:
+    """Declared NOT NULL columns of a mart; a NULL fails the refresh before publish."""
+    return not_null_columns(TABLES[f"mart/{name}"])
 
 
 def _path(base: str, rel: str) -> str:
     return f"{base.rstrip('/')}/{rel}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_table(spark: SparkSession, base: str, rel: str) -> DataFrame:
     """The warehouse table ``rel`` read with its declared schema (empty when absent)."""
     path = _path(base, rel)
     schema = TABLE_SCHEMAS[rel]
-    if _exists(spark, path):
+    if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
-def with_path_partitions(raw: DataFrame) -> DataFrame:
-    """Add the partition columns of the raw table: load date, then the landing path's date."""
-    parts = r"year=([^/]+)/month=([^/]+)/day=([^/]+)/"
-    return raw.select(
-        "*",
-        F.date_format("loaded_at_utc", "yyyy-MM-dd").alias("load_date"),
-        F.regexp_extract("raw_file_path", parts, 1).alias("year"),
-        F.regexp_extract("raw_file_path", parts, 2).alias("month"),
-        F.regexp_extract("raw_file_path", parts, 3).alias("day"),
-    )
+def with_path_days(raw: DataFrame) -> DataFrame:
+    """Add the landing path's date as partition columns."""
+    return raw.select("*", *[F.regexp_extract("raw_file_path", rf"{c}=([^/]+)/", 1).alias(c) for c in DAY_COLS])
 
 
 # ---------------------------------------------------------------- ledger
 
-def mark_load(spark: SparkSession, warehouse: str, loaded_at: str, stage: str) -> None:
-    spark.createDataFrame([(loaded_at, stage)], "loaded_at string, stage string").select(
-        F.col("loaded_at").cast("timestamp").alias("loaded_at_utc"), "stage"
-    ).coalesce(1).write.mode("append").parquet(_path(warehouse, LEDGER))
+def new_load_id(run_at: _dt.datetime) -> str:
+    """An id that no other load has; ids of later runs sort later."""
+    return f"{run_at:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:12]}"
+
+
+def mark_load(spark: SparkSession, warehouse: str, load_id: str, stage: str) -> None:
+    spark.createDataFrame([(load_id, stage)], "load_id string, stage string").coalesce(1).write.mode("append").parquet(_path(warehouse, LEDGER))
+
+
+def _loads_at(spark: SparkSession, warehouse: str, stage: str) -> DataFrame:
+    if not exists(spark, _path(warehouse, LEDGER)):
+        return spark.createDataFrame([], "load_id string")
+    ledger = spark.read.schema("load_id string, stage string").parquet(_path(warehouse, LEDGER))
+    return ledger.where(F.col("stage") == stage).select(LOAD).distinct()
 
 
 def pending_loads(spark: SparkSession, warehouse: str) -> list[str]:
-    """Load times written to raw but not yet staged (a handful of ledger rows).
+    """Loads written to raw but not yet staged (a handful of ledger rows)."""
+    rest = _loads_at(spark, warehouse, "raw").join(_loads_at(spark, warehouse, "staged"), LOAD, "left_anti")
+    return sorted(r[0] for r in rest.collect())
 
-    Returned as UTC text formatted inside Spark, so the driver's own time zone
-    never shifts them.
-    """
-    if not _exists(spark, _path(warehouse, LEDGER)):
-        return []
-    led = spark.read.parquet(_path(warehouse, LEDGER))
-    raw = led.where("stage = 'raw'").select("loaded_at_utc").distinct()
-    done = led.where("stage = 'staged'").select("loaded_at_utc").distinct()
-    pending = raw.join(done, "loaded_at_utc", "left_anti")
-    return [r[0] for r in pending.select(F.date_format("loaded_at_utc", "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()]
+
+def unpublished_loads(spark: SparkSession, warehouse: str) -> list[str]:
+    """Loads that are staged but that no published version covers."""
+    done = covered(spark, _path(warehouse, MART_DIR)).withColumnRenamed("covered", LOAD)
+    return sorted(r[0] for r in _loads_at(spark, warehouse, "staged").join(done, LOAD, "left_anti").collect())
 
 
 # ---------------------------------------------------------------- raw and staging
 
-def append_raw(spark: SparkSession, incoming: DataFrame, warehouse: str, loaded_at: str) -> None:
-    """Append raw rows not yet present; the ledger entry is written first."""
-    mark_load(spark, warehouse, loaded_at, "raw")
-    existing = read_table(spark, warehouse, RAW_TABLE)
-    new = append_if_absent(incoming, existing, ["raw_file_path"], prune_on=["year", "month", "day"])
-    new.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(_path(warehouse, RAW_TABLE))
-
-
-def load_raw(spark: SparkSession, docs: DataFrame, warehouse: str, loaded_at: str) -> dict:
-    """Parse documents and append them to the raw table, skipping paths already loaded."""
-    good, _ = parse_envelope(docs, on_error="raise")
-    incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(loaded_at).cast("timestamp")))
-    existing = read_table(spark, warehouse, RAW_TABLE)
-    parts = ["year", "month", "day"]
-    counts = append_counts(
-        incoming.select("raw_file_path", *parts), existing.select("raw_file_path", *parts), ["raw_file_path"], prune_on=parts
-    ).first()
-    append_raw(spark, incoming, warehouse, loaded_at)
-    return {"inserted": counts["inserted"], "skipped": counts["skipped"], "total": counts["total"]}
-
-
-def _in_loads(col: str, loads: list[str], date_col: str | None = None):
-    """Rows of the given loads; ``date_col`` (a partition column) prunes to their load dates."""
-    if not loads:
-        return F.lit(False)
-    cond = F.col(col).isin([F.lit(t).cast("timestamp") for t in loads])
-    if date_col:
-        cond = F.col(date_col).isin(sorted({t[:10] for t in loads})) & cond
-    return cond
+def append_raw(
+    spark: SparkSession, docs: DataFrame, warehouse: str, load_id: str, loaded_at: str, days: list[tuple[str, str, str]] | None = None
+) -> None:
+    """Append documents (``value``, ``raw_file_path``, ``landed_at``) whose path raw does not hold.
+
+    Of several rows of one path the one landed last counts. Only raw's
+    partitions of ``days`` (read from the paths when not given) are compared.
+    The ledger entry comes first, so rows of an append that failed half-way
+    are staged too.
+    """
+    if days is None:
+        days = [tuple(r) for r in with_path_days(docs.select("raw_file_path")).select(*DAY_COLS).distinct().collect()]
+    mark_load(spark, warehouse, load_id, "raw")
+    known = read_table(spark, warehouse, RAW_TABLE).where(in_days(days)).select("raw_file_path")
+    new = dedupe_first(docs, ["raw_file_path"], landed_last()).join(known, "raw_file_path", "left_anti")
+    good, _ = parse_envelope(new, on_error="raise")
+    rows = W.build_raw(good, loaded_at=F.lit(loaded_at).cast("timestamp"))
+    rows = enforce_not_null(rows, [c for c in not_null_columns(RAW_WEATHER) if c != "payload"], RAW_TABLE)
+    with_path_days(rows).withColumn(LOAD, F.lit(load_id)).write.mode("append").partitionBy(LOAD, *DAY_COLS).parquet(_path(warehouse, RAW_TABLE))
+
+
+def load_raw(spark: SparkSession, landing: str, warehouse: str, run_at: _dt.datetime, source_dir: str = SOURCE_DIR) -> dict:
+    """Append the landed documents that raw does not hold; counts by path.
+
+    The landing area is listed without content. Only days that hold a path
+    unknown to raw are read (their number is bounded by the calendar).
+    """
+    listed = landing_paths(spark, landing, source_dir)
+    days = [tuple(r) for r in listed.select(*DAY_COLS).distinct().collect()]
+    known = read_table(spark, warehouse, RAW_TABLE).where(in_days(days)).select("raw_file_path", *DAY_COLS)
+    counts = append_counts(listed, known, ["raw_file_path"]).first().asDict()
+    if counts["inserted"]:
+        new = append_if_absent(listed, known, ["raw_file_path"], [sort_spec("raw_file_path")])
+        new_days = sorted(tuple(r) for r in new.select(*DAY_COLS).distinct().collect())
+        docs = read_raw_documents(spark, landing, source_dir, new_days)
+        append_raw(spark, docs, warehouse, new_load_id(run_at), f"{run_at:%Y-%m-%d %H:%M:%S.%f}", new_days)
+    return counts
+
+
+def _keep_rejects(spark: SparkSession, rejects: DataFrame, warehouse: str) -> int:
+    """Append rejects (load_id, raw_file_path, field, reason) to their table; returns how many there are."""
+    rejects = rejects.select(LOAD, "raw_file_path", "field", "reason")
+    rejects.write.mode("append").partitionBy(LOAD).parquet(_path(warehouse, REJECTS))
+    return rejects.count()
 
 
 def load_staging(spark: SparkSession, warehouse: str, loads: list[str], staged_at: str, strict: bool = True) -> None:
     """Stage the raw rows of ``loads``; keys already staged are skipped, then the loads are marked.
 
-    In strict mode a document whose daily arrays are JSON null or not arrays
-    fails the load (its loads stay pending); otherwise such documents simply
-    contribute no daily rows.
+    Documents whose daily arrays are JSON null or no arrays are written to the
+    rejects table. In strict mode they fail the load (its loads stay pending),
+    and so does a NULL in a declared NOT NULL column; otherwise such documents
+    contribute no daily rows, and rows with such a NULL go to the rejects.
     """
-    if loads and _exists(spark, _path(warehouse, RAW_TABLE)):
-        raw = read_table(spark, warehouse, RAW_TABLE).where(_in_loads("loaded_at_utc", loads, "load_date"))
-        if strict:
-            bad = W.daily_array_rejects(raw).limit(5).collect()
-            if bad:
-                shown = "; ".join(f"{r.raw_file_path}: {r.field} {r.reason}" for r in bad)
-                raise ValueError(f"Malformed daily arrays: {shown}")
-        at = F.lit(staged_at).cast("timestamp")
-        for rel, rows, keys in (
-            # keyed by the document path, which is unique; the 64-bit record id
-            # is a hash of it and could collide across billions of documents
-            (STG_CURRENT, W.build_staging_current(raw, at), ["raw_file_path"]),
-            (STG_DAILY, W.build_staging_daily(raw, at), ["raw_file_path", "forecast_date"]),
-        ):
-            rows = rows.withColumn("raw_load_date", F.date_format("raw_loaded_at_utc", "yyyy-MM-dd"))
-            have = read_table(spark, warehouse, rel).where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date"))
-            append_if_absent(rows, have, keys).write.mode("append").partitionBy("raw_load_date").parquet(_path(warehouse, rel))
-    for t in loads:
-        mark_load(spark, warehouse, t, "staged")
+    if loads and exists(spark, _path(warehouse, RAW_TABLE)):
+        raw = read_table(spark, warehouse, RAW_TABLE).where(F.col(LOAD).isin(loads)).persist()
+        try:
+            paths = raw.select("raw_file_path", LOAD)
+            bad = W.daily_array_rejects(raw).join(paths, "raw_file_path")
+            n = _keep_rejects(spark, bad, warehouse)
+            if n and strict:
+                raise ValueError(f"Malformed daily arrays: {n} fields, listed in {_path(warehouse, REJECTS)}")
+            at = F.lit(staged_at).cast("timestamp")
+            for rel, rows, schema in (
+                # keyed by the document path, which is unique; the 64-bit record id
+                # is a hash of it and could collide across billions of documents
+                (STG_CURRENT, W.build_staging_current(raw, at), STAGING_CURRENT),
+                (STG_DAILY, W.build_staging_daily(raw, at), STAGING_DAILY),
+            ):
+                keys, needed = PRIMARY_KEYS[rel], not_null_columns(schema)
+                if strict:
+                    rows = enforce_not_null(rows, needed, rel)
+                else:
+                    nulls = not_null_violations(rows, needed, ["raw_file_path"]).withColumnRenamed("column", "field").distinct()
+                    _keep_rejects(spark, nulls.withColumn("reason", F.lit(f"NULL in {rel}")).join(paths, "raw_file_path"), warehouse)
+                    rows = rows.dropna(subset=needed)
+                rows = rows.join(paths.withColumnRenamed(LOAD, RAW_LOAD), "raw_file_path").select(*schema.fieldNames(), RAW_LOAD)
+                have = read_table(spark, warehouse, rel).where(F.col(RAW_LOAD).isin(loads))
+                append_if_absent(rows, have, keys, W.latest_order()).write.mode("append").partitionBy(RAW_LOAD).parquet(_path(warehouse, rel))
+        finally:
+            raw.unpersist()
+    for load_id in loads:
+        mark_load(spark, warehouse, load_id, "staged")
 
 
 # ---------------------------------------------------------------- marts
 
 def latest_state(spark: SparkSession, warehouse: str, loads: list[str], rebuild: bool) -> tuple[DataFrame, DataFrame]:
-    """Latest staged current row per city, and latest-snapshot daily rows per (city, date)."""
-    cur_all = read_table(spark, warehouse, STG_CURRENT)
-    daily_all = read_table(spark, warehouse, STG_DAILY)
+    """Latest staged current row per city, and latest-snapshot daily rows per (city, date).
+
+    ``loads`` are those that no published version covers yet.
+    """
     mart = _path(warehouse, MART_DIR)
-    if rebuild or current_version(spark, mart) is None:
-        cur_rows = cur_all.drop("raw_load_date")
-        daily_rows = daily_all.drop("raw_load_date")
-    else:
-        daily_rows = read_snapshot(spark, mart, STATE_DAILY).unionByName(
-            daily_all.where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date")).drop("raw_load_date")
-        )
-        cur_rows = read_snapshot(spark, mart, STATE_CURRENT).unionByName(
-            cur_all.where(_in_loads("raw_loaded_at_utc", loads, "raw_load_date")).drop("raw_load_date")
-        )
-    cur = latest_per_key(cur_rows, ["city"], W.latest_order())
-    daily = latest_snapshot(daily_rows, ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
+    first = rebuild or current_version(spark, mart) is None
+
+    def rows(rel: str, state: str) -> DataFrame:
+        staged = read_table(spark, warehouse, rel)
+        if first:
+            return staged.drop(RAW_LOAD)
+        return read_snapshot(spark, mart, state).unionByName(staged.where(F.col(RAW_LOAD).isin(loads)).drop(RAW_LOAD))
+
+    cur = latest_per_key(rows(STG_CURRENT, STATE_CURRENT), ["city"], W.latest_order())
+    daily = latest_snapshot(rows(STG_DAILY, STATE_DAILY), ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
     return cur, daily
 
 
+def check_primary_key(name: str, df: DataFrame) -> None:
+    """Raise when a written mart holds a key twice."""
+    keys = PRIMARY_KEYS.get(f"mart/{name}")
+    if keys:
+        n = unique_violations(df, keys).count()
+        if n:
+            raise ValueError(f"PRIMARY KEY violated: {n} values of {', '.join(keys)} occur more than once in {name}")
+
+
 def refresh_all(
     spark: SparkSession,
     landing: str,
@@ -226,8 +264,7 @@ def refresh_all(
     Returns ``{"raw": counts, "version", "checks": DataFrame, "marts": {name: DataFrame}}``.
     """
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    stamp = run_at.strftime("%Y-%m-%d %H:%M:%S.%f")
-    counts = load_raw(spark, read_raw_documents(spark, landing, source_dir), warehouse, stamp)
+    counts = load_raw(spark, landing, warehouse, run_at, source_dir)
     out = refresh_from_raw(spark, warehouse, city_count, forecast_days, run_at, strict, rebuild)
     out["raw"] = counts
     return out
@@ -244,16 +281,16 @@ def refresh_from_raw(
 ) -> dict:
     """Stage every pending load already in raw (batch or streaming), then maintain and publish the marts."""
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    stamp = run_at.strftime("%Y-%m-%d %H:%M:%S.%f")
-    loads = pending_loads(spark, warehouse)
-    load_staging(spark, warehouse, loads, stamp, strict)
-    if not _exists(spark, _path(warehouse, STG_DAILY)):
+    stamp = f"{run_at:%Y-%m-%d %H:%M:%S.%f}"
+    load_staging(spark, warehouse, pending_loads(spark, warehouse), stamp, strict)
+    if not exists(spark, _path(warehouse, STG_DAILY)):
         return {"raw": None, "version": None, "checks": None, "marts": None}
+    loads = unpublished_loads(spark, warehouse)
     cur_state, daily_state = latest_state(spark, warehouse, loads, rebuild)
     at = F.lit(stamp).cast("timestamp")
 
     def checked(name, df):
-        return enforce_not_null(df, MART_NOT_NULL[name], name) if strict else df
+        return enforce_not_null(df, mart_not_null(name), name) if strict else df
 
     tables = {
         STATE_CURRENT: cur_state,
@@ -263,7 +300,7 @@ def refresh_from_raw(
         "daily_temperature_rankings": lambda r: checked("daily_temperature_rankings", W.build_rankings(r("daily_city_weather_summary"), at)),
         "city_rolling_3day_metrics": lambda r: checked("city_rolling_3day_metrics", W.build_rolling(r("daily_city_weather_summary"), at)),
     }
-    version = publish_snapshot(spark, tables, _path(warehouse, MART_DIR))
+    version = publish_snapshot(spark, tables, _path(warehouse, MART_DIR), covers=loads, check=check_primary_key)
     published = {n: read_snapshot(spark, _path(warehouse, MART_DIR), n, version) for n in MART_NAMES}
     return {"raw": None, "version": version, "checks": collect_checks(published, city_count, forecast_days), "marts": published}
 

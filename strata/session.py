@@ -45,13 +45,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names storage every executor can
-    reach; it is read from the session and never replaced. Only when it is
-    unset (local tests) is a private scratch folder chosen and registered.
+    reach; it is read from the session and never replaced, and a cluster
+    session without it is an error. Only a local session, whose executors are
+    threads of the driver, gets a private scratch folder.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to storage that the driver and every executor can reach")
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base

@@ -15,27 +15,30 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     before the shuffle, so a key repeated many times is cut to one row per map
     task before it is moved.
     """
-    return latest_per_key(df, keys, order or [F.lit(1)])
+    return latest_per_key(df, keys, order)
 
 
 def append_if_absent(
     new: DataFrame,
     existing: DataFrame,
     keys: list[str],
-    order: list[Column] | None = None,
+    order: list[Column],
     prune_on: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``new`` to insert: one per key, and only keys absent from ``existing``.
 
+    Of rows that share a key the first under ``order`` is taken; the caller
+    names an order that tells any two different rows apart.
+
     ``prune_on`` names partition columns shared by both sides (e.g. year, month,
     day of the landing path): ``existing`` is first semi-joined with the
     partitions present in ``new``, so dynamic partition pruning reads only those
     partitions of a large history instead of all of it.
     """
-    incoming = dedupe_first(new, keys, order or [])
+    incoming = dedupe_first(new, keys, order)
     have = existing.select(*keys, *(prune_on or []))
     if prune_on:
-        touched = incoming.select(*prune_on).distinct()
+        touched = new.select(*prune_on).distinct()
         have = have.join(touched, on=prune_on, how="left_semi")
     return incoming.join(have.select(*keys), on=keys, how="left_anti")
 

@@ -10,6 +10,8 @@ from strata.functions.scalars import iso_utc_z
 # Fixed values of the source contract.
 SOURCE_NAME = "open-meteo"
 REQUIRED_KEYS = ["source", "city", "ingested_at_utc", "payload"]
+# Columns of the raw table that hold no NULL; a JSON null payload is a value.
+NOT_NULL_KEYS = ["source", "city", "ingested_at_utc"]
 
 
 def build_envelope(
@@ -42,9 +44,10 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
     """Parse ``value`` JSON text into the raw-layer columns.
 
     Returns ``(good, rejects)``. ``good`` has ``source, city, ingested_at_utc
-    (TIMESTAMP), payload (VARIANT)`` plus the other input columns; every required
-    key must be *present* (a JSON null value counts as present). ``rejects``
-    carries the input columns and a ``reject_reason``.
+    (TIMESTAMP), payload (VARIANT)`` plus the other input columns. Every required
+    key must be present, and source, city and time must not be JSON null (the
+    payload may be). ``rejects`` carries the input columns and a
+    ``reject_reason``.
 
     ``on_error="raise"`` fails the job on the first bad document (lazily, inside
     the scan, no extra pass); ``"reject"`` routes bad documents to ``rejects``.
@@ -60,14 +63,19 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
         F.array(*[F.when(F.try_variant_get(F.col("__doc"), f"$.{k}", "variant").isNull(), F.lit(k)) for k in REQUIRED_KEYS]),
         lambda k: k.isNotNull(),
     )
+    empty = F.filter(
+        F.array(*[F.when(F.is_variant_null(F.try_variant_get(F.col("__doc"), f"$.{k}", "variant")), F.lit(k)) for k in NOT_NULL_KEYS]),
+        lambda k: k.isNotNull(),
+    )
     ts_text = F.try_variant_get("__doc", "$.ingested_at_utc", "string")
     reason = (
         F.when(F.col("__doc").isNull(), F.lit("invalid JSON document"))
         .when(F.size("__missing") > 0, F.concat(F.lit("missing keys "), F.array_join("__missing", ", ")))
-        .when(ts_text.isNotNull() & ts_text.try_cast("timestamp").isNull(), F.lit("unparseable ingested_at_utc"))
+        .when(F.size("__empty") > 0, F.concat(F.lit("null keys "), F.array_join("__empty", ", ")))
+        .when(ts_text.try_cast("timestamp").isNull(), F.lit("unparseable ingested_at_utc"))
     )
     staged = df.select(*others, "value", doc.alias("__doc"))
-    staged = staged.withColumn("__missing", missing)
+    staged = staged.withColumn("__missing", missing).withColumn("__empty", empty)
     staged = staged.withColumn("__reason", reason)
     if on_error == "raise":
         label = F.coalesce(F.col(path_col), F.lit("<document>")) if path_col in others else F.lit("<document>")

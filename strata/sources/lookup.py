@@ -21,43 +21,34 @@ DAILY_FIELDS = "temperature_2m_max,temperature_2m_min,precipitation_sum"
 REQUEST_TIMEZONE = "UTC"
 FORECAST_DAYS = 7
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def city_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITY_COORDINATES, "city_key string, latitude double, longitude double")
 
 
-def lookup_dimension(
-    df: DataFrame,
-    name_col: str,
-    dim: DataFrame,
-    dim_key: str,
-    max_broadcast_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+def lookup_dimension(df: DataFrame, name_col: str, dim: DataFrame, dim_key: str) -> tuple[DataFrame, DataFrame]:
     """Join rows to ``dim`` on ``lower(trim(name))``; return ``(matched, rejects)``.
 
     ``rejects`` holds the rows whose name has no dimension entry (the caller
-    decides whether that is an error). The dimension is broadcast only when its
-    row count is proven to be at most ``max_broadcast_rows`` (a bounded
-    ``limit(n + 1).count()`` probe reads at most n + 1 rows); otherwise the
-    join is left to the planner and AQE, which switch to a broadcast only from
-    measured sizes and otherwise shuffle.
+    decides whether that is an error). Two entries whose names differ only in
+    case or outer blanks would multiply rows, so they fail the job. The planner
+    chooses the join: a broadcast where statistics show a small dimension, a
+    shuffle otherwise.
     """
     keyed = df.withColumn("__key", lookup_key(name_col))
-    d = dim.withColumn("__key", lookup_key(dim_key))
-    if max_broadcast_rows is not None and fits_rows(dim, max_broadcast_rows):
-        d = F.broadcast(d)
-    matched = keyed.join(d.drop(dim_key), on="__key", how="inner").drop("__key")
-    rejects = keyed.join(d.select("__key"), on="__key", how="left_anti").drop("__key")
+    entries = dim.withColumn("__key", lookup_key(dim_key))
+    rest = [c for c in dim.columns if c != dim_key]
+    one = entries.where("__key IS NOT NULL").groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(0), *rest)).alias("__row"))
+    ambiguous = F.raise_error(F.concat(F.lit("several dimension entries are named "), F.col("__key")))
+    one = one.withColumn("__key", F.when(F.col("__n") > 1, ambiguous).otherwise(F.col("__key")))
+    matched = keyed.join(one.select("__key", *[F.col(f"__row.{c}").alias(c) for c in rest]), on="__key", how="inner").drop("__key")
+    rejects = keyed.join(one.select("__key"), on="__key", how="left_anti").drop("__key")
     return matched, rejects
 
 
 def request_plan(cities: DataFrame, name_col: str, dim: DataFrame, dim_key: str = "city_key") -> tuple[DataFrame, DataFrame]:
     """Coordinates plus the fixed forecast parameters for every requested city."""
-    matched, rejects = lookup_dimension(cities, name_col, dim, dim_key, max_broadcast_rows=10_000)
+    matched, rejects = lookup_dimension(cities, name_col, dim, dim_key)
     plan = matched.select(
         "*",
         F.lit(CURRENT_FIELDS).alias("current"),
@@ -69,8 +60,7 @@ def request_plan(cities: DataFrame, name_col: str, dim: DataFrame, dim_key: str
 
 
 def raise_on_rejects(rejects: DataFrame, name_col: str) -> None:
-    """Fail with the unsupported names (at most a handful are shown)."""
-    bad = [r[0] for r in rejects.select(name_col).distinct().limit(20).collect()]
-    if bad:
-        supported = ", ".join(sorted(c[0] for c in CITY_COORDINATES))
-        raise ValueError(f"Unsupported city {bad!r}. Supported cities: {supported}")
+    """Fail with the number of unsupported names and the first of them by name."""
+    bad = rejects.agg(F.count_distinct(name_col).alias("n"), F.min(name_col).alias("first")).first()
+    if bad["n"]:
+        raise ValueError(f"{bad['n']} requested names have no coordinates, the first is {bad['first']!r}")

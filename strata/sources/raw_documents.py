@@ -1,4 +1,14 @@
-"""Landing area of raw JSON documents: partitioned paths, read and write."""
+"""Landing area of raw JSON documents: two layouts, their keys, read and write.
+
+* One file per document under ``source=/year=/month=/day=/run_id=/city=<slug>.json``,
+  as the source system lands them; it is read, never written here.
+* Packed Parquet files under ``packed/source=/year=/month=/day=``, a row per
+  document with its ``raw_file_path`` and ``landed_at``; ``write_raw_documents``
+  writes these, so billions of small documents do not become billions of files.
+
+A document is known by its path. Landing a path again replaces the document:
+readers that see both rows take the one landed last.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import run_id, slug
+from strata.sources.storage import exists
 
 log = logging.getLogger("strata.sources")
 
 # Fixed values of the landing layout.
 SOURCE_DIR = "open_meteo"
 RAW_FILE_GLOB = "source={source}/year=*/month=*/day=*/run_id=*/city=*.json"
+DAY_GLOB = "source={source}/year={year}/month={month}/day={day}/run_id=*/city=*.json"
+PACKED = "packed"
+PACKED_SCHEMA = "raw_file_path string, value string, landed_at timestamp, source string, year string, month string, day string"
+DAY_COLS = ["year", "month", "day"]
 # The stable key of a document: its path relative to the landing base,
 # ending at the ``city=<slug>.json`` segment (a Spark-written document is a
 # part file inside a directory of that name).
@@ -45,39 +60,89 @@ def with_partition_columns(df: DataFrame, city: str | Column, run_at: str | Colu
     )
 
 
-def write_raw_documents(docs: DataFrame, base: str, mode: str = "append", source_dir: str = SOURCE_DIR) -> None:
-    """Write documents (``value`` + partition columns) under the landing layout.
+def write_raw_documents(docs: DataFrame, base: str, source_dir: str = SOURCE_DIR, landed_at: Column | None = None) -> None:
+    """Land documents (``value``, ``raw_file_path`` and the day columns) in packed files.
 
-    Each document lands in ``.../run_id=<id>/city=<slug>.json/`` as one text
-    file; documents are shuffled by their path so each directory is written by
-    one task.
+    The rebalance hint lets AQE cut a large day into several files and put
+    small days of a task into few.
     """
     out = docs.select(
-        F.lit(source_dir).alias("source"), "year", "month", "day", "run_id",
-        F.concat("city_slug", F.lit(".json")).alias("city"), "value",
-    )
-    (
-        out.repartition("source", "year", "month", "day", "run_id", "city")
-        .write.mode(mode)
-        .partitionBy("source", "year", "month", "day", "run_id", "city")
-        .text(base)
+        "raw_file_path", "value", (landed_at if landed_at is not None else F.current_timestamp()).alias("landed_at"),
+        F.lit(source_dir).alias("source"), *DAY_COLS,
     )
+    out.hint("rebalance", *[F.col(c) for c in DAY_COLS]).write.mode("append").partitionBy("source", *DAY_COLS).parquet(f"{base.rstrip('/')}/{PACKED}")
 
 
-def read_raw_documents(spark: SparkSession, base: str, source_dir: str = SOURCE_DIR, glob: str = RAW_FILE_GLOB) -> DataFrame:
-    """One row per document file: ``value`` (whole text) and ``raw_file_path``.
+def _packed(spark: SparkSession, base: str, source_dir: str) -> DataFrame | None:
+    path = f"{base.rstrip('/')}/{PACKED}"
+    return spark.read.schema(PACKED_SCHEMA).parquet(path).where(F.col("source") == source_dir) if exists(spark, path) else None
 
-    ``raw_file_path`` is relative to ``base`` so moving the landing area does not
-    make every document look new. No matching file gives an empty frame and a
-    warning. Partition directories are not parsed as columns: the document's
-    own fields are authoritative.
-    """
-    pattern = base.rstrip("/") + "/" + glob.format(source=source_dir)
+
+def _or_none(read) -> DataFrame | None:
+    """What ``read`` gives, or None when no file matches."""
     try:
-        df = spark.read.text(pattern, wholetext=True)
+        return read()
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            log.warning("No raw files found under %s", base)
-            return spark.createDataFrame([], "value string, raw_file_path string")
+            return None
         raise
-    return df.select("value", F.regexp_extract(F.col("_metadata.file_path"), _KEY_PATTERN, 1).alias("raw_file_path"))
+
+
+def _key(file_path: Column) -> Column:
+    return F.regexp_extract(file_path, _KEY_PATTERN, 1)
+
+
+def in_days(days: list[tuple[str, str, str]]) -> Column:
+    """Rows whose day columns name one of ``days`` (a filter that prunes partitions)."""
+    return F.concat_ws("-", *DAY_COLS).isin(["-".join(d) for d in days])
+
+
+def landing_paths(spark: SparkSession, base: str, source_dir: str = SOURCE_DIR) -> DataFrame:
+    """``raw_file_path`` and its day columns for every landed document; no content is read."""
+    base = base.rstrip("/")
+    parts = []
+    files = _or_none(lambda: spark.read.format("binaryFile").load(f"{base}/{RAW_FILE_GLOB.format(source=source_dir)}"))
+    if files is not None:
+        key = files.select(_key(F.col("path")).alias("raw_file_path"))
+        parts.append(key.select("*", *[F.regexp_extract("raw_file_path", rf"{c}=([^/]+)/", 1).alias(c) for c in DAY_COLS]))
+    packed = _packed(spark, base, source_dir)
+    if packed is not None:
+        parts.append(packed.select("raw_file_path", *DAY_COLS))
+    if not parts:
+        return spark.createDataFrame([], "raw_file_path string, year string, month string, day string")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_raw_documents(
+    spark: SparkSession, base: str, source_dir: str = SOURCE_DIR, days: list[tuple[str, str, str]] | None = None
+) -> DataFrame:
+    """One row per landed document: ``value`` (whole text), ``raw_file_path`` and ``landed_at``.
+
+    With ``days`` only those days' folders are read. ``raw_file_path`` is
+    relative to ``base`` so moving the landing area does not make every
+    document look new. No matching file gives an empty frame and a warning.
+    Partition directories are not parsed as columns: the document's own fields
+    are authoritative.
+    """
+    base = base.rstrip("/")
+    if days is None:
+        globs = [f"{base}/{RAW_FILE_GLOB.format(source=source_dir)}"]
+    else:
+        globs = [f"{base}/{DAY_GLOB.format(source=source_dir, year=y, month=m, day=d)}" for y, m, d in days]
+    parts = [_or_none(lambda g=g: spark.read.text(g, wholetext=True)) for g in globs]
+    parts = [p.select("value", _key(F.col("_metadata.file_path")).alias("raw_file_path"), F.col("_metadata.file_modification_time").alias("landed_at")) for p in parts if p is not None]
+    packed = _packed(spark, base, source_dir)
+    if packed is not None:
+        parts.append((packed if days is None else packed.where(in_days(days))).select("value", "raw_file_path", "landed_at"))
+    if not parts:
+        log.warning("Nothing has landed under %s", base)
+        return spark.createDataFrame([], "value string, raw_file_path string, landed_at timestamp")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def landed_last() -> list[Column]:
+    """The order in which rows of one path supersede each other; it tells any two different rows apart."""
+    return [F.col("landed_at").desc_nulls_last(), F.col("value").desc_nulls_last()]

@@ -1,32 +1,47 @@
-"""Atomic publish of a set of tables: write a new version, then move a pointer."""
+"""Publish of a set of tables as one unit: write a new version, then add its marker.
+
+A version is current from the moment its marker exists; markers are written
+once, never replaced and never deleted while their version is read, so there
+is no moment without a current version, and a failed publish leaves the one
+before it.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+from strata.sources.storage import add_marker, delete, names, read_marker
+
+MARKERS = "_versions"
 
 TableSpec = DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
 
 
-def publish_snapshot(spark: SparkSession, tables: dict[str, TableSpec], base: str) -> str:
+def publish_snapshot(
+    spark: SparkSession,
+    tables: dict[str, TableSpec],
+    base: str,
+    covers: list[str] | None = None,
+    check: Callable[[str, DataFrame], None] | None = None,
+) -> str:
     """Full refresh of several tables as one unit.
 
     Every table is written under ``base/v=<version>/<name>`` in the given
     order; a table may be a function of the tables already written (it gets a
-    reader for them), so a derived table reads its parent from storage
-    instead of recomputing the parent's lineage. Only after all writes succeed
-    is the pointer ``base/_CURRENT`` replaced: readers resolve the pointer
-    first and see either the old set or the new one, and a failed refresh
-    leaves the previous version current.
+    reader for them), so a derived table reads its parent from storage instead
+    of recomputing the parent's lineage. ``check`` sees each written table and
+    may raise. Only then is the version's marker added; it records ``covers``,
+    so what a version covers becomes true together with the version itself.
     """
+    base = base.rstrip("/")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     version = f"{stamp}-{uuid.uuid4().hex[:8]}"
-    root = f"{base.rstrip('/')}/v={version}"
+    root = f"{base}/v={version}"
 
     def written(name: str) -> DataFrame:
         return spark.read.parquet(f"{root}/{name}")
@@ -34,19 +49,30 @@ def publish_snapshot(spark: SparkSession, tables: dict[str, TableSpec], base: st
     for name, spec in tables.items():
         df = spec(written) if callable(spec) else spec
         df.write.mode("errorifexists").parquet(f"{root}/{name}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{POINTER}"
-    )
+        if check:
+            check(name, written(name))
+    # The number orders versions whatever the publishers' clocks say.
+    place = len(names(spark, f"{base}/{MARKERS}")) + 1
+    add_marker(spark, f"{base}/{MARKERS}", f"{place:09d}-{version}.json", json.dumps({"version": version, "covers": sorted(covers or [])}))
     return version
 
 
+def _markers(spark: SparkSession, base: str) -> list[str]:
+    return [n for n in names(spark, f"{base.rstrip('/')}/{MARKERS}") if n.endswith(".json") and not n.startswith(".")]
+
+
 def current_version(spark: SparkSession, base: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}")
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return None
-    rows = spark.read.text(f"{base.rstrip('/')}/{POINTER}").take(1)
-    return rows[0][0] if rows else None
+    found = _markers(spark, base)
+    return json.loads(read_marker(spark, f"{base.rstrip('/')}/{MARKERS}/{found[-1]}"))["version"] if found else None
+
+
+def covered(spark: SparkSession, base: str) -> DataFrame:
+    """``covered``: everything that any published version covers."""
+    if not _markers(spark, base):
+        return spark.createDataFrame([], "covered string")
+    # Hidden names and names with a leading underscore are not read by Spark.
+    markers = spark.read.schema("version string, covers array<string>").json(f"{base.rstrip('/')}/{MARKERS}/*.json")
+    return markers.selectExpr("explode(covers) AS covered").distinct()
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str, version: str | None = None) -> DataFrame:
@@ -54,3 +80,14 @@ def read_snapshot(spark: SparkSession, base: str, name: str, version: str | None
     if version is None:
         raise FileNotFoundError(f"no snapshot published under {base}")
     return spark.read.parquet(f"{base.rstrip('/')}/v={version}/{name}")
+
+
+def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete the data of all versions but the newest ``keep``, and of publishes that never
+    finished before the oldest kept one. Markers stay, for what they cover. Returns what went."""
+    base = base.rstrip("/")
+    kept = [n[10:-5] for n in _markers(spark, base)][-keep:]
+    gone = [n for n in names(spark, base) if n.startswith("v=") and n[2:] not in kept and (not kept or n[2:] < kept[0])]
+    for n in gone:
+        delete(spark, f"{base}/{n}")
+    return gone

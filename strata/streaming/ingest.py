@@ -1,9 +1,10 @@
 """Incremental raw ingest with Structured Streaming (each landing file loaded once).
 
-The file source tracks which documents it has already read in its checkpoint;
+The file source tracks which files it has already read in its checkpoint;
 ``Trigger.AvailableNow`` processes everything that arrived since the last run
-and stops. Each micro-batch is appended through the same idempotent anti-join
-as the batch loader, so a batch replayed after a failure inserts nothing twice.
+and stops. Each micro-batch is a load with an id of its own, appended through
+the same idempotent anti-join as the batch loader, so a batch replayed after a
+failure inserts nothing twice.
 """
 
 from __future__ import annotations
@@ -13,38 +14,46 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans import weather as W
-from strata.plans.refresh import append_raw, with_path_partitions
-from strata.sources.envelope import parse_envelope
-from strata.sources.raw_documents import _KEY_PATTERN, RAW_FILE_GLOB, SOURCE_DIR
+from strata.plans.refresh import append_raw, new_load_id
+from strata.sources.raw_documents import _KEY_PATTERN, PACKED, PACKED_SCHEMA, RAW_FILE_GLOB, SOURCE_DIR
 
 
 def raw_document_stream(
-    spark: SparkSession, landing: str, source_dir: str = SOURCE_DIR, glob: str = RAW_FILE_GLOB, max_files: int = 10_000
+    spark: SparkSession, landing: str, source_dir: str = SOURCE_DIR, packed: bool = False, max_files: int = 10_000
 ) -> DataFrame:
-    """Streaming frame of ``value`` (whole document) and ``raw_file_path``."""
-    stream = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("maxFilesPerTrigger", max_files)
-        .load(landing.rstrip("/") + "/" + glob.format(source=source_dir))
+    """Streaming frame of ``value`` (whole document), ``raw_file_path`` and ``landed_at``.
+
+    ``packed`` reads the packed layout, otherwise one file per document.
+    ``max_files`` bounds a micro-batch; what it leaves is the next batch.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    if packed:
+        rows = reader.schema(PACKED_SCHEMA).parquet(f"{landing.rstrip('/')}/{PACKED}")
+        return rows.where(F.col("source") == source_dir).select("value", "raw_file_path", "landed_at")
+    rows = reader.format("text").option("wholetext", True).load(f"{landing.rstrip('/')}/{RAW_FILE_GLOB.format(source=source_dir)}")
+    return rows.select(
+        "value", F.regexp_extract(F.col("_metadata.file_path"), _KEY_PATTERN, 1).alias("raw_file_path"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
     )
-    return stream.select("value", F.regexp_extract(F.col("_metadata.file_path"), _KEY_PATTERN, 1).alias("raw_file_path"))
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, warehouse: str, checkpoint: str, loaded_at=None, source_dir: str = SOURCE_DIR
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    checkpoint: str,
+    run_at: _dt.datetime | None = None,
+    source_dir: str = SOURCE_DIR,
+    packed: bool = False,
 ) -> None:
     """Load every landing document not yet seen by this checkpoint, then stop."""
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        stamp = loaded_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        good, _ = parse_envelope(batch, on_error="raise")
-        incoming = with_path_partitions(W.build_raw(good, loaded_at=F.lit(stamp).cast("timestamp")))
-        append_raw(spark, incoming, warehouse, stamp)
+        at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        append_raw(spark, batch, warehouse, new_load_id(at), f"{at:%Y-%m-%d %H:%M:%S.%f}")
 
     query = (
-        raw_document_stream(spark, landing, source_dir)
+        raw_document_stream(spark, landing, source_dir, packed)
         .writeStream.foreachBatch(append_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

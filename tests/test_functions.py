@@ -61,18 +61,19 @@ def test_dimension_lookup_normalises_and_rejects(spark):
     assert got["  Prague "] == (50.0755, 14.4378, 7, "UTC")
     assert "VIENNA" in got
     assert [r.name for r in rejects.collect()] == ["London"]
-    with pytest.raises(ValueError, match="Unsupported city"):
+    with pytest.raises(ValueError, match="1 requested names have no coordinates, the first is 'London'"):
         raise_on_rejects(rejects, "name")
 
 
-def test_lookup_broadcasts_only_bounded_dimension(spark):
+def test_lookup_leaves_the_join_to_the_planner_and_refuses_ambiguous_names(spark):
     facts = spark.range(100).select(F.concat(F.lit("n"), (F.col("id") % 7).cast("string")).alias("name"))
     dim = spark.range(7).select(F.concat(F.lit("N"), F.col("id").cast("string")).alias("key"), F.col("id").alias("v"))
-    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().logical().toString()
-    matched, _ = lookup_dimension(facts, "name", dim, "key", max_broadcast_rows=10)
-    assert hinted(matched) and matched.count() == 100
-    matched2, _ = lookup_dimension(facts, "name", dim, "key", max_broadcast_rows=3)
-    assert not hinted(matched2) and matched2.count() == 100
+    matched, rejects = lookup_dimension(facts, "name", dim, "key")
+    assert "strategy=broadcast" not in matched._jdf.queryExecution().logical().toString()
+    assert matched.count() == 100 and rejects.count() == 0
+    twice = dim.unionByName(spark.createDataFrame([(" n3 ", 9)], "key string, v long"))
+    with pytest.raises(PySparkException, match="several dimension entries"):
+        lookup_dimension(facts, "name", twice, "key")[0].collect()
 
 
 def test_scale_conf_sizes_partitions():

@@ -3,10 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
+import pytest
 from conftest import CURRENT, DAILY, DAYS, FIXTURE_RUN, forecast_document, write_doc
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from strata.plans.refresh import LEDGER, MART_NAMES, pending_loads, refresh_all
+from strata.plans.refresh import (
+    LEDGER,
+    LOAD,
+    MART_NAMES,
+    RAW_TABLE,
+    REJECTS,
+    STG_CURRENT,
+    STG_DAILY,
+    check_primary_key,
+    load_raw,
+    load_staging,
+    pending_loads,
+    read_table,
+    refresh_all,
+    unpublished_loads,
+)
+from strata.sources.raw_documents import read_raw_documents, write_raw_documents
 
 RUNS = [
     # run 1: the five fixture cities
@@ -45,16 +65,13 @@ def test_incremental_equals_rebuild(spark, tmp_path):
     assert float(vienna[dt.date(2026, 3, 13)][2]) == 20.0  # the later load wins the tie
     berlin = {r[1]: r for r in final["daily_city_weather_summary"] if r[0] == "Berlin"}
     assert float(berlin[dt.date(2026, 3, 13)][2]) == 16.6  # the late older run does not
-    assert pending_loads(spark, str(tmp_path / "inc")) == []
+    assert pending_loads(spark, str(tmp_path / "inc")) == unpublished_loads(spark, str(tmp_path / "inc")) == []
     assert spark.read.parquet(str(tmp_path / "inc" / LEDGER)).where("stage = 'staged'").count() == 3
 
 
 def test_crash_before_staging_is_recovered(spark, tmp_path, landing):
-    from strata.plans.refresh import load_raw
-    from strata.sources.raw_documents import read_raw_documents
-
     wh = str(tmp_path / "wh")
-    load_raw(spark, read_raw_documents(spark, landing), wh, "2099-01-05 00:00:00")  # "crash" here
+    assert load_raw(spark, landing, wh, dt.datetime(2099, 1, 5))["inserted"] == 5  # "crash" here
     assert len(pending_loads(spark, wh)) == 1
     res = refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 6))
     assert res["raw"]["inserted"] == 0
@@ -62,13 +79,117 @@ def test_crash_before_staging_is_recovered(spark, tmp_path, landing):
     assert all(r.passed for r in res["checks"].collect())
 
 
-def test_pending_load_read_prunes_partitions(spark, landing, tmp_path):
-    from strata.plans.refresh import RAW_TABLE, _in_loads, read_table
+def test_crash_after_staging_is_recovered(spark, tmp_path, landing):
+    wh = str(tmp_path / "wh")
+    load_raw(spark, landing, wh, dt.datetime(2099, 1, 5))
+    load_staging(spark, wh, pending_loads(spark, wh), "2099-01-05 00:00:00")  # "crash" here
+    assert pending_loads(spark, wh) == [] and len(unpublished_loads(spark, wh)) == 1
+    res = refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 6))
+    assert res["marts"]["daily_city_weather_summary"].count() == 35
+    assert unpublished_loads(spark, wh) == []
+
+
+def test_crash_between_two_staging_tables_stages_nothing_twice(spark, tmp_path, landing, monkeypatch):
+    wh = str(tmp_path / "wh")
+    load_raw(spark, landing, wh, dt.datetime(2099, 1, 5))
+    monkeypatch.setattr("strata.plans.weather.build_staging_daily", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        load_staging(spark, wh, pending_loads(spark, wh), "2099-01-05 00:00:00")
+    monkeypatch.undo()
+    res = refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 6))
+    assert read_table(spark, wh, STG_CURRENT).count() == 5 and read_table(spark, wh, STG_DAILY).count() == 35
+    assert res["marts"]["city_current_weather"].count() == 5
+
+
+DAY2 = "source=open_meteo/year=2099/month=01/day=02/run_id=20990102T000000Z"
+
+
+def test_failed_publish_is_raised_again_until_newer_data_mends_it(spark, tmp_path, landing):
+    wh = str(tmp_path / "wh")
+    refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 2, 1))
+    bad = forecast_document("Prague", ingested="2099-01-02T00:00:00Z")
+    bad["payload"]["api_response"]["daily"]["precipitation_sum"][3] = None
+    write_doc(landing, DAY2, "prague", bad)
+    write_doc(landing, DAY2, "vienna", forecast_document("Vienna", ingested="2099-01-02T00:00:00Z", daily=([33.0] * 7, [3.0] * 7, [1.0] * 7)))
+    for day in (2, 3, 4):  # nothing new lands, but the error does not go away
+        with pytest.raises(PySparkException, match="NOT NULL violated"):
+            refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 2, day))
+    assert len(unpublished_loads(spark, wh)) == 1
+    write_doc(landing, "source=open_meteo/year=2099/month=01/day=03/run_id=20990103T000000Z", "prague", forecast_document("Prague", ingested="2099-01-03T00:00:00Z"))
+    done = refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 2, 5))
+    full = refresh_all(spark, landing, str(tmp_path / "full"), city_count=5, run_at=dt.datetime(2099, 2, 5), rebuild=True)
+    assert snapshot(done["marts"]) == snapshot(full["marts"])
+    vienna = done["marts"]["daily_city_weather_summary"].where("city = 'Vienna'").first()
+    assert float(vienna.temperature_max_c) == 33.0
+    assert unpublished_loads(spark, wh) == []
+
 
+def test_two_loads_of_one_time_lose_nothing(spark, tmp_path, landing):
+    wh, at = str(tmp_path / "wh"), dt.datetime(2099, 2, 1)
+    refresh_all(spark, landing, wh, city_count=5, run_at=at)
+    write_doc(landing, DAY2, "oslo", forecast_document("Prague") | {"city": "Oslo"})
+    res = refresh_all(spark, landing, wh, city_count=6, run_at=at)
+    assert res["raw"] == {"inserted": 1, "skipped": 5, "total": 6}
+    assert res["marts"]["city_current_weather"].count() == 6
+    assert spark.read.parquet(f"{wh}/{RAW_TABLE}").select(LOAD).distinct().count() == 2
+
+
+def test_a_document_that_breaks_the_raw_contract_changes_nothing(spark, tmp_path, landing):
+    wh = str(tmp_path / "wh")
+    write_doc(landing, DAY2, "nowhere", forecast_document("Prague") | {"city": None})
+    with pytest.raises(PySparkException, match="null keys city"):
+        refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 2, 1))
+    assert read_table(spark, wh, RAW_TABLE).count() == 0
+
+
+def test_null_date_is_refused_or_kept_as_a_reject(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    doc = forecast_document("Prague")
+    doc["payload"]["api_response"]["daily"]["time"][2] = None
+    write_doc(base, FIXTURE_RUN, "prague", doc)
+    with pytest.raises(PySparkException, match="NOT NULL violated: staging/weather_daily_forecast.forecast_date"):
+        refresh_all(spark, base, str(tmp_path / "wh"), city_count=1, run_at=dt.datetime(2099, 1, 2))
+    res = refresh_all(spark, base, str(tmp_path / "wh2"), city_count=1, run_at=dt.datetime(2099, 1, 2), strict=False)
+    assert res["marts"]["daily_city_weather_summary"].count() == 6
+    rejects = spark.read.parquet(str(tmp_path / "wh2" / REJECTS)).collect()
+    assert [(r.field, r.reason) for r in rejects] == [("forecast_date", "NULL in staging/weather_daily_forecast")]
+
+
+def test_marts_refuse_a_key_that_occurs_twice(spark):
+    rows = spark.createDataFrame([("Prague", "2099-01-01"), ("Prague", "2099-01-01")], "city string, forecast_date string")
+    with pytest.raises(ValueError, match="PRIMARY KEY violated: 1 values"):
+        check_primary_key("daily_city_weather_summary", rows)
+
+
+def test_known_days_are_not_read_again(spark, landing, tmp_path, monkeypatch):
+    wh, read = str(tmp_path / "wh"), []
+    monkeypatch.setattr("strata.plans.refresh.read_raw_documents", lambda s, b, d, days: read.append(days) or read_raw_documents(s, b, d, days))
+    refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 2))
+    write_doc(landing, DAY2, "prague", forecast_document("Prague", ingested="2099-01-02T00:00:00Z"))
+    refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 3))
+    refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 4))
+    assert read == [[("2099", "01", "01")], [("2099", "01", "02")]]
+    files = read_raw_documents(spark, landing, days=[("2099", "01", "02")]).inputFiles()
+    assert len(files) == 1 and "day=02" in files[0]
+
+
+def test_packed_landing_replaces_a_document_and_prunes_days(spark, tmp_path):
+    base, wh = str(tmp_path / "landing"), str(tmp_path / "wh")
+    for k, hot in enumerate((20.0, 30.0)):
+        rows = [(json.dumps(forecast_document(c, daily=([hot] * 7, [1.0] * 7, [0.0] * 7))), f"{FIXTURE_RUN}/city={c.lower()}.json", "2099", "01", "01") for c in ("Prague", "Berlin")]
+        docs = spark.createDataFrame(rows, "value string, raw_file_path string, year string, month string, day string")
+        write_raw_documents(docs, base, landed_at=F.lit(f"2099-01-01 0{k}:00:00").cast("timestamp"))
+    res = refresh_all(spark, base, wh, city_count=2, run_at=dt.datetime(2099, 1, 2))
+    assert res["raw"] == {"inserted": 2, "skipped": 2, "total": 4}
+    assert {float(r.temperature_max_c) for r in res["marts"]["daily_city_weather_summary"].collect()} == {30.0}
+    plan = read_raw_documents(spark, base, days=[("2099", "01", "02")])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and "concat_ws(-, year" in plan
+
+
+def test_pending_load_read_prunes_partitions(spark, landing, tmp_path):
     wh = str(tmp_path / "wh")
     refresh_all(spark, landing, wh, city_count=5, run_at=dt.datetime(2099, 1, 2))
-    df = read_table(spark, wh, RAW_TABLE).where(_in_loads("loaded_at_utc", ["2099-01-05 00:00:00.000000"], "load_date"))
+    df = read_table(spark, wh, RAW_TABLE).where(F.col(LOAD).isin(["another load"]))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load_date" in plan and "2099-01-05" in plan
+    assert "PartitionFilters: [isnotnull(load_id" in plan
     assert df.count() == 0
-    assert read_table(spark, wh, RAW_TABLE).where("load_date = '2099-01-02'").count() == 5

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from strata.operators.contracts import enforce_not_null
 from strata.operators.quality import quality_payload
 from strata.operators.views import is_ready, overview
-from strata.sources.snapshot import current_version, publish_snapshot, read_snapshot
+from strata.sources.snapshot import MARKERS, covered, current_version, publish_snapshot, read_snapshot, vacuum
+from strata.sources.storage import names
 from test_golden_marts import build
 
 
 def test_quality_payload_and_readiness(spark, landing):
     marts = build(spark, landing)
-    payload = quality_payload(spark, marts, city_count=5)
+    payload = quality_payload(marts, city_count=5)
     assert payload["status"] == "pass"
     assert payload["summary"] == {"passed": 9, "failed": 0, "total": 9}
     assert [i["name"] for i in payload["items"]][:2] == ["mart_current_weather_nulls", "mart_daily_summary_nulls"]
@@ -40,3 +41,27 @@ def test_publish_derived_table_reads_written_parent(spark, tmp_path):
     base = str(tmp_path / "mart")
     v = publish_snapshot(spark, {"a": spark.range(5), "b": lambda r: r("a").where("id > 2")}, base)
     assert read_snapshot(spark, base, "b", v).count() == 2
+
+
+def test_versions_accumulate_and_vacuum_keeps_the_newest(spark, tmp_path):
+    base = str(tmp_path / "mart")
+    assert current_version(spark, base) is None and covered(spark, base).count() == 0
+    versions = [publish_snapshot(spark, {"t": spark.range(n)}, base, covers=[f"load{n}"]) for n in range(1, 5)]
+    assert len(names(spark, f"{base}/{MARKERS}")) == 4
+    assert vacuum(spark, base, keep=2) == [f"v={v}" for v in versions[:2]]
+    assert current_version(spark, base) == versions[-1]
+    assert read_snapshot(spark, base, "t", versions[2]).count() == 3
+    assert sorted(r[0] for r in covered(spark, base).collect()) == ["load1", "load2", "load3", "load4"]
+
+
+def test_crash_before_the_marker_leaves_the_version_before(spark, tmp_path):
+    base = str(tmp_path / "mart")
+    v1 = publish_snapshot(spark, {"t": spark.range(1)}, base, covers=["a"])
+
+    def refuse(name, df):
+        raise ValueError(f"{name} is refused")
+
+    with pytest.raises(ValueError, match="t is refused"):
+        publish_snapshot(spark, {"t": spark.range(2)}, base, covers=["b"], check=refuse)
+    assert current_version(spark, base) == v1
+    assert [r[0] for r in covered(spark, base).collect()] == ["a"]

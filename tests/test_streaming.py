@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 from conftest import forecast_document, write_doc
 
 from strata.plans.refresh import RAW_TABLE
@@ -8,21 +10,19 @@ from strata.streaming.ingest import ingest_available
 
 def test_available_now_loads_each_file_once(spark, landing, tmp_path):
     wh, ck = str(tmp_path / "wh"), str(tmp_path / "ck")
-    ingest_available(spark, landing, wh, ck, loaded_at="2099-01-02 00:00:00")
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2099, 1, 2))
     assert spark.read.parquet(f"{wh}/{RAW_TABLE}").count() == 5
-    ingest_available(spark, landing, wh, ck, loaded_at="2099-01-03 00:00:00")
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2099, 1, 3))
     assert spark.read.parquet(f"{wh}/{RAW_TABLE}").count() == 5
     run2 = "source=open_meteo/year=2099/month=01/day=02/run_id=20990102T000000Z"
     write_doc(landing, run2, "prague", forecast_document("Prague", ingested="2099-01-02T00:00:00Z"))
-    ingest_available(spark, landing, wh, ck, loaded_at="2099-01-04 00:00:00")
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2099, 1, 4))
     raw = spark.read.parquet(f"{wh}/{RAW_TABLE}")
     assert raw.count() == 6
     assert raw.where("city = 'Prague'").count() == 2
 
 
 def test_spark_written_landing_round_trip(spark, tmp_path):
-    import datetime as dt
-
     from pyspark.sql import functions as F
 
     from strata.sources.envelope import build_envelope, parse_envelope
@@ -54,12 +54,10 @@ def test_no_landing_files_is_an_empty_read(spark, tmp_path):
 
 
 def test_streaming_ingest_then_refresh_from_raw(spark, landing, tmp_path):
-    import datetime as dt
-
     from strata.plans.refresh import pending_loads, refresh_from_raw
 
     wh, ck = str(tmp_path / "wh"), str(tmp_path / "ck")
-    ingest_available(spark, landing, wh, ck, loaded_at="2099-01-02 00:00:00")
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2099, 1, 2))
     assert len(pending_loads(spark, wh)) == 1
     res = refresh_from_raw(spark, wh, city_count=5, run_at=dt.datetime(2099, 1, 2, 1))
     assert res["marts"]["daily_city_weather_summary"].count() == 35
