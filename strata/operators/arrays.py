@@ -44,12 +44,17 @@ def explode_aligned(
     )
     rows = F.slice(zipped, 1, F.greatest(shortest, F.lit(0)))
     if first_of is not None:
-        karr = F.col("__key_arr")
-        rows = F.filter(
-            rows,
-            lambda r: F.get(karr, r["__pos"] - 1).isNull()
-            | (F.array_position(karr, F.get(karr, r["__pos"] - 1)) == r["__pos"]),
+        # Sorted (value, position) pairs put the first position of each value
+        # right behind another value, so one pass over the sorted pairs finds it.
+        pairs = F.sort_array(F.transform(F.col("__key_arr"), lambda k, i: F.struct(k.alias("k"), (i + 1).alias("i"))))
+        staged = staged.withColumn("__pairs", pairs)
+        first = F.filter(
+            F.col("__pairs"),
+            lambda p, i: p["k"].isNull() | (i == 0) | ~p["k"].eqNullSafe(F.get(F.col("__pairs"), i - 1)["k"]),
         )
+        staged = staged.withColumn("__rows", rows)
+        kept = F.filter(F.sort_array(F.transform(first, lambda p: p["i"])), lambda i: i <= F.size("__rows"))
+        rows = F.transform(kept, lambda i: F.element_at(F.col("__rows"), i))
     all_present = reduce(lambda a, b: a & b, [F.col(tmp[n]).isNotNull() for n in names])
     out = staged.select(*keep, F.explode(F.when(all_present, rows)).alias("__row"))
     cols = [F.col(k) for k in keep]

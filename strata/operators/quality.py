@@ -1,8 +1,11 @@
 """Data quality checks: one row ``(check_order, name, description, issue_count, passed)`` each.
 
-Per-row checks on one table are fused into a single conditional-aggregate
-pass (``count_if`` per rule); the rules are then unpivoted into rows. Counts
-are partial aggregates, so a check never moves rows, only counters.
+All checks of one table share one aggregate: a conditional count per rule, the
+row count, and duplicate keys, which are counted on the keys' own groups in the
+same pass. The counters of all tables are folded into one row and turned into
+check rows in place, so a check never moves rows, only counters. Nothing runs
+before the result is asked for; expected counts may themselves be one-row
+DataFrames.
 """
 
 from __future__ import annotations
@@ -10,10 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT_COLS = ["check_order", "name", "description", "issue_count", "passed"]
+SUMMARY_COLS = ["passed", "failed", "total", "status"]
 
 
 @dataclass(frozen=True)
@@ -25,6 +29,15 @@ class RowRule:
     violation: Column
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check over counters: ``issues`` is an expression over the counters of all tables."""
+
+    name: str
+    description: str
+    issues: Column
+
+
 def any_null(cols: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
@@ -34,47 +47,56 @@ def not_between(col: str, low, high) -> Column:
     return (c < F.lit(low)) | (c > F.lit(high))
 
 
-def _result(df: DataFrame, order: int, name: str, description: str, issues: Column) -> DataFrame:
-    return df.select(
-        F.lit(order).alias("check_order"),
-        F.lit(name).alias("name"),
-        F.lit(description).alias("description"),
-        issues.cast("bigint").alias("issue_count"),
-    ).withColumn("passed", F.col("issue_count") == 0)
+def table_counters(df: DataFrame, prefix: str, violations: dict[str, Column] | None = None, unique: list[str] | None = None) -> DataFrame:
+    """One row of counters over one scan: ``<prefix>_rows``, one per violation, and with
+    ``unique`` also ``<prefix>_duplicates``, the number of key groups with several rows."""
+    violations = violations or {}
+    flags = {n: F.count_if(F.coalesce(v, F.lit(False))) for n, v in violations.items()}
+    if not unique:
+        return df.agg(F.count(F.lit(1)).alias(f"{prefix}_rows"), *[f.alias(n) for n, f in flags.items()])
+    groups = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("__n"), *[f.alias(n) for n, f in flags.items()])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return groups.agg(
+        total("__n").alias(f"{prefix}_rows"), F.count_if(F.col("__n") > 1).alias(f"{prefix}_duplicates"), *[total(n).alias(n) for n in violations]
+    )
 
 
-def row_checks(df: DataFrame, rules: list[RowRule], first_order: int = 1, with_count: bool = False) -> tuple[DataFrame, Column | None]:
-    """All per-row rules of one table in one scan.
+def fold(counters: list[DataFrame]) -> DataFrame:
+    """The columns of several one-row DataFrames side by side, without joining them."""
+    columns = [(f.name, f.dataType) for df in counters for f in df.schema.fields]
+    stacked = [df.select(*[F.col(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in columns]) for df in counters]
+    return reduce(DataFrame.unionByName, stacked).agg(*[F.max(n).alias(n) for n, _ in columns])
 
-    Returns the result rows and, when ``with_count``, keeps ``__rows`` (the
-    table's row count) on the one-row aggregate for row-count checks.
-    """
-    aggs = [F.count_if(F.coalesce(r.violation, F.lit(False))).alias(f"__r{i}") for i, r in enumerate(rules)]
-    if with_count:
-        aggs.append(F.count(F.lit(1)).alias("__rows"))
-    one = df.agg(*aggs)
-    parts = [_result(one, first_order + i, r.name, r.description, F.col(f"__r{i}")) for i, r in enumerate(rules)]
-    return reduce(DataFrame.unionByName, parts), one
+
+def check_rows(counters: list[DataFrame], checks: list[Check]) -> DataFrame:
+    """The checks as rows, numbered from 1, over the counters of all tables."""
+    one = F.array(*[
+        F.struct(
+            F.lit(k).alias("check_order"), F.lit(c.name).alias("name"), F.lit(c.description).alias("description"),
+            c.issues.cast("bigint").alias("issue_count"), (c.issues == 0).alias("passed"),
+        )
+        for k, c in enumerate(checks, 1)
+    ])
+    return fold(counters).select(F.inline(one)).select(*RESULT_COLS)
 
 
-def duplicate_check(df: DataFrame, keys: list[str], order: int, name: str, description: str) -> DataFrame:
-    """Number of key groups that occur more than once."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
-    return _result(groups.agg(F.count(F.lit(1)).alias("__g")), order, name, description, F.col("__g"))
+def row_checks(df: DataFrame, rules: list[RowRule]) -> DataFrame:
+    """All per-row rules of one table as check rows, in one scan."""
+    counters = table_counters(df, "table", {f"r{k}": r.violation for k, r in enumerate(rules)})
+    return check_rows([counters], [Check(r.name, r.description, F.col(f"r{k}")) for k, r in enumerate(rules)])
+
+
+def is_not(count: str, expected: Column) -> Column:
+    """0 when the counter has the expected value, else 1."""
+    return F.when(F.col(count) == expected, 0).otherwise(1)
 
 
 def expected_count(value: int) -> int:
     if value < 0:
-        raise ValueError("Expected SQL integer values must be non-negative.")
+        raise ValueError(f"a table cannot be expected to hold {value} rows")
     return value
 
 
-def row_count_check(df: DataFrame, expected: int, order: int, name: str, description: str) -> DataFrame:
-    """0 when the table has exactly ``expected`` rows, else 1."""
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    return _result(n, order, name, description, F.when(F.col("__n") == F.lit(expected), 0).otherwise(1))
-
-
 # Check names and descriptions of the mart quality suite.
 MART_CHECKS = [
     ("mart_current_weather_nulls", "Current weather mart table should not have null critical fields."),
@@ -90,44 +112,42 @@ MART_CHECKS = [
 TEMPERATURE_LIMITS = (-80, 80)
 
 
-def collect_checks(marts: dict[str, DataFrame], city_count: int, forecast_days: int = 7) -> DataFrame:
-    """The nine mart checks as one DataFrame (one Spark job when collected)."""
-    cities = expected_count(city_count)
-    daily_rows = expected_count(city_count * forecast_days)
-    cur = marts["city_current_weather"]
-    daily = marts["daily_city_weather_summary"]
+def collect_checks(marts: dict[str, DataFrame], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
+    """The nine mart checks as one DataFrame: one scan of each mart.
+
+    ``city_count`` is a number, or a one-row DataFrame whose only column is it.
+    """
     d = dict(MART_CHECKS)
     names = [n for n, _ in MART_CHECKS]
-    cur_rows, cur_one = row_checks(
-        cur, [RowRule(names[0], d[names[0]], any_null(["city", "current_time_utc", "source_ingested_at_utc"]))], 1, with_count=True
-    )
     lo, hi = TEMPERATURE_LIMITS
-    daily_rules = [
-        RowRule(names[1], d[names[1]], any_null(["city", "forecast_date", "temperature_max_c", "temperature_min_c", "precipitation_mm", "source_ingested_at_utc"])),
-        RowRule(
-            names[3],
-            d[names[3]],
-            (F.col("temperature_max_c") < F.col("temperature_min_c"))
-            | not_between("temperature_max_c", lo, hi)
-            | not_between("temperature_min_c", lo, hi),
+    daily = ["city", "forecast_date", "temperature_max_c", "temperature_min_c", "precipitation_mm", "source_ingested_at_utc"]
+    counters = [
+        table_counters(marts["city_current_weather"], "current", {"current_nulls": any_null(["city", "current_time_utc", "source_ingested_at_utc"])}),
+        table_counters(
+            marts["daily_city_weather_summary"], "daily",
+            {
+                "daily_nulls": any_null(daily),
+                "daily_ranges": (F.col("temperature_max_c") < F.col("temperature_min_c"))
+                | not_between("temperature_max_c", lo, hi)
+                | not_between("temperature_min_c", lo, hi),
+                "daily_negative": F.col("precipitation_mm") < 0,
+            },
+            unique=["city", "forecast_date"],
         ),
-        RowRule(names[4], d[names[4]], F.col("precipitation_mm") < 0),
+        table_counters(marts["daily_temperature_rankings"], "rankings"),
+        table_counters(marts["city_rolling_3day_metrics"], "rolling"),
     ]
-    daily_rows_df, daily_one = row_checks(daily, daily_rules, 0, with_count=True)
-    # renumber to the suite order: nulls=2, ranges=4, precipitation=5
-    daily_rows_df = daily_rows_df.withColumn(
-        "check_order", F.when(F.col("check_order") == 0, 2).when(F.col("check_order") == 1, 4).otherwise(5)
-    )
-    parts = [
-        cur_rows,
-        daily_rows_df,
-        duplicate_check(daily, ["city", "forecast_date"], 3, names[2], d[names[2]]),
-        _result(cur_one, 6, names[5], d[names[5]], F.when(F.col("__rows") == cities, 0).otherwise(1)),
-        _result(daily_one, 7, names[6], d[names[6]], F.when(F.col("__rows") == daily_rows, 0).otherwise(1)),
-        row_count_check(marts["daily_temperature_rankings"], daily_rows, 8, names[7], d[names[7]]),
-        row_count_check(marts["city_rolling_3day_metrics"], daily_rows, 9, names[8], d[names[8]]),
+    if isinstance(city_count, DataFrame):
+        counters.append(city_count.select(F.col(city_count.columns[0]).cast("bigint").alias("cities")))
+        cities = F.col("cities")
+    else:
+        cities = F.lit(expected_count(city_count)).cast("bigint")
+    per_day = cities * expected_count(forecast_days)
+    issues = [
+        F.col("current_nulls"), F.col("daily_nulls"), F.col("daily_duplicates"), F.col("daily_ranges"), F.col("daily_negative"),
+        is_not("current_rows", cities), is_not("daily_rows", per_day), is_not("rankings_rows", per_day), is_not("rolling_rows", per_day),
     ]
-    return reduce(DataFrame.unionByName, parts).select(*RESULT_COLS)
+    return check_rows(counters, [Check(n, d[n], i) for n, i in zip(names, issues)])
 
 
 def summarize_checks(results: DataFrame) -> DataFrame:
@@ -141,23 +161,32 @@ def summarize_checks(results: DataFrame) -> DataFrame:
 
 def assert_checks(results: DataFrame) -> None:
     """Raise naming every failed check (the results are a handful of rows)."""
-    rows = results.orderBy("check_order").collect()
-    failed = [r["name"] for r in rows if not r["passed"]]
+    failed = [f"{r['name']} ({r['issue_count']})" for r in results.where(~F.col("passed")).orderBy("check_order").collect()]
     if failed:
-        raise RuntimeError("Data quality checks failed: " + ", ".join(failed))
-
-
-def quality_payload(spark: SparkSession, marts: dict[str, DataFrame], city_count: int, forecast_days: int = 7) -> dict:
-    """Status document: ``not_ready`` when the current mart is empty, else pass/fail with items."""
-    if marts["city_current_weather"].isEmpty():
-        return {"status": "not_ready", "summary": {"passed": 0, "failed": 0, "total": 0}, "items": []}
-    rows = collect_checks(marts, city_count, forecast_days).orderBy("check_order").collect()
-    failed = sum(1 for r in rows if not r["passed"])
-    return {
-        "status": "pass" if failed == 0 else "fail",
-        "summary": {"passed": len(rows) - failed, "failed": failed, "total": len(rows)},
-        "items": [
-            {"name": r["name"], "description": r["description"], "issue_count": r["issue_count"], "passed": r["passed"]}
-            for r in rows
-        ],
-    }
+        raise RuntimeError(f"{len(failed)} of the quality checks found issues: {', '.join(failed)}")
+
+
+def quality_document(marts: dict[str, DataFrame], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
+    """The quality payload as one row: ``status``, ``summary`` and ``items`` (in check order).
+
+    ``not_ready``, without items, when the current mart is empty; else pass or fail.
+    """
+    rows = collect_checks(marts, city_count, forecast_days)
+    ready = fold([
+        marts["city_current_weather"].limit(1).agg(F.count(F.lit(1)).alias("current")),
+        rows.agg(F.sort_array(F.collect_list(F.struct("check_order", "name", "description", "issue_count", "passed"))).alias("items")),
+    ])
+    items = F.transform("items", lambda i: F.struct(i["name"].alias("name"), i["description"].alias("description"), i["issue_count"].alias("issue_count"), i["passed"].alias("passed")))
+    shown = ready.select("current", F.when(F.col("current") > 0, items).otherwise(F.slice(items, 1, 0)).alias("items"))
+    count = lambda keep: F.size(F.filter("items", keep)).cast("bigint")
+    failed = count(lambda i: ~i["passed"])
+    return shown.select(
+        F.when(F.col("current") == 0, "not_ready").when(failed == 0, "pass").otherwise("fail").alias("status"),
+        F.struct(count(lambda i: i["passed"]).alias("passed"), failed.alias("failed"), F.size("items").cast("bigint").alias("total")).alias("summary"),
+        "items",
+    )
+
+
+def quality_payload(marts: dict[str, DataFrame], city_count: int, forecast_days: int = 7) -> dict:
+    """``quality_document`` as a plain dict."""
+    return quality_document(marts, city_count, forecast_days).first().asDict(recursive=True)

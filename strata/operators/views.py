@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from strata.functions.scalars import iso_utc_offset, iso_utc_z
+from strata.operators.quality import fold
 
 
 def view_current(mart: DataFrame) -> DataFrame:
@@ -35,29 +36,26 @@ def view_rolling(mart: DataFrame) -> DataFrame:
 def overview(marts: dict[str, DataFrame]) -> DataFrame:
     """Exactly one row: four mart row counts and the newest snapshot time (NULL when empty).
 
-    Each figure is a one-row aggregate over its own table (parquet answers
-    ``count(*)`` from footers); the one-row results are stacked and folded
-    into a single row, so no table is ever joined to another.
+    One aggregate per table, folded into one row; no table is joined to another.
     """
-    figures = [
-        ("current_city_count", marts["city_current_weather"], F.count(F.lit(1)).cast("bigint")),
-        ("summary_row_count", marts["daily_city_weather_summary"], F.count(F.lit(1)).cast("bigint")),
-        ("ranking_row_count", marts["daily_temperature_rankings"], F.count(F.lit(1)).cast("bigint")),
-        ("rolling_row_count", marts["city_rolling_3day_metrics"], F.count(F.lit(1)).cast("bigint")),
-        ("latest_snapshot_at", marts["daily_city_weather_summary"], F.max("source_ingested_at_utc")),
-    ]
-    names = [n for n, _, _ in figures]
-    types = {n: df.agg(e.alias(n)).schema[n].dataType for n, df, e in figures}
-    stacked = None
-    for name, df, expr in figures:
-        one = df.agg(expr.alias(name)).select(*[F.col(n) if n == name else F.lit(None).cast(types[n]).alias(n) for n in names])
-        stacked = one if stacked is None else stacked.unionByName(one)
-    return stacked.agg(*[F.max(n).alias(n) for n in names])
+    rows = lambda name: F.count(F.lit(1)).cast("bigint").alias(name)
+    return fold([
+        marts["city_current_weather"].agg(rows("current_city_count")),
+        marts["daily_city_weather_summary"].agg(rows("summary_row_count"), F.max("source_ingested_at_utc").alias("latest_snapshot_at")),
+        marts["daily_temperature_rankings"].agg(rows("ranking_row_count")),
+        marts["city_rolling_3day_metrics"].agg(rows("rolling_row_count")),
+    ]).select("current_city_count", "summary_row_count", "ranking_row_count", "rolling_row_count", "latest_snapshot_at")
+
+
+def readiness(marts: dict[str, DataFrame]) -> DataFrame:
+    """One row ``ready``: current, rankings and rolling marts all hold rows (the summary is not consulted)."""
+    names = ("city_current_weather", "daily_temperature_rankings", "city_rolling_3day_metrics")
+    one = fold([marts[n].limit(1).agg(F.count(F.lit(1)).alias(n)) for n in names])
+    return one.select(F.least(*names).cast("boolean").alias("ready"))
 
 
 def is_ready(marts: dict[str, DataFrame]) -> bool:
-    """Current, rankings and rolling marts all non-empty (the summary is not consulted)."""
-    return all(not marts[k].isEmpty() for k in ("city_current_weather", "daily_temperature_rankings", "city_rolling_3day_metrics"))
+    return readiness(marts).first()["ready"]
 
 
 def iso_strings(df: DataFrame) -> DataFrame:

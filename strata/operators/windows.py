@@ -9,12 +9,11 @@ holds a large share of the rows:
 * ``latest_snapshot`` finds each key's newest snapshot with a partial
   aggregate and an equi-join (AQE splits a skewed join partition) instead of a
   window over the whole key.
-* ``rank_within`` splits each ranking partition by the ranked value: a small
-  histogram gives the count of rows ahead of every value, and only rows tied
-  on the value are ordered together; a tie group past a row bound switches to
-  an exact global-sort rank that spreads every group over many tasks.
-* ``row_positions`` is ``ROW_NUMBER()`` with the same switch to a global sort
-  when one group is too large for a task.
+* ``rank_within`` never sorts the rows of a ranking partition: a rank is the
+  sum of the counts ahead on each sort column, taken from histograms that
+  partial aggregates build, so only distinct values meet in a window.
+* ``row_positions`` is ``ROW_NUMBER()``; the window streams each group through
+  a sort that spills, holding one row at a time.
 * ``rolling_rows`` is a physical-rows frame over (key, date) rows; with one row
   per key and date a partition is bounded by the calendar, not by the data.
 """
@@ -77,93 +76,38 @@ def rank_within(
     out: str,
     descending: bool = True,
     nulls_first: bool | None = None,
-    max_tie_rows: int | None = 5_000_000,
 ) -> DataFrame:
     """``RANK() OVER (PARTITION BY by ORDER BY value, *tiebreak ASC)`` as BIGINT.
 
-    rank = (rows in the partition strictly ahead on ``value``)
-           + RANK among the rows tied on ``value``, ordered by ``tiebreak``.
-    The first term comes from a (by, value) histogram - one row per distinct
-    value, built with a partial aggregate - so no task has to sort a whole
-    ranking partition; only rows sharing one value are sorted together.
-
-    When the histogram shows a tie group larger than ``max_tie_rows`` (checked
-    with one small aggregate over the histogram), the rank is computed by
-    ``rank_by_global_sort`` instead, which splits every group across tasks.
-    ``max_tie_rows=None`` skips the check.
-    """
-    vspec = sort_spec(value, descending, nulls_first)
-    hist = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    if max_tie_rows is not None:
-        biggest = hist.agg(F.max("__n")).first()[0]
-        if biggest is not None and biggest > max_tie_rows:
-            return rank_by_global_sort(df, by, [vspec, *[sort_spec(t) for t in tiebreak]], [value, *tiebreak], out)
-    ahead_w = Window.partitionBy(*_cols(by)).orderBy(vspec).rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select(*by, F.col(value).alias("__v"), F.coalesce(F.sum("__n").over(ahead_w), F.lit(0)).alias("__ahead"))
-    tie_w = Window.partitionBy(*_cols(by), F.col(value)).orderBy(*[sort_spec(t) for t in tiebreak])
-    ranked = df.withColumn("__tie", F.rank().over(tie_w))
-    cond = [ranked[b].eqNullSafe(hist[b]) for b in by] + [ranked[value].eqNullSafe(hist["__v"])]
-    joined = ranked.join(hist, on=cond, how="inner")
-    return joined.select(
-        *[ranked[c] for c in df.columns],
-        (hist["__ahead"] + ranked["__tie"]).cast("bigint").alias(out),
-    )
-
-
-_ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
-
-
-def rank_by_global_sort(
-    df: DataFrame, by: list[str], order: list[Column], order_cols: list[str], out: str, ties: str = "rank"
-) -> DataFrame:
-    """Exact ``RANK()`` (or ``ROW_NUMBER()``) ``OVER (PARTITION BY by ORDER BY order)``, no group in one task.
-
-    The rows are sorted globally (range partitioning on ``by`` + ``order``
-    splits even a single huge group over many tasks) and numbered within each
-    sorted partition; a reliable ``checkpoint()`` fixes those positions so the
-    later passes see the same ones. Per-partition row counts (one row per
-    partition) turn local numbers into global positions. With ``ties="rank"``
-    a row's rank is the first position of its full sort key minus the first
-    position of its group, plus one, so equal keys share a rank; with
-    ``ties="row_number"`` it is the row's own position in its group.
-    """
-    keys = [*by, *order_cols]
-    sorted_df = df.orderBy(*[F.col(b).asc_nulls_first() for b in by], *order).withColumn("__mid", F.monotonically_increasing_id())
-    fixed = sorted_df.checkpoint(eager=True)
-    part = F.shiftright("__mid", _ROW_BITS).alias("__part")
-    local = (F.col("__mid") - F.shiftleft(F.shiftright("__mid", _ROW_BITS), _ROW_BITS)).alias("__local")
-    numbered = fixed.select("*", part, local)
-    counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
-    # one row per sorted partition: bounded by the partition count
-    placed = numbered.join(F.broadcast(offsets), "__part").withColumn("__pos", F.col("__off") + F.col("__local"))
-    if ties == "row_number":
-        first_of_group = placed.groupBy(*by).agg(F.min("__pos").alias("__gpos"))
-        rows = placed.alias("r").join(first_of_group.alias("g"), on=[F.col(f"r.{b}").eqNullSafe(F.col(f"g.{b}")) for b in by], how="inner")
-        return rows.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r.__pos") - F.col("g.__gpos") + 1).cast("bigint").alias(out))
-    first_of_key = placed.groupBy(*keys).agg(F.min("__pos").alias("__kpos"))
-    first_of_group = placed.groupBy(*by).agg(F.min("__pos").alias("__gpos"))
-    key_rank = first_of_key.alias("k").join(
-        first_of_group.alias("g"), on=[F.col(f"k.{b}").eqNullSafe(F.col(f"g.{b}")) for b in by], how="inner"
-    ).select(*[F.col(f"k.{c}").alias(c) for c in keys], (F.col("__kpos") - F.col("__gpos") + 1).cast("bigint").alias(out))
-    rows = df.alias("r").join(key_rank.alias("q"), on=[F.col(f"r.{c}").eqNullSafe(F.col(f"q.{c}")) for c in keys], how="inner")
-    return rows.select(*[F.col(f"r.{c}") for c in df.columns], F.col(f"q.{out}"))
-
-
-def row_positions(
-    df: DataFrame, by: list[str], order: list[str], out: str, max_group_rows: int | None = 5_000_000
-) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT.
-
-    A plain window when every group is at most ``max_group_rows`` rows (group
-    sizes come from one partial aggregate); otherwise the global-sort form, so
-    a hot group is numbered by many tasks.
+    rank = 1 + (rows of the partition ahead on ``value``)
+             + (rows tied on ``value`` and ahead on the first tiebreak) + ...
+    Each term comes from one histogram: the counts of the distinct values of a
+    column under equal values of the columns before it, built with a partial
+    aggregate. So what meets in one window is the distinct values of one column
+    (a DECIMAL(6,2) has at most 200,000), never the rows; rows only join their
+    terms, and a skewed join partition is split by AQE.
     """
-    if max_group_rows is not None:
-        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-        if biggest is not None and biggest > max_group_rows:
-            return rank_by_global_sort(df, by, [sort_spec(c) for c in order], order, out, ties="row_number")
+    columns = [*by, value, *tiebreak]
+    key = [f"__k{i}" for i in range(len(columns))]
+    counts = df.groupBy(*[F.col(c).alias(k) for c, k in zip(columns, key)]).agg(F.count(F.lit(1)).alias("__n"))
+    terms = None
+    for end in range(len(by) + 1, len(columns) + 1):
+        upper, last = key[: end - 1], key[end - 1]
+        spec = sort_spec(last, descending, nulls_first) if end == len(by) + 1 else sort_spec(last)
+        ahead = Window.partitionBy(*_cols(upper)).orderBy(spec).rowsBetween(Window.unboundedPreceding, -1)
+        level = counts.groupBy(*key[:end]).agg(F.sum("__n").alias("__n"))
+        level = level.select(*key[:end], F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+        if terms is not None:
+            before = terms.select(*[F.col(k).alias(f"{k}b") for k in upper], F.col("__ahead").alias("__before"))
+            level = level.join(before, on=[F.col(k).eqNullSafe(F.col(f"{k}b")) for k in upper])
+            level = level.select(*key[:end], (F.col("__ahead") + F.col("__before")).alias("__ahead"))
+        terms = level
+    ranked = df.join(terms, on=[F.col(c).eqNullSafe(F.col(k)) for c, k in zip(columns, key)])
+    return ranked.select(*df.columns, (F.col("__ahead") + 1).cast("bigint").alias(out))
+
+
+def row_positions(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT."""
     w = Window.partitionBy(*_cols(by)).orderBy(*[sort_spec(c) for c in order])
     return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 

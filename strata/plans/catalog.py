@@ -1,7 +1,9 @@
 """Queries over the driver tables, one per operator family.
 
-Every query reads whole tables from ``sf_dir`` and returns a lazy DataFrame
-whose column names match the SQL oracle of the same key.
+Every query reads whole tables from ``sf_dir`` and returns a DataFrame whose
+column names match the SQL oracle of the same key. Building one runs no job,
+except that a layer which is not yet written for this input is written first,
+and the file queries (``full_refresh``, ``incremental_ingest``) run their flow.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
@@ -22,12 +25,12 @@ from strata.operators.windows import latest_per_key, latest_snapshot, row_positi
 from strata.plans import events as E
 from strata.plans import weather as W
 from strata.plans.layers import materialize
-from strata.plans.refresh import RAW_TABLE, refresh_all
+from strata.plans.refresh import RAW_TABLE, read_table, refresh_all
 from strata.session import shared_dir
 from strata.streaming.ingest import ingest_available
 from strata.sources.append import append_counts, append_if_absent
 from strata.sources.envelope import build_envelope, parse_envelope
-from strata.sources.lookup import lookup_dimension
+from strata.sources.lookup import city_dimension, lookup_dimension, request_plan
 from strata.sources.raw_documents import with_partition_columns, write_raw_documents
 
 
@@ -42,31 +45,35 @@ def table_path(sf_dir: str, name: str) -> str:
 LOAD_TIME = "2024-02-01 00:00:00"
 
 
-def layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The written raw, staging and daily-summary tables built from ``events``.
+def _at():
+    return F.lit(LOAD_TIME).cast("timestamp")
 
-    Each layer is built from the written layer beneath it, exactly once per
-    version of the events table; queries then compute their own layer on top.
-    """
-    src = [table_path(sf, "events")]
-    at = F.lit(LOAD_TIME).cast("timestamp")
-    raw = materialize(spark, "events_raw", src, lambda: E.raw_layer(table(spark, sf, "events")))
-    cur = materialize(spark, "events_staging_current", src, lambda: W.build_staging_current(raw, at))
-    daily = materialize(spark, "events_staging_daily", src, lambda: W.build_staging_daily(raw, at))
-    summary = materialize(spark, "events_daily_summary", src, lambda: W.build_daily_summary(daily, at))
-    return {"raw": raw, "staging_current": cur, "staging_daily": daily, "daily_summary": summary}
+
+# The written layers, each built from the written layer beneath it, exactly
+# once per version of the events table and of this code.
+LAYERS = {
+    "raw": lambda spark, sf: E.raw_layer(table(spark, sf, "events")),
+    "staging_current": lambda spark, sf: W.build_staging_current(layer(spark, sf, "raw"), _at()),
+    "staging_daily": lambda spark, sf: W.build_staging_daily(layer(spark, sf, "raw"), _at()),
+    "mart_current": lambda spark, sf: W.build_mart_current(layer(spark, sf, "staging_current"), _at()),
+    "daily_summary": lambda spark, sf: W.build_daily_summary(layer(spark, sf, "staging_daily"), _at()),
+    "rankings": lambda spark, sf: W.build_rankings(layer(spark, sf, "daily_summary"), _at()),
+    "rolling": lambda spark, sf: W.build_rolling(layer(spark, sf, "daily_summary"), _at()),
+}
+
+
+def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A written layer; only it and those that it is built from are made when absent."""
+    return materialize(spark, f"events_{name}", [table_path(sf, "events")], lambda: LAYERS[name](spark, sf))
 
 
 def mart_set(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The four marts; rankings and rolling read the written daily summary."""
-    lay = layers(spark, sf)
-    at = F.lit(LOAD_TIME).cast("timestamp")
-    summary = lay["daily_summary"]
+    """The four written marts."""
     return {
-        "city_current_weather": W.build_mart_current(lay["staging_current"], at),
-        "daily_city_weather_summary": summary,
-        "daily_temperature_rankings": W.build_rankings(summary, at),
-        "city_rolling_3day_metrics": W.build_rolling(summary, at),
+        "city_current_weather": layer(spark, sf, "mart_current"),
+        "daily_city_weather_summary": layer(spark, sf, "daily_summary"),
+        "daily_temperature_rankings": layer(spark, sf, "rankings"),
+        "city_rolling_3day_metrics": layer(spark, sf, "rolling"),
     }
 
 
@@ -110,6 +117,33 @@ def q_envelope_rejects(spark, sf):
     return rejects.select("doc_id", "reject_reason")
 
 
+def q_envelope_contract(spark, sf):
+    """Envelopes whose required fields are JSON null, whose time is no time, or that are no JSON."""
+    doc_id = F.col("doc_id")
+    drop = lambda by, c: F.when(doc_id % by == 0, F.lit(None)).otherwise(c)
+    docs = table(spark, sf, "documents").select(
+        "doc_id",
+        F.struct(
+            drop(7, F.col("source")).alias("source"), drop(5, F.col("lang")).alias("city"),
+            drop(11, F.when(doc_id % 17 == 0, "yesterday").otherwise("2024-01-01T00:00:00Z")).alias("ingested_at_utc"),
+            F.struct(F.length("text").alias("n")).alias("payload"),
+        ).alias("doc"),
+    )
+    text = F.to_json("doc", {"ignoreNullFields": "false"})
+    env = docs.select("doc_id", F.when(doc_id % 13 == 0, F.concat(F.lit("{"), text)).otherwise(text).alias("value"))
+    _, rejects = parse_envelope(env, on_error="reject")
+    return rejects.select("doc_id", "reject_reason")
+
+
+def q_load_defaults(spark, sf):
+    """Raw rows built without a load time get one, the same for the whole load."""
+    good, _ = parse_envelope(E.forecast_documents(table(spark, sf, "events")).select("value", "raw_file_path"))
+    return W.build_raw(good).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("loaded_at_utc").alias("n_stamped"),
+        (F.min("loaded_at_utc") == F.max("loaded_at_utc")).alias("one_stamp"),
+    )
+
+
 def _earlier_load_cutoff():
     return F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
 
@@ -122,6 +156,7 @@ def q_idempotent_append(spark, sf):
         incoming.select("raw_file_path", "year", "month", "day", "city_slug", "week"),
         existing.select("raw_file_path", "year", "month", "day"),
         keys=["raw_file_path"],
+        order=[sort_spec("raw_file_path")],
         prune_on=["year", "month", "day"],
     )
     return inserted.select("raw_file_path", F.col("city_slug").alias("city"), F.col("week").alias("ingested_at_utc"))
@@ -141,7 +176,7 @@ def q_dimension_lookup(spark, sf):
         "c_custkey", F.concat(F.lit("  Nation_"), F.col("c_nationkey").cast("string"), F.lit(" ")).alias("requested")
     )
     nation = table(spark, sf, "nation").select("n_name", "n_nationkey", "n_regionkey")
-    matched, _ = lookup_dimension(cust, "requested", nation, "n_name", max_broadcast_rows=10_000)
+    matched, _ = lookup_dimension(cust, "requested", nation, "n_name")
     return matched.select("c_custkey", "requested", "n_nationkey", "n_regionkey")
 
 
@@ -152,30 +187,38 @@ def q_dimension_rejects(spark, sf):
         "s_suppkey", F.concat(F.lit("Nation_"), (F.col("s_nationkey") * 2).cast("string")).alias("requested")
     )
     nation = table(spark, sf, "nation").select("n_name", "n_nationkey")
-    _, rejects = lookup_dimension(sup, "requested", nation, "n_name", max_broadcast_rows=10_000)
+    _, rejects = lookup_dimension(sup, "requested", nation, "n_name")
     return rejects.select("s_suppkey", "requested")
 
 
-# ---------------------------------------------------------------- arrays
+def q_request_plan(spark, sf):
+    """The request of every customer whose nation stands for a supported city."""
+    names = ["Prague", " vienna ", "BERLIN", "Warsaw", "budapest\u0020", "Atlantis"]
+    name = F.element_at(F.array(*map(F.lit, names)), (F.col("c_nationkey") % len(names) + 1).cast("int"))
+    plan, _ = request_plan(table(spark, sf, "customer").select("c_custkey", name.alias("requested")), "requested", city_dimension(spark))
+    return plan.select("c_custkey", "requested", "latitude", "longitude", "current", "daily", "timezone", "forecast_days")
 
-LINE_CHUNK = 8
 
+# ---------------------------------------------------------------- arrays
 
-def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK, max_group_rows: int | None = 5_000_000) -> DataFrame:
-    """Per-order VARIANT documents with parallel line arrays, at most ``chunk`` lines each.
+def line_documents_of(lineitem: DataFrame, lines_per_document: int = 100) -> DataFrame:
+    """Per-order VARIANT documents with parallel line arrays, ``lines_per_document`` lines each at most.
 
-    Line positions come from ``row_positions`` per order (a window, or a
-    global sort when one order is huge), and a document is cut every
-    ``chunk`` lines, so no document grows with the size of an order.
+    An order longer than that has several documents, so no document grows with
+    an order; ``is_last`` marks an order's last one. The size shows in no
+    answer: lines carry their position in the order.
     """
     lines = row_positions(
         lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
-        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pos", max_group_rows=max_group_rows,
+        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pos",
     )
-    lines = lines.withColumn("chunk", F.floor((F.col("pos") - 1) / chunk).cast("int"))
-    docs = lines.groupBy("l_orderkey", "chunk").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))).alias("ls")
+    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    part = F.floor((F.col("pos") - 1) / lines_per_document).cast("int")
+    docs = lines.withColumn("part", part).groupBy("l_orderkey", "part").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))).alias("ls"),
+        F.max("pos").alias("last_pos"),
     )
+    docs = docs.join(sizes, "l_orderkey")
     body = F.struct(
         F.col("l_orderkey").alias("order"),
         F.struct(
@@ -188,13 +231,14 @@ def _line_documents(lineitem: DataFrame, chunk: int = LINE_CHUNK, max_group_rows
             F.transform("ls.l_shipdate", lambda d: F.date_format(d, "yyyy-MM-dd")).alias("shipdate"),
         ).alias("lines"),
     )
-    return docs.select("l_orderkey", F.to_variant_object(body).alias("doc"))
+    return docs.select("l_orderkey", (F.col("last_pos") == F.col("n_lines")).alias("is_last"), F.to_variant_object(body).alias("doc"))
 
 
-def _explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:
+def explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:
+    """One row per line; with ``ragged`` the ship dates of every order lack its last element."""
     ship = json_array("doc", "lines.shipdate")
     if ragged:
-        ship = F.slice(ship, 1, F.size(ship) - 1)
+        ship = F.when(F.col("is_last"), F.slice(ship, 1, F.size(ship) - 1)).otherwise(ship)
     rows = explode_aligned(
         docs,
         {
@@ -216,15 +260,15 @@ def _explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:
 
 def line_documents(spark, sf) -> DataFrame:
     """The per-order line documents, written once per version of ``lineitem``."""
-    return materialize(spark, "lineitem_documents", [table_path(sf, "lineitem")], lambda: _line_documents(table(spark, sf, "lineitem")))
+    return materialize(spark, "lineitem_documents", [table_path(sf, "lineitem")], lambda: line_documents_of(table(spark, sf, "lineitem")))
 
 
 def q_parallel_arrays(spark, sf):
-    return _explode_lines(line_documents(spark, sf), ragged=False)
+    return explode_lines(line_documents(spark, sf), ragged=False)
 
 
 def q_ragged_arrays(spark, sf):
-    return _explode_lines(line_documents(spark, sf), ragged=True)
+    return explode_lines(line_documents(spark, sf), ragged=True)
 
 
 # ---------------------------------------------------------------- staging / mart (events mapping)
@@ -234,13 +278,11 @@ STAGING_DAILY_COLS = ["raw_file_path", "city", "forecast_date", "temperature_max
 
 
 def q_staging_current(spark, sf):
-    raw = layers(spark, sf)["raw"]
-    return W.build_staging_current(raw).select(*STAGING_CURRENT_COLS)
+    return W.build_staging_current(layer(spark, sf, "raw")).select(*STAGING_CURRENT_COLS)
 
 
 def q_staging_daily(spark, sf):
-    raw = layers(spark, sf)["raw"]
-    return W.build_staging_daily(raw).select(*STAGING_DAILY_COLS)
+    return W.build_staging_daily(layer(spark, sf, "raw")).select(*STAGING_DAILY_COLS)
 
 
 def q_latest_per_key(spark, sf):
@@ -250,43 +292,102 @@ def q_latest_per_key(spark, sf):
 
 
 def q_mart_current(spark, sf):
-    return W.build_mart_current(layers(spark, sf)["staging_current"]).select(*W.MART_CURRENT_COLS)
+    return W.build_mart_current(layer(spark, sf, "staging_current")).select(*W.MART_CURRENT_COLS)
 
 
 def q_latest_snapshot(spark, sf):
-    daily = layers(spark, sf)["staging_daily"]
+    daily = layer(spark, sf, "staging_daily")
     rows = latest_snapshot(daily, ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
     return rows.select("city", "forecast_date", "temperature_max_c", "temperature_min_c", "precipitation_mm", "source_ingested_at_utc")
 
 
 def q_daily_summary(spark, sf):
-    return W.build_daily_summary(layers(spark, sf)["staging_daily"]).select(*W.DAILY_SUMMARY_COLS)
+    return W.build_daily_summary(layer(spark, sf, "staging_daily")).select(*W.DAILY_SUMMARY_COLS)
 
 
 def q_rank_per_day(spark, sf):
-    return W.build_rankings(layers(spark, sf)["daily_summary"]).select(*W.RANKING_COLS)
+    return W.build_rankings(layer(spark, sf, "daily_summary")).select(*W.RANKING_COLS)
+
+
+def q_staging_repeated_dates(spark, sf):
+    """Documents that list a date twice: the first position counts."""
+    good, _ = parse_envelope(E.forecast_documents(table(spark, sf, "events"), repeat_first_day=True).select("value", "raw_file_path"))
+    return W.build_staging_daily(W.build_raw(good, _at())).select(*STAGING_DAILY_COLS)
+
+
+def q_latest_tied(spark, sf):
+    """Two documents of one ingestion time for every even user: the later path counts."""
+    daily = layer(spark, sf, "staging_daily")
+    even = F.regexp_extract("city", "([0-9]+)", 1).cast("bigint") % 2 == 0
+    second = daily.where(even).withColumns({
+        "raw_file_path": F.regexp_replace("raw_file_path", "[.]json$", "_2.json"),
+        "temperature_max_c": (F.col("temperature_max_c") + 1).cast("decimal(6,2)"),
+    })
+    rows = latest_snapshot(daily.unionByName(second), ["city"], "source_ingested_at_utc", ["forecast_date"], W.latest_order())
+    return rows.select("city", "forecast_date", "temperature_max_c", "temperature_min_c", "source_ingested_at_utc")
+
+
+def q_rank_per_day_nulls(spark, sf):
+    """Ranks where every ninth user has no maximum: NULL ranks first, ties by name."""
+    ninth = F.regexp_extract("city", "([0-9]+)", 1).cast("bigint") % 9 == 0
+    daily = layer(spark, sf, "daily_summary")
+    return W.build_rankings(daily.withColumn("temperature_max_c", F.when(~ninth, F.col("temperature_max_c")))).select(*W.RANKING_COLS)
 
 
 def q_rolling_metrics(spark, sf):
-    return W.build_rolling(layers(spark, sf)["daily_summary"]).select(*W.ROLLING_COLS)
+    return W.build_rolling(layer(spark, sf, "daily_summary")).select(*W.ROLLING_COLS)
 
 
 def q_rolling_history(spark, sf):
     """Rolling metrics over every staged day (all snapshots), so date gaps occur."""
-    daily = layers(spark, sf)["staging_daily"]
+    daily = layer(spark, sf, "staging_daily")
     per_day = latest_per_key(daily, ["city", "forecast_date"], W.latest_order())
     return W.rolling_metrics(W.summarize_daily(per_day))
 
 
 # ---------------------------------------------------------------- quality
 
-def _city_count(events: DataFrame) -> int:
-    return int(events.agg(F.countDistinct("user_id")).first()[0])
+def _city_count(events: DataFrame) -> DataFrame:
+    """The number of expected entities, as one row."""
+    return events.agg(F.countDistinct("user_id").alias("cities"))
 
 
 def q_dq_checks(spark, sf):
-    ev = table(spark, sf, "events")
-    return Q.collect_checks(mart_set(spark, sf), city_count=_city_count(ev), forecast_days=7)
+    return Q.collect_checks(mart_set(spark, sf), _city_count(table(spark, sf, "events")), forecast_days=7)
+
+
+def spoiled_marts(spark, sf) -> dict[str, DataFrame]:
+    """The marts with faults that every check must count, chosen by entity number."""
+    marts = mart_set(spark, sf)
+    n = F.regexp_extract("city", "([0-9]+)", 1).cast("bigint")
+    daily = marts["daily_city_weather_summary"]
+    spoiled = daily.withColumns({
+        "precipitation_mm": F.when(n % 7 == 0, F.lit(None)).when(n % 11 == 0, F.col("precipitation_mm") - 1000).otherwise(F.col("precipitation_mm")),
+        "temperature_max_c": F.when(n % 5 == 0, F.lit(95).cast("decimal(6,2)")).when(n % 13 == 0, F.col("temperature_min_c") - 1).otherwise(F.col("temperature_max_c")),
+    })
+    return {
+        **marts,
+        "city_current_weather": marts["city_current_weather"].withColumn("current_time_utc", F.when(n % 3 == 0, F.lit(None)).otherwise(F.col("current_time_utc"))),
+        "daily_city_weather_summary": spoiled.unionByName(daily.where(n % 17 == 0)),
+        "daily_temperature_rankings": marts["daily_temperature_rankings"].where("max_temperature_rank > 1"),
+    }
+
+
+def q_dq_spoiled(spark, sf):
+    return Q.collect_checks(spoiled_marts(spark, sf), _city_count(table(spark, sf, "events")), forecast_days=7)
+
+
+def q_quality_document(spark, sf):
+    """The quality payload over the spoiled marts, one row per item next to its status and summary."""
+    doc = Q.quality_document(spoiled_marts(spark, sf), _city_count(table(spark, sf, "events")))
+    return doc.select("status", "summary.*", F.posexplode("items").alias("item", "i")).select("status", "passed", "failed", "total", "item", F.col("i.name").alias("name"), F.col("i.issue_count").alias("issue_count"))
+
+
+def q_readiness(spark, sf):
+    """Readiness of the marts, and of the marts without their rankings."""
+    marts = mart_set(spark, sf)
+    bare = {**marts, "daily_temperature_rankings": marts["daily_temperature_rankings"].where("max_temperature_rank < 0")}
+    return V.readiness(marts).select(F.lit("marts").alias("of"), "ready").unionByName(V.readiness(bare).select(F.lit("without rankings").alias("of"), "ready"))
 
 
 def q_dq_summary(spark, sf):
@@ -294,21 +395,28 @@ def q_dq_summary(spark, sf):
 
 
 def q_dq_driver_tables(spark, sf):
-    """The generic check builders applied to supplier and customer."""
-    sup = table(spark, sf, "supplier")
-    cust = table(spark, sf, "customer")
-    sup_rows, _ = Q.row_checks(sup, [
-        Q.RowRule("supplier_nulls", "Supplier key, name and nation should not be null.", Q.any_null(["s_suppkey", "s_name", "s_nationkey"])),
-        Q.RowRule("supplier_negative_balance", "Supplier account balance should not be negative.", F.col("s_acctbal") < 0),
-        Q.RowRule("supplier_nation_range", "Supplier nation key should lie in 0..24.", Q.not_between("s_nationkey", 0, 24)),
-    ], first_order=1)
-    cust_rows, _ = Q.row_checks(cust, [
-        Q.RowRule("customer_negative_balance", "Customer account balance should not be negative.", F.col("c_acctbal") < 0),
-        Q.RowRule("customer_balance_range", "Customer balance should lie in -1000..9000.", Q.not_between("c_acctbal", -1000, 9000)),
-    ], first_order=4)
-    dup = Q.duplicate_check(cust, ["c_name"], 6, "customer_duplicate_names", "Customer names should be unique.")
-    cnt = Q.row_count_check(table(spark, sf, "nation"), 25, 7, "nation_row_count", "Nation table should hold 25 rows.")
-    return sup_rows.unionByName(cust_rows).unionByName(dup).unionByName(cnt).select(*Q.RESULT_COLS)
+    """The generic check builders applied to supplier, customer and nation: one scan each."""
+    counters = [
+        Q.table_counters(table(spark, sf, "supplier"), "supplier", {
+            "supplier_nulls": Q.any_null(["s_suppkey", "s_name", "s_nationkey"]),
+            "supplier_negative": F.col("s_acctbal") < 0,
+            "supplier_nation": Q.not_between("s_nationkey", 0, 24),
+        }),
+        Q.table_counters(table(spark, sf, "customer"), "customer", {
+            "customer_negative": F.col("c_acctbal") < 0,
+            "customer_range": Q.not_between("c_acctbal", -1000, 9000),
+        }, unique=["c_name"]),
+        Q.table_counters(table(spark, sf, "nation"), "nation"),
+    ]
+    return Q.check_rows(counters, [
+        Q.Check("supplier_nulls", "Supplier key, name and nation should not be null.", F.col("supplier_nulls")),
+        Q.Check("supplier_negative_balance", "Supplier account balance should not be negative.", F.col("supplier_negative")),
+        Q.Check("supplier_nation_range", "Supplier nation key should lie in 0..24.", F.col("supplier_nation")),
+        Q.Check("customer_negative_balance", "Customer account balance should not be negative.", F.col("customer_negative")),
+        Q.Check("customer_balance_range", "Customer balance should lie in -1000..9000.", F.col("customer_range")),
+        Q.Check("customer_duplicate_names", "Customer names should be unique.", F.col("customer_duplicates")),
+        Q.Check("nation_row_count", "Nation table should hold 25 rows.", Q.is_not("nation_rows", F.lit(25))),
+    ])
 
 
 # ---------------------------------------------------------------- contracts
@@ -323,17 +431,24 @@ def q_contract_unique(spark, sf):
 
 
 def q_contract_fk(spark, sf):
+    """Foreign keys as they should hold, and against parents that lack rows, so orphans are counted too."""
     t = lambda n: table(spark, sf, n)
-    lay = layers(spark, sf)
+    raw, current, daily = (layer(spark, sf, n) for n in ("raw", "staging_current", "staging_daily"))
+    early = raw.where(F.col("ingested_at_utc") < F.lit("2024-01-15 00:00:00").cast("timestamp"))
     return K.contract_summary({
         "lineitem_orders": K.fk_violation_count(t("lineitem"), t("orders"), ["l_orderkey"], ["o_orderkey"]),
+        "lineitem_open_orders": K.fk_violation_count(t("lineitem"), t("orders").where("o_orderstatus <> 'F'"), ["l_orderkey"], ["o_orderkey"]),
         "lineitem_part": K.fk_violation_count(t("lineitem"), t("part"), ["l_partkey"], ["p_partkey"]),
+        "lineitem_odd_part": K.fk_violation_count(t("lineitem"), t("part").where("p_partkey % 2 = 1"), ["l_partkey"], ["p_partkey"]),
         "lineitem_supplier": K.fk_violation_count(t("lineitem"), t("supplier"), ["l_suppkey"], ["s_suppkey"]),
         "orders_customer": K.fk_violation_count(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
+        "orders_solvent_customer": K.fk_violation_count(t("orders"), t("customer").where("c_acctbal >= 0"), ["o_custkey"], ["c_custkey"]),
         "customer_nation": K.fk_violation_count(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
+        "documents_labels": K.fk_violation_count(t("documents"), t("labels"), ["doc_id"], ["doc_id"]),
         "labels_documents": K.fk_violation_count(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
-        "staging_current_raw": K.fk_violation_count(lay["staging_current"], lay["raw"], ["raw_file_path"]),
-        "staging_daily_raw": K.fk_violation_count(lay["staging_daily"], lay["raw"], ["raw_file_path"]),
+        "staging_current_raw": K.fk_violation_count(current, raw, ["raw_file_path"]),
+        "staging_daily_raw": K.fk_violation_count(daily, raw, ["raw_file_path"]),
+        "staging_daily_early_raw": K.fk_violation_count(daily, early, ["raw_file_path"]),
     })
 
 
@@ -358,23 +473,84 @@ def q_overview(spark, sf):
 
 
 def q_view_current(spark, sf):
-    return V.view_current(mart_set(spark, sf)["city_current_weather"])
+    return V.view_current(layer(spark, sf, "mart_current"))
 
 
 def q_view_daily(spark, sf):
-    return V.view_daily(mart_set(spark, sf)["daily_city_weather_summary"])
+    return V.view_daily(layer(spark, sf, "daily_summary"))
 
 
 def q_view_rankings(spark, sf):
-    return V.view_rankings(mart_set(spark, sf)["daily_temperature_rankings"])
+    return V.view_rankings(layer(spark, sf, "rankings"))
 
 
 def q_view_rolling(spark, sf):
-    return V.view_rolling(mart_set(spark, sf)["city_rolling_3day_metrics"])
+    return V.view_rolling(layer(spark, sf, "rolling"))
 
 
 def q_view_json(spark, sf):
-    return V.iso_strings(V.view_current(mart_set(spark, sf)["city_current_weather"]))
+    return V.iso_strings(V.view_current(layer(spark, sf, "mart_current")))
+
+
+# ---------------------------------------------------------------- files end to end
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return shared_dir(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _land(events: DataFrame, landing: str, before: str | None = None) -> None:
+    if before is not None:
+        events = events.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    write_raw_documents(E.forecast_documents(events), landing, source_dir=E.EVENTS_SOURCE)
+
+
+def _without_k(events: DataFrame, week: str) -> DataFrame:
+    """The events, those of one week without ``k`` for every tenth user who has later ones:
+    the documents of that week break NOT NULL while they are a user's newest."""
+    later = events.where(F.col("ts") >= F.lit(week).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS")).select("user_id").distinct().withColumn("later", F.lit(True))
+    bad = F.col("later") & (F.date_trunc("week", "ts") == F.lit(week).cast("timestamp")) & (F.col("user_id") % 10 == 0)
+    return events.join(later, "user_id", "left").withColumn("props", F.when(bad, "{}").otherwise(F.col("props"))).drop("later")
+
+
+def q_full_refresh(spark, sf):
+    """Three refreshes over landed documents: a good one, one that a NULL fails at publish, and
+    one with newer documents that mend it. Reads the published summary."""
+    root = _scratch(spark, "full_refresh")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = table(spark, sf, "events")
+
+    def refresh(day: int) -> dict:
+        return refresh_all(spark, landing, warehouse, city_count=0, run_at=dt.datetime(2024, 2, day), source_dir=E.EVENTS_SOURCE)
+
+    _land(ev, landing, before="2024-01-08 00:00:00")
+    refresh(1)
+    _land(_without_k(ev, "2024-01-08 00:00:00"), landing, before="2024-01-15 00:00:00")
+    try:
+        refresh(2)
+    except PySparkException as exc:
+        if "NOT NULL violated" not in str(exc):
+            raise
+    _land(ev, landing)
+    return refresh(3)["marts"]["daily_city_weather_summary"].select(*W.DAILY_SUMMARY_COLS)
+
+
+def q_incremental_ingest(spark, sf):
+    """Documents landed, landed again in a longer version before they are loaded, and replayed
+    in full afterwards: raw holds, of each path, what had landed last at its first load."""
+    root = _scratch(spark, "incremental")
+    landing, wh, ck = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
+    ev = table(spark, sf, "events")
+    _land(ev, landing, before="2024-01-10 00:00:00")
+    _land(ev, landing, before="2024-01-17 00:00:00")
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2024, 1, 17), source_dir=E.EVENTS_SOURCE, packed=True)
+    _land(ev, landing)
+    ingest_available(spark, landing, wh, ck, run_at=dt.datetime(2024, 2, 1), source_dir=E.EVENTS_SOURCE, packed=True)
+    raw = read_table(spark, wh, RAW_TABLE)
+    return raw.select(
+        "raw_file_path", "source", "city", "ingested_at_utc",
+        json_text("payload", [*W.CURRENT_PATH, "temperature_2m"]).cast("decimal(6,2)").alias("temperature"),
+        F.size(json_array("payload", [*W.DAILY_PATH, "time"])).alias("n_days"),
+    )
 
 
 QUERIES = {
@@ -410,42 +586,15 @@ QUERIES = {
     "view_rankings": q_view_rankings,
     "view_rolling": q_view_rolling,
     "view_json": q_view_json,
+    "envelope_contract": q_envelope_contract,
+    "load_defaults": q_load_defaults,
+    "request_plan": q_request_plan,
+    "staging_repeated_dates": q_staging_repeated_dates,
+    "latest_tied": q_latest_tied,
+    "rank_per_day_nulls": q_rank_per_day_nulls,
+    "dq_spoiled": q_dq_spoiled,
+    "quality_document": q_quality_document,
+    "readiness": q_readiness,
+    "full_refresh": q_full_refresh,
+    "incremental_ingest": q_incremental_ingest,
 }
-
-
-# ---------------------------------------------------------------- files end to end
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    return shared_dir(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
-
-
-def _land_event_documents(spark, sf, landing: str, before=None) -> None:
-    ev = table(spark, sf, "events")
-    if before is not None:
-        ev = ev.where(F.col("ts") < before)
-    write_raw_documents(E.forecast_documents(ev), landing, source_dir=E.EVENTS_SOURCE)
-
-
-def q_full_refresh(spark, sf):
-    """Write the event documents as files, run the whole refresh, read the published summary."""
-    root = _scratch(spark, "full_refresh")
-    _land_event_documents(spark, sf, f"{root}/landing")
-    ev = table(spark, sf, "events")
-    res = refresh_all(spark, f"{root}/landing", f"{root}/warehouse", city_count=_city_count(ev), run_at=dt.datetime(2024, 2, 1), source_dir=E.EVENTS_SOURCE)
-    return res["marts"]["daily_city_weather_summary"].select(*W.DAILY_SUMMARY_COLS)
-
-
-def q_incremental_ingest(spark, sf):
-    """Two landing runs (an earlier partial one, then a full replay) through the streaming loader."""
-    root = _scratch(spark, "incremental")
-    landing, wh, ck = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
-    _land_event_documents(spark, sf, landing, before=_earlier_load_cutoff())
-    ingest_available(spark, landing, wh, ck, loaded_at="2024-01-15 00:00:00", source_dir=E.EVENTS_SOURCE)
-    _land_event_documents(spark, sf, landing)
-    ingest_available(spark, landing, wh, ck, loaded_at="2024-02-01 00:00:00", source_dir=E.EVENTS_SOURCE)
-    raw = spark.read.parquet(f"{wh}/{RAW_TABLE}")
-    return raw.select("raw_file_path", "source", "city", "ingested_at_utc")
-
-
-QUERIES["full_refresh"] = q_full_refresh
-QUERIES["incremental_ingest"] = q_incremental_ingest

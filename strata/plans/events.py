@@ -33,8 +33,12 @@ def k_of(props: str | Column = "props") -> Column:
     return F.get_json_object(c, "$.k").cast("decimal(8,2)")
 
 
-def forecast_documents(events: DataFrame) -> DataFrame:
-    """``value`` (JSON envelope) plus landing partition columns and ``raw_file_path``."""
+def forecast_documents(events: DataFrame, repeat_first_day: bool = False) -> DataFrame:
+    """``value`` (JSON envelope) plus landing partition columns and ``raw_file_path``.
+
+    ``repeat_first_day`` lists each document's first day again at its end, warmer
+    by one degree, as a source that repeats a date would.
+    """
     ev = events.select(
         "user_id",
         "event_id",
@@ -63,6 +67,9 @@ def forecast_documents(events: DataFrame) -> DataFrame:
         ).alias("last"),
         F.struct(F.min_by("first_value", "first_key").alias("value")).alias("first"),
     )
+    if repeat_first_day:
+        again = F.transform(F.slice("days", 1, 1), lambda d: F.struct(d["day"].alias("day"), (d["tmax"] + 1).alias("tmax"), d["tmin"].alias("tmin"), d["kmin"].alias("kmin")))
+        weekly = weekly.withColumn("days", F.concat("days", again))
     city = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
     payload = F.struct(
         city.alias("city"),

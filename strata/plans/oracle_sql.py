@@ -94,28 +94,28 @@ def _with(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body
 
 
-def _checks_sql() -> str:
+def _checks_sql(current: str = "mart_current", daily: str = "summary", rankings: str = "rankings") -> str:
     n = [name for name, _ in MART_CHECKS]
     d = [desc.replace("'", "''") for _, desc in MART_CHECKS]
     body = f"""
 , counts AS (
   SELECT (SELECT count(DISTINCT user_id) FROM events) AS cities,
-         (SELECT count(*) FROM mart_current) AS cur_rows,
-         (SELECT count(*) FROM summary) AS daily_rows,
-         (SELECT count(*) FROM rankings) AS rank_rows,
+         (SELECT count(*) FROM {current}) AS cur_rows,
+         (SELECT count(*) FROM {daily}) AS daily_rows,
+         (SELECT count(*) FROM {rankings}) AS rank_rows,
          (SELECT count(*) FROM rolling) AS roll_rows
 ), checks AS (
   SELECT 1 AS check_order, '{n[0]}' AS name, '{d[0]}' AS description,
-    (SELECT count(*) FROM mart_current WHERE city IS NULL OR current_time_utc IS NULL OR source_ingested_at_utc IS NULL) AS issue_count
+    (SELECT count(*) FROM {current} WHERE city IS NULL OR current_time_utc IS NULL OR source_ingested_at_utc IS NULL) AS issue_count
   UNION ALL SELECT 2, '{n[1]}', '{d[1]}',
-    (SELECT count(*) FROM summary WHERE city IS NULL OR forecast_date IS NULL OR temperature_max_c IS NULL
+    (SELECT count(*) FROM {daily} WHERE city IS NULL OR forecast_date IS NULL OR temperature_max_c IS NULL
        OR temperature_min_c IS NULL OR precipitation_mm IS NULL OR source_ingested_at_utc IS NULL)
   UNION ALL SELECT 3, '{n[2]}', '{d[2]}',
-    (SELECT count(*) FROM (SELECT city, forecast_date FROM summary GROUP BY ALL HAVING count(*) > 1))
+    (SELECT count(*) FROM (SELECT city, forecast_date FROM {daily} GROUP BY ALL HAVING count(*) > 1))
   UNION ALL SELECT 4, '{n[3]}', '{d[3]}',
-    (SELECT count(*) FROM summary WHERE temperature_max_c < temperature_min_c
+    (SELECT count(*) FROM {daily} WHERE temperature_max_c < temperature_min_c
        OR temperature_max_c NOT BETWEEN -80 AND 80 OR temperature_min_c NOT BETWEEN -80 AND 80)
-  UNION ALL SELECT 5, '{n[4]}', '{d[4]}', (SELECT count(*) FROM summary WHERE precipitation_mm < 0)
+  UNION ALL SELECT 5, '{n[4]}', '{d[4]}', (SELECT count(*) FROM {daily} WHERE precipitation_mm < 0)
   UNION ALL SELECT 6, '{n[5]}', '{d[5]}', (SELECT CASE WHEN cur_rows = cities THEN 0 ELSE 1 END FROM counts)
   UNION ALL SELECT 7, '{n[6]}', '{d[6]}', (SELECT CASE WHEN daily_rows = cities * 7 THEN 0 ELSE 1 END FROM counts)
   UNION ALL SELECT 8, '{n[7]}', '{d[7]}', (SELECT CASE WHEN rank_rows = cities * 7 THEN 0 ELSE 1 END FROM counts)
@@ -126,6 +126,22 @@ def _checks_sql() -> str:
 
 CHECKS = MARTS + _checks_sql()
 
+# The marts with faults by user number, as the spoiled queries make them.
+SPOILED = MARTS + """,
+numbered AS (SELECT *, CAST(replace(city, 'user_', '') AS BIGINT) AS n FROM summary),
+bad_summary AS (
+  SELECT city, forecast_date,
+    CASE WHEN n % 5 = 0 THEN 95 WHEN n % 13 = 0 THEN temperature_min_c - 1 ELSE temperature_max_c END AS temperature_max_c, temperature_min_c,
+    CASE WHEN n % 7 = 0 THEN NULL WHEN n % 11 = 0 THEN precipitation_mm - 1000 ELSE precipitation_mm END AS precipitation_mm, source_ingested_at_utc
+  FROM numbered
+  UNION ALL SELECT city, forecast_date, temperature_max_c, temperature_min_c, precipitation_mm, source_ingested_at_utc FROM numbered WHERE n % 17 = 0
+),
+bad_current AS (
+  SELECT city, CASE WHEN CAST(replace(city, 'user_', '') AS BIGINT) % 3 <> 0 THEN current_time_utc END AS current_time_utc, source_ingested_at_utc FROM mart_current
+),
+bad_rankings AS (SELECT * FROM rankings WHERE max_temperature_rank > 1)""" + _checks_sql("bad_current", "bad_summary", "bad_rankings")
+CHECK_ROWS = "SELECT check_order, name, description, CAST(issue_count AS BIGINT) AS issue_count, issue_count = 0 AS passed FROM checks"
+
 LINES = """
 lines AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos,
@@ -172,7 +188,7 @@ FROM lines"""),
     "ragged_arrays": _with(LINES, """
 SELECT l_orderkey, pos, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS l_shipdate
 FROM lines
-WHERE pos <> least(((pos - 1) // 8) * 8 + 8, n)"""),
+WHERE pos < n"""),
     "staging_current": _with(STAGING, "SELECT * FROM stg_current"),
     "staging_daily": _with(STAGING, "SELECT * FROM stg_daily"),
     "latest_per_key": """
@@ -198,7 +214,50 @@ SELECT city, forecast_date, temperature_avg_c,
   CAST(sum(precipitation_mm) OVER w AS DECIMAL(8,2)) AS rolling_3day_precip_mm
 FROM hist
 WINDOW w AS (PARTITION BY city ORDER BY forecast_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""),
-    "dq_checks": _with(CHECKS, "SELECT check_order, name, description, CAST(issue_count AS BIGINT) AS issue_count, issue_count = 0 AS passed FROM checks"),
+    "dq_checks": _with(CHECKS, CHECK_ROWS),
+    "dq_spoiled": _with(SPOILED, CHECK_ROWS),
+    "quality_document": _with(SPOILED, """
+SELECT CASE WHEN bool_and(issue_count = 0) OVER () THEN 'pass' ELSE 'fail' END AS status,
+       CAST(count(*) FILTER (WHERE issue_count = 0) OVER () AS BIGINT) AS passed,
+       CAST(count(*) FILTER (WHERE issue_count <> 0) OVER () AS BIGINT) AS failed,
+       CAST(count(*) OVER () AS BIGINT) AS total,
+       check_order - 1 AS item, name, CAST(issue_count AS BIGINT) AS issue_count
+FROM checks"""),
+    "readiness": _with(MARTS, """
+SELECT 'marts' AS "of", (SELECT count(*) FROM mart_current) > 0 AND (SELECT count(*) FROM rankings) > 0 AND (SELECT count(*) FROM rolling) > 0 AS ready
+UNION ALL SELECT 'without rankings', false"""),
+    "envelope_contract": """
+SELECT doc_id, reject_reason FROM (
+  SELECT doc_id, CASE
+    WHEN doc_id % 13 = 0 THEN 'invalid JSON document'
+    WHEN doc_id % 7 = 0 OR doc_id % 5 = 0 OR doc_id % 11 = 0 THEN 'null keys ' || concat_ws(', ',
+      CASE WHEN doc_id % 7 = 0 THEN 'source' END, CASE WHEN doc_id % 5 = 0 THEN 'city' END, CASE WHEN doc_id % 11 = 0 THEN 'ingested_at_utc' END)
+    WHEN doc_id % 17 = 0 THEN 'unparseable ingested_at_utc' END AS reject_reason
+  FROM documents) WHERE reject_reason IS NOT NULL""",
+    "load_defaults": _with(DOCS, "SELECT count(*) AS n_rows, count(*) AS n_stamped, true AS one_stamp FROM docs"),
+    "request_plan": """
+SELECT c.c_custkey, c.requested, v.latitude, v.longitude,
+  'temperature_2m,relative_humidity_2m,wind_speed_10m' AS current,
+  'temperature_2m_max,temperature_2m_min,precipitation_sum' AS daily, 'UTC' AS timezone, 7 AS forecast_days
+FROM (SELECT c_custkey, CASE c_nationkey % 6 WHEN 0 THEN 'Prague' WHEN 1 THEN ' vienna ' WHEN 2 THEN 'BERLIN' WHEN 3 THEN 'Warsaw'
+        WHEN 4 THEN 'budapest ' ELSE 'Atlantis' END AS requested FROM customer) c
+JOIN (VALUES ('prague', 50.0755::DOUBLE, 14.4378::DOUBLE), ('vienna', 48.2082, 16.3738), ('berlin', 52.52, 13.405), ('warsaw', 52.2297, 21.0122),
+        ('budapest', 47.4979, 19.0402)) v(city, latitude, longitude) ON v.city = lower(trim(c.requested))""",
+    "staging_repeated_dates": _with(STAGING, "SELECT * FROM stg_daily"),
+    "latest_tied": _with(MARTS, """
+SELECT city, forecast_date,
+  CAST(temperature_max_c + CASE WHEN CAST(replace(city, 'user_', '') AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END AS DECIMAL(6,2)) AS temperature_max_c,
+  temperature_min_c, source_ingested_at_utc
+FROM latest"""),
+    "rank_per_day_nulls": _with(MARTS, """
+, holed AS (
+  SELECT forecast_date, city, CASE WHEN CAST(replace(city, 'user_', '') AS BIGINT) % 9 <> 0 THEN temperature_max_c END AS temperature_max_c,
+    temperature_avg_c, precipitation_mm
+  FROM summary
+)
+SELECT forecast_date, city, temperature_max_c, temperature_avg_c, precipitation_mm,
+  CAST(rank() OVER (PARTITION BY forecast_date ORDER BY temperature_max_c DESC NULLS FIRST, city ASC) AS BIGINT) AS max_temperature_rank
+FROM holed"""),
     "dq_summary": _with(CHECKS, """
 SELECT CAST(count(*) FILTER (WHERE issue_count = 0) AS BIGINT) AS passed,
        CAST(count(*) FILTER (WHERE issue_count <> 0) AS BIGINT) AS failed,
@@ -231,13 +290,18 @@ SELECT doc_id, 'toxic' AS "column" FROM documents d ANTI JOIN labels l USING (do
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
     "contract_fk": _with(STAGING, """
 SELECT 'lineitem_orders' AS contract, CAST((SELECT count(*) FROM lineitem ANTI JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey IS NOT NULL) AS BIGINT) AS violations
+UNION ALL SELECT 'lineitem_open_orders', (SELECT count(*) FROM lineitem ANTI JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') o ON l_orderkey = o_orderkey)
 UNION ALL SELECT 'lineitem_part', (SELECT count(*) FROM lineitem ANTI JOIN part ON l_partkey = p_partkey WHERE l_partkey IS NOT NULL)
+UNION ALL SELECT 'lineitem_odd_part', (SELECT count(*) FROM lineitem ANTI JOIN (SELECT * FROM part WHERE p_partkey % 2 = 1) p ON l_partkey = p_partkey)
 UNION ALL SELECT 'lineitem_supplier', (SELECT count(*) FROM lineitem ANTI JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey IS NOT NULL)
 UNION ALL SELECT 'orders_customer', (SELECT count(*) FROM orders ANTI JOIN customer ON o_custkey = c_custkey WHERE o_custkey IS NOT NULL)
+UNION ALL SELECT 'orders_solvent_customer', (SELECT count(*) FROM orders ANTI JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON o_custkey = c_custkey)
 UNION ALL SELECT 'customer_nation', (SELECT count(*) FROM customer ANTI JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey IS NOT NULL)
+UNION ALL SELECT 'documents_labels', (SELECT count(*) FROM documents d ANTI JOIN labels l ON l.doc_id = d.doc_id WHERE d.doc_id IS NOT NULL)
 UNION ALL SELECT 'labels_documents', (SELECT count(*) FROM labels l ANTI JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id IS NOT NULL)
 UNION ALL SELECT 'staging_current_raw', (SELECT count(*) FROM stg_current s ANTI JOIN docs d ON s.raw_file_path = d.raw_file_path)
-UNION ALL SELECT 'staging_daily_raw', (SELECT count(*) FROM stg_daily s ANTI JOIN docs d ON s.raw_file_path = d.raw_file_path)"""),
+UNION ALL SELECT 'staging_daily_raw', (SELECT count(*) FROM stg_daily s ANTI JOIN docs d ON s.raw_file_path = d.raw_file_path)
+UNION ALL SELECT 'staging_daily_early_raw', (SELECT count(*) FROM stg_daily s ANTI JOIN (SELECT * FROM docs WHERE week < TIMESTAMP '2024-01-15 00:00:00') d ON s.raw_file_path = d.raw_file_path)"""),
     "contract_cast": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c AS "column", v AS value FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'l_quantity' AS c, CAST(l_quantity AS VARCHAR) AS v, TRY_CAST(l_quantity AS DECIMAL(6,2)) IS NULL AND l_quantity IS NOT NULL AS bad FROM lineitem
@@ -252,7 +316,18 @@ SELECT CAST((SELECT count(*) FROM mart_current) AS BIGINT) AS current_city_count
        CAST((SELECT count(*) FROM rolling) AS BIGINT) AS rolling_row_count,
        (SELECT max(source_ingested_at_utc) FROM summary) AS latest_snapshot_at"""),
     "full_refresh": _with(MARTS, "SELECT * FROM summary"),
-    "incremental_ingest": _with(DOCS, "SELECT raw_file_path, 'events' AS source, city, week AS ingested_at_utc FROM docs"),
+    # A document's payload is what had landed last when its path was first loaded:
+    # events before 2024-01-17 where the week has any, else all of the week.
+    "incremental_ingest": _with(DOCS, """
+, seen AS (
+  SELECT *, min(ts) OVER (PARTITION BY user_id, week) < TIMESTAMP '2024-01-17 00:00:00' AS early FROM ev
+),
+loaded AS (
+  SELECT user_id, week, arg_max(value, (ts, event_id)) AS value, count(DISTINCT CAST(ts AS DATE)) AS n_days
+  FROM seen WHERE NOT early OR ts < TIMESTAMP '2024-01-17 00:00:00' GROUP BY user_id, week
+)
+SELECT d.raw_file_path, 'events' AS source, d.city, d.week AS ingested_at_utc, CAST(l.value AS DECIMAL(6,2)) AS temperature, CAST(l.n_days AS INTEGER) AS n_days
+FROM docs d JOIN loaded l USING (user_id, week)"""),
     "view_current": _with(MARTS, "SELECT * FROM mart_current ORDER BY city"),
     "view_daily": _with(MARTS, "SELECT * FROM summary ORDER BY forecast_date, city"),
     "view_rankings": _with(MARTS, "SELECT * FROM rankings ORDER BY forecast_date, max_temperature_rank, city"),

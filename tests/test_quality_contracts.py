@@ -15,37 +15,51 @@ def results(spark, rows):
     return spark.createDataFrame(rows, "check_order int, name string, description string, issue_count bigint, passed boolean")
 
 
-def test_summary_counts(spark):
-    r = results(spark, [(1, "a", "", 0, True), (2, "b", "", 0, True), (3, "c", "", 4, False)])
-    s = Q.summarize_checks(r).first()
-    assert (s.passed, s.failed, s.total, s.status) == (2, 1, 3, "fail")
-    with pytest.raises(RuntimeError, match="Data quality checks failed: c"):
-        Q.assert_checks(r)
+def test_roll_up_counts_and_names_what_failed(spark):
+    rows = [(1, "blanks", "", 7, False), (2, "ranges", "", 0, True), (3, "keys", "", 2, False), (4, "rows", "", 0, True), (5, "more rows", "", 1, False)]
+    roll = Q.summarize_checks(results(spark, rows)).first()
+    assert (roll.passed, roll.failed, roll.total, roll.status) == (2, 3, 5, "fail")
+    with pytest.raises(RuntimeError, match=r"3 of the quality checks found issues: blanks \(7\), keys \(2\), more rows \(1\)"):
+        Q.assert_checks(results(spark, rows))
 
 
-def test_expected_count_must_be_non_negative():
-    with pytest.raises(ValueError, match="non-negative"):
-        Q.expected_count(-1)
+def test_roll_up_of_checks_that_all_pass_and_of_none(spark):
+    good = results(spark, [(1, "blanks", "", 0, True)])
+    assert tuple(Q.summarize_checks(good).first()) == (1, 0, 1, "pass")
+    Q.assert_checks(good)
+    assert tuple(Q.summarize_checks(good.limit(0)).first()) == (0, 0, 0, "pass")
 
 
-def test_quality_payload_not_ready_on_empty(spark):
-    empty = spark.createDataFrame([], "city string, current_time_utc timestamp, source_ingested_at_utc timestamp")
-    marts = {"city_current_weather": empty}
-    assert Q.quality_payload(spark, marts, 5) == {"status": "not_ready", "summary": {"passed": 0, "failed": 0, "total": 0}, "items": []}
+def test_no_table_holds_a_negative_number_of_rows():
+    assert Q.expected_count(0) == 0
+    with pytest.raises(ValueError, match="-3 rows"):
+        Q.expected_count(-3)
+
+
+def test_quality_document_without_current_rows(spark):
+    marts = {
+        "city_current_weather": spark.createDataFrame([], "city string, current_time_utc timestamp, source_ingested_at_utc timestamp"),
+        "daily_city_weather_summary": spark.createDataFrame([], "city string, forecast_date date, temperature_max_c decimal(6,2), temperature_min_c decimal(6,2), precipitation_mm decimal(8,2), source_ingested_at_utc timestamp"),
+        "daily_temperature_rankings": spark.range(0), "city_rolling_3day_metrics": spark.range(0),
+    }
+    assert Q.quality_payload(marts, 2) == {"status": "not_ready", "summary": {"passed": 0, "failed": 0, "total": 0}, "items": []}
 
 
 def test_range_rules_ignore_nulls(spark):
     df = spark.createDataFrame([(Decimal("10.00"), Decimal("20.00")), (None, Decimal("1.00")), (Decimal("81.00"), Decimal("0.00"))],
                                "mx decimal(6,2), mn decimal(6,2)")
-    rows, _ = Q.row_checks(df, [Q.RowRule("r", "", (F.col("mx") < F.col("mn")) | Q.not_between("mx", -80, 80))])
+    rows = Q.row_checks(df, [Q.RowRule("r", "", (F.col("mx") < F.col("mn")) | Q.not_between("mx", -80, 80))])
     assert rows.first().issue_count == 2
 
 
-def test_duplicates_and_row_count(spark):
+def test_counters_of_one_scan(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 1), ("c", 2)], "k string, d int")
-    assert Q.duplicate_check(df, ["k", "d"], 1, "dup", "").first().issue_count == 2
-    assert Q.row_count_check(df, 5, 1, "n", "").first().issue_count == 0
-    assert Q.row_count_check(df, 4, 1, "n", "").first().issue_count == 1
+    one = Q.table_counters(df, "t", {"twos": F.col("d") == 2}, unique=["k", "d"])
+    assert one.first().asDict() == {"t_rows": 5, "t_duplicates": 2, "twos": 1}
+    assert one._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") <= 2  # one in each of the two plans shown
+    assert Q.table_counters(df.limit(0), "t", {"twos": F.col("d") == 2}, unique=["k"]).first().asDict() == {"t_rows": 0, "t_duplicates": 0, "twos": 0}
+    checks = [Q.Check("rows", "", Q.is_not("t_rows", F.lit(5))), Q.Check("more", "", Q.is_not("t_rows", F.lit(4))), Q.Check("twos", "", F.col("twos"))]
+    assert [(r.check_order, r.name, r.issue_count, r.passed) for r in Q.check_rows([one], checks).collect()] == [(1, "rows", 0, True), (2, "more", 1, False), (3, "twos", 1, False)]
 
 
 def test_contracts(spark):

@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from strata.plans.catalog import QUERIES, layers, line_documents  # noqa: E402
+from strata.plans.catalog import LAYERS, QUERIES, layer, line_documents  # noqa: E402
 from strata.session import get_session  # noqa: E402
 
 HEADLINE = ["raw_envelope", "staging_daily", "latest_per_key", "daily_summary", "rank_per_day", "rolling_metrics",
@@ -31,7 +31,8 @@ def tree(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", 16)
-    layers(spark, sf)
+    for name in LAYERS:
+        layer(spark, sf, name)
     line_documents(spark, sf)
     out = ["# Physical plans (sf0.1, local[8])", "",
            "Generated by `tools/plan_report.py`: the plan each headline query starts",
