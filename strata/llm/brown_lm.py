@@ -180,7 +180,8 @@ def exchange_clusters(pairs: np.ndarray, n_classes: int, sweeps: int = SWEEPS) -
             table[a] -= after
             table[:, a] -= before
             table[a, a] -= own
-            left, right = table.sum(1), table.sum(0)
+            # Tokens of each class without w, whose pairs with w stay.
+            left, right = table.sum(1) + before, table.sum(0) + after
             base = _xlogx(table)
             diagonal = np.diagonal(table)
             gain = (_xlogx(table + after) - base).sum(1) + (_xlogx(table + before[:, None]) - base).sum(0)
@@ -268,7 +269,7 @@ def _score_rows(docs: DataFrame, vocabulary: Vocabulary, model: ClassModel, ends
                     per + 1, np.bincount(doc, known, n) + (ends > 0), np.bincount(doc, other, n),
                     np.bincount(doc, log, n) + np.log10(ends + 0.5), np.bincount(doc, log * other, n), np.bincount(ends_at, steps, n),
                 ]
-                parts = pa.StructArray.from_arrays([pa.array(p.astype(np.int64) if k < 3 else p) for k, p in enumerate(parts)], fields=list(to_arrow))
+                parts = pa.StructArray.from_arrays([pa.array(p.astype(np.int64 if k < 3 else np.float64)) for k, p in enumerate(parts)], fields=list(to_arrow))
                 rows = row + np.arange(n)
                 here = keys.slice(lo, n)
                 # A text's own row goes where its number sends it, not to one place.
