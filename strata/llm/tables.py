@@ -37,13 +37,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession, df: DataFrame) -> None:
-    """Delete what ``written`` made, once nothing reads it any more."""
-    for f in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
     """The columns that text operators need, whatever else the table holds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
