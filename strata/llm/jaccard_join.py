@@ -20,6 +20,11 @@ level. The order changes only the cost. The steps:
    components, if sizes and positions leave room for the overlap. Verified
    links are added. Pairs within one component need no look: they change nothing.
 
+A pair goes on to verification only if its parity bitmaps allow a link: bit k
+of a set's bitmap is the parity of its shingles in class k, so two sets differ
+in at least as many shingles as their bitmaps differ in bits. This is exact: no
+pair that links is left out, and few that do not link get through.
+
 Verification is the prefix-tree join. Pairs are dealt by their first node; the
 sets of the second nodes, frequent shingles first, form a path-compressed trie
 and the first node's set walks it: the overlap along a path is counted once for
@@ -54,11 +59,14 @@ BUCKETS = 1 << 20
 CHUNKS = 256
 HUBS = 2
 BLOCK_SETS = 512
+#: Longs of a parity bitmap.
+BITMAP = [f"b{k}" for k in range(8)]
 
 SETS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("n", T.LongType()),
     T.StructField("same", T.BinaryType()),
+    *[T.StructField(b, T.LongType()) for b in BITMAP],
     T.StructField("chunk", T.IntegerType()),
     T.StructField("counts", T.BinaryType()),
 ])
@@ -105,28 +113,39 @@ def ordered(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.sort(levels[_bucket(shingles)].astype(np.uint64) << np.uint64(56) | shingles & np.uint64((1 << 56) - 1))
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the set's shingles in each of 64 * ``len(BITMAP)`` classes, as longs."""
+    odd = np.bincount((shingles & np.uint64(64 * len(BITMAP) - 1)).astype(np.int64), minlength=64 * len(BITMAP)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # ---------------------------------------------------------------- sets and their order
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """A row for each text (n, and ``same``, a digest of the set), and each task's bucket counts in chunks."""
+    """A row for each text (n, ``same``, a digest of the set, and its bitmap), and each task's bucket counts in chunks."""
 
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            n, same, buckets = [], [], [np.zeros(0, np.int64)]
+            n, same, bits, buckets = [], [], [], [np.zeros(0, np.int64)]
             for s in shingle_sets(batch.column(1)):
                 n.append(len(s))
                 same.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                bits.append(bitmap(s))
                 buckets.append(_bucket(s))
             total += np.bincount(np.concatenate(buckets), minlength=BUCKETS)
             blank = pa.nulls(len(n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), blank.cast(pa.int32()), blank.cast(pa.binary())], names=SETS.names)
+            longs = np.array(bits, np.int64).reshape(len(n), len(BITMAP))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), *[pa.array(c) for c in longs.T.copy()], blank.cast(pa.int32()), blank.cast(pa.binary())],
+                names=SETS.names,
+            )
         if total.any():
             zstd = zstandard.ZstdCompressor(level=1)
             parts = [zstd.compress(c.tobytes()) for c in total.reshape(CHUNKS, -1)]
-            blank = pa.nulls(CHUNKS)
+            blank, long = pa.nulls(CHUNKS), pa.nulls(CHUNKS, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [blank.cast(pa.int64()), blank.cast(pa.int64()), blank.cast(pa.binary()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=SETS.names
+                [long, long, blank.cast(pa.binary()), *[long] * len(BITMAP), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=SETS.names
             )
 
     return docs.mapInArrow(run, SETS)
@@ -240,17 +259,29 @@ class Trie:
         return found
 
 
-def verified(pairs: DataFrame, texts: DataFrame, levels: Broadcast) -> DataFrame:
-    """The pairs (u, v) whose sets link; ``texts`` holds ``node`` and ``text`` of all their nodes."""
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``node`` and its compressed ``text``, the form in which texts travel."""
+
+    def run(batches):
+        zstd = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(1))
+            raw, cut = data.tobytes(), offsets.tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zstd.compress(raw[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "node long, text binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast) -> DataFrame:
+    """The pairs (u, v) whose sets link; nodes are ids of ``docs``."""
     pairs = pairs.select("u", "v")
     blocks = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
-    dealt = pairs.join(blocks, "u").withColumn("block", F.pmod(F.xxhash64("v"), "blocks"))
-    members = dealt.join(texts, F.col("v") == F.col("node")).select("u", "block", "v", F.lit(1).alias("member"), "text")
-    probes = blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    probes = probes.join(texts, F.col("u") == F.col("node")).select("u", "block", F.col("u").alias("v"), F.lit(0).alias("member"), "text")
+    members = pairs.join(blocks, "u").select("u", F.pmod(F.xxhash64("v"), "blocks").alias("block"), F.col("v").alias("node"), F.lit(1).alias("member"))
+    probes = blocks.select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("u").alias("node"), F.lit(0).alias("member"))
 
     def run(batches):
         group, probes, trie = None, [], None
+        unzip = zstandard.ZstdDecompressor()
 
         def out():
             # A node of several rows (one id, different texts) has several sets.
@@ -260,20 +291,21 @@ def verified(pairs: DataFrame, texts: DataFrame, levels: Broadcast) -> DataFrame
 
         for batch in batches:
             keys = zip(*(batch.column(k).to_pylist() for k in range(4)))
-            for (u, block, v, member), s in zip(keys, shingle_sets(batch.column(4))):
+            texts = pa.array([unzip.decompress(t) for t in batch.column(4).to_pylist()], pa.binary())
+            for (u, block, node, member), s in zip(keys, shingle_sets(texts)):
                 # Ascending from the most frequent shingles.
                 s = np.sort(~ordered(s, levels.value))
                 if (u, block) != group:
                     yield from out()
                     group, trie, probes = (u, block), Trie(np.zeros(0, np.uint64)), []
                 if member:
-                    trie.add(s, v)
+                    trie.add(s, node)
                 else:
                     probes.append(s)
         yield from out()
 
-    dealt = members.unionByName(probes).repartition("u", "block").sortWithinPartitions("u", "block", "member")
-    return dealt.mapInArrow(run, LINKS)
+    dealt = members.unionByName(probes).join(packed_texts(docs), "node").select("u", "block", "node", "member", "text")
+    return dealt.repartition("u", "block").sortWithinPartitions("u", "block", "member").mapInArrow(run, LINKS)
 
 
 # ---------------------------------------------------------------- components
@@ -304,6 +336,14 @@ def _room(n: str, at: str, m: str, to: str) -> Column:
     return F.least(F.col(n) - F.col(at), F.col(m) - F.col(to)) >= need
 
 
+def _may_link(n: str, m: str, a: list[str], b: list[str]) -> Column:
+    """Whether bitmaps differ in no more bits than linked sets of ``n`` and ``m`` shingles may differ in shingles.
+    A node without a bitmap may link with any."""
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(a, b)), F.lit(0))
+    need = F.ceil(PERCENT * (F.col(n) + F.col(m)) / (100 + PERCENT))
+    return F.coalesce(differ <= F.col(n) + F.col(m) - 2 * need, F.lit(True))
+
+
 def _side(meetings: DataFrame, end: str) -> DataFrame:
     return meetings.select("shingle", *[F.col(c).alias(f"{c}_{end}") for c in meetings.columns if c != "shingle"])
 
@@ -313,7 +353,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark, docs = docs.sparkSession, doc_texts(docs)
     sets = written(_sets(docs), "sets")
     levels = spark.sparkContext.broadcast(_levels(sets))
-    rows = sets.where("chunk is null").select("doc_id", "n", "same")
+    rows = sets.where("chunk is null").select("doc_id", "n", "same", *BITMAP)
     # Nodes: equal sets, or rows of one id, under their smallest id.
     named = rows.where("same is not null and doc_id is not null")
     least = named.groupBy("same").agg(F.min("doc_id").alias("node"))
@@ -321,10 +361,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     meetings = _meetings(docs, levels)
     shared = meetings.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
-    meetings = meetings.join(shared, "shingle").join(nodes, "doc_id").groupBy("shingle", "node").agg(F.min("n").alias("n"), F.min("at").alias("at"))
+    meetings = meetings.join(shared, "shingle").join(nodes, "doc_id").select("shingle", "node", "n", "at").distinct()
     meetings = written(meetings, "meetings")
-    texts = docs.join(meetings.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = written(texts.select(F.col("doc_id").alias("node"), "text"), "candidate-texts")
+    # A node whose rows have different sets has no bitmap of its own.
+    one = F.min("same") == F.max("same")
+    bitmaps = named.groupBy(F.col("doc_id").alias("node")).agg(*[F.when(one, F.min(b)).alias(b) for b in BITMAP])
+    bitmaps = written(bitmaps.join(meetings.select("node").distinct(), "node", "left_semi"), "bitmaps")
 
     # Rows of one id are one node though their sets may differ.
     several = nodes.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w")
@@ -334,21 +376,24 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ).where("c > 1").select("shingle", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)]))).alias("h"))
     hubs = hubs.select("shingle", F.col("h.node").alias("node_a"), F.col("h.n").alias("n_a"), F.col("h.at").alias("at_a"))
     spokes = _side(meetings, "b").join(hubs, "shingle").where((F.col("node_a") != F.col("node_b")) & _room("n_a", "at_a", "n_b", "at_b"))
-    pairs = written(spokes.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct(), "spokes")
-    links = written(verified(pairs, texts, levels), "links")
+    spokes = spokes.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v")).distinct()
+    bits = lambda end: bitmaps.select(F.col("node").alias(end), *[F.col(b).alias(f"{b}_{end}") for b in BITMAP])
+    spokes = spokes.join(bits("u"), "u").join(bits("v"), "v")
+    spokes = spokes.where(_may_link("n_u", "n_v", [f"{b}_u" for b in BITMAP], [f"{b}_v" for b in BITMAP])).select("u", "v").distinct()
+    links = written(verified(written(spokes, "spokes"), docs, levels), "links")
     labels = components(links.unionByName(same_id))
 
     held = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     held = written(held, "meetings")
     by_label = held.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
     mixed = by_label.groupBy("shingle").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("shingle", "main")
-    held = held.join(mixed, "shingle")
+    held = held.join(mixed, "shingle").join(bitmaps, "node")
     fewer = _side(held.where("label <> main").drop("main"), "a")
     others = _side(held, "b")
     once = (F.col("label_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
-    rest = fewer.join(others, "shingle").where((F.col("label_a") != F.col("label_b")) & once & _room("n_a", "at_a", "n_b", "at_b"))
+    rest = fewer.join(others, "shingle").where((F.col("label_a") != F.col("label_b")) & once & _room("n_a", "at_a", "n_b", "at_b") & _may_link("n_a", "n_b", [f"{b}_a" for b in BITMAP], [f"{b}_b" for b in BITMAP]))
     rest = rest.select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
-    more = written(verified(written(rest, "pairs"), texts, levels), "links")
+    more = written(verified(written(rest, "pairs"), docs, levels), "links")
     labels = components(links.unionByName(more).unionByName(same_id))
 
     placed = rows.join(least, "same", "left").join(labels, "node", "left")
