@@ -9,6 +9,5 @@ from strata.functions.scalars import (  # noqa: F401
     slug,
     to_date,
     to_decimal,
-    to_utc_timestamp_text,
     try_to_decimal,
 )

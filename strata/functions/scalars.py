@@ -54,11 +54,6 @@ def try_to_decimal(c: ColumnOrName, precision: int, scale: int) -> Column:
     return _col(c).try_cast(DecimalType(precision, scale))
 
 
-def to_utc_timestamp_text(c: ColumnOrName) -> Column:
-    """Wall-clock text (``2026-03-13T14:45``) read as a UTC instant."""
-    return _col(c).cast("timestamp")
-
-
 def parse_iso_utc(c: ColumnOrName) -> Column:
     """ISO-8601 text with ``Z`` or an offset to an instant (micros kept)."""
     return _col(c).cast("timestamp")

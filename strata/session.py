@@ -93,9 +93,9 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
-def tune_for_inputs(spark: SparkSession, paths: list[str], partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+def tune_for_inputs(spark: SparkSession, paths: list[str], partition_bytes: int = 256 * 1024 * 1024, min_partitions: int = 200) -> dict[str, str]:
     """Apply ``scale_conf`` for the measured size of ``paths``; returns what was set."""
-    conf = scale_conf(input_bytes(spark, paths), partition_bytes)
+    conf = scale_conf(input_bytes(spark, paths), partition_bytes, min_partitions)
     for key, value in conf.items():
         spark.conf.set(key, value)
     return conf

@@ -15,7 +15,7 @@ from strata.session import get_session  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
 
-# Golden forecast values (city, max, min, precip per day 2026-03-13 .. 2026-03-19)
+# Golden forecast values (city, max, min, precip per day 2026-03-13 .. 2026-03-19)
 # and current conditions (temp, humidity, wind at 2026-03-13T14:45).
 DAYS = [f"2026-03-{d}" for d in range(13, 20)]
 DAILY = {
