@@ -42,8 +42,9 @@ IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 #: Log-odds (natural) at which a token counts as random.
 MIN_LLR = 12.0
 SMOOTHING = 0.5
-#: Documents that ordinary identifiers are learnt from: those of the smallest hashes.
+#: Documents that ordinary identifiers are learnt from, in the mean: those of the smallest hashes.
 SAMPLE_DOCS = 2000
+HASH_STEPS = 1 << 30
 
 
 def _matches(text: Column, pattern: str, guard: Column) -> Column:
@@ -90,12 +91,14 @@ def base_spans(text: Column) -> Column:
 
 def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``value`` and ``label``: 1 for the values that the patterns find in any document,
-    0 for the other identifiers of the ``sample_docs`` documents of the smallest hashes."""
+    0 for the other identifiers of about ``sample_docs`` documents, those whose hash falls under
+    their share of all documents."""
     texts = doc_texts(docs).where("text is not null")
     hits = texts.select(F.explode(base_spans(F.col("text"))).alias("s")).select(
         F.when(F.col("s.rank") == 0, _value(F.col("s.hit"))).otherwise(F.col("s.hit")).alias("value"), F.lit(1).alias("label")
     )
-    sample = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    share = sample_docs / max(docs.count(), 1)
+    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_STEPS)) < F.lit(int(share * HASH_STEPS)))
     prose = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = sample.select(F.explode(F.regexp_extract_all(prose, F.lit(IDENTIFIER), F.lit(0))).alias("value"), F.lit(0).alias("label"))
     return hits.unionByName(words)
