@@ -207,7 +207,8 @@ def fit(statistics: DataFrame) -> DataFrame:
         counts = near.groupBy("key", "start", "total", "bin").agg(F.count(F.lit(1)).alias("n"))
         upto = F.sum("n").over(Window.partitionBy("key", "start").orderBy("bin"))
         cut = counts.withColumn("upto", upto).where(F.col("upto") >= F.col("total") * CORE).groupBy("key", "start").agg(F.min("bin").alias("cut"))
-        core = near.join(cut, ["key", "start"]).where(F.col("bin") <= F.col("cut"))
+        # Written, its size is known: a few groups are broadcast, many are joined by a shuffle that AQE can split.
+        core = near.join(written(cut, "mcd-cut"), ["key", "start"]).where(F.col("bin") <= F.col("cut"))
         current = written(moments(core, ["key", "start"]), "mcd-step")
         now = current.agg(F.sum(F.round("log_det", 6))).first()[0]
         if last is not None and (now is None or abs(now - last) < 1e-4):
