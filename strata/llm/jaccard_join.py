@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +58,10 @@ PERCENT = 85
 BUCKETS = 1 << 20
 CHUNKS = 256
 HUBS = 2
+RECENT = 3
 BLOCK_SETS = 512
+#: Bits of the filter for texts that verification needs. A multiple of 32768.
+FILTER_BITS = 1 << 24
 #: Longs of a parity bitmap.
 BITMAP = [f"b{k}" for k in range(8)]
 
@@ -259,17 +262,27 @@ class Trie:
         return found
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """``node`` and its compressed ``text``, the form in which texts travel."""
+def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and its compressed ``text``, the form in which texts travel, for the nodes of
+    ``wanted`` and some others: a hash of the id is looked up among ``FILTER_BITS`` bits,
+    which are broadcast whatever the corpus, so texts that no pair needs stay where they are."""
+    place = lambda node: F.pmod(F.xxhash64(node), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(place("node").alias("p")).groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket"))
+    table = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for r in bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits")).collect():
+        table[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    held = docs.sparkSession.sparkContext.broadcast(table.ravel())
 
     def run(batches):
         zstd = zstandard.ZstdCompressor(level=1)
         for batch in batches:
+            at = batch.column(2).fill_null(1).to_numpy() - 1
+            batch = batch.filter(pa.array(held.value[at >> 3] >> (at & 7) & 1 == 1))
             data, offsets = column_bytes(batch.column(1))
             raw, cut = data.tobytes(), offsets.tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zstd.compress(raw[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "text"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, text binary")
+    return docs.select("doc_id", "text", place("doc_id").alias("place")).mapInArrow(run, "node long, text binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast) -> DataFrame:
@@ -304,7 +317,8 @@ def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast) -> DataFrame:
                     probes.append(s)
         yield from out()
 
-    dealt = members.unionByName(probes).join(packed_texts(docs), "node").select("u", "block", "node", "member", "text")
+    dealt = members.unionByName(probes)
+    dealt = dealt.join(packed_texts(docs, dealt.select("node")), "node").select("u", "block", "node", "member", "text")
     return dealt.repartition("u", "block").sortWithinPartitions("u", "block", "member").mapInArrow(run, LINKS)
 
 
@@ -370,29 +384,41 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # Rows of one id are one node though their sets may differ.
     several = nodes.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w")
-    same_id = nodes.join(several, "doc_id").where("node <> v").select(F.col("node").alias("u"), "v")
+    several = nodes.join(several, "doc_id")
+    same_id = several.where("node <> v").select(F.col("node").alias("u"), "v")
+    mixed_sets = several.select("node", F.lit(True).alias("several")).distinct()
     hubs = meetings.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("c"), *[F.min_by(F.struct("node", "n", "at"), F.struct(F.xxhash64("node", F.lit(k)), "node")).alias(f"h{k}") for k in range(HUBS)]
     ).where("c > 1").select("shingle", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)]))).alias("h"))
     hubs = hubs.select("shingle", F.col("h.node").alias("node_a"), F.col("h.n").alias("n_a"), F.col("h.at").alias("at_a"))
     spokes = _side(meetings, "b").join(hubs, "shingle").where((F.col("node_a") != F.col("node_b")) & _room("n_a", "at_a", "n_b", "at_b"))
     spokes = spokes.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v")).distinct()
-    bits = lambda end: bitmaps.select(F.col("node").alias(end), *[F.col(b).alias(f"{b}_{end}") for b in BITMAP])
-    spokes = spokes.join(bits("u"), "u").join(bits("v"), "v")
-    spokes = spokes.where(_may_link("n_u", "n_v", [f"{b}_u" for b in BITMAP], [f"{b}_v" for b in BITMAP])).select("u", "v").distinct()
-    links = written(verified(written(spokes, "spokes"), docs, levels), "links")
+
+    def may_link(pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) of ``n_u`` and ``n_v`` shingles that their bitmaps let through."""
+        bits = lambda end: bitmaps.select(F.col("node").alias(end), *[F.col(b).alias(f"{b}_{end}") for b in BITMAP])
+        pairs = pairs.join(bits("u"), "u").join(bits("v"), "v")
+        return pairs.where(_may_link("n_u", "n_v", [f"{b}_u" for b in BITMAP], [f"{b}_v" for b in BITMAP])).select("u", "v").distinct()
+
+    links = written(verified(written(may_link(spokes), "spokes"), docs, levels), "links")
     labels = components(links.unionByName(same_id))
 
     held = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     held = written(held, "meetings")
     by_label = held.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
     mixed = by_label.groupBy("shingle").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("shingle", "main")
-    held = held.join(mixed, "shingle").join(bitmaps, "node")
+    # A pair that has just met need not be looked at again: it is left out where the last few
+    # meeting places of both have one in common, and stays where it first meets.
+    before = Window.partitionBy("node", "n").orderBy("at").rowsBetween(-RECENT, -1)
+    held = held.join(mixed, "shingle").join(mixed_sets, "node", "left").withColumn("earlier", F.collect_list("shingle").over(before))
+    held = held.withColumn("earlier", F.when(F.col("several"), F.slice("earlier", 1, 0)).otherwise(F.col("earlier"))).drop("several")
     fewer = _side(held.where("label <> main").drop("main"), "a")
     others = _side(held, "b")
     once = (F.col("label_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
-    rest = fewer.join(others, "shingle").where((F.col("label_a") != F.col("label_b")) & once & _room("n_a", "at_a", "n_b", "at_b") & _may_link("n_a", "n_b", [f"{b}_a" for b in BITMAP], [f"{b}_b" for b in BITMAP]))
-    rest = rest.select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
+    room = _room("n_a", "at_a", "n_b", "at_b") & ~F.arrays_overlap("earlier_a", "earlier_b")
+    rest = fewer.join(others, "shingle").where((F.col("label_a") != F.col("label_b")) & once & room)
+    rest = rest.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v"))
+    rest = may_link(rest).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     more = written(verified(written(rest, "pairs"), docs, levels), "links")
     labels = components(links.unionByName(more).unionByName(same_id))
 
