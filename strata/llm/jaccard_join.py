@@ -136,6 +136,9 @@ def _sets(docs: DataFrame) -> DataFrame:
                 same.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 bits.append(bitmap(s))
                 buckets.append(_bucket(s))
+                if len(buckets) > 500:  # not the whole batch's shingles at once
+                    total += np.bincount(np.concatenate(buckets), minlength=BUCKETS)
+                    buckets = [np.zeros(0, np.int64)]
             total += np.bincount(np.concatenate(buckets), minlength=BUCKETS)
             blank = pa.nulls(len(n))
             longs = np.array(bits, np.int64).reshape(len(n), len(BITMAP))
@@ -279,8 +282,8 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             at = batch.column(2).fill_null(1).to_numpy() - 1
             batch = batch.filter(pa.array(held.value[at >> 3] >> (at & 7) & 1 == 1))
             data, offsets = column_bytes(batch.column(1))
-            raw, cut = data.tobytes(), offsets.tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zstd.compress(raw[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "text"])
+            cut = offsets.tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zstd.compress(data[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "text"])
 
     return docs.select("doc_id", "text", place("doc_id").alias("place")).mapInArrow(run, "node long, text binary")
 
