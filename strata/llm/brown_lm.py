@@ -13,11 +13,20 @@ first token is the end's.
 * Another word's emission is (c + 0.5) / (n + 0.5 * (v + 1)) over the n tokens
   and v words of the shared class, so unseen words have a share.
 
+With ``every_word`` no training word is left in the shared class. Each other
+word joins the class that gains the most likelihood from the word's pairs,
+where its neighbours count by their classes so far. Then class bigrams are
+counted anew over all tokens, and every word's emission is (c + 0.5) /
+(n + 0.5 * (v + 1)) over its class, whose last half is for unseen words: one
+of them has the sum over all classes, and class frequencies hold after it.
+
 Counts cover all training texts. Word counts are summed by Spark. The counts
 of the ``COMMON_WORDS`` most frequent words, a fixed number, are broadcast;
 all other words meet their counts in a join, where none of them can be hot.
 Pairs of clustered words, at most (``CLASS_WORDS`` + 2) squared, come to the
-driver for clustering whatever the corpus's size.
+driver for clustering whatever the corpus's size. With ``every_word``, counts of (word,
+neighbour's class) are dealt by word, words out of the broadcast meet their
+class and count in the join, and texts are written as one byte of class a token.
 
 Cases: a null or empty text is one end; a null id counts as the empty text for
 the split; repeated rows, also of one id, are scored each (a row is told apart
@@ -225,6 +234,297 @@ class ClassModel:
         self.other_total = np.log10(seen[-2] + 0.5 * (n_words - (len(pairs) - 2) - (1 if n_tokens else 0) + 1))
 
 
+# ---------------------------------------------------------------- classes of all words
+
+CONTEXTS = T.StructType([T.StructField(c, T.LongType()) for c in ("word", "code", "n")])
+WORD_CLASSES = T.StructType([T.StructField(c, T.LongType()) for c in ("word", "n", "class")])
+#: Words whose gains are computed at once.
+GAIN_WORDS = 4096
+
+
+def _combined(words: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts summed for equal words and codes, in the order of words."""
+    order = np.lexsort((codes, words))
+    words, codes = words[order], codes[order]
+    new = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (codes[1:] != codes[:-1])))
+    return words[new], codes[new], np.add.reduceat(counts[order], new) if len(new) else counts
+
+
+def contexts(train: DataFrame, vocabulary: Vocabulary, of: np.ndarray) -> DataFrame:
+    """For each word out of the clusters, how often each class follows it (``code`` is the class)
+    and precedes it (``code`` is the class and the number of classes); partial counts."""
+    held = train.sparkSession.sparkContext.broadcast((vocabulary, of))
+
+    def run(batches):
+        vocabulary, of = held.value
+        every = int(of.max()) + 1
+        parts, size = [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in _combined(*map(np.concatenate, zip(*parts)))], names=CONTEXTS.names)
+
+        for batch in batches:
+            for _, words, hashes in _slices(batch, 1):
+                slots = vocabulary.slots(hashes)
+                now, before = with_ends(of[slots], words.first, every - 1)
+                after = np.append(now[1:], every - 1)
+                at = np.arange(len(hashes)) + words.doc()  # places among words and ends
+                rare = np.flatnonzero(slots == vocabulary.size)
+                if len(rare):
+                    w = np.tile(hashes[rare], 2)
+                    codes = np.concatenate([after[at[rare]], every + before[at[rare]]])
+                    parts.append(_combined(w, codes, np.ones(len(w), np.int64)))
+                    size += len(parts[-1][0])
+                if size > HELD_WORDS:
+                    yield out()
+                    parts, size = [], 0
+        if parts:
+            yield out()
+
+    return train.mapInArrow(run, CONTEXTS)
+
+
+def best_classes(word: np.ndarray, code: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class that each word 0, 1, ... joins with the highest gain, given its counts by code and the table of class pairs."""
+    every, size = len(table), int(word.max()) + 1
+    n_classes = every - 2
+    sides = np.zeros((size, 2 * every))
+    np.add.at(sides, (word, code), n)
+    after, before = sides[:, :n_classes], sides[:, every : every + n_classes]
+    cells = np.concatenate([table[:n_classes].T, table[:, :n_classes]])  # a row for each code
+    known = cells[code]
+    gain = np.zeros((size, n_classes))
+    steps = _xlogx(known + n[:, None]) - _xlogx(known)
+    order = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[order], np.arange(size))
+    gain += np.add.reduceat(steps[order], first)
+    diagonal = np.diagonal(table)[:n_classes]
+    gain += _xlogx(diagonal + after + before) + _xlogx(diagonal) - _xlogx(diagonal + after) - _xlogx(diagonal + before)
+    left, right = table.sum(1)[:n_classes], table.sum(0)[:n_classes]
+    follow, lead = sides[:, :every].sum(1)[:, None], sides[:, every:].sum(1)[:, None]
+    gain -= _xlogx(left + follow) - _xlogx(left) + _xlogx(right + lead) - _xlogx(right)
+    return np.argmax(np.round(gain, 9), axis=1)
+
+
+def word_classes(found: DataFrame, table: np.ndarray) -> DataFrame:
+    """``word``, ``n`` and ``class`` of each word out of the clusters."""
+    held = found.sparkSession.sparkContext.broadcast(table.astype(float))
+
+    def out(words, codes, counts):
+        table = held.value
+        words, codes, counts = _combined(words, codes, counts)
+        ids, at = np.unique(words, return_index=True)
+        cut = np.append(at, len(words))
+        for lo in range(0, len(ids), GAIN_WORDS):
+            hi = min(lo + GAIN_WORDS, len(ids))
+            part = slice(cut[lo], cut[hi])
+            word = np.repeat(np.arange(hi - lo), np.diff(cut[lo : hi + 1]))
+            best = best_classes(word, codes[part], counts[part], table)
+            n = np.bincount(word, np.where(codes[part] < len(table), counts[part], 0), hi - lo).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.array(n), pa.array(best.astype(np.int64))], names=WORD_CLASSES.names)
+
+    def run(batches):
+        rest = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            rest = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, batch.columns)]
+            whole = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0  # the last word may go on
+            if whole:
+                yield from out(*[r[:whole] for r in rest])
+                rest = [r[whole:] for r in rest]
+        if len(rest[0]):
+            yield from out(*rest)
+
+    return found.repartition("word").sortWithinPartitions("word").mapInArrow(run, WORD_CLASSES)
+
+
+SEQUENCES = T.StructType([
+    T.StructField("row", T.LongType()),
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("word", T.LongType()),
+    T.StructField("places", T.BinaryType()),
+    T.StructField("classes", T.BinaryType()),
+    T.StructField("n_known", T.LongType()),
+    T.StructField("log_counts", T.DoubleType()),
+])
+CLASSED = T.StructType([
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("classes", T.BinaryType()),
+    T.StructField("n_known", T.LongType()),
+    T.StructField("log_counts", T.DoubleType()),
+])
+
+
+def _class_rows(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, unseen: int, ends: int) -> DataFrame:
+    """For each text one row with the classes of its common words and ends, a byte a token, and a row for each of its other words."""
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary, classes.astype(np.uint8)))
+
+    def run(batches):
+        vocabulary, classes = held.value
+        logs = np.log10(vocabulary.counts + 0.5)
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            keys = batch.column(0)
+            for lo, words, hashes in _slices(batch, 1):
+                n = len(words.first) - 1
+                doc, per = words.doc(), words.counts()
+                at, known = vocabulary.find(hashes)
+                now, _ = with_ends(np.where(known, classes[at] if len(logs) else 0, unseen).astype(np.uint8), words.first, unseen + 1)
+                edges = words.first + np.arange(n + 1)
+                texts = [now[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                log = np.bincount(doc, np.where(known, logs[at] if len(logs) else 0.0, 0.0), n) + (np.log10(ends + 0.5) if ends else 0.0)
+                rows = row + np.arange(n)
+                here = keys.slice(lo, n)
+                n_known = np.bincount(doc, known, n).astype(np.int64) + (ends > 0)
+                # A text's own row goes where its number sends it, not to one place.
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows), here, pa.array(rows), pa.nulls(n, pa.binary()), pa.array(texts, pa.binary()), pa.array(n_known), pa.array(log)], names=SEQUENCES.names
+                )
+                rare = np.flatnonzero(~known)
+                if len(rare):
+                    order = rare[np.lexsort((rare, hashes[rare], doc[rare]))]
+                    d, h = doc[order], hashes[order]
+                    new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (h[1:] != h[:-1])))
+                    inner = (order - words.first[d]).astype(np.int32)
+                    places = [p.tobytes() for p in np.split(inner, new[1:])]
+                    m = len(new)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows[d[new]]), here.take(pa.array(d[new])), pa.array(h[new]), pa.array(places, pa.binary()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())],
+                        names=SEQUENCES.names,
+                    )
+                row += n
+
+    return doc_texts(docs).mapInArrow(run, SEQUENCES)
+
+
+def classed_texts(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, others: DataFrame, unseen: int, ends: int) -> DataFrame:
+    """Each text's classes, a byte a token (``unseen`` for a word without one, the next for the end), the
+    number of its known tokens and the sum of their log10 (count + 0.5)."""
+    rows = _class_rows(docs, vocabulary, classes, unseen, ends).join(others.select("word", F.col("n").alias("c"), "class"), "word", "left")
+    own = F.col("classes").isNotNull()
+    met = F.when(~own & F.col("class").isNotNull(), F.struct("places", "c", "class"))
+    texts = rows.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("classes").alias("classes"), F.max("n_known").alias("n_known"), F.max("log_counts").alias("log_counts"), F.collect_list(met).alias("met")
+    )
+
+    def run(batches):
+        for batch in batches:
+            doc_id, classes, n_known, log_counts = (batch.column(k) for k in range(4))
+            met = batch.column(4)
+            cut, inner = met.offsets.to_numpy(), met.values
+            places, c, of = inner.field(0), inner.field(1).to_numpy(zero_copy_only=False), inner.field(2).to_numpy(zero_copy_only=False)
+            known, log = n_known.to_numpy(zero_copy_only=False).copy(), log_counts.to_numpy(zero_copy_only=False).copy()
+            texts = []
+            for k, text in enumerate(classes):
+                text = np.frombuffer(text.as_py(), np.uint8).copy()
+                for m in range(int(cut[k]), int(cut[k + 1])):
+                    at = np.frombuffer(places[m].as_py(), np.int32)
+                    text[at] = of[m]
+                    known[k] += len(at)
+                    log[k] += len(at) * np.log10(c[m] + 0.5)
+                texts.append(text.tobytes())
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(texts, pa.binary()), pa.array(known), pa.array(log)], names=CLASSED.names)
+
+    return texts.select("doc_id", "classes", "n_known", "log_counts", "met").mapInArrow(run, CLASSED)
+
+
+def _class_steps(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens of these texts the class, the class before and the text."""
+    texts = [np.frombuffer(t.as_py(), np.uint8) for t in column]
+    now = np.concatenate([np.zeros(0, np.uint8), *texts]).astype(np.int64)
+    # Every text ends with the end, which is also what its first token follows.
+    return now, np.append(end, now[:-1])[: len(now)], np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+
+
+def sequence_pairs(texts: DataFrame, side: int) -> np.ndarray:
+    """How often each class follows each class."""
+    schema = T.StructType([T.StructField("pair", T.LongType()), T.StructField("n", T.LongType())])
+
+    def run(batches):
+        total = np.zeros(side * side, np.int64)
+        for batch in batches:
+            now, before, _ = _class_steps(batch.column(0), side - 1)
+            total += np.bincount(before * side + now, minlength=side * side)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=schema.names)
+
+    out = np.zeros(side * side, np.int64)
+    found = texts.select("classes").mapInArrow(run, schema).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(side, side)
+
+
+def class_steps(table: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Log10 of each class's probability after each class, over its emissions' denominator; in the
+    column of unseen words (the last but one) the probability of one of them."""
+    n = len(table)
+    real = np.append(np.flatnonzero(kinds), n - 1)  # classes that have words, and the end
+    seen = table.sum(0).astype(float)
+    share = np.zeros(n)
+    share[real] = (seen[real] + 0.5) / (seen[real].sum() + 0.5 * len(real))
+    row = table.sum(1, keepdims=True)
+    follow = np.where(row > 0, table / np.maximum(row, 1), share)
+    chance = BIGRAM_WEIGHT * follow + (1 - BIGRAM_WEIGHT) * share
+    over = seen[: n - 2] + 0.5 * (kinds + 1)
+    steps = np.zeros((n, n))
+    with np.errstate(divide="ignore"):
+        steps[:, : n - 2] = np.log10(chance[:, : n - 2] / over)
+        steps[:, n - 2] = np.log10((chance[:, : n - 2] * 0.5 / over).sum(1)) if kinds.any() else np.log10(0.5 * share[n - 1])
+        steps[:, n - 1] = np.log10(chance[:, n - 1])
+    return steps
+
+
+def _sequence_scores(texts: DataFrame, steps: np.ndarray, ends: int) -> DataFrame:
+    schema = T.StructType([*CLASSED.fields[:1], T.StructField("n_tokens", T.LongType()), *CLASSED.fields[2:], T.StructField("n_unknown", T.LongType()), T.StructField("steps", T.DoubleType())])
+    held = texts.sparkSession.sparkContext.broadcast(steps)
+    # An end's count is in log_counts for the unigrams; the classes have no emission for it.
+    end_log = float(np.log10(ends + 0.5)) if ends else 0.0
+
+    def run(batches):
+        steps = held.value
+        for batch in batches:
+            doc_id, classes, known, log = batch.columns
+            now, before, text = _class_steps(classes, len(steps) - 1)
+            n = batch.num_rows
+            tokens = np.bincount(text, minlength=n).astype(np.int64)
+            total = np.bincount(text, steps[before, now], n) + log.to_numpy(zero_copy_only=False) - end_log
+            unknown = tokens - known.to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(tokens), known, log, pa.array(unknown), pa.array(total)], names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _score_every_word(docs: DataFrame, train: DataFrame, counts: DataFrame, total, folds: int, held_out: int) -> DataFrame:
+    n_tokens, n_words, ends = total["n"], total["v"], total["e"]
+    vocabulary = common_words(counts)
+    pairs = pair_counts(train, vocabulary)
+    of = exchange_clusters(pairs, CLASSES)
+    table = class_pairs(pairs, of)
+    side = len(table)
+    others = written(word_classes(contexts(train, vocabulary, of), table), "word-classes")
+    # The classes of common words: of the clustered ones here, of the others (all that are as frequent) from the table.
+    classes = of[vocabulary.slot]
+    least = int(vocabulary.counts.min()) if len(vocabulary.counts) else 0
+    found = others.where(F.col("n") >= least).select("word", "class").toArrow() if least else None
+    if found is not None:
+        at, known = vocabulary.find(found["word"].to_numpy())
+        classes[at[known]] = found["class"].to_numpy()[known]
+    texts = written(classed_texts(docs, vocabulary, classes, others, side - 2, ends), "classed-texts")
+    kinds = np.bincount(of[: vocabulary.size], minlength=side - 2)[: side - 2] if vocabulary.size else np.zeros(side - 2, np.int64)
+    for r in others.groupBy("class").count().collect():
+        kinds[r["class"]] += r["count"]
+    in_train = texts.where(crc_remainder("doc_id", folds) != held_out)
+    steps = class_steps(sequence_pairs(in_train, side), kinds)
+    scored = _sequence_scores(texts, steps, ends)
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", folds) == held_out).alias("held_out"),
+        "n_tokens", "n_known",
+        F.lit(n_tokens).cast("long").alias("train_tokens"),
+        (F.col("log_counts") + F.col("n_unknown") * float(np.log10(0.5)) - F.col("n_tokens") * float(np.log10(n_tokens + 0.5 * (n_words + 1)))).alias("base_score"),
+        F.col("steps").alias("score"),
+    )
+
+
 # ---------------------------------------------------------------- scores
 
 PARTS = T.StructType([
@@ -288,8 +588,9 @@ def _score_rows(docs: DataFrame, vocabulary: Vocabulary, model: ClassModel, ends
     return doc_texts(docs).mapInArrow(run, ROWS)
 
 
-def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
-    """Learn from the rows whose fold is not ``held_out`` and score all rows.
+def score(docs: DataFrame, folds: int = 5, held_out: int = 1, every_word: bool = False) -> DataFrame:
+    """Learn from the rows whose fold is not ``held_out`` and score all rows. ``every_word`` gives
+    all training words a class, not the ``CLASS_WORDS`` most frequent alone.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams) and
     score (the class model), both sums of log10 probabilities.
@@ -298,6 +599,8 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
     counts = written(word_counts(train), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("e")).first()
     n_tokens, n_words, ends = total["n"], total["v"], total["e"]
+    if every_word:
+        return _score_every_word(docs, train, counts, total, folds, held_out)
     vocabulary = common_words(counts)
     model = ClassModel(pair_counts(train, vocabulary), n_tokens, n_words)
 

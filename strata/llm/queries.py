@@ -47,7 +47,7 @@ def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(read(spark, sf_dir, "documents"))
+    return score(read(spark, sf_dir, "documents"), every_word=True)
 
 
 def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,3 +127,115 @@ def test_empty_table_and_no_training_rows(spark):
     held = next(d for d in range(100) if fold(d, 5) == 1)
     row = B.score(spark.createDataFrame([(held, "some words"), (held, None)], "doc_id long, text string")).collect()
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in row) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+
+
+def every_word_scores(rows, classes, n_classes):
+    """The model of all words from plain counts, given every training word's class."""
+    pairs, counts = Counter(), Counter()
+    for d, text in rows:
+        if fold(d, 5) != 1:
+            before = "end"
+            for t in tokens(text):
+                now = "end" if t == "\n" else classes[t]
+                pairs[before, now] += 1
+                counts[t] += 1
+                before = now
+    kinds = Counter(classes.values())
+    real = [*kinds, "end"]
+    seen = {c: sum(pairs[a, c] for a in real) for c in real}
+    total = sum(seen.values())
+
+    def chance(before, c):
+        share = (seen[c] + 0.5) / (total + 0.5 * len(real))
+        row = sum(pairs[before, x] for x in real)
+        return B.BIGRAM_WEIGHT * (pairs[before, c] / row if row else share) + (1 - B.BIGRAM_WEIGHT) * share
+
+    def score(text):
+        out, before = 0.0, "end"
+        for t in tokens(text):
+            if t == "\n":
+                out += math.log10(chance(before, "end"))
+                before = "end"
+            elif t in classes:
+                c = classes[t]
+                out += math.log10(chance(before, c) * (counts[t] + 0.5) / (seen[c] + 0.5 * (kinds[c] + 1)))
+                before = c
+            else:
+                out += math.log10(sum(chance(before, c) * 0.5 / (seen[c] + 0.5 * (kinds[c] + 1)) for c in kinds))
+                before = "unseen"
+        return out
+
+    return score
+
+
+def best_by_hand(after, before, table, n_classes):
+    """The class whose table of pairs has the highest likelihood once the word's pairs are in it."""
+
+    def value(c):
+        t = table.astype(float).copy()
+        t[c] += after
+        t[:, c] += before
+        gain = B._xlogx(t).sum() - B._xlogx(table.astype(float)).sum()
+        left, right = table.sum(1)[c].astype(float), table.sum(0)[c].astype(float)
+        return gain - (B._xlogx(left + after.sum()) - B._xlogx(left)) - (B._xlogx(right + before.sum()) - B._xlogx(right))
+
+    return [value(c) for c in range(n_classes)]
+
+
+@pytest.mark.parametrize("common", [100_000, 60])
+def test_every_training_word_has_the_class_of_the_highest_gain(spark, monkeypatch, common):
+    from strata.llm.text import column_bytes, split_words, word_hashes
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(B, "COMMON_WORDS", common)
+    monkeypatch.setattr(B, "CLASS_WORDS", 30)
+    monkeypatch.setattr(B, "CLASSES", 6)
+    monkeypatch.setattr(B, "GAIN_WORDS", 50)
+    kept = {}
+    for name in ("exchange_clusters", "common_words", "word_classes"):
+        monkeypatch.setattr(B, name, lambda *a, f=getattr(B, name), name=name: kept.setdefault(name, (f(*a), a))[0])
+    docs = documents(spark, SF_SMALL)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = B.score(docs, every_word=True).collect()
+    of, vocabulary, table = kept["exchange_clusters"][0], kept["common_words"][0], kept["word_classes"][1][1]
+    assigned = {r["word"]: r["class"] for r in kept["word_classes"][0].collect()}
+    every = sorted({t for d, text in rows if fold(d, 5) != 1 for t in words(lower(text))})
+    hashes = word_hashes(split_words(*column_bytes(pa.array(every)))).astype(np.int64)
+    slots = vocabulary.slots(hashes).tolist()
+    core = {t: int(of[s]) for t, s in zip(every, slots) if s < vocabulary.size}
+    classes = {t: core[t] if t in core else assigned[h] for t, h in zip(every, hashes.tolist())}
+    assert len(classes) == len(every) > 10 * len(core)
+
+    n = len(table)
+    around = {t: np.zeros((2, n)) for t in every if t not in core}
+    for d, text in rows:
+        if fold(d, 5) != 1:
+            codes = [n - 1, *[n - 1 if t == "\n" else core.get(t, n - 2) for t in tokens(text)]]
+            for k, t in enumerate(tokens(text)[:-1]):
+                if t in around:
+                    around[t][0, codes[k + 2]] += 1
+                    around[t][1, codes[k]] += 1
+    for t, (after, before) in around.items():
+        gains = best_by_hand(after, before, table, n - 2)
+        assert gains[classes[t]] >= max(gains) - 1e-6, t
+
+    score = every_word_scores(rows, classes, n - 2)
+    assert sorted((str(r["doc_id"]), round(r["score"], 5)) for r in got) == sorted((str(d), round(score(t), 5)) for d, t in rows)
+    base = B.score(docs).drop("score").collect()
+    flat = lambda rs: sorted(tuple(round(v, 5) if isinstance(v, float) else str(v) for v in (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"])) for r in rs)
+    assert flat(got) == flat(base)
+
+
+def test_classes_of_every_word_predict_held_out_texts_better(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    got = B.score(docs, every_word=True).where("held_out").collect()
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_every_word_of_empty_tables(spark):
+    assert B.score(no_documents(spark), every_word=True).count() == 0
+    held = next(d for d in range(100) if fold(d, 5) == 1)
+    row = B.score(spark.createDataFrame([(held, "some words"), (held, None)], "doc_id long, text string"), every_word=True).collect()
+    assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in row) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+    assert all(math.isfinite(r["score"]) for r in row)
