@@ -6,9 +6,11 @@ hash of the tokens there ignores the others, so a substitution between two
 counted places does not hide a passage. Hashes of the benchmark's windows
 (test) meet those of the documents' windows (training) under every mask. Around
 each meeting the benchmark item is laid along the document on that diagonal,
-and the stretch with the best score (a match counts 1, a substitution
-``-PENALTY``) is an overlap if it has at least ``MIN_OVERLAP`` tokens, or the
-whole item if that is shorter, and ``MIN_IDENTITY`` of them match.
+and a stretch is an overlap if it has at least ``MIN_OVERLAP`` tokens, or the
+whole item if that is shorter, and ``MIN_IDENTITY`` of them match. Of a
+diagonal's stretches the one with the best score (a match counts 1, a
+substitution ``-PENALTY``) is reported if it is an overlap, else the overlap
+with the most matches beyond ``MIN_IDENTITY``.
 
 The benchmark is a query set: it is dealt into blocks of about ``BLOCK_TOKENS``
 tokens, each block's index is broadcast, and all documents are read against
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -146,11 +149,26 @@ class BenchmarkIndex:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and matches of the stretch with the best score (the first of equals)."""
+    """Start, end and matches of the stretch with the best score (the first of equals), or of
+    another of at least ``MIN_OVERLAP`` tokens, or all, if only that one has enough matches."""
     score = np.append(0, np.cumsum(np.where(same, 1, -PENALTY)))
     low = np.minimum.accumulate(score)
     end = int(np.argmax(score - low))
     start = int(np.argmin(score[: end + 1]))
+    best = start, end, int(same[start:end].sum())
+    # An item shorter than MIN_OVERLAP overlaps as a whole, so then this is its length.
+    least = min(MIN_OVERLAP, len(same))
+    if end - start >= least and best[2] >= MIN_IDENTITY * (end - start):
+        return best
+    # In whole numbers, a stretch has enough matches if its sum is not negative.
+    share = Fraction(str(MIN_IDENTITY))
+    total = np.append(0, np.cumsum(np.where(same, share.denominator, 0) - share.numerator))
+    over = total[least:] - np.minimum.accumulate(total[: len(total) - least])
+    end = int(np.argmax(over))
+    if over[end] < 0:
+        return best
+    start = int(np.argmin(total[: end + 1]))
+    end += least
     return start, end, int(same[start:end].sum())
 
 

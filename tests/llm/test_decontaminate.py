@@ -91,3 +91,42 @@ def test_empty_tables(spark):
     assert D.find_contamination(no_documents(spark), benchmark).count() == 0
     assert D.find_contamination(documents(spark, SF_SMALL), benchmark.limit(0)).count() == 0
     assert D.drop_contaminated(documents(spark, SF_SMALL), benchmark.limit(0)).count() == documents(spark, SF_SMALL).count()
+
+
+def overlaps(same, least):
+    """All stretches of enough tokens and matches, from their definition."""
+    n = len(same)
+    return [(a, b) for a in range(n) for b in range(a + least, n + 1) if 5 * sum(same[a:b]) >= 4 * (b - a)]
+
+
+def test_any_stretch_of_a_diagonal_counts():
+    rng = np.random.default_rng(4)
+    hidden = 0
+    for _ in range(400):
+        same = rng.random(rng.integers(1, 60)) < rng.choice([0.6, 0.75, 0.85])
+        least = min(D.MIN_OVERLAP, len(same))
+        every, (start, end, match) = overlaps(same.tolist(), least), D.best_stretch(same)
+        assert match == same[start:end].sum()
+        assert ((start, end) in every) == bool(every)
+        score = np.append(0, np.cumsum(np.where(same, 1, -D.PENALTY)))
+        hidden += bool(every) and score[end] - score[start] < (score - np.minimum.accumulate(score)).max()
+    assert hidden > 10
+
+
+def test_exact_runs_parted_by_substitutions(spark):
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(150))) for k in range(12)]
+    runs = [f"i0x{j}" if j % 19 < 13 else "changed" for j in range(51)]
+    rows = [(0, "before " + " ".join(runs) + " after")]
+    rng = random.Random(8)
+    for d in range(1, 60):
+        part = [t if rng.random() < 0.78 else "changed" for t in tokens(items[d % 12][1])]
+        rows.append((d, " ".join(part)))
+    expected = {0} | {
+        d for d, text in rows if d and overlaps([a == b for a, b in zip(tokens(text), tokens(items[d % 12][1]))], 13)
+        and any(all(a == b for a, b in zip(tokens(text)[k : k + 6], tokens(items[d % 12][1])[k : k + 6])) for k in range(145))
+    }
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = collected(docs, benchmark)
+    assert expected <= {f[0] for f in found} and (0, 0) in {f[:2] for f in found}
+    assert all(f[3] - f[2] >= 13 and f[5] >= D.MIN_IDENTITY * (f[3] - f[2]) for f in found)
+    assert {r["doc_id"] for r in D.drop_contaminated(docs, benchmark).collect()} == set(range(60)) - {f[0] for f in found}
