@@ -8,6 +8,14 @@ over the two multisets of bigrams, if that is ``MIN_DICE`` or more. Since the
 coefficient is at most 2 min(a, b) / (a + b), only templates whose number of
 bigrams lies between t / (2 - t) and (2 - t) / t of the unit's are compared.
 
+Units also are, for each template, the best windows of the text's words
+regardless of lines: of all windows that match the template, the best, then
+the best that does not overlap it, and so on. A window begins and ends at a
+bigram of the template, and only where enough of them lie close together.
+Of two units that cover more than half of the longer one together, the one of
+the smaller coefficient goes if they match different templates; a notice
+inside a longer licence stays.
+
 Cases: a null or empty text matches nothing; units and templates of one word
 have no bigram and match nothing; of equal coefficients the first template by
 name wins; repeated rows are reported each; extra columns are ignored; an
@@ -16,6 +24,7 @@ empty table or no templates give an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -26,10 +35,12 @@ from pyspark.sql import types as T
 
 from strata.llm.decontaminate import tokens
 from strata.llm.tables import doc_texts
-from strata.llm.text import column_bytes, slices, window_hashes
+from strata.llm.text import column_bytes, ranges, slices, window_hashes
 
 MIN_DICE = 0.8
 LOOK = 0.5
+#: Starts and lengths of windows compared at once.
+WINDOW_CELLS = 1 << 19
 FOUND = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("license", T.StringType()),
@@ -103,7 +114,13 @@ class Templates:
         cut = words.first.tolist()
         self.bigrams = [Counter(bigrams(hashes[a:b]).tolist()) for a, b in zip(cut[:-1], cut[1:])]
         self.sizes = np.array([sum(b.values()) for b in self.bigrams], np.int64)
-        self.all = np.unique(np.array([x for b in self.bigrams for x in b], np.uint64))
+        # Every bigram with its templates and how often each has it, by bigram.
+        gram = np.array([x for b in self.bigrams for x in b], np.uint64)
+        order = np.argsort(gram, kind="stable")
+        self.all, self.first = np.unique(gram[order], return_index=True)
+        self.first = np.append(self.first, len(gram))
+        self.of = np.repeat(np.arange(len(self.names)), [len(b) for b in self.bigrams])[order]
+        self.times = np.array([c for b in self.bigrams for c in b.values()], np.int64)[order]
 
     def known(self, grams: np.ndarray) -> np.ndarray:
         """Which bigrams occur in any template."""
@@ -129,6 +146,79 @@ def bigrams(hashes: np.ndarray) -> np.ndarray:
     return window_hashes(hashes, (0, 1))
 
 
+def windows(grams: np.ndarray, doc: np.ndarray, templates: Templates) -> list[tuple[int, int, int, float]]:
+    """Template, first and last bigram and coefficient of each template's best windows that
+    overlap no better one of its own. ``doc`` is the text of each bigram, -1 between texts."""
+    if not len(templates.all):
+        return []
+    at = np.minimum(np.searchsorted(templates.all, grams), len(templates.all) - 1)
+    place = np.flatnonzero((templates.all[at] == grams) & (doc >= 0))
+    count = np.diff(templates.first)[at[place]]
+    entry = ranges(templates.first[at[place]], count)
+    place = np.repeat(place, count)
+    order = np.argsort(templates.of[entry], kind="stable")
+    cut = np.searchsorted(templates.of[entry[order]], np.arange(len(templates.names) + 1))
+    out = []
+    for k, size in enumerate(templates.sizes.tolist()):
+        if cut[k] == cut[k + 1]:
+            continue
+        mine = order[cut[k] : cut[k + 1]]
+        p, times = place[mine], templates.times[entry[mine]]
+        least = math.ceil(MIN_DICE / (2 - MIN_DICE) * size - 1e-9)
+        most = math.floor((2 - MIN_DICE) / MIN_DICE * size + 1e-9)
+        if len(p) < least:
+            continue
+        last = p[least - 1 :]
+        starts = np.flatnonzero((last - p[: len(last)] < most) & (doc[last] == doc[p[: len(last)]]))
+        if not len(starts):
+            continue
+        # A bigram counts if the template has it more often than the window before it does:
+        # if the occurrence that many before lies before the window.
+        by = np.lexsort((p, grams[p]))
+        back = np.arange(len(by)) - times[by]
+        same = (back >= 0) & (grams[p[by]] == grams[p[by[np.maximum(back, 0)]]])
+        spent = np.empty(len(p), np.int64)
+        spent[by] = np.where(same, p[by[np.maximum(back, 0)]], -1)
+        found = []
+        step = max(1, WINDOW_CELLS // most)
+        for lo in range(0, len(starts), step):
+            s = starts[lo : lo + step, None]
+            e = s + np.arange(int((np.searchsorted(p, p[s[:, 0]] + most) - s[:, 0]).max()))
+            inside = e < len(p)
+            e = np.minimum(e, len(p) - 1)
+            inside &= (p[e] - p[s] < most) & (doc[p[e]] == doc[p[s]])
+            common = np.cumsum(inside & (spent[e] < p[s]), axis=1)
+            dice = np.where(inside, 2 * common / (p[e] - p[s] + 1 + size), 0)
+            best = np.argmax(dice, axis=1)
+            top = dice[np.arange(len(s)), best]
+            for i in np.flatnonzero(top >= MIN_DICE).tolist():
+                found.append((int(p[s[i, 0]]), int(p[e[i, best[i]]]), float(top[i])))
+        # Windows that overlap form a group; of a group the best first, then what does not overlap it.
+        group, end = [], -1
+        for window in [*found, (len(grams) + 1, 0, 0.0)]:
+            if window[0] > end:
+                kept: list[tuple[int, int, float]] = []
+                for a, b, dice in sorted(group, key=lambda w: (-w[2], w[0])):
+                    if all(b < x or a > y for x, y, _ in kept):
+                        kept.append((a, b, dice))
+                out += [(k, *w) for w in kept]
+                group = []
+            group.append(window)
+            end = max(end, window[1])
+    return out
+
+
+def _settled(units: list[tuple[float, int, int, str, bool]]) -> list[tuple[float, int, int, str, bool]]:
+    """The units of one text (coefficient, first word, end, template, whether it is a window) without
+    those that lose against another template on much the same words."""
+    kept: list[tuple[float, int, int, str, bool]] = []
+    for unit in sorted(units, key=lambda u: (-u[0], u[3], u[4], u[1])):
+        _, a, b, name, _ = unit
+        if not any(n != name and 2 * (min(b, y) - max(a, x)) > max(b - a, y - x) for _, x, y, n, _ in kept):
+            kept.append(unit)
+    return kept
+
+
 def find_licenses(texts: pa.Array, templates: Templates) -> list[tuple[int, str, float, int]]:
     """Text, licence, largest coefficient and number of matching units, for the texts of one slice."""
     words, hashes = tokens(texts)
@@ -148,16 +238,14 @@ def find_licenses(texts: pa.Array, templates: Templates) -> list[tuple[int, str,
     size = np.bincount(row, inside, len(lines))
     hits = np.bincount(row, inside & known, len(lines))
     looks = (size > 0) & (hits >= LOOK * size)
-    if not looks.any():
-        return []
     edges = np.append(at, len(line))
     doc = np.searchsorted(words.first, at, "right") - 1
-    found: dict[tuple[int, str], list[tuple[float, int]]] = {}
+    units: dict[int, list[tuple[float, int, int, str, bool]]] = {}
 
     def take(text: int, a: int, b: int) -> None:
         hit = templates.best(grams[a : b - 1])
         if hit:
-            found.setdefault((text, hit[1]), []).append((hit[0], a))
+            units.setdefault(text, []).append((hit[0], a, b, hit[1], False))
 
     which = np.flatnonzero(looks)
     for k in which.tolist():
@@ -170,7 +258,20 @@ def find_licenses(texts: pa.Array, templates: Templates) -> list[tuple[int, str,
         a, b = int(words.first[text]), int(words.first[text + 1])
         if known[a : b - 1].sum() >= LOOK * (b - a - 1):
             take(text, a, b)
-    return [(text, name, max(d for d, _ in hits), len({a for _, a in hits})) for (text, name), hits in sorted(found.items())]
+    of = words.doc()
+    for k, a, b, dice in windows(grams, np.where(of[1:] == of[:-1], of[:-1], -1), templates):
+        units.setdefault(int(of[a]), []).append((dice, a, b + 2, templates.names[k], True))
+    out = []
+    for text, found in sorted(units.items()):
+        by_name: dict[str, list[tuple[float, int, int, str, bool]]] = {}
+        for unit in _settled(found):
+            by_name.setdefault(unit[3], []).append(unit)
+        for name, hits in sorted(by_name.items()):
+            plain = [(a, b) for _, a, b, _, window in hits if not window]
+            # A window on words of another unit of its licence is not one more place.
+            more = {a for _, a, b, _, window in hits if window and all(b <= x or a >= y for x, y in plain)}
+            out.append((text, name, max(h[0] for h in hits), len({a for a, _ in plain} | more)))
+    return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:

@@ -1,6 +1,9 @@
+import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from conftest import SF_SMALL
 from llm_cases import documents, no_documents
 
@@ -82,3 +85,42 @@ def test_every_notice_line_of_the_given_table_is_found(spark):
 def test_empty_table_and_no_templates(spark):
     assert L.scan_licenses(no_documents(spark)).count() == 0
     assert L.scan_licenses(documents(spark, SF_SMALL), {}).count() == 0
+
+
+def test_notice_inside_a_line_and_licences_one_after_the_other(spark):
+    mit, bsd = L.TEMPLATES["MIT"], L.TEMPLATES["BSD-2-Clause"]
+    rows = [
+        (1, "The weights and the code in this archive were prepared by the team. Released under the MIT License. See the docs."),
+        (2, wrapped(mit, 9) + "\n\n" + wrapped(bsd, 11)), (3, "one " * 50 + mit + " two" * 50 + " " + mit), (4, "Released under the\n\nMIT License"),
+        (5, "under the MIT"),
+    ]
+    got = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"], r["dice"], r["n_units"]) for r in got} == {
+        (1, "MIT notice", 1.0, 1), (2, "MIT", 1.0, 1), (2, "BSD-2-Clause", 1.0, 1), (3, "MIT", 1.0, 2), (4, "MIT notice", 1.0, 1),
+    }
+
+
+def test_windows_equal_all_windows():
+    rng = random.Random(6)
+    text = lambda n, m: [f"w{rng.randrange(m)}" for _ in range(n)]
+    few = {f"t{k}": " ".join(text(rng.randrange(2, 16), 5)) for k in range(6)}
+    held, found = L.Templates(few), 0
+    for _ in range(60):
+        texts = [" ".join(sum((rng.choice([text(3, 9), few[rng.choice(list(few))].split()]) for _ in range(rng.randrange(6))), [])) for _ in range(3)]
+        words, hashes = L.tokens(pa.array(texts))
+        of = words.doc()
+        got = {}
+        for k, a, b, dice in L.windows(L.bigrams(hashes), np.where(of[1:] == of[:-1], of[:-1], -1), held):
+            assert of[a] == of[b + 1]
+            got[int(of[a]), held.names[k]] = max(got.get((int(of[a]), held.names[k]), 0), dice)
+        expected = {}
+        for d, t in enumerate(texts):
+            g = grams(t)
+            for name, template in few.items():
+                own = Counter(grams(template))
+                dice = max((2 * sum((Counter(g[a:b]) & own).values()) / (b - a + sum(own.values())) for a in range(len(g)) for b in range(a + 1, len(g) + 1)), default=0)
+                if dice >= L.MIN_DICE:
+                    expected[d, name] = dice
+        assert got == expected
+        found += len(got)
+    assert found > 100
