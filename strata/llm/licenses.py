@@ -13,8 +13,8 @@ regardless of lines: of all windows that match the template, the best, then
 the best that does not overlap it, and so on. A window begins and ends at a
 bigram of the template, and only where enough of them lie close together.
 Of two units that cover more than half of the longer one together, the one of
-the smaller coefficient goes if they match different templates; a notice
-inside a longer licence stays.
+the smaller coefficient (of equal ones the shorter) goes if they match
+different templates; a notice inside a longer licence stays.
 
 Cases: a null or empty text matches nothing; units and templates of one word
 have no bigram and match nothing; of equal coefficients the first template by
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,8 @@ FOUND = T.StructType([
     T.StructField("n_units", T.LongType()),
 ])
 
-# Notices and texts of public licences, without their copyright lines.
+# Notices, headers and texts of public licences, without their copyright lines. One-word
+# SPDX identifiers are not here: most of such a line is the same for all licences, even unknown ones.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -102,7 +104,122 @@ TEMPLATES = {
         "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
         "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have "
+        "received a copy of the GNU Affero General Public License along with this program. If not, see https://www.gnu.org/licenses/."
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission. THIS "
+        "SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO "
+        "EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+        "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "BSD-2-Clause notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause notice": "Licensed under the BSD 3-Clause License.",
+    "CC-BY-4.0 sentence": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0 sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0 sentence": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0 sentence": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0 sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0 sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0 notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "GPL notice": "This work is licensed under the GNU General Public License.",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0 header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+        "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
+        "received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, "
+        "Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+    ),
+    "GPL-2.0 header with link": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+        "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
+        "received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/."
+    ),
+    "LGPL-2.1 notice": "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1 header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This "
+        "library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have "
+        "received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software "
+        "Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+    ),
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have "
+        "received a copy of the GNU Lesser General Public License along with this program. If not, see https://www.gnu.org/licenses/."
+    ),
+    "MIT-0": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, "
+        "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom "
+        "the Software is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT "
+        "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+        "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "MIT sentence": "This project is licensed under the MIT License.",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial "
+        "or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+        "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+        "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to https://unlicense.org/."
+    ),
+}
+TEMPLATES |= {
+    f"{i} SPDX": f"SPDX-License-Identifier: {i}"
+    for i in (
+        "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-2.0-only",
+        "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MPL-2.0",
+    )
 }
+#: Licences whose full text is a file of ``license_texts``.
+FULL_TEXTS = ("AGPL-3.0", "Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+TEMPLATES |= {n: resources.files("strata.llm").joinpath("license_texts", f"{n}.txt").read_text("utf-8") for n in FULL_TEXTS}
 
 
 class Templates:
@@ -212,7 +329,7 @@ def _settled(units: list[tuple[float, int, int, str, bool]]) -> list[tuple[float
     """The units of one text (coefficient, first word, end, template, whether it is a window) without
     those that lose against another template on much the same words."""
     kept: list[tuple[float, int, int, str, bool]] = []
-    for unit in sorted(units, key=lambda u: (-u[0], u[3], u[4], u[1])):
+    for unit in sorted(units, key=lambda u: (-u[0], u[1] - u[2], u[3], u[4], u[1])):
         _, a, b, name, _ = unit
         if not any(n != name and 2 * (min(b, y) - max(a, x)) > max(b - a, y - x) for _, x, y, n, _ in kept):
             kept.append(unit)

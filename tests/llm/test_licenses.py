@@ -124,3 +124,25 @@ def test_windows_equal_all_windows():
         assert got == expected
         found += len(got)
     assert found > 100
+
+
+def test_near_relatives_have_names_of_their_own(spark):
+    gpl2 = L.TEMPLATES["GPL-3.0 header"].replace("version 3", "version 2").replace("software: you", "software; you")
+    rows = {
+        "GPL-2.0 header with link": gpl2,
+        "LGPL-3.0 header": L.TEMPLATES["GPL-3.0 header"].replace("General Public", "Lesser General Public"),
+        "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+        "BSD-3-Clause": wrapped(L.TEMPLATES["BSD-3-Clause"], 10),
+        "MPL-2.0 header": wrapped(L.TEMPLATES["MPL-2.0 header"], 10),
+        "Unlicense": L.TEMPLATES["Unlicense"],
+        **{n: "Some words before.\n" + L.TEMPLATES[n] + "\nand after" for n in L.FULL_TEXTS},
+    }
+    docs = spark.createDataFrame(list(enumerate(rows.values())), "doc_id long, text string")
+    got = {}
+    for r in L.scan_licenses(docs).collect():
+        got.setdefault(r["doc_id"], {})[r["license"]] = r["dice"]
+    for k, name in enumerate(rows):
+        assert got[k][name] == 1.0
+        # A full text may quote the header that it recommends, but is no other full text.
+        assert len(set(got[k]) & ({*L.FULL_TEXTS} if name in L.FULL_TEXTS else {*rows})) == 1, (name, got[k])
+    assert not L.scan_licenses(spark.createDataFrame([(1, "SPDX-License-Identifier: Zlib")], "doc_id long, text string")).count()
