@@ -18,6 +18,9 @@ from strata.llm.secret_scan import labelled_samples, redact, train
 from strata.llm.sentencepiece_codec import encode_offsets
 from strata.llm.tables import read, written
 
+#: Near copies share 80% of their shingles of five words; op6's own query has a contract of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the robust distance reject go."""
@@ -27,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one of the smallest id stays; of rows that share
     an id, the first by text. Documents without an id are in no group and stay."""
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     own = Window.partitionBy("doc_id").orderBy("text")
     kept = docs.join(first, "doc_id", "left_semi").select("*", F.row_number().over(own).alias("__row")).where("__row = 1").drop("__row")

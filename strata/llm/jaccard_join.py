@@ -1,8 +1,8 @@
 """N-gram Jaccard join by prefix trees.
 
-A text's set holds its distinct ``GRAM``-word shingles, A-Z in lower case; a
+A text's set holds its distinct shingles of ``gram`` words, A-Z in lower case; a
 text of fewer words has its whole sequence as one shingle, a text without words
-has none. Two texts link when 100 * |A & B| >= ``PERCENT`` * |A | B|. The result
+has none. Two texts link when 100 * |A & B| >= ``percent`` * |A | B|. The result
 is a row per document with the smallest id that it reaches by links.
 
 All sets share one global order, rare shingles first: shingles fall by hash
@@ -10,7 +10,7 @@ into ``BUCKETS`` buckets whose counts over the whole corpus give a shingle its
 level. The order changes only the cost. The steps:
 
 1. Equal sets are one node, named after their smallest id.
-2. Linked sets share a shingle among the first n - ceil(0.85 n) + 1 of each.
+2. Linked sets share a shingle among the first n - ceil(percent n / 100) + 1 of each.
    Shingles that several nodes have there are kept as candidates' meeting places.
 3. Each such shingle's nodes are paired with a few of them, its hubs; verified
    links give components, so a group of near copies is nearly one component
@@ -53,6 +53,7 @@ from pyspark.sql import types as T
 from strata.llm.tables import doc_texts, written
 from strata.llm.text import column_bytes, sequence_hashes, slices, split_words, window_hashes, word_hashes
 
+#: The shingle width and the percentage if none are given.
 GRAM = 4
 PERCENT = 85
 BUCKETS = 1 << 20
@@ -82,25 +83,25 @@ MEETINGS = T.StructType([
 LINKS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
 
-def prefix_length(n: int) -> int:
-    return n - -(-PERCENT * n // 100) + 1
+def prefix_length(n: int, percent: int = PERCENT) -> int:
+    return n - -(-percent * n // 100) + 1
 
 
-def needed(n: int, m: int) -> int:
+def needed(n: int, m: int, percent: int = PERCENT) -> int:
     """The least overlap with which sets of ``n`` and ``m`` shingles link."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
+    return -(-percent * (n + m) // (100 + percent))
 
 
-def shingle_sets(texts: pa.Array):
+def shingle_sets(texts: pa.Array, gram: int = GRAM):
     """The sorted distinct shingle hashes of each text, in order."""
     data, offsets = column_bytes(texts)
     for lo, hi in slices(offsets):
         words = split_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower=True)
         hashes = word_hashes(words)
-        grams = window_hashes(hashes, tuple(range(GRAM)))
+        grams = window_hashes(hashes, tuple(range(gram)))
         for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-            if b - a >= GRAM:
-                yield np.unique(grams[a : b - GRAM + 1])
+            if b - a >= gram:
+                yield np.unique(grams[a : b - gram + 1])
             elif b > a:
                 yield sequence_hashes(hashes, np.array([a]), np.array([b]))
             else:
@@ -124,14 +125,14 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- sets and their order
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, gram: int) -> DataFrame:
     """A row for each text (n, ``same``, a digest of the set, and its bitmap), and each task's bucket counts in chunks."""
 
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             n, same, bits, buckets = [], [], [], [np.zeros(0, np.int64)]
-            for s in shingle_sets(batch.column(1)):
+            for s in shingle_sets(batch.column(1), gram):
                 n.append(len(s))
                 same.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 bits.append(bitmap(s))
@@ -176,7 +177,7 @@ def _levels(sets: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _meetings(docs: DataFrame, levels: Broadcast) -> DataFrame:
+def _meetings(docs: DataFrame, levels: Broadcast, gram: int, percent: int) -> DataFrame:
     """The prefix of every set, a row for each shingle; equal sets of one task once."""
 
     def run(batches):
@@ -184,14 +185,14 @@ def _meetings(docs: DataFrame, levels: Broadcast) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             parts, own, size, at = [], [], [], []
-            for doc_id, s in zip(ids, shingle_sets(batch.column(1))):
+            for doc_id, s in zip(ids, shingle_sets(batch.column(1), gram)):
                 if doc_id is None or not len(s):
                     continue
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 if digest in seen:
                     continue
                 seen.add(digest)
-                p = prefix_length(len(s))
+                p = prefix_length(len(s), percent)
                 parts.append(ordered(s, levels.value)[:p])
                 own.append(doc_id)
                 size.append(len(s))
@@ -244,7 +245,7 @@ class Trie:
                 node.below[int(rest[0])] = child = upper
             node, rest = child, rest[shared:]
 
-    def linked(self, probe: np.ndarray) -> list:
+    def linked(self, probe: np.ndarray, percent: int = PERCENT) -> list:
         """Names of the sets that link with ``probe``."""
         found, n = [], len(probe)
         stack = [(self, 0, 0)]
@@ -257,9 +258,9 @@ class Trie:
                 overlap += int((probe[at[inner]] == node.run[inner]).sum())
                 depth += len(node.run)
                 left = n - int(np.searchsorted(probe, node.run[-1], "right"))
-            if overlap + min(left, node.most - depth) < needed(n, node.least):
+            if overlap + min(left, node.most - depth) < needed(n, node.least, percent):
                 continue
-            if node.ends and overlap >= needed(n, depth):
+            if node.ends and overlap >= needed(n, depth, percent):
                 found += node.ends
             stack += [(child, overlap, depth) for child in node.below.values()]
         return found
@@ -288,7 +289,7 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", place("doc_id").alias("place")).mapInArrow(run, "node long, text binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast, gram: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets link; nodes are ids of ``docs``."""
     pairs = pairs.select("u", "v")
     blocks = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
@@ -301,14 +302,14 @@ def verified(pairs: DataFrame, docs: DataFrame, levels: Broadcast) -> DataFrame:
 
         def out():
             # A node of several rows (one id, different texts) has several sets.
-            names = sorted({v for p in probes for v in trie.linked(p)}) if trie is not None and trie.below else []
+            names = sorted({v for p in probes for v in trie.linked(p, percent)}) if trie is not None and trie.below else []
             if names:
                 yield pa.RecordBatch.from_arrays([pa.array([group[0]] * len(names), pa.int64()), pa.array(names, pa.int64())], names=LINKS.names)
 
         for batch in batches:
             keys = zip(*(batch.column(k).to_pylist() for k in range(4)))
             texts = pa.array([unzip.decompress(t) for t in batch.column(4).to_pylist()], pa.binary())
-            for (u, block, node, member), s in zip(keys, shingle_sets(texts)):
+            for (u, block, node, member), s in zip(keys, shingle_sets(texts, gram)):
                 # Ascending from the most frequent shingles.
                 s = np.sort(~ordered(s, levels.value))
                 if (u, block) != group:
@@ -347,17 +348,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _room(n: str, at: str, m: str, to: str) -> Column:
+def _room(n: str, at: str, m: str, to: str, percent: int) -> Column:
     """Whether sets of ``n`` and ``m`` shingles that first meet at these places can overlap enough."""
-    need = F.ceil(PERCENT * (F.col(n) + F.col(m)) / (100 + PERCENT))
+    need = F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
     return F.least(F.col(n) - F.col(at), F.col(m) - F.col(to)) >= need
 
 
-def _may_link(n: str, m: str, a: list[str], b: list[str]) -> Column:
+def _may_link(n: str, m: str, a: list[str], b: list[str], percent: int) -> Column:
     """Whether bitmaps differ in no more bits than linked sets of ``n`` and ``m`` shingles may differ in shingles.
     A node without a bitmap may link with any."""
     differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(a, b)), F.lit(0))
-    need = F.ceil(PERCENT * (F.col(n) + F.col(m)) / (100 + PERCENT))
+    need = F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
     return F.coalesce(differ <= F.col(n) + F.col(m) - 2 * need, F.lit(True))
 
 
@@ -365,10 +366,10 @@ def _side(meetings: DataFrame, end: str) -> DataFrame:
     return meetings.select("shingle", *[F.col(c).alias(f"{c}_{end}") for c in meetings.columns if c != "shingle"])
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles and component_id."""
+def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles and component_id, for shingles of ``gram`` words and links from ``percent`` on."""
     spark, docs = docs.sparkSession, doc_texts(docs)
-    sets = written(_sets(docs), "sets")
+    sets = written(_sets(docs, gram), "sets")
     levels = spark.sparkContext.broadcast(_levels(sets))
     rows = sets.where("chunk is null").select("doc_id", "n", "same", *BITMAP)
     # Nodes: equal sets, or rows of one id, under their smallest id.
@@ -376,7 +377,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = named.groupBy("same").agg(F.min("doc_id").alias("node"))
     nodes = written(named.join(least, "same").select("doc_id", "node").distinct(), "nodes")
 
-    meetings = _meetings(docs, levels)
+    meetings = _meetings(docs, levels, gram, percent)
     shared = meetings.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
     meetings = meetings.join(shared, "shingle").join(nodes, "doc_id").select("shingle", "node", "n", "at").distinct()
     meetings = written(meetings, "meetings")
@@ -394,16 +395,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("c"), *[F.min_by(F.struct("node", "n", "at"), F.struct(F.xxhash64("node", F.lit(k)), "node")).alias(f"h{k}") for k in range(HUBS)]
     ).where("c > 1").select("shingle", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)]))).alias("h"))
     hubs = hubs.select("shingle", F.col("h.node").alias("node_a"), F.col("h.n").alias("n_a"), F.col("h.at").alias("at_a"))
-    spokes = _side(meetings, "b").join(hubs, "shingle").where((F.col("node_a") != F.col("node_b")) & _room("n_a", "at_a", "n_b", "at_b"))
+    spokes = _side(meetings, "b").join(hubs, "shingle").where((F.col("node_a") != F.col("node_b")) & _room("n_a", "at_a", "n_b", "at_b", percent))
     spokes = spokes.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v")).distinct()
 
     def may_link(pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) of ``n_u`` and ``n_v`` shingles that their bitmaps let through."""
         bits = lambda end: bitmaps.select(F.col("node").alias(end), *[F.col(b).alias(f"{b}_{end}") for b in BITMAP])
         pairs = pairs.join(bits("u"), "u").join(bits("v"), "v")
-        return pairs.where(_may_link("n_u", "n_v", [f"{b}_u" for b in BITMAP], [f"{b}_v" for b in BITMAP])).select("u", "v").distinct()
+        return pairs.where(_may_link("n_u", "n_v", [f"{b}_u" for b in BITMAP], [f"{b}_v" for b in BITMAP], percent)).select("u", "v").distinct()
 
-    links = written(verified(written(may_link(spokes), "spokes"), docs, levels), "links")
+    links = written(verified(written(may_link(spokes), "spokes"), docs, levels, gram, percent), "links")
     labels = components(links.unionByName(same_id))
 
     held = meetings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -418,11 +419,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     fewer = _side(held.where("label <> main").drop("main"), "a")
     others = _side(held, "b")
     once = (F.col("label_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
-    room = _room("n_a", "at_a", "n_b", "at_b") & ~F.arrays_overlap("earlier_a", "earlier_b")
+    room = _room("n_a", "at_a", "n_b", "at_b", percent) & ~F.arrays_overlap("earlier_a", "earlier_b")
     rest = fewer.join(others, "shingle").where((F.col("label_a") != F.col("label_b")) & once & room)
     rest = rest.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v"))
     rest = may_link(rest).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    more = written(verified(written(rest, "pairs"), docs, levels), "links")
+    more = written(verified(written(rest, "pairs"), docs, levels, gram, percent), "links")
     labels = components(links.unionByName(more).unionByName(same_id))
 
     placed = rows.join(least, "same", "left").join(labels, "node", "left")

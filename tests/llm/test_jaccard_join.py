@@ -88,3 +88,26 @@ def test_trie_finds_exactly_the_linked_sets():
         both = [len(np.intersect1d(s, t)) for t in sets]
         expected = [k for k, (t, n) in enumerate(zip(sets, both)) if 100 * n >= J.PERCENT * (len(s) + len(t) - n)]
         assert sorted(trie.linked(s)) == expected
+
+
+def test_width_and_percentage_are_parameters(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for d in range(0, 120, 3):
+        w = [f"u{rng.randrange(5000)}" for _ in range(40)]
+        rows.append((d, " ".join(w)))
+        for k in (1, 2):
+            x = list(w)
+            for _ in range(rng.randrange(3)):
+                x[rng.choice([0, 1, 2, 37, 38, 39])] = f"c{rng.randrange(5000)}"
+            rows.append((d + k, " ".join(x)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    label = lambda *a: {r["doc_id"]: r["component_id"] for r in J.jaccard_components(docs, *a).collect()}
+    expected = {}
+    for gram, percent in ((4, 85), (5, 80)):
+        monkeypatch.setattr(J, "GRAM", gram)
+        monkeypatch.setattr(J, "PERCENT", percent)
+        expected[gram, percent] = brute_force(rows)
+    monkeypatch.undo()
+    assert label() == expected[4, 85] and label(5, 80) == expected[5, 80]
+    assert expected[4, 85] != expected[5, 80]

@@ -52,3 +52,10 @@ def test_stages_one_by_one(spark):
         docs, rows = out, got
     ran = corpus_pipeline.run(spark, SF_SMALL)
     assert sorted((r["doc_id"], r["decoded_sha256"]) for r in ran.collect()) == sorted((d, r["decoded_sha256"]) for d, r in rows.items())
+
+
+def test_near_copies_of_five_words_and_80_percent_go(spark):
+    w = [f"u{k}" for k in range(40)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:36], "a", "b", "c", "d"])), (3, "another text")]  # 32 of 40 shingles of five words
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.jaccard_join(spark, docs, SF_SMALL).collect()} == {1, 3}
