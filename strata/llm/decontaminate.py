@@ -20,6 +20,7 @@ Cases: null or empty texts and items have no tokens and meet nothing; items
 of fewer tokens than the shortest mask are too short to be evidence and are
 never found; a passage that occurs twice in a document counts in ``n_overlaps``;
 repeated documents are reported each, and items with the same text each;
+items of a null id count as others and are reported under a null id;
 extra columns are carried by ``drop_contaminated`` as they are; empty tables
 give empty results.
 """
@@ -90,7 +91,7 @@ def _seeds(words: Words, hashes: np.ndarray, mask: tuple[int, ...]) -> tuple[np.
 class BenchmarkIndex:
     """Spaced-seed hashes of benchmark items, for each mask sorted with the places they come from."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int | None, str | None]]):
         self.ids = [i for i, _ in items]
         words, self.hashes = tokens(pa.array([t for _, t in items], pa.string()))
         self.first = words.first
@@ -179,7 +180,7 @@ def _index_blocks(benchmark: DataFrame) -> Iterator[BenchmarkIndex]:
     n = max(1, math.ceil(total / 4 / BLOCK_TOKENS))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
-        rows = sorted((r[0], r[1]) for r in items.where(block == k).collect() if r[0] is not None)
+        rows = sorted(((r[0], r[1]) for r in items.where(block == k).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         if rows:
             yield BenchmarkIndex(rows)
 

@@ -130,3 +130,11 @@ def test_exact_runs_parted_by_substitutions(spark):
     assert expected <= {f[0] for f in found} and (0, 0) in {f[:2] for f in found}
     assert all(f[3] - f[2] >= 13 and f[5] >= D.MIN_IDENTITY * (f[3] - f[2]) for f in found)
     assert {r["doc_id"] for r in D.drop_contaminated(docs, benchmark).collect()} == set(range(60)) - {f[0] for f in found}
+
+
+def test_items_without_an_id(spark):
+    texts = [" ".join(f"n{k}x{j}" for j in range(20)) for k in range(3)]
+    docs = spark.createDataFrame([(k, "some " + t) for k, t in enumerate(texts)] + [(9, "clean words")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (5, texts[2])], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"], r["n_match"]) for r in D.find_contamination(docs, benchmark).collect()} == {(0, None, 20), (1, None, 20), (2, 5, 20)}
+    assert [r["doc_id"] for r in D.drop_contaminated(docs, benchmark).collect()] == [9]
