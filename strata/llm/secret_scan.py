@@ -136,7 +136,7 @@ def log_likelihood_ratio(token: Column, table: list[float]) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.element_at(ratios, (letter(i) - 1) * len(ALPHABET) + letter(i + 1)))
 
 
-def scan(docs: DataFrame, table: list[float] | None, *keep: str) -> DataFrame:
+def scan(docs: DataFrame, table: list[float] | None, *keep: Column) -> DataFrame:
     """``doc_id``, the ``keep`` columns and ``found``: every span as struct(start, rank, end, hit), by start and rank."""
     base = doc_texts(docs, *keep).withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
     if table is None:
@@ -168,7 +168,8 @@ def redact(docs: DataFrame, table: list[float] | None, mark: str = "[SECRET]") -
     The other columns stay; ``n_chars`` follows the new text where there is one.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = scan(docs, table, *rest)
+    # The caller's columns travel in one, so that none clashes with the names used here.
+    found = scan(docs, table, F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("__none")).alias("rest"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc, s):
@@ -179,6 +180,7 @@ def redact(docs: DataFrame, table: list[float] | None, mark: str = "[SECRET]") -
     cut = F.aggregate("found", start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr("text", acc["at"] + 1)))
     text = F.when(F.size("found") > 0, cut).otherwise(F.col("text"))
     out = found.withColumn("text", text)
+    columns = {c: F.col("rest")[c] for c in rest} | {c: F.col(c) for c in ("doc_id", "text")}
     if "n_chars" in rest:
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        columns["n_chars"] = F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return out.select(*[columns[c].alias(c) for c in docs.columns])
