@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.brown_lm import score
 from strata.llm.decontaminate import find_contamination
+from strata.llm.embedding_whitening import whiten
 from strata.llm.jaccard_join import jaccard_components
 from strata.llm.licenses import scan_licenses
 from strata.llm.quality_rules import quality_verdicts
@@ -58,6 +59,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -69,6 +74,7 @@ QUERIES = {
     "op8_brown_lm": op8_brown_lm,
     "op9_token_planes": op9_token_planes,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
