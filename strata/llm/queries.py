@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.brown_lm import score
+from strata.llm.conversation_trie import prefix_trie
 from strata.llm.decontaminate import find_contamination
 from strata.llm.embedding_whitening import whiten
 from strata.llm.jaccard_join import jaccard_components
 from strata.llm.licenses import scan_licenses
+from strata.llm.oracles import ORACLE_SQL
 from strata.llm.quality_rules import quality_verdicts
 from strata.llm.rule_ensemble import classify
 from strata.llm.secret_scan import secret_digests
 from strata.llm.sentencepiece_codec import encode_offsets
+from strata.llm.simhash_grid import simhash_components
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.tables import new_folder, read
 from strata.llm.token_planes import token_file_digests
@@ -63,6 +66,14 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -75,6 +86,8 @@ QUERIES = {
     "op9_token_planes": op9_token_planes,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_simhash_grid": op13_simhash_grid,
 }
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(ORACLE_SQL)
