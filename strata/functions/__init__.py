@@ -4,10 +4,8 @@ from strata.functions.scalars import (  # noqa: F401
     json_array,
     json_text,
     lookup_key,
-    parse_iso_utc,
+    parse_iso_instant,
     run_id,
     slug,
-    to_date,
     to_decimal,
-    try_to_decimal,
 )

@@ -49,14 +49,21 @@ def to_decimal(c: ColumnOrName, precision: int, scale: int) -> Column:
     return _col(c).cast(DecimalType(precision, scale))
 
 
-def try_to_decimal(c: ColumnOrName, precision: int, scale: int) -> Column:
-    """As ``to_decimal`` but overflow or bad text gives NULL (for reject paths)."""
-    return _col(c).try_cast(DecimalType(precision, scale))
+# Fixed value: the shape of an ISO-8601 instant, a date with or without a time of day, and an offset.
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def parse_iso_utc(c: ColumnOrName) -> Column:
-    """ISO-8601 text with ``Z`` or an offset to an instant (micros kept)."""
-    return _col(c).cast("timestamp")
+def parse_iso_instant(c: ColumnOrName) -> Column:
+    """ISO-8601 text to an instant (micros kept, further digits cut); other text gives NULL.
+
+    A cast alone also takes times without a date, which it puts on the current
+    day, and years; the shape is checked first. Text without an offset is UTC.
+    """
+    text = _col(c)
+    spelled = F.regexp_replace(F.regexp_replace(text, ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    # The cast wants seconds before an offset.
+    spelled = F.regexp_replace(spelled, r"([T ]\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
+    return F.when(text.rlike(ISO_INSTANT), spelled.try_cast("timestamp"))
 
 
 def order_key(ts: ColumnOrName, ident: ColumnOrName) -> Column:
@@ -73,10 +80,6 @@ def order_key(ts: ColumnOrName, ident: ColumnOrName) -> Column:
     return ((micros + big(10**17)) * big(10**20) + ident_c).cast("decimal(38,0)")
 
 
-def to_date(c: ColumnOrName) -> Column:
-    return _col(c).cast("date")
-
-
 def iso_utc_z(ts: ColumnOrName) -> Column:
     """UTC ISO-8601 text ending in ``Z``; the fraction appears only when non-zero."""
     t = _col(ts)

@@ -6,11 +6,12 @@ into a lazy job failure instead.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 
 def not_null_violations(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
@@ -36,19 +37,68 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_keys: list[str], pa
     return child.where(present).join(p, on=child_keys, how="left_anti")
 
 
-def fk_violation_count(child: DataFrame, parent: DataFrame, child_keys: list[str], parent_keys: list[str] | None = None) -> DataFrame:
-    """One row ``violations``: child rows whose non-NULL key has no parent.
+@dataclass(frozen=True)
+class ForeignKey:
+    """``child.key`` refers to ``parent.parent_key``, among the parent rows of ``where`` if given."""
 
-    Child keys are counted first (a partial aggregate, so a key repeated
-    millions of times crosses the shuffle as one row per map task), then only
-    the distinct keys are anti-joined with the parent keys.
+    name: str
+    child: DataFrame
+    key: str
+    parent: DataFrame
+    parent_key: str | None = None
+    where: Column | None = None
+
+
+def fk_violation_counts(contracts: list[ForeignKey]) -> DataFrame:
+    """``(contract, violations)``: child rows whose non-NULL key has no parent, for all contracts at once.
+
+    A child is scanned once for all its keys, a parent once for all its
+    contracts. Child keys are stacked as (column, key) and counted first, so a
+    key repeated millions of times crosses the shuffle as one row per map task;
+    parent keys are stacked alike with a bit for each contract that they satisfy. One
+    join then meets a key with its bits. Keys of one type are stacked together.
     """
-    parent_keys = parent_keys or child_keys
-    p = parent.select(*[F.col(pk).alias(ck) for ck, pk in zip(child_keys, parent_keys)]).distinct()
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_keys])
-    per_key = child.where(present).groupBy(*child_keys).agg(F.count(F.lit(1)).alias("__n"))
-    orphans = per_key.join(p, on=child_keys, how="left_anti")
-    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))
+    by_type: dict[DataType, list[ForeignKey]] = {}
+    for c in contracts:
+        by_type.setdefault(c.child.schema[c.key].dataType, []).append(c)
+    return reduce(DataFrame.unionByName, [_counts_of_type(kind, group) for kind, group in by_type.items()])
+
+
+def _stacked(frames: dict[int, tuple[DataFrame, dict[tuple, Column]]]) -> DataFrame:
+    """One scan of each frame: a row for each of its keyed structs that holds a key."""
+    parts = [df.select(F.inline(F.array(*structs.values()))).where("key IS NOT NULL") for df, structs in frames.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counts_of_type(kind: DataType, contracts: list[ForeignKey]) -> DataFrame:
+    slots = {s: i for i, s in enumerate(dict.fromkeys((id(c.child), c.key) for c in contracts))}
+    if len(contracts) > 62:
+        raise ValueError("at most 62 foreign keys of one type at once")
+    children: dict[int, tuple[DataFrame, dict[tuple, Column]]] = {}
+    parents: dict[int, tuple[DataFrame, dict[tuple, Column]]] = {}
+    for (child, key), slot in slots.items():
+        frame = next(c.child for c in contracts if id(c.child) == child)
+        one = F.struct(F.lit(slot).alias("slot"), F.col(key).alias("key"))
+        children.setdefault(child, (frame, {}))[1][slot] = one
+    for bit, c in enumerate(contracts):
+        structs = parents.setdefault(id(c.parent), (c.parent, {}))[1]
+        at = (slots[id(c.child), c.key], c.parent_key or c.key)
+        flag = F.lit(1 << bit) if c.where is None else F.when(c.where, F.lit(1 << bit)).otherwise(F.lit(0))
+        # Contracts of one child column and one parent column share their rows.
+        structs[at] = [*structs.get(at, []), flag.cast("bigint")]
+    for frame, structs in parents.values():
+        for (slot, key), flags in structs.items():
+            structs[slot, key] = F.struct(F.lit(slot).alias("slot"), F.col(key).cast(kind).alias("key"), reduce(Column.bitwiseOR, flags).alias("bits"))
+    counted = _stacked(children).groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = _stacked(parents).groupBy("slot", "key").agg(F.bit_or("bits").alias("bits"))
+    met = counted.join(known, ["slot", "key"], "left")
+    lacks = lambda bit: F.coalesce(F.col("bits"), F.lit(0)).bitwiseAND(F.lit(1 << bit)) == 0
+    broken = [
+        F.coalesce(F.sum(F.when((F.col("slot") == slots[id(c.child), c.key]) & lacks(bit), F.col("n"))), F.lit(0)).cast("bigint").alias(f"c{bit}")
+        for bit, c in enumerate(contracts)
+    ]
+    rows = F.array(*[F.struct(F.lit(c.name).alias("contract"), F.col(f"c{bit}").alias("violations")) for bit, c in enumerate(contracts)])
+    return met.agg(*broken).select(F.inline(rows))
 
 
 def apply_schema(df: DataFrame, schema: StructType, keys: list[str], on_error: str = "reject") -> tuple[DataFrame, DataFrame]:
@@ -98,14 +148,3 @@ def enforce_not_null(df: DataFrame, cols: list[str], table: str) -> DataFrame:
             F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NOT NULL violated: {table}.{c}"))).otherwise(F.col(c)),
         )
     return out
-
-
-def contract_summary(violations: dict[str, DataFrame]) -> DataFrame:
-    """``(contract, violations)`` rows; each input is a violation frame or a one-row ``violations`` count."""
-    parts = []
-    for k, v in violations.items():
-        one = v if v.columns == ["violations"] else v.agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-        parts.append(one.select(F.lit(k).alias("contract"), "violations"))
-    return reduce(DataFrame.unionByName, parts)
-
-

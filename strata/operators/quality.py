@@ -13,22 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_COLS = ["check_order", "name", "description", "issue_count", "passed"]
 SUMMARY_COLS = ["passed", "failed", "total", "status"]
 
 
-@dataclass(frozen=True)
-class RowRule:
-    """A per-row rule: rows where ``violation`` is true are issues (NULL is not)."""
-
-    name: str
-    description: str
-    violation: Column
-
-
 @dataclass(frozen=True)
 class Check:
     """A check over counters: ``issues`` is an expression over the counters of all tables."""
@@ -80,12 +71,6 @@ def check_rows(counters: list[DataFrame], checks: list[Check]) -> DataFrame:
     return fold(counters).select(F.inline(one)).select(*RESULT_COLS)
 
 
-def row_checks(df: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """All per-row rules of one table as check rows, in one scan."""
-    counters = table_counters(df, "table", {f"r{k}": r.violation for k, r in enumerate(rules)})
-    return check_rows([counters], [Check(r.name, r.description, F.col(f"r{k}")) for k, r in enumerate(rules)])
-
-
 def is_not(count: str, expected: Column) -> Column:
     """0 when the counter has the expected value, else 1."""
     return F.when(F.col(count) == expected, 0).otherwise(1)
@@ -112,33 +97,30 @@ MART_CHECKS = [
 TEMPERATURE_LIMITS = (-80, 80)
 
 
-def collect_checks(marts: dict[str, DataFrame], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
-    """The nine mart checks as one DataFrame: one scan of each mart.
-
-    ``city_count`` is a number, or a one-row DataFrame whose only column is it.
-    """
-    d = dict(MART_CHECKS)
-    names = [n for n, _ in MART_CHECKS]
+def mart_rules() -> dict[str, tuple[str, dict[str, Column]]]:
+    """The row rules of each mart and the prefix of its other counters."""
     lo, hi = TEMPERATURE_LIMITS
     daily = ["city", "forecast_date", "temperature_max_c", "temperature_min_c", "precipitation_mm", "source_ingested_at_utc"]
-    counters = [
-        table_counters(marts["city_current_weather"], "current", {"current_nulls": any_null(["city", "current_time_utc", "source_ingested_at_utc"])}),
-        table_counters(
-            marts["daily_city_weather_summary"], "daily",
-            {
-                "daily_nulls": any_null(daily),
-                "daily_ranges": (F.col("temperature_max_c") < F.col("temperature_min_c"))
-                | not_between("temperature_max_c", lo, hi)
-                | not_between("temperature_min_c", lo, hi),
-                "daily_negative": F.col("precipitation_mm") < 0,
-            },
-            unique=["city", "forecast_date"],
-        ),
-        table_counters(marts["daily_temperature_rankings"], "rankings"),
-        table_counters(marts["city_rolling_3day_metrics"], "rolling"),
-    ]
+    return {
+        "city_current_weather": ("current", {"current_nulls": any_null(["city", "current_time_utc", "source_ingested_at_utc"])}),
+        "daily_city_weather_summary": ("daily", {
+            "daily_nulls": any_null(daily),
+            "daily_ranges": (F.col("temperature_max_c") < F.col("temperature_min_c"))
+            | not_between("temperature_max_c", lo, hi)
+            | not_between("temperature_min_c", lo, hi),
+            "daily_negative": F.col("precipitation_mm") < 0,
+        }),
+        "daily_temperature_rankings": ("rankings", {}),
+        "city_rolling_3day_metrics": ("rolling", {}),
+    }
+
+
+def mart_check_rows(counters: list[DataFrame], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
+    """The nine mart checks over counters, wherever those were taken."""
+    d = dict(MART_CHECKS)
+    names = [n for n, _ in MART_CHECKS]
     if isinstance(city_count, DataFrame):
-        counters.append(city_count.select(F.col(city_count.columns[0]).cast("bigint").alias("cities")))
+        counters = [*counters, city_count.select(F.col(city_count.columns[0]).cast("bigint").alias("cities"))]
         cities = F.col("cities")
     else:
         cities = F.lit(expected_count(city_count)).cast("bigint")
@@ -150,6 +132,33 @@ def collect_checks(marts: dict[str, DataFrame], city_count: int | DataFrame, for
     return check_rows(counters, [Check(n, d[n], i) for n, i in zip(names, issues)])
 
 
+def collect_checks(marts: dict[str, DataFrame], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
+    """The nine mart checks as one DataFrame: one scan of each mart.
+
+    ``city_count`` is a number, or a one-row DataFrame whose only column is it.
+    """
+    counters = [
+        table_counters(marts[name], prefix, rules, unique=["city", "forecast_date"] if prefix == "daily" else None)
+        for name, (prefix, rules) in mart_rules().items()
+    ]
+    return mart_check_rows(counters, city_count, forecast_days)
+
+
+def counted_checks(spark: SparkSession, counters: dict[str, dict[str, int]], city_count: int | DataFrame, forecast_days: int = 7) -> DataFrame:
+    """The nine mart checks from counters taken while the marts were written; no mart is scanned.
+
+    ``counters`` holds, for each mart, its ``rows`` and rules, and ``duplicates`` for the daily summary.
+    """
+    one = {}
+    for name, (prefix, rules) in mart_rules().items():
+        of = counters.get(name, {})
+        one |= {f"{prefix}_rows": of.get("rows", 0), **{r: of.get(r, 0) for r in rules}}
+        if prefix == "daily":
+            one["daily_duplicates"] = of.get("duplicates", 0)
+    row = spark.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in one.items()])
+    return mart_check_rows([row], city_count, forecast_days)
+
+
 def summarize_checks(results: DataFrame) -> DataFrame:
     """One row: ``passed, failed, total, status`` (``pass`` only when nothing failed)."""
     return results.agg(

@@ -3,7 +3,8 @@
 Every query reads whole tables from ``sf_dir`` and returns a DataFrame whose
 column names match the SQL oracle of the same key. Building one runs no job,
 except that a layer which is not yet written for this input is written first,
-and the file queries (``full_refresh``, ``incremental_ingest``) run their flow.
+and the file queries (``full_refresh``, ``concurrent_refresh``, ``refresh_checks``,
+``incremental_ingest``, ``table_catalogue``) run their flow.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from strata.operators.windows import latest_per_key, latest_snapshot, row_positi
 from strata.plans import events as E
 from strata.plans import weather as W
 from strata.plans.layers import materialize
-from strata.plans.refresh import RAW_TABLE, read_table, refresh_all
+from strata.plans.refresh import RAW_TABLE, published_marts, read_table, refresh_all
+from strata.schemas import TABLES, catalogue, create_if_absent, stored_catalogue
 from strata.session import shared_dir
 from strata.streaming.ingest import ingest_available
 from strata.sources.append import append_counts, append_if_absent
@@ -118,18 +120,22 @@ def q_envelope_rejects(spark, sf):
 
 
 def q_envelope_contract(spark, sf):
-    """Envelopes whose required fields are JSON null, whose time is no time, or that are no JSON."""
+    """Envelopes whose required fields are JSON null or no text, whose time is no instant (also times
+    without a date, and years), or that are no JSON. A key given twice has its last value."""
     doc_id = F.col("doc_id")
     drop = lambda by, c: F.when(doc_id % by == 0, F.lit(None)).otherwise(c)
+    times = F.element_at(F.array(*map(F.lit, ["yesterday", "12:30", "2031", "2024-01-01T25:00:00Z"])), (doc_id % 4 + 1).cast("int"))
     docs = table(spark, sf, "documents").select(
         "doc_id",
         F.struct(
             drop(7, F.col("source")).alias("source"), drop(5, F.col("lang")).alias("city"),
-            drop(11, F.when(doc_id % 17 == 0, "yesterday").otherwise("2024-01-01T00:00:00Z")).alias("ingested_at_utc"),
+            drop(11, F.when(doc_id % 17 == 0, times).when(doc_id % 3 == 0, "2024-01-01 00:00:00.25+0200").otherwise("2024-01-01T00:00:00Z")).alias("ingested_at_utc"),
             F.struct(F.length("text").alias("n")).alias("payload"),
         ).alias("doc"),
     )
     text = F.to_json("doc", {"ignoreNullFields": "false"})
+    text = F.when(doc_id % 23 == 0, F.replace(text, F.lit('"payload"'), F.lit('"source":{"name":"x"},"payload"'))).otherwise(text)
+    text = F.when(doc_id % 19 == 0, F.concat(F.lit('{"city":7,'), F.substr(text, F.lit(2)))).otherwise(text)
     env = docs.select("doc_id", F.when(doc_id % 13 == 0, F.concat(F.lit("{"), text)).otherwise(text).alias("value"))
     _, rejects = parse_envelope(env, on_error="reject")
     return rejects.select("doc_id", "reject_reason")
@@ -432,24 +438,26 @@ def q_contract_unique(spark, sf):
 
 def q_contract_fk(spark, sf):
     """Foreign keys as they should hold, and against parents that lack rows, so orphans are counted too."""
-    t = lambda n: table(spark, sf, n)
+    lineitem, orders, part, supplier, customer, nation, documents, labels = (
+        table(spark, sf, n) for n in ("lineitem", "orders", "part", "supplier", "customer", "nation", "documents", "labels")
+    )
     raw, current, daily = (layer(spark, sf, n) for n in ("raw", "staging_current", "staging_daily"))
-    early = raw.where(F.col("ingested_at_utc") < F.lit("2024-01-15 00:00:00").cast("timestamp"))
-    return K.contract_summary({
-        "lineitem_orders": K.fk_violation_count(t("lineitem"), t("orders"), ["l_orderkey"], ["o_orderkey"]),
-        "lineitem_open_orders": K.fk_violation_count(t("lineitem"), t("orders").where("o_orderstatus <> 'F'"), ["l_orderkey"], ["o_orderkey"]),
-        "lineitem_part": K.fk_violation_count(t("lineitem"), t("part"), ["l_partkey"], ["p_partkey"]),
-        "lineitem_odd_part": K.fk_violation_count(t("lineitem"), t("part").where("p_partkey % 2 = 1"), ["l_partkey"], ["p_partkey"]),
-        "lineitem_supplier": K.fk_violation_count(t("lineitem"), t("supplier"), ["l_suppkey"], ["s_suppkey"]),
-        "orders_customer": K.fk_violation_count(t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
-        "orders_solvent_customer": K.fk_violation_count(t("orders"), t("customer").where("c_acctbal >= 0"), ["o_custkey"], ["c_custkey"]),
-        "customer_nation": K.fk_violation_count(t("customer"), t("nation"), ["c_nationkey"], ["n_nationkey"]),
-        "documents_labels": K.fk_violation_count(t("documents"), t("labels"), ["doc_id"], ["doc_id"]),
-        "labels_documents": K.fk_violation_count(t("labels"), t("documents"), ["doc_id"], ["doc_id"]),
-        "staging_current_raw": K.fk_violation_count(current, raw, ["raw_file_path"]),
-        "staging_daily_raw": K.fk_violation_count(daily, raw, ["raw_file_path"]),
-        "staging_daily_early_raw": K.fk_violation_count(daily, early, ["raw_file_path"]),
-    })
+    early = F.col("ingested_at_utc") < F.lit("2024-01-15 00:00:00").cast("timestamp")
+    return K.fk_violation_counts([
+        K.ForeignKey("lineitem_orders", lineitem, "l_orderkey", orders, "o_orderkey"),
+        K.ForeignKey("lineitem_open_orders", lineitem, "l_orderkey", orders, "o_orderkey", F.col("o_orderstatus") != "F"),
+        K.ForeignKey("lineitem_part", lineitem, "l_partkey", part, "p_partkey"),
+        K.ForeignKey("lineitem_odd_part", lineitem, "l_partkey", part, "p_partkey", F.col("p_partkey") % 2 == 1),
+        K.ForeignKey("lineitem_supplier", lineitem, "l_suppkey", supplier, "s_suppkey"),
+        K.ForeignKey("orders_customer", orders, "o_custkey", customer, "c_custkey"),
+        K.ForeignKey("orders_solvent_customer", orders, "o_custkey", customer, "c_custkey", F.col("c_acctbal") >= 0),
+        K.ForeignKey("customer_nation", customer, "c_nationkey", nation, "n_nationkey"),
+        K.ForeignKey("documents_labels", documents, "doc_id", labels),
+        K.ForeignKey("labels_documents", labels, "doc_id", documents),
+        K.ForeignKey("staging_current_raw", current, "raw_file_path", raw),
+        K.ForeignKey("staging_daily_raw", daily, "raw_file_path", raw),
+        K.ForeignKey("staging_daily_early_raw", daily, "raw_file_path", raw, where=early),
+    ])
 
 
 LINEITEM_DECLARED = StructType([
@@ -534,6 +542,56 @@ def q_full_refresh(spark, sf):
     return refresh(3)["marts"]["daily_city_weather_summary"].select(*W.DAILY_SUMMARY_COLS)
 
 
+def q_concurrent_refresh(spark, sf):
+    """Two refreshes that meet: while the first is about to publish, newer documents land and the second
+    loads, stages and publishes them. The first is overtaken and derives its marts anew. Reads the rankings."""
+    root = _scratch(spark, "concurrent_refresh")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = table(spark, sf, "events")
+    meetings = []
+
+    def refresh(day: int, meet=None) -> dict:
+        return refresh_all(spark, landing, warehouse, city_count=0, run_at=dt.datetime(2024, 2, day), source_dir=E.EVENTS_SOURCE, before_commit=meet)
+
+    def overtake() -> None:
+        meetings.append(len(meetings))
+        if len(meetings) == 1:  # the first is called again for its second attempt
+            _land(ev, landing)
+            refresh(3)
+
+    _land(ev, landing, before="2024-01-08 00:00:00")
+    refresh(1)
+    _land(ev, landing, before="2024-01-15 00:00:00")
+    refresh(2, overtake)
+    return published_marts(spark, warehouse)["daily_temperature_rankings"].select(*W.RANKING_COLS)
+
+
+def q_refresh_checks(spark, sf):
+    """The checks of a refresh that wrote some buckets, from the counters taken while writing."""
+    root = _scratch(spark, "refresh_checks")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = table(spark, sf, "events")
+    cities = _city_count(ev)
+    for day, before in ((1, "2024-01-15 00:00:00"), (2, None)):
+        _land(ev, landing, before)
+        done = refresh_all(spark, landing, warehouse, city_count=cities, run_at=dt.datetime(2024, 2, day), source_dir=E.EVENTS_SOURCE)
+    return done["checks"]
+
+
+def q_table_catalogue(spark, sf):
+    """The seven tables created where absent, filled from the layers of ``events``, and read back:
+    what is declared of each column next to what the files hold."""
+    warehouse = _scratch(spark, "table_catalogue")
+    made = create_if_absent(spark, warehouse)
+    layers = dict(zip(TABLES, ("raw", "staging_current", "staging_daily", "mart_current", "daily_summary", "rankings", "rolling")))
+    for rel, name in layers.items():
+        layer(spark, sf, name).select(*TABLES[rel].fieldNames()).write.mode("append").parquet(f"{warehouse}/{rel}")
+    again = create_if_absent(spark, warehouse)  # tables that are there stay as they are
+    declared = catalogue(spark).withColumn("created", F.col("table").isin(made) & ~F.col("table").isin(again))
+    stored = stored_catalogue(spark, warehouse).withColumnsRenamed({"type": "stored_type"})
+    return declared.join(stored, ["table", "column"]).select("table", "position", "column", "type", "nullable", "key_position", "created", (F.col("type") == F.col("stored_type")).alias("as_stored"), "n_rows")
+
+
 def q_incremental_ingest(spark, sf):
     """Documents landed, landed again in a longer version before they are loaded, and replayed
     in full afterwards: raw holds, of each path, what had landed last at its first load."""
@@ -597,4 +655,7 @@ QUERIES = {
     "readiness": q_readiness,
     "full_refresh": q_full_refresh,
     "incremental_ingest": q_incremental_ingest,
+    "concurrent_refresh": q_concurrent_refresh,
+    "refresh_checks": q_refresh_checks,
+    "table_catalogue": q_table_catalogue,
 }

@@ -149,6 +149,42 @@ lines AS (
   FROM lineitem
 )"""
 
+# The seven tables as the source system declares them (column, type, nullable, place in the key).
+_T, _D6, _D8, _N = "timestamp", "decimal(6,2)", "decimal(8,2)", "NULL"
+DECLARED = [
+    ("raw/weather_api_responses", [
+        ("raw_record_id", "bigint", "false", _N), ("source", "string", "false", _N), ("city", "string", "false", _N), ("ingested_at_utc", _T, "false", _N),
+        ("payload", "variant", "false", _N), ("raw_file_path", "string", "false", 1), ("loaded_at_utc", _T, "false", _N),
+    ]),
+    ("staging/weather_current_conditions", [
+        ("raw_record_id", "bigint", "false", _N), ("city", "string", "false", _N), ("current_time_utc", _T, "false", _N), ("temperature_c", _D6, "true", _N),
+        ("relative_humidity_pct", _D6, "true", _N), ("wind_speed_kmh", _D6, "true", _N), ("source_ingested_at_utc", _T, "false", _N),
+        ("raw_file_path", "string", "false", 1), ("raw_loaded_at_utc", _T, "false", _N), ("loaded_at_utc", _T, "false", _N),
+    ]),
+    ("staging/weather_daily_forecast", [
+        ("raw_record_id", "bigint", "false", _N), ("city", "string", "false", _N), ("forecast_date", "date", "false", 2), ("temperature_max_c", _D6, "true", _N),
+        ("temperature_min_c", _D6, "true", _N), ("precipitation_mm", _D8, "true", _N), ("source_ingested_at_utc", _T, "false", _N),
+        ("raw_file_path", "string", "false", 1), ("raw_loaded_at_utc", _T, "false", _N), ("loaded_at_utc", _T, "false", _N),
+    ]),
+    ("mart/city_current_weather", [
+        ("city", "string", "false", 1), ("current_time_utc", _T, "false", _N), ("temperature_c", _D6, "true", _N), ("relative_humidity_pct", _D6, "true", _N),
+        ("wind_speed_kmh", _D6, "true", _N), ("source_ingested_at_utc", _T, "false", _N), ("refreshed_at_utc", _T, "false", _N),
+    ]),
+    ("mart/daily_city_weather_summary", [
+        ("city", "string", "false", 1), ("forecast_date", "date", "false", 2), ("temperature_max_c", _D6, "true", _N), ("temperature_min_c", _D6, "true", _N),
+        ("temperature_avg_c", _D6, "true", _N), ("diurnal_temp_range_c", _D6, "true", _N), ("precipitation_mm", _D8, "true", _N),
+        ("is_wet_day", "boolean", "false", _N), ("source_ingested_at_utc", _T, "false", _N), ("refreshed_at_utc", _T, "false", _N),
+    ]),
+    ("mart/daily_temperature_rankings", [
+        ("forecast_date", "date", "false", 1), ("city", "string", "false", 2), ("temperature_max_c", _D6, "true", _N), ("temperature_avg_c", _D6, "true", _N),
+        ("precipitation_mm", _D8, "true", _N), ("max_temperature_rank", "bigint", "false", _N), ("refreshed_at_utc", _T, "false", _N),
+    ]),
+    ("mart/city_rolling_3day_metrics", [
+        ("city", "string", "false", 1), ("forecast_date", "date", "false", 2), ("temperature_avg_c", _D6, "true", _N), ("rolling_3day_avg_temp_c", _D6, "true", _N),
+        ("precipitation_mm", _D8, "true", _N), ("rolling_3day_precip_mm", _D8, "true", _N), ("refreshed_at_utc", _T, "false", _N),
+    ]),
+]
+
 ORACLES = {
     "json_extract": """
 SELECT event_id, json_extract_string(props, '$.k') AS k_text,
@@ -230,8 +266,9 @@ UNION ALL SELECT 'without rankings', false"""),
 SELECT doc_id, reject_reason FROM (
   SELECT doc_id, CASE
     WHEN doc_id % 13 = 0 THEN 'invalid JSON document'
-    WHEN doc_id % 7 = 0 OR doc_id % 5 = 0 OR doc_id % 11 = 0 THEN 'null keys ' || concat_ws(', ',
-      CASE WHEN doc_id % 7 = 0 THEN 'source' END, CASE WHEN doc_id % 5 = 0 THEN 'city' END, CASE WHEN doc_id % 11 = 0 THEN 'ingested_at_utc' END)
+    WHEN (doc_id % 7 = 0 AND doc_id % 23 <> 0) OR doc_id % 5 = 0 OR doc_id % 11 = 0 THEN 'null keys ' || concat_ws(', ',
+      CASE WHEN doc_id % 7 = 0 AND doc_id % 23 <> 0 THEN 'source' END, CASE WHEN doc_id % 5 = 0 THEN 'city' END, CASE WHEN doc_id % 11 = 0 THEN 'ingested_at_utc' END)
+    WHEN doc_id % 23 = 0 THEN 'no text in keys source'
     WHEN doc_id % 17 = 0 THEN 'unparseable ingested_at_utc' END AS reject_reason
   FROM documents) WHERE reject_reason IS NOT NULL""",
     "load_defaults": _with(DOCS, "SELECT count(*) AS n_rows, count(*) AS n_stamped, true AS one_stamp FROM docs"),
@@ -316,6 +353,21 @@ SELECT CAST((SELECT count(*) FROM mart_current) AS BIGINT) AS current_city_count
        CAST((SELECT count(*) FROM rolling) AS BIGINT) AS rolling_row_count,
        (SELECT max(source_ingested_at_utc) FROM summary) AS latest_snapshot_at"""),
     "full_refresh": _with(MARTS, "SELECT * FROM summary"),
+    "concurrent_refresh": _with(MARTS, "SELECT * FROM rankings"),
+    "refresh_checks": _with(CHECKS, CHECK_ROWS),
+    "table_catalogue": _with(MARTS, """
+, sizes AS (
+  SELECT 'raw/weather_api_responses' AS "table", (SELECT count(*) FROM docs) AS n_rows
+  UNION ALL SELECT 'staging/weather_current_conditions', (SELECT count(*) FROM stg_current)
+  UNION ALL SELECT 'staging/weather_daily_forecast', (SELECT count(*) FROM stg_daily)
+  UNION ALL SELECT 'mart/city_current_weather', (SELECT count(*) FROM mart_current)
+  UNION ALL SELECT 'mart/daily_city_weather_summary', (SELECT count(*) FROM summary)
+  UNION ALL SELECT 'mart/daily_temperature_rankings', (SELECT count(*) FROM rankings)
+  UNION ALL SELECT 'mart/city_rolling_3day_metrics', (SELECT count(*) FROM rolling)
+), declared("table", position, "column", type, nullable, key_position) AS (VALUES """ + ", ".join(
+        f"('{rel}', {k}, '{name}', '{kind}', {null}, {key})" for rel, columns in DECLARED for k, (name, kind, null, key) in enumerate(columns, 1)
+    ) + """)
+SELECT d.*, true AS created, true AS as_stored, s.n_rows FROM declared d JOIN sizes s USING ("table")"""),
     # A document's payload is what had landed last when its path was first loaded:
     # events before 2024-01-17 where the week has any, else all of the week.
     "incremental_ingest": _with(DOCS, """

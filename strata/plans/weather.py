@@ -63,38 +63,59 @@ def latest_order(ts: str = "source_ingested_at_utc") -> list[Column]:
     ]
 
 
-def build_staging_current(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """One typed row per document that has a ``current.time``."""
-    time_txt = json_text("payload", [*CURRENT_PATH, "time"])
-    cols = [
+ENVELOPE_COLS = ["raw_record_id", "city", "ingested_at_utc", "raw_file_path", "loaded_at_utc"]
+
+
+def flatten_documents(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """One wide row per document: all that either staging table takes from its payload.
+
+    ``current_time`` and the current fields as text, the daily arrays as they
+    stand, and ``bad_arrays``, what is wrong with them (see ``daily_array_rejects``).
+    ``carry`` names more columns of ``raw`` to keep. Written once, it saves a
+    second parse; unwritten, the planner takes the columns that it needs.
+    """
+    sources = {"daily_time": "time", **{f"daily_{name}": src for name, (src, _, _) in DAILY_FIELDS.items()}}
+    checks = []
+    for field in sources.values():
+        v = F.try_variant_get("payload", "$." + ".".join([*DAILY_PATH, field]), "variant")
+        reason = (
+            F.when(v.isNull(), F.lit(None))
+            .when(F.is_variant_null(v), F.lit("JSON null instead of an array"))
+            .when(F.try_variant_get("payload", "$." + ".".join([*DAILY_PATH, field]), "array<variant>").isNull(), F.lit("not an array"))
+        )
+        checks.append(F.when(reason.isNotNull(), F.struct(F.lit(field).alias("field"), reason.alias("reason"))))
+    return raw.select(
+        *ENVELOPE_COLS, *(carry or []),
+        json_text("payload", [*CURRENT_PATH, "time"]).alias("current_time"),
+        *[json_text("payload", [*CURRENT_PATH, src]).alias(f"current_{name}") for name, (src, _, _) in CURRENT_FIELDS.items()],
+        *[json_array("payload", [*DAILY_PATH, src]).alias(name) for name, src in sources.items()],
+        F.filter(F.array(*checks), lambda x: x.isNotNull()).alias("bad_arrays"),
+    )
+
+
+def current_rows(flat: DataFrame, loaded_at: Column | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The staging rows of current conditions in flattened documents."""
+    return flat.where(F.col("current_time").isNotNull()).select(
         "raw_record_id",
         "city",
-        time_txt.cast("timestamp").alias("current_time_utc"),
-        *[to_decimal(json_text("payload", [*CURRENT_PATH, src]), p, s).alias(name) for name, (src, p, s) in CURRENT_FIELDS.items()],
+        F.col("current_time").cast("timestamp").alias("current_time_utc"),
+        *[to_decimal(f"current_{name}", p, s).alias(name) for name, (_, p, s) in CURRENT_FIELDS.items()],
         F.col("ingested_at_utc").alias("source_ingested_at_utc"),
         "raw_file_path",
         F.col("loaded_at_utc").alias("raw_loaded_at_utc"),
         _stamp(loaded_at).alias("loaded_at_utc"),
-    ]
-    return raw.where(time_txt.isNotNull()).select(*cols)
+        *(carry or []),
+    )
 
 
-def build_staging_daily(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """One typed row per (document, forecast date) from the parallel daily arrays.
-
-    Arrays are aligned by position and cut at the shortest; a document without
-    daily arrays gives no rows; a date repeated inside one document keeps its
-    first position.
-    """
-    times = json_array("payload", [*DAILY_PATH, "time"])
-    arrays = {"forecast_date_txt": times}
-    for name, (src, _, _) in DAILY_FIELDS.items():
-        arrays[f"{name}_txt"] = json_array("payload", [*DAILY_PATH, src])
+def daily_rows(flat: DataFrame, loaded_at: Column | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The staging rows of daily forecasts in flattened documents."""
+    arrays = {"forecast_date_txt": F.col("daily_time"), **{f"{name}_txt": F.col(f"daily_{name}") for name in DAILY_FIELDS}}
     exploded = explode_aligned(
-        raw.select("raw_record_id", "city", "ingested_at_utc", "raw_file_path", "loaded_at_utc", "payload"),
+        flat,
         arrays,
-        keep=["raw_record_id", "city", "ingested_at_utc", "raw_file_path", "loaded_at_utc"],
-        first_of=F.transform(times, lambda t: t.cast("date")),
+        keep=[*ENVELOPE_COLS, *(carry or [])],
+        first_of=F.transform("daily_time", lambda t: t.cast("date")),
     )
     return exploded.select(
         "raw_record_id",
@@ -105,9 +126,31 @@ def build_staging_daily(raw: DataFrame, loaded_at: Column | None = None) -> Data
         "raw_file_path",
         F.col("loaded_at_utc").alias("raw_loaded_at_utc"),
         _stamp(loaded_at).alias("loaded_at_utc"),
+        *(carry or []),
     )
 
 
+def array_rejects(flat: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The unusable daily arrays of flattened documents, a row for each."""
+    bad = flat.where(F.size("bad_arrays") > 0).select("raw_record_id", "raw_file_path", *(carry or []), F.explode("bad_arrays").alias("__b"))
+    return bad.select("raw_record_id", "raw_file_path", *(carry or []), F.col("__b.field").alias("field"), F.col("__b.reason").alias("reason"))
+
+
+def build_staging_current(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """One typed row per document that has a ``current.time``."""
+    return current_rows(flatten_documents(raw), loaded_at)
+
+
+def build_staging_daily(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """One typed row per (document, forecast date) from the parallel daily arrays.
+
+    Arrays are aligned by position and cut at the shortest; a document without
+    daily arrays gives no rows; a date repeated inside one document keeps its
+    first position.
+    """
+    return daily_rows(flatten_documents(raw), loaded_at)
+
+
 def daily_array_rejects(raw: DataFrame) -> DataFrame:
     """Documents whose daily arrays are present but unusable: ``raw_record_id, raw_file_path, field, reason``.
 
@@ -116,22 +159,7 @@ def daily_array_rejects(raw: DataFrame) -> DataFrame:
     system failed the whole load on it. ``build_staging_daily`` yields no rows
     for such documents; this report names them so a strict load can refuse.
     """
-    fields = ["time", *[src for src, _, _ in DAILY_FIELDS.values()]]
-    checks = []
-    for field in fields:
-        path = "$." + ".".join([*DAILY_PATH, field])
-        v = F.try_variant_get("payload", path, "variant")
-        reason = (
-            F.when(v.isNull(), F.lit(None))
-            .when(F.is_variant_null(v), F.lit("JSON null instead of an array"))
-            .when(F.try_variant_get("payload", path, "array<variant>").isNull(), F.lit("not an array"))
-        )
-        checks.append(F.when(reason.isNotNull(), F.struct(F.lit(field).alias("field"), reason.alias("reason"))))
-    bad = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    flagged = raw.select("raw_record_id", "raw_file_path", bad.alias("__bad")).where(F.size("__bad") > 0)
-    return flagged.select("raw_record_id", "raw_file_path", F.explode("__bad").alias("__b")).select(
-        "raw_record_id", "raw_file_path", F.col("__b.field").alias("field"), F.col("__b.reason").alias("reason")
-    )
+    return array_rejects(flatten_documents(raw))
 
 
 MART_CURRENT_COLS = ["city", "current_time_utc", "temperature_c", "relative_humidity_pct", "wind_speed_kmh", "source_ingested_at_utc"]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DateType,
@@ -15,6 +18,8 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from strata.sources.storage import exists
+
 
 def _s(*fields) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
@@ -87,15 +92,31 @@ def not_null_columns(schema: StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
 
 
+def catalogue(spark: SparkSession) -> DataFrame:
+    """The declared tables, a row for each column: ``table, position, column, type, nullable, key_position``."""
+    rows = [
+        (rel, k, f.name, f.dataType.simpleString(), f.nullable, PRIMARY_KEYS[rel].index(f.name) + 1 if f.name in PRIMARY_KEYS[rel] else None)
+        for rel, schema in TABLES.items() for k, f in enumerate(schema.fields, 1)
+    ]
+    return spark.createDataFrame(rows, "table string, position int, column string, type string, nullable boolean, key_position int")
+
+
 def create_if_absent(spark: SparkSession, warehouse: str) -> list[str]:
     """Create every missing table folder as an empty parquet table; return those created."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     made = []
     for rel, schema in TABLES.items():
         path = f"{warehouse.rstrip('/')}/{rel}"
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(conf).exists(p):
+        if not exists(spark, path):
             spark.createDataFrame([], schema).write.parquet(path)
             made.append(rel)
     return made
+
+
+def stored_catalogue(spark: SparkSession, warehouse: str) -> DataFrame:
+    """What the warehouse holds of the declared tables: ``table, column, type, n_rows`` read back from their files."""
+    parts = []
+    for rel in TABLES:
+        df = spark.read.parquet(f"{warehouse.rstrip('/')}/{rel}")
+        columns = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema.fields])
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(rel).alias("table"), "n_rows", F.inline(columns)).select("table", "column", "type", "n_rows"))
+    return reduce(DataFrame.unionByName, parts)

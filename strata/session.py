@@ -9,13 +9,15 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on for exact results: timestamps are read and
 # written in UTC, casts raise on overflow (ANSI), and AQE re-plans shuffles
-# (partition coalescing, skew-join splitting) from runtime statistics.
+# (partition coalescing, skew-join splitting) from runtime statistics. Of a
+# member that a JSON object holds several times the last one counts.
 CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import iso_utc_z
+from strata.functions.scalars import iso_utc_z, parse_iso_instant
 
 # Fixed values of the source contract.
 SOURCE_NAME = "open-meteo"
 REQUIRED_KEYS = ["source", "city", "ingested_at_utc", "payload"]
-# Columns of the raw table that hold no NULL; a JSON null payload is a value.
-NOT_NULL_KEYS = ["source", "city", "ingested_at_utc"]
+# Columns of the raw table that hold text, and no NULL; a JSON null payload is a value.
+TEXT_KEYS = ["source", "city", "ingested_at_utc"]
 
 
 def build_envelope(
@@ -45,9 +45,10 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
 
     Returns ``(good, rejects)``. ``good`` has ``source, city, ingested_at_utc
     (TIMESTAMP), payload (VARIANT)`` plus the other input columns. Every required
-    key must be present, and source, city and time must not be JSON null (the
-    payload may be). ``rejects`` carries the input columns and a
-    ``reject_reason``.
+    key must be present, and source, city and time must be JSON strings (the
+    payload may be anything, also null); the time has to be an ISO-8601 instant.
+    Of a key that an object holds several times the last value counts.
+    ``rejects`` carries the input columns and a ``reject_reason``.
 
     ``on_error="raise"`` fails the job on the first bad document (lazily, inside
     the scan, no extra pass); ``"reject"`` routes bad documents to ``rejects``.
@@ -63,19 +64,20 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
         F.array(*[F.when(F.try_variant_get(F.col("__doc"), f"$.{k}", "variant").isNull(), F.lit(k)) for k in REQUIRED_KEYS]),
         lambda k: k.isNotNull(),
     )
-    empty = F.filter(
-        F.array(*[F.when(F.is_variant_null(F.try_variant_get(F.col("__doc"), f"$.{k}", "variant")), F.lit(k)) for k in NOT_NULL_KEYS]),
-        lambda k: k.isNotNull(),
-    )
+    member = lambda k: F.try_variant_get(F.col("__doc"), f"$.{k}", "variant")
+    named = lambda wrong: F.filter(F.array(*[F.when(wrong(member(k)), F.lit(k)) for k in TEXT_KEYS]), lambda k: k.isNotNull())
+    empty = named(F.is_variant_null)
+    no_text = named(lambda v: F.schema_of_variant(v) != "STRING")
     ts_text = F.try_variant_get("__doc", "$.ingested_at_utc", "string")
     reason = (
         F.when(F.col("__doc").isNull(), F.lit("invalid JSON document"))
         .when(F.size("__missing") > 0, F.concat(F.lit("missing keys "), F.array_join("__missing", ", ")))
         .when(F.size("__empty") > 0, F.concat(F.lit("null keys "), F.array_join("__empty", ", ")))
-        .when(ts_text.try_cast("timestamp").isNull(), F.lit("unparseable ingested_at_utc"))
+        .when(F.size("__no_text") > 0, F.concat(F.lit("no text in keys "), F.array_join("__no_text", ", ")))
+        .when(parse_iso_instant(ts_text).isNull(), F.lit("unparseable ingested_at_utc"))
     )
     staged = df.select(*others, "value", doc.alias("__doc"))
-    staged = staged.withColumn("__missing", missing).withColumn("__empty", empty)
+    staged = staged.withColumns({"__missing": missing, "__empty": empty, "__no_text": no_text})
     staged = staged.withColumn("__reason", reason)
     if on_error == "raise":
         label = F.coalesce(F.col(path_col), F.lit("<document>")) if path_col in others else F.lit("<document>")
@@ -86,7 +88,7 @@ def parse_envelope(df: DataFrame, on_error: str = "raise", path_col: str = "raw_
     good = staged.where(F.col("__reason").isNull()).select(
         F.try_variant_get("__doc", "$.source", "string").alias("source"),
         F.try_variant_get("__doc", "$.city", "string").alias("city"),
-        ts_text.cast("timestamp").alias("ingested_at_utc"),
+        parse_iso_instant(ts_text).alias("ingested_at_utc"),
         F.try_variant_get("__doc", "$.payload", "variant").alias("payload"),
         *others,
     )

@@ -26,7 +26,8 @@ log = logging.getLogger("strata.sources")
 # Fixed values of the landing layout.
 SOURCE_DIR = "open_meteo"
 RAW_FILE_GLOB = "source={source}/year=*/month=*/day=*/run_id=*/city=*.json"
-DAY_GLOB = "source={source}/year={year}/month={month}/day={day}/run_id=*/city=*.json"
+DAYS_GLOB = "source={source}/{{{days}}}/run_id=*/city=*.json"
+PACKED_GLOB = "source={source}/year=*/month=*/day=*/*.parquet"
 PACKED = "packed"
 PACKED_SCHEMA = "raw_file_path string, value string, landed_at timestamp, source string, year string, month string, day string"
 DAY_COLS = ["year", "month", "day"]
@@ -78,8 +79,10 @@ def _packed(spark: SparkSession, base: str, source_dir: str) -> DataFrame | None
     return spark.read.schema(PACKED_SCHEMA).parquet(path).where(F.col("source") == source_dir) if exists(spark, path) else None
 
 
-def _or_none(read) -> DataFrame | None:
-    """What ``read`` gives, or None when no file matches."""
+def _or_none(spark: SparkSession, folder: str, read) -> DataFrame | None:
+    """What ``read`` gives, or None when the folder is not there or no file in it matches."""
+    if not exists(spark, folder):
+        return None
     try:
         return read()
     except AnalysisException as exc:
@@ -88,8 +91,9 @@ def _or_none(read) -> DataFrame | None:
         raise
 
 
-def _key(file_path: Column) -> Column:
-    return F.regexp_extract(file_path, _KEY_PATTERN, 1)
+def document_key(file_path: Column) -> Column:
+    """The key of the file that ``_metadata.file_path``, a URI, names: blanks and escapes as they were."""
+    return F.regexp_extract(F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B"))), _KEY_PATTERN, 1)
 
 
 def in_days(days: list[tuple[str, str, str]]) -> Column:
@@ -97,20 +101,34 @@ def in_days(days: list[tuple[str, str, str]]) -> Column:
     return F.concat_ws("-", *DAY_COLS).isin(["-".join(d) for d in days])
 
 
-def landing_paths(spark: SparkSession, base: str, source_dir: str = SOURCE_DIR) -> DataFrame:
-    """``raw_file_path`` and its day columns for every landed document; no content is read."""
+def landing_days(spark: SparkSession, base: str, source_dir: str = SOURCE_DIR) -> DataFrame:
+    """Per day with files: ``year, month, day``, ``n_single`` (files of one document), ``n_packed``, and
+    ``digest`` of the names, sizes and times of all its files. The files are listed, not opened.
+
+    A day whose digest is known holds nothing new.
+    """
     base = base.rstrip("/")
     parts = []
-    files = _or_none(lambda: spark.read.format("binaryFile").load(f"{base}/{RAW_FILE_GLOB.format(source=source_dir)}"))
-    if files is not None:
-        key = files.select(_key(F.col("path")).alias("raw_file_path"))
-        parts.append(key.select("*", *[F.regexp_extract("raw_file_path", rf"{c}=([^/]+)/", 1).alias(c) for c in DAY_COLS]))
-    packed = _packed(spark, base, source_dir)
-    if packed is not None:
-        parts.append(packed.select("raw_file_path", *DAY_COLS))
+    for glob, packed in ((RAW_FILE_GLOB, False), (f"{PACKED}/{PACKED_GLOB}", True)):
+        files = _or_none(spark, f"{base}/{glob.split('/year=')[0].format(source=source_dir)}", lambda g=glob: spark.read.format("binaryFile").load(f"{base}/{g.format(source=source_dir)}"))
+        if files is not None:
+            parts.append(files.select(F.regexp_extract("path", r"(source=.*)$", 1).alias("name"), "length", "modificationTime", F.lit(packed).alias("packed")))
     if not parts:
-        return spark.createDataFrame([], "raw_file_path string, year string, month string, day string")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return spark.createDataFrame([], "year string, month string, day string, n_single bigint, n_packed bigint, digest string")
+    files = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    files = files.select("*", *[F.regexp_extract("name", rf"{c}=([^/]+)/", 1).alias(c) for c in DAY_COLS])
+    part = lambda seed: F.hex(F.bit_xor(F.xxhash64(F.lit(seed), "name", "length", "modificationTime")))
+    return files.groupBy(*DAY_COLS).agg(
+        F.count_if(~F.col("packed")).alias("n_single"), F.count_if("packed").alias("n_packed"), F.concat_ws("-", F.count(F.lit(1)), part(1), part(2)).alias("digest")
+    )
+
+
+def packed_documents(spark: SparkSession, base: str, source_dir: str, days: list[tuple[str, str, str]]) -> DataFrame:
+    """``year, month, day, n``: rows of packed documents in those of ``days`` that have some (file footers only)."""
+    packed = _packed(spark, base, source_dir)
+    if packed is None or not days:
+        return spark.createDataFrame([], "year string, month string, day string, n bigint")
+    return packed.where(in_days(days)).groupBy(*DAY_COLS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_raw_documents(
@@ -125,22 +143,20 @@ def read_raw_documents(
     are authoritative.
     """
     base = base.rstrip("/")
-    if days is None:
-        globs = [f"{base}/{RAW_FILE_GLOB.format(source=source_dir)}"]
-    else:
-        globs = [f"{base}/{DAY_GLOB.format(source=source_dir, year=y, month=m, day=d)}" for y, m, d in days]
-    parts = [_or_none(lambda g=g: spark.read.text(g, wholetext=True)) for g in globs]
-    parts = [p.select("value", _key(F.col("_metadata.file_path")).alias("raw_file_path"), F.col("_metadata.file_modification_time").alias("landed_at")) for p in parts if p is not None]
+    glob = RAW_FILE_GLOB.format(source=source_dir)
+    if days is not None:
+        glob = DAYS_GLOB.format(source=source_dir, days=",".join(f"year={y}/month={m}/day={d}" for y, m, d in days))
+    parts = []
+    files = _or_none(spark, f"{base}/source={source_dir}", lambda: spark.read.text(f"{base}/{glob}", wholetext=True)) if days != [] else None
+    if files is not None:
+        parts.append(files.select("value", document_key(F.col("_metadata.file_path")).alias("raw_file_path"), F.col("_metadata.file_modification_time").alias("landed_at")))
     packed = _packed(spark, base, source_dir)
     if packed is not None:
         parts.append((packed if days is None else packed.where(in_days(days))).select("value", "raw_file_path", "landed_at"))
     if not parts:
         log.warning("Nothing has landed under %s", base)
         return spark.createDataFrame([], "value string, raw_file_path string, landed_at timestamp")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def landed_last() -> list[Column]:

@@ -2,20 +2,23 @@
 
 The file source tracks which files it has already read in its checkpoint;
 ``Trigger.AvailableNow`` processes everything that arrived since the last run
-and stops. Each micro-batch is a load with an id of its own, appended through
-the same idempotent anti-join as the batch loader, so a batch replayed after a
-failure inserts nothing twice.
+and stops. Each micro-batch is a load whose batch is named by the query's id and
+the epoch, appended through the same idempotent anti-join as the batch loader.
+A batch that is replayed after a failure finds its own load in raw's log, or none:
+it is loaded exactly once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans.refresh import append_raw, new_load_id
-from strata.sources.raw_documents import _KEY_PATTERN, PACKED, PACKED_SCHEMA, RAW_FILE_GLOB, SOURCE_DIR
+from strata.plans.refresh import append_raw
+from strata.sources.raw_documents import PACKED, PACKED_SCHEMA, RAW_FILE_GLOB, SOURCE_DIR, document_key
+from strata.sources.storage import read_marker
 
 
 def raw_document_stream(
@@ -32,7 +35,7 @@ def raw_document_stream(
         return rows.where(F.col("source") == source_dir).select("value", "raw_file_path", "landed_at")
     rows = reader.format("text").option("wholetext", True).load(f"{landing.rstrip('/')}/{RAW_FILE_GLOB.format(source=source_dir)}")
     return rows.select(
-        "value", F.regexp_extract(F.col("_metadata.file_path"), _KEY_PATTERN, 1).alias("raw_file_path"),
+        "value", document_key(F.col("_metadata.file_path")).alias("raw_file_path"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
     )
 
@@ -50,7 +53,13 @@ def ingest_available(
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
         at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        append_raw(spark, batch, warehouse, new_load_id(at), f"{at:%Y-%m-%d %H:%M:%S.%f}")
+        # The query's id is in its checkpoint: a replay has the same one, a new checkpoint another.
+        query_id = json.loads(read_marker(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        batch = batch.persist()  # read for its days and again to be appended
+        try:
+            append_raw(spark, batch, warehouse, at, batch_id=f"{query_id}-{epoch_id}")
+        finally:
+            batch.unpersist()
 
     query = (
         raw_document_stream(spark, landing, source_dir, packed)

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"full_refresh", "incremental_ingest"}
+SLOW = {"full_refresh", "incremental_ingest", "concurrent_refresh", "refresh_checks", "table_catalogue"}
 
 
 def norm(v):

@@ -48,8 +48,8 @@ def test_quality_document_without_current_rows(spark):
 def test_range_rules_ignore_nulls(spark):
     df = spark.createDataFrame([(Decimal("10.00"), Decimal("20.00")), (None, Decimal("1.00")), (Decimal("81.00"), Decimal("0.00"))],
                                "mx decimal(6,2), mn decimal(6,2)")
-    rows = Q.row_checks(df, [Q.RowRule("r", "", (F.col("mx") < F.col("mn")) | Q.not_between("mx", -80, 80))])
-    assert rows.first().issue_count == 2
+    counters = Q.table_counters(df, "t", {"r": (F.col("mx") < F.col("mn")) | Q.not_between("mx", -80, 80)})
+    assert counters.first().r == 2
 
 
 def test_counters_of_one_scan(spark):
@@ -92,12 +92,27 @@ def test_create_if_absent_and_declared_not_null(spark, tmp_path):
     assert "is_wet_day" in not_null_columns(MART_DAILY_SUMMARY)
 
 
-def test_fk_violation_count_matches_rows(spark):
-    parent = spark.createDataFrame([(1,), (2,)], "id long")
-    child = spark.createDataFrame([(1,), (3,), (3,), (4,), (None,)], "pid long")
-    assert K.fk_violation_count(child, parent, ["pid"], ["id"]).first().violations == 3
-    assert K.fk_violations(child, parent, ["pid"], ["id"]).count() == 3
-    assert K.fk_violation_count(child.where("pid = 1"), parent, ["pid"], ["id"]).first().violations == 0
+def test_foreign_keys_at_once_match_one_by_one(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "id int, code string")
+    child = spark.createDataFrame([(1, 2, "a"), (3, 2, "x"), (3, 9, None), (4, None, "b"), (None, 1, "a")], "p long, q long, c string")
+    empty = child.limit(0)
+    keys = [
+        K.ForeignKey("p", child, "p", parent, "id"), K.ForeignKey("p of a", child, "p", parent, "id", F.col("code") == "a"), K.ForeignKey("q", child, "q", parent, "id"),
+        K.ForeignKey("code", child, "c", parent, "code"), K.ForeignKey("none", empty, "p", parent, "id"), K.ForeignKey("orphaned", child, "p", parent.limit(0), "id"),
+    ]
+    got = {r.contract: r.violations for r in K.fk_violation_counts(keys).collect()}
+    one = {k.name: K.fk_violations(k.child, k.parent if k.where is None else k.parent.where(k.where), [k.key], [k.parent_key]).count() for k in keys}
+    assert got == one == {"p": 3, "p of a": 3, "q": 1, "code": 1, "none": 0, "orphaned": 4}
+
+
+def test_foreign_keys_scan_a_child_once(spark):
+    from conftest import SF_SMALL
+
+    from strata.plans.catalog import q_contract_fk
+
+    plan = q_contract_fk(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("lineitem.parquet") == 1 and initial.count("orders.parquet") == 2  # as a child and as a parent
 
 
 def test_iso_json_serialises_dates_and_instants(spark):
