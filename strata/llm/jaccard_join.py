@@ -12,9 +12,11 @@ level. The order changes only the cost. The steps:
 1. Equal sets are one node, named after their smallest id.
 2. Linked sets share a shingle among the first n - ceil(percent n / 100) + 1 of each.
    Shingles that several nodes have there are kept as candidates' meeting places.
-3. Each such shingle's nodes are paired with a few of them, its hubs; verified
+3. Each such shingle's nodes are paired with two of them, its hubs; verified
    links give components, so a group of near copies is nearly one component
-   after work in proportion to its size.
+   after work in proportion to its size. One hub is the node with the fewest shingles before this one
+   in the order: in a group of near copies what sets a copy apart comes first, so that
+   node is nearest to what the copies have in common, and most of them link to it.
 4. What may still link lies in different components. At each meeting place the
    nodes outside the most frequent component there meet the nodes of all other
    components, if sizes and positions leave room for the overlap. Verified
@@ -58,7 +60,8 @@ GRAM = 4
 PERCENT = 85
 BUCKETS = 1 << 20
 CHUNKS = 256
-HUBS = 2
+#: What comes first among the nodes at a meeting place, for each hub.
+HUBS = ("at, xxhash64(node)", "xxhash64(node, 1)")
 RECENT = 3
 BLOCK_SETS = 512
 #: Bits of the filter for texts that verification needs. A multiple of 32768.
@@ -392,8 +395,8 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     same_id = several.where("node <> v").select(F.col("node").alias("u"), "v")
     mixed_sets = several.select("node", F.lit(True).alias("several")).distinct()
     hubs = meetings.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("c"), *[F.min_by(F.struct("node", "n", "at"), F.struct(F.xxhash64("node", F.lit(k)), "node")).alias(f"h{k}") for k in range(HUBS)]
-    ).where("c > 1").select("shingle", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HUBS)]))).alias("h"))
+        F.count(F.lit(1)).alias("c"), *[F.min_by(F.struct("node", "n", "at"), F.expr(f"struct({order}, node)")).alias(f"h{k}") for k, order in enumerate(HUBS)]
+    ).where("c > 1").select("shingle", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(len(HUBS))]))).alias("h"))
     hubs = hubs.select("shingle", F.col("h.node").alias("node_a"), F.col("h.n").alias("n_a"), F.col("h.at").alias("at_a"))
     spokes = _side(meetings, "b").join(hubs, "shingle").where((F.col("node_a") != F.col("node_b")) & _room("n_a", "at_a", "n_b", "at_b", percent))
     spokes = spokes.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"), F.col("n_a").alias("n_u"), F.col("n_b").alias("n_v")).distinct()
