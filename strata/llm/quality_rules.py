@@ -229,7 +229,7 @@ def consistency(share: float) -> float:
     return share / chi_square_cdf(chi_square_quantile(1 - share, P), P + 2)
 
 
-def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str | Column]) -> DataFrame:
     """``row`` (a struct of the ``keep`` columns), the counts, ``base_failed``, ``distance2`` (null
     where nothing was estimated) and ``kept``. ``docs`` is read once; the counts and ``row`` are
     written to the shared folder."""
@@ -255,4 +255,4 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    return judge(docs, docs.columns).where("kept").select("row.*")
+    return judge(docs, [F.col(f"`{c}`") for c in docs.columns]).where("kept").select("row.*")

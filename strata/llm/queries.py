@@ -15,7 +15,7 @@ from strata.llm.oracles import ORACLE_SQL
 from strata.llm.quality_rules import quality_verdicts
 from strata.llm.rule_ensemble import classify
 from strata.llm.secret_scan import secret_digests
-from strata.llm.sentencepiece_codec import encode_offsets
+from strata.llm.sentencepiece_codec import DIGESTS, encode_offsets
 from strata.llm.simhash_grid import simhash_components
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.tables import new_folder, read
@@ -35,7 +35,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_offsets(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+    return encode_offsets(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), DIGESTS)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

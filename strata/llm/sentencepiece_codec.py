@@ -35,20 +35,23 @@ from strata.llm.tables import doc_texts
 from strata.llm.text import UnitCache, column_bytes, slices
 
 SPACE_MARK = "▁"
-SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("ids", T.ArrayType(T.IntegerType())),
-    T.StructField("begins", T.ArrayType(T.LongType())),
-    T.StructField("ends", T.ArrayType(T.LongType())),
-    T.StructField("decoded", T.StringType()),
-])
-DIGEST_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("n_tokens", T.LongType()),
-    T.StructField("ids_sha256", T.StringType()),
-    T.StructField("decoded_sha256", T.StringType()),
-    T.StructField("covered_bytes", T.LongType()),
-])
+#: What an encoded text can give.
+COLUMNS = {
+    "ids": T.ArrayType(T.IntegerType()),
+    "begins": T.ArrayType(T.LongType()),
+    "ends": T.ArrayType(T.LongType()),
+    "decoded": T.StringType(),
+    "n_tokens": T.LongType(),
+    "ids_sha256": T.StringType(),
+    "decoded_sha256": T.StringType(),
+    "covered_bytes": T.LongType(),
+}
+OFFSETS = ("ids", "begins", "ends", "decoded")
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes")
+#: Ids that a worker holds before it sends them on.
+SEND_IDS = 200_000
+#: Distinct units that a worker keeps.
+UNITS = 600_000
 
 
 class CharacterMap:
@@ -153,7 +156,7 @@ class Codec:
             and proto.trainer_spec.byte_fallback and not any(p.type == kind.USER_DEFINED for p in proto.pieces)
             and not proto.trainer_spec.treat_whitespace_as_suffix
         )
-        self.cache = UnitCache(self._units)
+        self.cache = UnitCache(self._units, UNITS)
         self.names = [str(i) for i in range(len(pieces))]
 
     def _units(self, units: list[bytes]) -> list[list[int]]:
@@ -218,40 +221,49 @@ def _codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
-def encode_offsets(docs: DataFrame, model_file: str, digests: bool = False) -> DataFrame:
-    """Encode every text; one row per row of ``docs``.
+def encode_offsets(docs: DataFrame, model_file: str, columns: tuple[str, ...] = OFFSETS) -> DataFrame:
+    """Encode every text; one row per row of ``docs``: ``doc_id`` and ``columns``.
 
-    ``model_file`` is a path that every executor can open. Returns ``doc_id``,
-    ``ids``, ``begins`` and ``ends`` (byte offsets in the UTF-8 source, end
-    exclusive) and ``decoded``, the text that the model decodes the ids to.
-    With ``digests`` the arrays and the text stay in the worker: the columns
-    are ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas),
-    ``decoded_sha256`` and ``covered_bytes``, the source bytes that the spans
-    of the pieces cover.
+    ``model_file`` is a path that every executor can open. ``ids``; ``begins``
+    and ``ends`` (byte offsets in the UTF-8 source, end exclusive); ``decoded``, the text
+    that the model decodes the ids to; ``n_tokens``; ``ids_sha256`` (decimal ids
+    joined by commas) and ``decoded_sha256``; ``covered_bytes``, the source bytes
+    that the spans of the pieces cover. What is not asked for never leaves the
+    loop over a text, and rows go on as soon as about ``SEND_IDS`` ids are held.
     """
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, COLUMNS[c]) for c in columns]])
+    arrow = {"ids": pa.list_(pa.int32()), "begins": pa.list_(pa.int64()), "ends": pa.list_(pa.int64()), "n_tokens": pa.int64(), "covered_bytes": pa.int64()}
+    decode = "decoded" in columns or "decoded_sha256" in columns
 
     def run(batches):
         codec = _codec(model_file)
+        make = {
+            "ids": lambda ids, begins, ends, listed, text: ids,
+            "begins": lambda ids, begins, ends, listed, text: begins,
+            "ends": lambda ids, begins, ends, listed, text: ends,
+            "decoded": lambda ids, begins, ends, listed, text: text,
+            "n_tokens": lambda ids, begins, ends, listed, text: len(listed),
+            "ids_sha256": lambda ids, begins, ends, listed, text: hashlib.sha256(",".join([codec.names[i] for i in listed]).encode()).hexdigest(),
+            "decoded_sha256": lambda ids, begins, ends, listed, text: hashlib.sha256(text.encode()).hexdigest(),
+            "covered_bytes": lambda ids, begins, ends, listed, text: int((ends - begins).sum()),
+        }
+        wanted = [make[c] for c in columns]
         for batch in batches:
-            keys, rows, decoded = batch.column(0), [], []
+            rows, held, first = [], 0, 0
+
+            def send():
+                cols = [pa.array(c, arrow.get(n, pa.string())) for n, c in zip(columns, zip(*rows))]
+                return pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(rows)), *cols], names=schema.names)
+
             for ids, begins, ends in codec.encode_column(batch.column(1)):
                 listed = ids.tolist()
-                text = codec.model.decode(listed) if listed else ""
-                if digests:
-                    names = codec.names
-                    rows.append((
-                        len(listed), hashlib.sha256(",".join([names[i] for i in listed]).encode()).hexdigest(),
-                        hashlib.sha256(text.encode()).hexdigest(), int((ends - begins).sum()),
-                    ))
-                else:
-                    rows.append((ids, begins, ends))
-                    decoded.append(text)
-            if digests:
-                n, a, b, c = zip(*rows) if rows else ((), (), (), ())
-                cols = [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())]
-            else:
-                i, a, b = zip(*rows) if rows else ((), (), ())
-                cols = [pa.array(i, pa.list_(pa.int32())), pa.array(a, pa.list_(pa.int64())), pa.array(b, pa.list_(pa.int64())), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays([keys, *cols], names=(DIGEST_SCHEMA if digests else SCHEMA).names)
-
-    return doc_texts(docs).mapInArrow(run, DIGEST_SCHEMA if digests else SCHEMA)
+                text = codec.model.decode(listed) if decode and listed else ""
+                rows.append([f(ids, begins, ends, listed, text) for f in wanted])
+                held += len(listed)
+                if held >= SEND_IDS:
+                    yield send()
+                    rows, held, first = [], 0, first + len(rows)
+            if rows:
+                yield send()
+
+    return doc_texts(docs).mapInArrow(run, schema)

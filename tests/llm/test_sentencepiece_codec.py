@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from llm_cases import documents, no_documents
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-from strata.llm.sentencepiece_codec import CharacterMap, encode_offsets, normalise
+from strata.llm.sentencepiece_codec import DIGESTS, CharacterMap, encode_offsets, normalise
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -21,7 +21,7 @@ def test_digests_equal_the_librarys(spark):
         ids = lib.encode(r["text"] or "")
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         expected.append((r["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids) if ids else ""), len((r["text"] or "").encode())))
-    got = [tuple(r) for r in encode_offsets(docs, MODEL, digests=True).collect()]
+    got = [tuple(r) for r in encode_offsets(docs, MODEL, DIGESTS).collect()]
     key = lambda r: tuple(map(str, r))
     assert sorted(got, key=key) == sorted(expected, key=key)
 
@@ -40,9 +40,21 @@ def test_spans_partition_the_source(spark):
                 assert piece.replace("▁", " ").encode().lstrip(b" ") == raw[a:b].replace(b"\xe2\x96\x81", b" ").lstrip(b" ")
 
 
+def test_rows_are_sent_in_small_parts(spark, monkeypatch):
+    from strata.llm import sentencepiece_codec as S
+
+    docs = documents(spark, SF_SMALL)
+    whole = encode_offsets(docs, MODEL, ("n_tokens", "ids", "decoded_sha256"))
+    assert whole.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    expected = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(S, "SEND_IDS", 100)
+    monkeypatch.setattr(S, "UNITS", 50)
+    assert sorted(map(str, encode_offsets(docs, MODEL, ("n_tokens", "ids", "decoded_sha256")).collect())) == expected
+
+
 def test_empty_table(spark):
     assert encode_offsets(no_documents(spark), MODEL).count() == 0
-    assert encode_offsets(no_documents(spark), MODEL, digests=True).count() == 0
+    assert encode_offsets(no_documents(spark), MODEL, DIGESTS).count() == 0
 
 
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
