@@ -28,13 +28,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one of the smallest id stays; of rows that share
-    an id, the first by text. Documents without an id are in no group and stay."""
+    """Of each group of linked documents the one of the smallest id stays, with all texts that stand
+    under this id; of rows alike in id and text one stays, the first by the other columns.
+    Documents without an id are in no group and stay."""
     found = jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
-    own = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, "doc_id", "left_semi").select("*", F.row_number().over(own).alias("__row")).where("__row = 1").drop("__row")
-    return kept.unionByName(docs.where("doc_id is null"))
+    place = next(n for n in ("place" + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    others = [F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns if c not in ("doc_id", "text")]
+    own = Window.partitionBy("doc_id", "text").orderBy(*(others or ["doc_id"]))
+    kept = docs.join(first, "doc_id", "left_semi").withColumn(place, F.row_number().over(own)).where(F.col(place) == 1).drop(place)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +52,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids, and a digest of the text that they decode to."""
-    encoded = encode_offsets(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode_offsets(docs, public_tokenizers.path("piece_bpe_32k.model"), ("n_tokens", "ids", "decoded_sha256"))
 
 
 STAGES = [
