@@ -16,6 +16,11 @@ Of two units that cover more than half of the longer one together, the one of
 the smaller coefficient (of equal ones the shorter) goes if they match
 different templates; a notice inside a longer licence stays.
 
+Most words of a short notice are the same for every licence, so its coefficient
+alone would let "licensed under the Zebra Public License" pass for another. A unit
+matches a template of at most ``SHORT`` bigrams only if it has all that name the licence:
+those with a word outside ``GENERIC``, such as names and version numbers.
+
 Cases: a null or empty text matches nothing; units and templates of one word
 have no bigram and match nothing; of equal coefficients the first template by
 name wins; repeated rows are reported each; extra columns are ignored; an
@@ -40,6 +45,12 @@ from strata.llm.text import column_bytes, ranges, slices, window_hashes
 
 MIN_DICE = 0.8
 LOOK = 0.5
+SHORT = 24
+#: Words that notices of any licence share.
+GENERIC = set(
+    "a all an and are author available be by can code copyright distributed extent file found governed has identifier in is it law licence license "
+    "licensed neighboring of or possible program project related released rights software source spdx terms that the this to under use version waived work".split()
+)
 #: Starts and lengths of windows compared at once.
 WINDOW_CELLS = 1 << 19
 FOUND = T.StructType([
@@ -231,6 +242,12 @@ class Templates:
         cut = words.first.tolist()
         self.bigrams = [Counter(bigrams(hashes[a:b]).tolist()) for a, b in zip(cut[:-1], cut[1:])]
         self.sizes = np.array([sum(b.values()) for b in self.bigrams], np.int64)
+        # What a unit needs, besides the coefficient, to be a short template.
+        named = np.array([words.data[a:b].tobytes().decode() not in GENERIC for a, b in zip(words.start, words.end)], bool)
+        self.naming = [
+            np.unique(bigrams(hashes[a:b])[named[a : b - 1] | named[a + 1 : b]]) if 1 < b - a <= SHORT + 1 else np.zeros(0, np.uint64)
+            for a, b in zip(cut[:-1], cut[1:])
+        ]
         # Every bigram with its templates and how often each has it, by bigram.
         gram = np.array([x for b in self.bigrams for x in b], np.uint64)
         order = np.argsort(gram, kind="stable")
@@ -254,10 +271,14 @@ class Templates:
             own = own or Counter(unit.tolist())
             common = sum(min(c, self.bigrams[k][g]) for g, c in own.items() if g in self.bigrams[k])
             dice = 2 * common / (n + int(self.sizes[k]))
-            if dice >= MIN_DICE and (found is None or dice > found[0]):
+            if dice >= MIN_DICE and (found is None or dice > found[0]) and self.named(k, unit):
                 found = dice, self.names[k]
         return found
 
+    def named(self, k: int, unit: np.ndarray) -> bool:
+        """Whether a unit has all bigrams that name template ``k``."""
+        return not len(self.naming[k]) or bool(np.isin(self.naming[k], unit).all())
+
 
 def bigrams(hashes: np.ndarray) -> np.ndarray:
     return window_hashes(hashes, (0, 1))
@@ -309,7 +330,9 @@ def windows(grams: np.ndarray, doc: np.ndarray, templates: Templates) -> list[tu
             best = np.argmax(dice, axis=1)
             top = dice[np.arange(len(s)), best]
             for i in np.flatnonzero(top >= MIN_DICE).tolist():
-                found.append((int(p[s[i, 0]]), int(p[e[i, best[i]]]), float(top[i])))
+                a, b = int(p[s[i, 0]]), int(p[e[i, best[i]]])
+                if templates.named(k, grams[a : b + 1]):
+                    found.append((a, b, float(top[i])))
         # Windows that overlap form a group; of a group the best first, then what does not overlap it.
         group, end = [], -1
         for window in [*found, (len(grams) + 1, 0, 0.0)]:

@@ -17,6 +17,7 @@ def grams(text):
 
 TEMPLATES = {n: Counter(grams(t)) for n, t in L.TEMPLATES.items()}
 KNOWN = set().union(*TEMPLATES.values())
+NAMING = {n: {g for g in t if not set(g) <= L.GENERIC} if sum(t.values()) <= L.SHORT else set() for n, t in TEMPLATES.items()}
 
 
 def best(unit):
@@ -24,7 +25,7 @@ def best(unit):
     own, n, found = Counter(unit), len(unit), None
     for name, t in sorted(TEMPLATES.items()):
         dice = 2 * sum((own & t).values()) / (n + sum(t.values())) if n else 0
-        if dice >= L.MIN_DICE and (found is None or dice > found[0]):
+        if dice >= L.MIN_DICE and (found is None or dice > found[0]) and NAMING[name] <= set(own):
             found = dice, name
     return found
 
@@ -100,7 +101,8 @@ def test_notice_inside_a_line_and_licences_one_after_the_other(spark):
     }
 
 
-def test_windows_equal_all_windows():
+def test_windows_equal_all_windows(monkeypatch):
+    monkeypatch.setattr(L, "GENERIC", {f"w{k}" for k in range(9)})  # the coefficient alone
     rng = random.Random(6)
     text = lambda n, m: [f"w{rng.randrange(m)}" for _ in range(n)]
     few = {f"t{k}": " ".join(text(rng.randrange(2, 16), 5)) for k in range(6)}
@@ -146,3 +148,19 @@ def test_near_relatives_have_names_of_their_own(spark):
         # A full text may quote the header that it recommends, but is no other full text.
         assert len(set(got[k]) & ({*L.FULL_TEXTS} if name in L.FULL_TEXTS else {*rows})) == 1, (name, got[k])
     assert not L.scan_licenses(spark.createDataFrame([(1, "SPDX-License-Identifier: Zlib")], "doc_id long, text string")).count()
+
+
+def test_other_licences_are_not_taken_for_a_short_notice(spark):
+    rows = [
+        "This project is licensed under the Zebra Public License.", "This project is licensed under the ISC License.",
+        "This work is licensed under the GNU Free Documentation License.", "Released under the Zlib License.", "Licensed under the BSD 4-Clause License.",
+        "Licensed under the Zebra License, Version 2.0.", "This software is licensed under the terms of its owner.", "Licensed under CC BY-NC 3.0.",
+        "prose before it. This project is licensed under the Zebra Public License. and prose after it", "SPDX-License-Identifier: MPL-1.1",
+    ]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert L.scan_licenses(docs).collect() == []
+    # A version that is not the template's is no match of that template.
+    other = spark.createDataFrame([(1, "This library is licensed under the GNU Lesser General Public License, version 2.")], "doc_id long, text string")
+    assert "LGPL-2.1 notice" not in {r["license"] for r in L.scan_licenses(other).collect()}
+    same = spark.createDataFrame([(1, "This software is licensed under the MIT License"), (2, "this package is released under the mit license.")], "doc_id long, text string")
+    assert {r["doc_id"] for r in L.scan_licenses(same).collect()} == {1, 2}
