@@ -11,17 +11,21 @@ holds a large share of the rows:
   window over the whole key.
 * ``rank_within`` never sorts the rows of a ranking partition: a rank is the
   sum of the counts ahead on each sort column, taken from histograms that
-  partial aggregates build, so only distinct values meet in a window.
-* ``row_positions`` is ``ROW_NUMBER()``; the window streams each group through
-  a sort that spills, holding one row at a time.
+  partial aggregates build, so only distinct values meet in a window, and of a
+  type with many values only those of one range (``ranges.prefix_sums``).
+* ``row_positions`` is ``ROW_NUMBER()`` by ranges of the order.
 * ``rolling_rows`` is a physical-rows frame over (key, date) rows; with one row
   per key and date a partition is bounded by the calendar, not by the data.
+  ``ranges.ranged_rolling`` does the same for keys without such a bound.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators.ranges import prefix_sums, ranged_positions
 
 
 def _cols(cols):
@@ -42,6 +46,11 @@ def sort_spec(c: str | Column, descending: bool = False, nulls_first: bool | Non
     return col.asc_nulls_first() if nulls_first else col.asc_nulls_last()
 
 
+def _few_values(t: T.DataType) -> bool:
+    """Types with so few values that all of them fit a window."""
+    return isinstance(t, (T.BooleanType, T.ByteType, T.ShortType, T.DateType)) or (isinstance(t, T.DecimalType) and t.precision <= 6)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep the first row of each key under ``order`` (ROW_NUMBER() = 1)."""
     w = Window.partitionBy(*_cols(keys)).orderBy(*order)
@@ -84,8 +93,9 @@ def rank_within(
     Each term comes from one histogram: the counts of the distinct values of a
     column under equal values of the columns before it, built with a partial
     aggregate. So what meets in one window is the distinct values of one column
-    (a DECIMAL(6,2) has at most 200,000), never the rows; rows only join their
-    terms, and a skewed join partition is split by AQE.
+    (a DECIMAL(6,2) has at most two million), never the rows; of a type with more
+    values it is those of one range. Rows only join their terms, and a skewed
+    join partition is split by AQE.
     """
     columns = [*by, value, *tiebreak]
     key = [f"__k{i}" for i in range(len(columns))]
@@ -96,7 +106,12 @@ def rank_within(
         spec = sort_spec(last, descending, nulls_first) if end == len(by) + 1 else sort_spec(last)
         ahead = Window.partitionBy(*_cols(upper)).orderBy(spec).rowsBetween(Window.unboundedPreceding, -1)
         level = counts.groupBy(*key[:end]).agg(F.sum("__n").alias("__n"))
-        level = level.select(*key[:end], F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+        if _few_values(level.schema[last].dataType):
+            level = level.select(*key[:end], F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+        else:
+            of_value = end == len(by) + 1
+            level = prefix_sums(level, upper, [last], F.col("__n"), "__ahead", of_value and descending, nulls_first if of_value else None)
+            level = level.select(*key[:end], "__ahead")
         if terms is not None:
             before = terms.select(*[F.col(k).alias(f"{k}b") for k in upper], F.col("__ahead").alias("__before"))
             level = level.join(before, on=[F.col(k).eqNullSafe(F.col(f"{k}b")) for k in upper])
@@ -108,8 +123,7 @@ def rank_within(
 
 def row_positions(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT."""
-    w = Window.partitionBy(*_cols(by)).orderBy(*[sort_spec(c) for c in order])
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return ranged_positions(df, by, order, out)
 
 
 def rolling_rows(

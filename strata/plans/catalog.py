@@ -22,7 +22,8 @@ from strata.operators import contracts as K
 from strata.operators import quality as Q
 from strata.operators import views as V
 from strata.operators.arrays import explode_aligned
-from strata.operators.windows import latest_per_key, latest_snapshot, row_positions, sort_spec
+from strata.operators.ranges import ranged_rolling
+from strata.operators.windows import latest_per_key, latest_snapshot, rank_within, row_positions, sort_spec
 from strata.plans import events as E
 from strata.plans import weather as W
 from strata.plans.layers import materialize
@@ -351,6 +352,25 @@ def q_rolling_history(spark, sf):
     return W.rolling_metrics(W.summarize_daily(per_day))
 
 
+# Five event types hold all events, so each group below is hot at any size.
+
+def q_rank_values(spark, sf):
+    """Rank of every event's value within its type (doubles, largest first), ties by user."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value", "user_id")
+    return rank_within(events, ["event_type"], "value", ["user_id"], "value_rank")
+
+
+def q_event_positions(spark, sf):
+    return row_positions(table(spark, sf, "events").select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"], "position")
+
+
+def q_rolling_events(spark, sf):
+    """The last five events of the type, at each event."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    aggs = {"n_events": F.count(F.lit(1)), "least": F.min("value"), "most": F.max("value"), "first_id": F.first("event_id")}
+    return ranged_rolling(events, ["event_type"], ["ts", "event_id"], aggs, preceding=4)
+
+
 # ---------------------------------------------------------------- quality
 
 def _city_count(events: DataFrame) -> DataFrame:
@@ -631,6 +651,9 @@ QUERIES = {
     "rank_per_day": q_rank_per_day,
     "rolling_metrics": q_rolling_metrics,
     "rolling_history": q_rolling_history,
+    "rank_values": q_rank_values,
+    "event_positions": q_event_positions,
+    "rolling_events": q_rolling_events,
     "dq_checks": q_dq_checks,
     "dq_summary": q_dq_summary,
     "dq_driver_tables": q_dq_driver_tables,

@@ -250,6 +250,17 @@ SELECT city, forecast_date, temperature_avg_c,
   CAST(sum(precipitation_mm) OVER w AS DECIMAL(8,2)) AS rolling_3day_precip_mm
 FROM hist
 WINDOW w AS (PARTITION BY city ORDER BY forecast_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""),
+    "rank_values": """
+SELECT event_id, event_type, value, user_id,
+  CAST(rank() OVER (PARTITION BY event_type ORDER BY value DESC NULLS FIRST, user_id NULLS LAST) AS BIGINT) AS value_rank FROM events""",
+    "event_positions": """
+SELECT event_id, event_type, ts,
+  CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts NULLS LAST, event_id NULLS LAST) AS BIGINT) AS position FROM events""",
+    "rolling_events": """
+SELECT event_id, event_type, ts, value, count(*) OVER w AS n_events, min(value) OVER w AS least, max(value) OVER w AS most,
+  first(event_id) OVER w AS first_id
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts NULLS LAST, event_id NULLS LAST ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
     "dq_checks": _with(CHECKS, CHECK_ROWS),
     "dq_spoiled": _with(SPOILED, CHECK_ROWS),
     "quality_document": _with(SPOILED, """
