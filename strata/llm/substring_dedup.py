@@ -17,9 +17,13 @@ of their anchor:
    others are the reference shards. In the order of their places each context
    is streamed through the suffix automaton of those before it; a matching
    length of ``WINDOW`` words at a word means that the window ending there
-   starts earlier. Then the automaton takes the context in. An anchor of more
-   than ``SHARD_CONTEXTS`` contexts is split by window: each window travels by
-   its own hash, so no shard grows with a group of near copies.
+   starts earlier. Then the automaton takes the context in.
+   No shard holds more than ``SHARD_CONTEXTS`` contexts: the windows of an
+   anchor with more are settled each by its own hash, as contexts are in 1. Within
+   a batch all but the first of equal windows are repeats at once; of those left a
+   partial aggregate keeps the least place of each hash, and all others are
+   repeats. So a window that a share of all documents hold costs a task a row
+   a batch, and no automaton grows with a group of near copies.
 3. The windows found are gathered by document and their words removed.
 
 A shard meets only the documents that share its anchor. Sending every shard's
@@ -62,7 +66,8 @@ SHARDS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("text_hash", T.LongType()),
     T.StructField("place", T.LongType()),
-    T.StructField("words", T.BinaryType()),
+    T.StructField("words", T.BinaryType()),  # null for a window of a split anchor, whose shard is its own hash
+    T.StructField("repeated", T.BooleanType()),
 ])
 FOUND = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -188,7 +193,7 @@ class SuffixAutomaton:
 
 
 def _shard_rows(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """The contexts that shards need, cut out of their documents as word hashes."""
+    """The contexts that shards need, cut out of their documents as word hashes, and the windows of split anchors."""
     lists = places.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("anchor", "place", "split")).alias("places"))
     both = docs.join(lists, (docs.doc_id.eqNullSafe(lists.doc_id)) & (docs.text_hash == lists.text_hash)).select(lists.doc_id, lists.text_hash, "text", "places")
 
@@ -198,31 +203,47 @@ def _shard_rows(docs: DataFrame, places: DataFrame) -> DataFrame:
             wanted = batch.column(3)
             held, starts = wanted.flatten(), np.append(0, np.cumsum(wanted.value_lengths().to_numpy()))
             anchors, place, split = (held.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            ids, text_hashes = batch.column(0).fill_null(-(1 << 63)).to_numpy(), batch.column(1).to_numpy()
+
+            def rows(shard, row, where, words, repeated):
+                at = pa.array(row)
+                return pa.RecordBatch.from_arrays([pa.array(shard), batch.column(0).take(at), batch.column(1).take(at), pa.array(where), words, pa.array(repeated)], names=SHARDS.names)
+
             for lo, hi in slices(offsets):
                 words = split_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 hashes = word_hashes(words)
                 doc = np.repeat(np.arange(hi - lo), np.diff(starts[lo : hi + 1]))
                 a, p, s = (x[starts[lo] : starts[hi]] for x in (anchors, place, split))
                 first, n = words.first[doc] + (p >> MASK_BITS), p & (RESOLVED - 1)
-                # A split anchor's windows go each by their own hash.
-                each = np.where(s, n, 1)
-                row = np.repeat(np.arange(len(p)), each)
-                step = ranges(np.zeros(len(p), np.int64), each)
-                begin = first[row] + step
-                size = np.where(s[row], WINDOW, n[row] + WINDOW - 1)
-                shard = np.where(s[row], sequence_hashes(hashes, begin, begin + WINDOW).astype(np.int64), a[row])
-                where = ((p[row] >> MASK_BITS) + step) << MASK_BITS | np.where(s[row], 1, n[row])
-                flat = hashes[ranges(begin, size)]
-                cuts = pa.array(np.append(0, np.cumsum(size)) * 8, pa.int32())
-                rows = pa.array(doc[row] + lo)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(where), pa.Array.from_buffers(pa.binary(), len(row), [None, cuts.buffers()[1], pa.py_buffer(flat.tobytes())])],
-                    names=SHARDS.names,
-                )
+                s = s.astype(bool)
+                if not s.all():
+                    begin, size = first[~s], n[~s] + WINDOW - 1
+                    flat = hashes[ranges(begin, size)]
+                    cuts = pa.array(np.append(0, np.cumsum(size)) * 8, pa.int32())
+                    sequences = pa.Array.from_buffers(pa.binary(), len(begin), [None, cuts.buffers()[1], pa.py_buffer(flat.tobytes())])
+                    yield rows(a[~s], doc[~s] + lo, p[~s], sequences, np.zeros(len(begin), bool))
+                if s.any():
+                    row = np.repeat(np.flatnonzero(s), n[s])
+                    step = ranges(np.zeros(int(s.sum()), np.int64), n[s])
+                    begin, where, of = first[row] + step, ((p[row] >> MASK_BITS) + step) << MASK_BITS | 1, doc[row] + lo
+                    window = sequence_hashes(hashes, begin, begin + WINDOW).astype(np.int64)
+                    # The first of equal windows goes on; the others are repeats.
+                    order = np.lexsort((where, text_hashes[of], ids[of], window))
+                    again = np.append(False, window[order][1:] == window[order][:-1])
+                    same_place = np.append(False, np.all([x[order][1:] == x[order][:-1] for x in (ids[of], text_hashes[of], where)], axis=0))
+                    order, again = order[~(again & same_place)], again[~(again & same_place)]
+                    yield rows(window[order], of[order], where[order], pa.nulls(len(order), pa.binary()), again)
 
     return both.mapInArrow(run, SHARDS)
 
 
+def _match_windows(windows: DataFrame) -> DataFrame:
+    """Places of windows that some place before them holds, by hash."""
+    place = F.struct("doc_id", "text_hash", "place")
+    firsts = windows.groupBy("shard").agg(F.min(place).alias("first"))
+    return windows.join(firsts, "shard").where(place != F.col("first")).select(*FOUND.names)
+
+
 def _match_shards(shards: DataFrame) -> DataFrame:
     """Places whose mask marks the windows that start earlier, one shard after the other."""
 
@@ -303,7 +324,10 @@ def remove_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
     ids = F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id")
     hits = ranked.where(repeated | (F.col("distinct") > 1)).select("anchor", ids, "text_hash", F.col("place").bitwiseAND(~RESOLVED).alias("place"), repeated, (F.col("distinct") > SHARD_CONTEXTS).alias("split"))
     hits = written(hits, "repeated-contexts")
-    matched = _match_shards(_shard_rows(docs, hits.where("not repeated")))
+    rows = written(_shard_rows(docs, hits.where("not repeated")), "shard-contexts")
+    matched = _match_shards(rows.where("words is not null").drop("repeated"))
+    windows = rows.where("words is null")
+    settled = windows.where("repeated").select(*FOUND.names).unionByName(_match_windows(windows.where("not repeated")))
     n = F.col("place").bitwiseAND(RESOLVED - 1)
     whole = (F.col("place") - n).bitwiseOR(F.expr("shiftleft(1L, cast(place & %d as int)) - 1" % (RESOLVED - 1)))
-    return _remove(docs, hits.where("repeated").select("doc_id", "text_hash", whole.alias("place")).unionByName(matched), texts)
+    return _remove(docs, hits.where("repeated").select("doc_id", "text_hash", whole.alias("place")).unionByName(matched).unionByName(settled), texts)

@@ -66,6 +66,23 @@ def test_random_edits(spark, monkeypatch, limit):
         check(spark.createDataFrame(edited(seed, 60), "doc_id long, text string").repartition(4))
 
 
+def test_a_window_that_all_documents_hold(spark, monkeypatch):
+    monkeypatch.setattr(S, "SHARD_CONTEXTS", 50)
+    passage = " ".join(f"shared{i}" for i in range(22))
+    rng = random.Random(2)
+    own = lambda: " ".join(f"o{rng.randrange(10**6)}" for _ in range(15))
+    docs = spark.createDataFrame([(d, f"{own()} {passage} {own()}") for d in range(3000)] + [(None, passage)], "doc_id long, text string").repartition(6)
+    held = {}
+    shards, windows = S._match_shards, S._match_windows
+    monkeypatch.setattr(S, "_match_shards", lambda rows: (held.setdefault("contexts", rows), shards(rows))[1])
+    monkeypatch.setattr(S, "_match_windows", lambda rows: (held.setdefault("windows", rows), windows(rows))[1])
+    check(docs)
+    assert held["windows"].count() > 3000  # the windows around the passage
+    for rows, most in ((held["contexts"], 50), (held["windows"], 12)):
+        counts = [r["count"] for r in rows.groupBy("shard").count().collect()]
+        assert max(counts, default=0) <= most
+
+
 def test_rows_of_one_id_and_text_are_one_document(spark):
     text = " ".join(f"w{i}" for i in range(50))
     got = S.remove_repeats(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")).collect()
