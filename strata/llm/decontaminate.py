@@ -9,16 +9,24 @@ each meeting the benchmark item is laid along the document on that diagonal,
 and a stretch is an overlap if it has at least ``MIN_OVERLAP`` tokens, or the
 whole item if that is shorter, and ``MIN_IDENTITY`` of them match. Of a
 diagonal's stretches the one with the best score (a match counts 1, a
-substitution ``-PENALTY``) is reported if it is an overlap, else the overlap
-with the most matches beyond ``MIN_IDENTITY``.
+substitution ``-PENALTY``) is taken if it is an overlap, else the overlap
+with the most matches beyond ``MIN_IDENTITY``; the rest of the diagonal on both
+sides is searched for more.
+
+An item shorter than ``MIN_OVERLAP`` must overlap as a whole, with few
+substitutions. Its masks count every place but those of equal remainder, one
+mask more than it may have substitutions, so one of them misses all of these:
+such overlaps are found without loss. For longer items the four masks are a
+heuristic; the tests measure their recall.
 
 The benchmark is a query set: it is dealt into blocks of about ``BLOCK_TOKENS``
 tokens, each block's index is broadcast, and all documents are read against
 it. The number of blocks follows the benchmark's size, which Spark counts.
 
 Cases: null or empty texts and items have no tokens and meet nothing; items
-of fewer tokens than the shortest mask are too short to be evidence and are
-never found; a passage that occurs twice in a document counts in ``n_overlaps``;
+of fewer than ``MIN_EVIDENCE`` tokens are found and reported, but no reason
+to drop a document; every overlap of an item counts in ``n_overlaps``, also several
+on one diagonal; a very long text is worked on alone, as a whole;
 repeated documents are reported each, and items with the same text each;
 items of a null id count as others and are reported under a null id;
 extra columns are carried by ``drop_contaminated`` as they are; empty tables
@@ -51,6 +59,7 @@ MASKS = (
 PENALTY = 2
 MIN_OVERLAP = 13
 MIN_IDENTITY = 0.8
+MIN_EVIDENCE = 6
 BLOCK_TOKENS = 500_000
 FILTER_BITS = 20
 OVERLAPS = T.StructType([
@@ -80,14 +89,20 @@ def tokens(texts: pa.Array) -> tuple[Words, np.ndarray]:
     return words, range_hashes(data, start, end)
 
 
-def _seeds(words: Words, hashes: np.ndarray, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose window stays inside its text, and their hashes under the mask."""
+def _seeds(words: Words, hashes: np.ndarray, mask: tuple[int, ...], span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose window of ``span`` tokens stays inside its text, and their hashes under the mask."""
     seed = window_hashes(hashes, mask)
     last = np.repeat(words.first[1:], words.counts())[: len(seed)]
-    at = np.flatnonzero(np.arange(len(seed)) + max(mask) < last)
+    at = np.flatnonzero(np.arange(len(seed)) + span <= last)
     return at, seed[at]
 
 
+def short_masks(length: int) -> list[tuple[int, ...]]:
+    """Masks for a whole item of this length: however its substitutions fall, one mask counts none of them."""
+    may = length - math.ceil(Fraction(str(MIN_IDENTITY)) * length)
+    return [tuple(range(k, length, may + 1)) for k in range(may + 1)]
+
+
 class BenchmarkIndex:
     """Spaced-seed hashes of benchmark items, for each mask sorted with the places they come from."""
 
@@ -95,23 +110,31 @@ class BenchmarkIndex:
         self.ids = [i for i, _ in items]
         words, self.hashes = tokens(pa.array([t for _, t in items], pa.string()))
         self.first = words.first
-        item = words.doc()
+        self.item = words.doc()
+        size = words.counts()
+        short = sorted({int(n) for n in size if 0 < n < MIN_OVERLAP})
         self.masks = []
-        for mask in MASKS:
-            at, seed = _seeds(words, self.hashes, mask)
+        for mask, span, whole in [*((m, max(m) + 1, False) for m in MASKS), *((m, n, True) for n in short for m in short_masks(n))]:
+            at, seed = _seeds(words, self.hashes, mask, span)
+            # A short item counts at its start alone, a longer one everywhere.
+            own = size[self.item[at]] == span if whole else size[self.item[at]] >= MIN_OVERLAP
+            at, seed = at[own], seed[own]
             order = np.argsort(seed, kind="stable")
             near = np.zeros(1 << FILTER_BITS, bool)
             near[seed >> np.uint64(64 - FILTER_BITS)] = True
-            self.masks.append((mask, near, seed[order], at[order]))
-        self.item = item
+            if len(at):
+                self.masks.append((mask, span, near, seed[order], at[order]))
+
+    def size(self, item: int) -> int:
+        return int(self.first[item + 1] - self.first[item])
 
     def overlaps(self, texts: pa.Array) -> list[tuple[int, int, int, int, int, int, int]]:
         """Of each text and item that overlap: text, item, best stretch (start and end in the
         text, start in the item, matches) and the number of overlaps."""
         words, hashes = tokens(texts)
         places, diagonals = [], []
-        for mask, near, seeds, at in self.masks:
-            here, seed = _seeds(words, hashes, mask)
+        for mask, span, near, seeds, at in self.masks:
+            here, seed = _seeds(words, hashes, mask, span)
             maybe = near[seed >> np.uint64(64 - FILTER_BITS)]
             here, seed = here[maybe], seed[maybe]
             lo = np.searchsorted(seeds, seed, "left")
@@ -120,7 +143,7 @@ class BenchmarkIndex:
             target = np.repeat(here, count)
             places.append(self.item[source])
             diagonals.append(target - (source - self.first[self.item[source]]))
-        if not sum(map(len, places)):
+        if not sum(map(len, places)):  # also of an index without tokens
             return []
         pairs = np.unique(np.stack([np.concatenate(places), np.concatenate(diagonals)]), axis=1)
         found: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
@@ -129,7 +152,7 @@ class BenchmarkIndex:
                 found.setdefault((text, item), []).append(stretch)
         out = []
         for (text, item), all_ in sorted(found.items()):
-            best = max(all_, key=lambda s: (s[3], -s[0]))
+            best = max(all_, key=lambda s: (s[3], -s[0], s[2]))
             out.append((text, item, best[0], best[1], best[2], best[3], len({s[0] for s in all_})))
         return out
 
@@ -142,13 +165,26 @@ class BenchmarkIndex:
             edge = min(hi, int(words.first[text + 1]))
             if edge > lo:
                 same = hashes[lo:edge] == self.hashes[a + lo - diagonal : a + edge - diagonal]
-                start, end, n = best_stretch(same)
-                if end - start >= min(MIN_OVERLAP, b - a) and n >= MIN_IDENTITY * (end - start):
+                for start, end, n in all_stretches(same, min(MIN_OVERLAP, b - a)):
                     at = lo + start
                     yield text, (at - int(words.first[text]), lo + end - int(words.first[text]), at - diagonal, n)
             lo, text = edge, text + 1
 
 
+def all_stretches(same: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Overlaps of at least ``least`` tokens that share no place, the best first on each part that the one before leaves."""
+    out, parts = [], [(0, len(same))]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo < least:
+            continue
+        start, end, n = best_stretch(same[lo:hi])
+        if end - start >= least and n >= MIN_IDENTITY * (end - start):
+            out.append((lo + start, lo + end, n))
+            parts += [(lo, lo + start), (lo + end, hi)]
+    return out
+
+
 def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
     """Start, end and matches of the stretch with the best score (the first of equals), or of
     another of at least ``MIN_OVERLAP`` tokens, or all, if only that one has enough matches."""
@@ -214,8 +250,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return spark.createDataFrame([], OVERLAPS) if out is None else out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, all columns as they are."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_tokens: int = MIN_EVIDENCE) -> DataFrame:
+    """The rows of ``docs`` that overlap no benchmark item of ``least_tokens`` tokens or more, all columns as they are."""
     out = docs
     at = docs.columns.index("text")
     for block in _index_blocks(benchmark):
@@ -226,7 +262,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for lo, hi in _batches(batch.column(at)):
                     part = batch.slice(lo, hi - lo)
                     clean = np.ones(hi - lo, bool)
-                    clean[[f[0] for f in index.value.overlaps(part.column(at))]] = False
+                    clean[[f[0] for f in index.value.overlaps(part.column(at)) if index.value.size(f[1]) >= least_tokens]] = False
                     yield part if clean.all() else part.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema)

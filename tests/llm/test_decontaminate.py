@@ -13,9 +13,9 @@ def tokens(text):
     return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
 
 
-def brute_force(rows, items):
-    """Overlaps of all documents and items over every diagonal on which a mask could meet."""
-    out = {}
+def true_pairs(rows, items):
+    """Documents and items that overlap by the definition, on any diagonal, however they could be found."""
+    out = set()
     for d, text in rows:
         w = tokens(text)
         at = {}
@@ -23,19 +23,37 @@ def brute_force(rows, items):
             at.setdefault(t, []).append(i)
         for item, item_text in items:
             x = tokens(item_text)
+            least = min(13, len(x))
             diagonals = Counter(i - j for j, t in enumerate(x) for i in at.get(t, ()))
-            found = []
             for diagonal, n in diagonals.items():
-                lo, hi = max(diagonal, 0), min(diagonal + len(x), len(w))
-                same = [w[i] == x[i - diagonal] for i in range(lo, hi)]
-                if n < 6 or not any(all(k + p < len(same) and same[k + p] for p in m) for m in D.MASKS for k in range(len(same))):
+                if 5 * n < 4 * least:
                     continue
-                start, end, match = D.best_stretch(np.array(same))
-                if end - start >= min(D.MIN_OVERLAP, len(x)) and match >= D.MIN_IDENTITY * (end - start):
-                    found.append((lo + start, lo + end, lo + start - diagonal, match))
-            if found:
-                out.setdefault((d, item), []).append((*max(found, key=lambda s: (s[3], -s[0])), len({s[0] for s in found})))
-    return sorted((*key, *v) for key, vs in out.items() for v in vs)
+                lo, hi = max(diagonal, 0), min(diagonal + len(x), len(w))
+                total = [0]
+                for i in range(lo, hi):
+                    total.append(total[-1] + (1 if w[i] == x[i - diagonal] else -4))
+                low = float("inf")
+                for end in range(least, hi - lo + 1):
+                    low = min(low, total[end - least])
+                    if total[end] >= low:
+                        out.add((d, item))
+                        break
+    return out
+
+
+def assert_overlaps(got, rows, items):
+    """Each row is an overlap as the definition says. Rows of repeated ids may stand for any text of the id."""
+    texts, named = {}, {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(tokens(t))
+    for i, t in items:
+        named.setdefault(i, []).append(tokens(t))
+    for d, item, start, end, at, n_match, n_overlaps in got:
+        assert n_overlaps >= 1 and 5 * n_match >= 4 * (end - start)
+        assert any(
+            end - start >= min(13, len(x)) and at + end - start <= len(x) and end <= len(w) and sum(a == b for a, b in zip(w[start:end], x[at:])) == n_match
+            for w in texts[d] for x in named[item]
+        )
 
 
 def planted(seed):
@@ -65,11 +83,52 @@ def collected(docs, benchmark):
 def test_planted_passages_with_substitutions(spark, monkeypatch):
     rows, items = planted(5)
     docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
-    expected = brute_force(rows, [(i, t) for i, t in items if t])
+    got = collected(docs, benchmark)
+    expected = true_pairs(rows, [(i, t) for i, t in items if t])
     assert len(expected) > 30
-    assert collected(docs, benchmark) == expected
+    assert {g[:2] for g in got} == expected
+    assert_overlaps(got, rows, items)
     monkeypatch.setattr(D, "BLOCK_TOKENS", 20)  # many blocks give the same
-    assert collected(docs, benchmark) == expected
+    assert collected(docs, benchmark) == got
+
+
+def test_recall_by_item_length(spark):
+    """Items laid into prose with as many substitutions as an overlap may have, at random places."""
+    rng = random.Random(11)
+    lengths = [*range(1, 13), 13, 14, 16, 20, 30]
+    items = [(n, " ".join(f"n{n}x{k}" for k in range(n))) for n in lengths]
+    rows = []
+    for n, text in items:
+        for k in range(40):
+            part = tokens(text)
+            for at in rng.sample(range(n), n - -(-4 * n // 5)):
+                part[at] = "changed"
+            rows.append((1000 * n + k, " ".join([*(f"p{rng.randrange(99)}" for _ in range(rng.randrange(30))), *part, "after"])))
+    got = collected(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"))
+    expected = true_pairs(rows, items)
+    found = {g[:2] for g in got}
+    assert found <= expected
+    for n in lengths:
+        of = {e for e in expected if e[1] == n}
+        assert len(of) >= 40
+        recall = len(found & of) / len(of)
+        assert recall == 1 if n < 13 else recall >= 0.9, (n, recall)
+
+
+def test_passages_of_one_diagonal_count_each(spark):
+    item = [f"i{k}" for k in range(60)]
+    text = item[:20] + [f"x{k}" for k in range(20)] + item[40:]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(item[:20]) + " gap " + " ".join(item[:20]))], "doc_id long, text string")
+    got = collected(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    assert got == [(1, 7, 0, 20, 0, 20, 2), (2, 7, 0, 20, 0, 20, 2)]
+
+
+def test_tiny_items_are_reported_but_drop_nothing(spark):
+    docs = spark.createDataFrame([(1, "Yes, it is so."), (2, "nothing of the kind"), (3, "one two three four five six seven")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "yes"), (2, "it is so"), (3, "one two three CHANGED five six")], "item_id long, text string")
+    assert [g[:2] for g in collected(docs, benchmark)] == [(1, 1), (1, 2), (3, 3)]
+    assert sorted(r["doc_id"] for r in D.drop_contaminated(docs, benchmark).collect()) == [1, 2]
+    assert [r["doc_id"] for r in D.drop_contaminated(docs, benchmark, least_tokens=1).collect()] == [2]
 
 
 def test_given_documents_and_hard_cases(spark):
@@ -77,7 +136,8 @@ def test_given_documents_and_hard_cases(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
     got = collected(docs, benchmark)
-    assert got == brute_force(rows, items)
+    assert {g[:2] for g in got} == true_pairs(rows, items)
+    assert_overlaps(got, rows, items)
     whole = {(d, i) for d, t in rows for i, x in items if t and x in t}
     assert whole and whole <= {g[:2] for g in got}
     kept = D.drop_contaminated(docs, benchmark)
