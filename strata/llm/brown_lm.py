@@ -244,10 +244,15 @@ GAIN_WORDS = 4096
 
 def _combined(words: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts summed for equal words and codes, in the order of words."""
-    order = np.lexsort((codes, words))
-    words, codes = words[order], codes[order]
-    new = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (codes[1:] != codes[:-1])))
-    return words[new], codes[new], np.add.reduceat(counts[order], new) if len(new) else counts
+    if not len(words):
+        return words, codes, counts
+    ids, at = np.unique(words, return_inverse=True)
+    span = int(codes.max()) + 1
+    keys = at.ravel() * span + codes
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return ids[keys[new] // span], keys[new] % span, np.add.reduceat(counts[order], new)
 
 
 def contexts(train: DataFrame, vocabulary: Vocabulary, of: np.ndarray) -> DataFrame:
@@ -354,6 +359,12 @@ CLASSED = T.StructType([
 ])
 
 
+def _binary(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values: value i is ``data`` from ``edges[i]`` to ``edges[i + 1]``."""
+    buffers = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, buffers)
+
+
 def _class_rows(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, unseen: int, ends: int) -> DataFrame:
     """For each text one row with the classes of its common words and ends, a byte a token, and a row for each of its other words."""
     held = docs.sparkSession.sparkContext.broadcast((vocabulary, classes.astype(np.uint8)))
@@ -370,14 +381,14 @@ def _class_rows(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, un
                 at, known = vocabulary.find(hashes)
                 now, _ = with_ends(np.where(known, classes[at] if len(logs) else 0, unseen).astype(np.uint8), words.first, unseen + 1)
                 edges = words.first + np.arange(n + 1)
-                texts = [now[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                texts = _binary(now, edges)
                 log = np.bincount(doc, np.where(known, logs[at] if len(logs) else 0.0, 0.0), n) + (np.log10(ends + 0.5) if ends else 0.0)
                 rows = row + np.arange(n)
                 here = keys.slice(lo, n)
                 n_known = np.bincount(doc, known, n).astype(np.int64) + (ends > 0)
                 # A text's own row goes where its number sends it, not to one place.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), here, pa.array(rows), pa.nulls(n, pa.binary()), pa.array(texts, pa.binary()), pa.array(n_known), pa.array(log)], names=SEQUENCES.names
+                    [pa.array(rows), here, pa.array(rows), pa.nulls(n, pa.binary()), texts, pa.array(n_known), pa.array(log)], names=SEQUENCES.names
                 )
                 rare = np.flatnonzero(~known)
                 if len(rare):
@@ -385,10 +396,10 @@ def _class_rows(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, un
                     d, h = doc[order], hashes[order]
                     new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (h[1:] != h[:-1])))
                     inner = (order - words.first[d]).astype(np.int32)
-                    places = [p.tobytes() for p in np.split(inner, new[1:])]
                     m = len(new)
+                    places = _binary(inner.view(np.uint8), 4 * np.append(new, len(order)))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows[d[new]]), here.take(pa.array(d[new])), pa.array(h[new]), pa.array(places, pa.binary()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())],
+                        [pa.array(rows[d[new]]), here.take(pa.array(d[new])), pa.array(h[new]), places, pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())],
                         names=SEQUENCES.names,
                     )
                 row += n
@@ -408,31 +419,29 @@ def classed_texts(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray,
 
     def run(batches):
         for batch in batches:
-            doc_id, classes, n_known, log_counts = (batch.column(k) for k in range(4))
-            met = batch.column(4)
-            cut, inner = met.offsets.to_numpy(), met.values
-            places, c, of = inner.field(0), inner.field(1).to_numpy(zero_copy_only=False), inner.field(2).to_numpy(zero_copy_only=False)
-            known, log = n_known.to_numpy(zero_copy_only=False).copy(), log_counts.to_numpy(zero_copy_only=False).copy()
-            texts = []
-            for k, text in enumerate(classes):
-                text = np.frombuffer(text.as_py(), np.uint8).copy()
-                for m in range(int(cut[k]), int(cut[k + 1])):
-                    at = np.frombuffer(places[m].as_py(), np.int32)
-                    text[at] = of[m]
-                    known[k] += len(at)
-                    log[k] += len(at) * np.log10(c[m] + 0.5)
-                texts.append(text.tobytes())
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(texts, pa.binary()), pa.array(known), pa.array(log)], names=CLASSED.names)
+            doc_id, classes, n_known, log_counts, met = batch.columns
+            n = batch.num_rows
+            cut = met.offsets.to_numpy()
+            places, c, of = (a.slice(cut[0], cut[-1] - cut[0]) for a in met.values.flatten())
+            text = np.repeat(np.arange(n), np.diff(cut))  # of each word met
+            data, edges = column_bytes(classes)
+            at, to = column_bytes(places)
+            times = np.diff(to) // 4
+            data = data.copy()
+            data[np.repeat(edges[text], times) + at.view(np.int32)] = np.repeat(of.to_numpy().astype(np.uint8), times)
+            known = n_known.to_numpy() + np.bincount(text, times, n).astype(np.int64)
+            log = log_counts.to_numpy() + np.bincount(text, times * np.log10(c.to_numpy() + 0.5), n)
+            yield pa.RecordBatch.from_arrays([doc_id, _binary(data, edges), pa.array(known), pa.array(log)], names=CLASSED.names)
 
     return texts.select("doc_id", "classes", "n_known", "log_counts", "met").mapInArrow(run, CLASSED)
 
 
 def _class_steps(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of all tokens of these texts the class, the class before and the text."""
-    texts = [np.frombuffer(t.as_py(), np.uint8) for t in column]
-    now = np.concatenate([np.zeros(0, np.uint8), *texts]).astype(np.int64)
+    data, edges = column_bytes(column)
+    now = data.astype(np.int64)
     # Every text ends with the end, which is also what its first token follows.
-    return now, np.append(end, now[:-1])[: len(now)], np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    return now, np.append(end, now[:-1])[: len(now)], np.repeat(np.arange(len(column)), np.diff(edges))
 
 
 def sequence_pairs(texts: DataFrame, side: int) -> np.ndarray:
