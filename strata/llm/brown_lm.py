@@ -55,6 +55,8 @@ SWEEPS = 12
 BIGRAM_WEIGHT = 0.95
 #: Distinct words that a task holds before it passes their counts on.
 HELD_WORDS = 1_000_000
+#: Tokens of classed texts worked on at once; a longer text is worked on alone.
+TOKENS = 1 << 18
 _END_BYTES = np.frombuffer(b"\n", np.uint8)
 #: The end's place among words: the hash of a separator, which no word can be.
 END = int(range_hashes(_END_BYTES, np.array([0]), np.array([1]))[0].astype(np.int64))
@@ -420,28 +422,29 @@ def classed_texts(docs: DataFrame, vocabulary: Vocabulary, classes: np.ndarray,
     def run(batches):
         for batch in batches:
             doc_id, classes, n_known, log_counts, met = batch.columns
-            n = batch.num_rows
-            cut = met.offsets.to_numpy()
-            places, c, of = (a.slice(cut[0], cut[-1] - cut[0]) for a in met.values.flatten())
-            text = np.repeat(np.arange(n), np.diff(cut))  # of each word met
-            data, edges = column_bytes(classes)
-            at, to = column_bytes(places)
-            times = np.diff(to) // 4
-            data = data.copy()
-            data[np.repeat(edges[text], times) + at.view(np.int32)] = np.repeat(of.to_numpy().astype(np.uint8), times)
-            known = n_known.to_numpy() + np.bincount(text, times, n).astype(np.int64)
-            log = log_counts.to_numpy() + np.bincount(text, times * np.log10(c.to_numpy() + 0.5), n)
-            yield pa.RecordBatch.from_arrays([doc_id, _binary(data, edges), pa.array(known), pa.array(log)], names=CLASSED.names)
+            all_, at = column_bytes(classes)
+            cut, fields = met.offsets.to_numpy(), met.values.flatten()
+            for lo, hi in slices(at, TOKENS):
+                n, data, edges = hi - lo, all_[at[lo] : at[hi]].copy(), at[lo : hi + 1] - at[lo]
+                places, c, of = (a.slice(cut[lo], cut[hi] - cut[lo]) for a in fields)
+                text = np.repeat(np.arange(n), np.diff(cut[lo : hi + 1]))  # of each word met
+                inner, to = column_bytes(places)
+                times = np.diff(to) // 4
+                data[np.repeat(edges[text], times) + inner.view(np.int32)] = np.repeat(of.to_numpy().astype(np.uint8), times)
+                known = n_known.slice(lo, n).to_numpy() + np.bincount(text, times, n).astype(np.int64)
+                log = log_counts.slice(lo, n).to_numpy() + np.bincount(text, times * np.log10(c.to_numpy() + 0.5), n)
+                yield pa.RecordBatch.from_arrays([doc_id.slice(lo, n), _binary(data, edges), pa.array(known), pa.array(log)], names=CLASSED.names)
 
     return texts.select("doc_id", "classes", "n_known", "log_counts", "met").mapInArrow(run, CLASSED)
 
 
-def _class_steps(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all tokens of these texts the class, the class before and the text."""
+def _class_steps(column: pa.Array, end: int):
+    """Of bounded slices of texts the first text and, of all tokens, the class, the class before and the text in the slice."""
     data, edges = column_bytes(column)
-    now = data.astype(np.int64)
-    # Every text ends with the end, which is also what its first token follows.
-    return now, np.append(end, now[:-1])[: len(now)], np.repeat(np.arange(len(column)), np.diff(edges))
+    for lo, hi in slices(edges, TOKENS):
+        now = data[edges[lo] : edges[hi]].astype(np.int64)
+        # Every text ends with the end, which is also what its first token follows.
+        yield lo, now, np.append(end, now[:-1])[: len(now)], np.repeat(np.arange(hi - lo), np.diff(edges[lo : hi + 1]))
 
 
 def sequence_pairs(texts: DataFrame, side: int) -> np.ndarray:
@@ -451,8 +454,8 @@ def sequence_pairs(texts: DataFrame, side: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(side * side, np.int64)
         for batch in batches:
-            now, before, _ = _class_steps(batch.column(0), side - 1)
-            total += np.bincount(before * side + now, minlength=side * side)
+            for _, now, before, _ in _class_steps(batch.column(0), side - 1):
+                total += np.bincount(before * side + now, minlength=side * side)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=schema.names)
 
@@ -492,10 +495,12 @@ def _sequence_scores(texts: DataFrame, steps: np.ndarray, ends: int) -> DataFram
         steps = held.value
         for batch in batches:
             doc_id, classes, known, log = batch.columns
-            now, before, text = _class_steps(classes, len(steps) - 1)
             n = batch.num_rows
-            tokens = np.bincount(text, minlength=n).astype(np.int64)
-            total = np.bincount(text, steps[before, now], n) + log.to_numpy(zero_copy_only=False) - end_log
+            tokens, total = np.zeros(n, np.int64), log.to_numpy(zero_copy_only=False) - end_log
+            for lo, now, before, text in _class_steps(classes, len(steps) - 1):
+                part = slice(lo, lo + int(text[-1]) + 1)  # every text has its end
+                tokens[part] = np.bincount(text)
+                total[part] += np.bincount(text, steps[before, now])
             unknown = tokens - known.to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([doc_id, pa.array(tokens), known, log, pa.array(unknown), pa.array(total)], names=schema.names)
 

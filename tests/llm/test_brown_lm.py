@@ -239,3 +239,22 @@ def test_every_word_of_empty_tables(spark):
     row = B.score(spark.createDataFrame([(held, "some words"), (held, None)], "doc_id long, text string"), every_word=True).collect()
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in row) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert all(math.isfinite(r["score"]) for r in row)
+
+
+def test_texts_longer_than_a_slice_score_as_brute_force(spark, monkeypatch):
+    """Long texts among short ones and empty ones; most words meet their classes in the join, and equal texts score alike."""
+    monkeypatch.setattr(B, "COMMON_WORDS", 20)
+    some = np.random.default_rng(5).zipf(1.3, B.TOKENS + 1000) % 997
+    long = " ".join(f"w{k}" for k in some)
+    texts = [long, "w1 w2 W3", None, long, "never seen before", "", long[: len(long) // 3], "w1 w2 W3", long]
+    rows = list(enumerate(texts))
+    _, _, score = unigrams([(d, t or "") for d, t in rows])
+    counts = unigrams([(d, t or "") for d, t in rows])[0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in B.score(docs, every_word=True).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for d, t in rows:
+        own = tokens(t or "")
+        assert (got[d]["n_tokens"], got[d]["n_known"]) == (len(own), sum(counts[x] > 0 for x in own))
+        assert math.isclose(got[d]["base_score"], score(t or ""), rel_tol=1e-9)
+        assert math.isclose(got[d]["score"], got[texts.index(t)]["score"], rel_tol=1e-9)
