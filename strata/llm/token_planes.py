@@ -40,7 +40,9 @@ import pyarrow.compute as pc
 import regex
 import zstandard
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.tables import doc_texts
@@ -52,6 +54,8 @@ BLOCK_IDS = 1 << 16
 # Fixed value: the pattern by which byte-level BPE cuts a text into words.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NULL_ID = -(1 << 63)
+#: Characters of a text that part the rows of one id into ranges.
+RANGE_CHARS = 64
 #: White space beyond the six ASCII separators; a text that holds any is encoded whole.
 OTHER_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MANIFEST = T.StructType([
@@ -296,8 +300,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
 
     Returns the manifest, one row per file in order: ``path``, ``first_doc``,
     ``n_docs``, ``n_ids`` and ``start``, the ids in all files before it. The
-    texts are dealt by ranges of ``doc_id``, so each task writes one file of a
-    contiguous range.
+    texts are dealt by ranges of ``doc_id`` and the first ``RANGE_CHARS``
+    characters, so each task writes one file of a contiguous range, and rows of
+    one id, or without one, spread over tasks. Rows of an id are in the order of
+    their texts.
     """
 
     def run(batches):
@@ -309,7 +315,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
             for lo, hi, ids, counts in _encoder(tokenizer_file).encode_column(batch.column(1)):
                 if writer is None:
                     store.create_dir(path, recursive=True)
-                    name, first = f"ids-{uuid.uuid4().hex}.idp", int(keys[lo])
+                    name, first = f"ids-{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}.idp", int(keys[lo])
                     stream = store.open_output_stream(f"{path}/{name}")
                     writer = PlaneWriter(stream, bits, level)
                 ids, counts = with_end(ids, counts, end_id)
@@ -323,9 +329,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                 names=MANIFEST.names,
             )
 
-    ranged = doc_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    # One row per file; their ranges are disjoint, so the first document gives the order.
-    files = sorted(ranged.mapInArrow(run, MANIFEST).collect(), key=lambda r: r.first_doc)
+    ranged = doc_texts(docs).repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
+    # One row per file; their ranges are disjoint, so the first document gives the order, and among files that begin with one id the task's number.
+    files = sorted(ranged.mapInArrow(run, MANIFEST).collect(), key=lambda r: (r.first_doc, r.path))
     rows, start = [], 0
     for r in files:
         rows.append((*r, start))

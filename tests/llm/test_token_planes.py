@@ -34,6 +34,25 @@ def test_empty_table_gives_no_file(spark):
     assert read_token_files(manifest, 0).count() == 0
 
 
+def test_rows_of_one_id_spread_over_files_in_the_order_of_their_texts(spark):
+    texts = [f"{k * 7919 % 1000} words of a text" for k in range(600)]
+    rows = [(None, t) for t in texts] + [(5, t) for t in texts[:300]] + [(9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tokenizer, start, expected = Tokenizer.from_file(FILE), 0, []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(docs, new_folder(spark, "test-ids"), FILE, 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(manifest) == 4 and max(r["n_docs"] for r in manifest) < 600
+    got = read_token_files(spark.createDataFrame(manifest), len(manifest)).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == expected
+
+
 @pytest.mark.parametrize("bits", [True, False])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 1000])
 def test_planes_round_trip(bits, n):
