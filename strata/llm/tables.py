@@ -17,7 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a private one only in a local session that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # the executors are other processes
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="llm-shared-")
     if not spark.sparkContext.getCheckpointDir():
