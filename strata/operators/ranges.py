@@ -11,9 +11,10 @@ size, and a window holds one range of one group:
 The borders are the keys of the rows of least hash, found by a top-k over all
 rows, so they are a function of the data alone: every branch of a plan, and
 every task that is run again, cuts alike, whatever the types of the columns.
-They decide cost only. A border lies inside one group at most, so of all
-(group, range) pairs at most ``RANGES - 1`` are not the first of their group,
-and only those pass something on: that table is broadcast.
+They decide cost only. A border lies inside one group, so at most ``RANGES - 1``
+groups are split. Their borders are broadcast, and so are the totals of their
+ranges; the rows of all other groups, which are one range each, meet neither a
+search nor a second shuffle.
 
 Cases: nulls of a group column are one group; nulls of an order column stand
 last in ascending order unless asked first; rows equal in all order columns
@@ -52,23 +53,33 @@ def _hashable(t: T.DataType) -> bool:
     return _hashable(t.elementType) if isinstance(t, T.ArrayType) else not isinstance(t, (T.MapType, T.VariantType))
 
 
-def with_range(
-    df: DataFrame, by: list[str], order: list[str], out: str, descending: bool = False, nulls_first: bool | None = None, ranges: int | None = None
+def _cut(
+    df: DataFrame, by: list[str], order: list[str], out: str, descending: bool, nulls_first: bool | None, ranges: int | None
 ) -> DataFrame:
-    """``df`` with the number of the range that its (by, order) falls into, ascending with the order of each group
-    (descending with a descending one)."""
+    """``with_range``, and in ``__split`` whether the row's group has borders."""
     ranges = ranges or RANGES
     fields, _ = _ordered(order, descending, nulls_first)
-    key = F.struct(*[F.col(c).alias(f"b{k}") for k, c in enumerate(by)], *fields)
+    groups = [f"__g{k}" for k in range(len(by))]
     row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if _hashable(f.dataType)])
-    least = df.select(key.alias("__key"), row.alias("__hash")).orderBy("__hash", "__key").limit(ranges - 1)
-    borders = least.agg(F.array_sort(F.collect_set("__key"))).scalar()
+    least = df.select(*[F.col(c).alias(g) for c, g in zip(by, groups)], F.struct(*fields).alias("__key"), row.alias("__hash"))
+    least = least.orderBy("__hash", *groups, "__key").limit(ranges - 1)
+    borders = least.groupBy(*groups).agg(F.array_sort(F.collect_set("__key")).alias("__borders"))
+    met = df.join(F.broadcast(borders), on=[F.col(c).eqNullSafe(F.col(g)) for c, g in zip(by, groups)], how="left")
     steps = [ranges >> k for k in range(1, ranges.bit_length())]
     # Binary search: how many borders are not above the key. Past the last border the comparison is null.
     found = F.aggregate(
-        F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.get(F.col("__borders"), at + step - 1) <= F.col("__key"), at + step).otherwise(at)
+        F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.get(F.col("__borders"), at + step - 1) <= F.struct(*fields), at + step).otherwise(at)
     )
-    return df.withColumns({"__key": key, "__borders": borders}).withColumn(out, found).drop("__key", "__borders")
+    split = F.col("__borders").isNotNull()
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], F.when(split, found).otherwise(0).alias(out), split.alias("__split"))
+
+
+def with_range(
+    df: DataFrame, by: list[str], order: list[str], out: str, descending: bool = False, nulls_first: bool | None = None, ranges: int | None = None
+) -> DataFrame:
+    """``df`` with the number of the range of its group that its order falls into, ascending with the order
+    (descending with a descending one)."""
+    return _cut(df, by, order, out, descending, nulls_first, ranges).drop("__split")
 
 
 def prefix_sums(
@@ -80,25 +91,45 @@ def prefix_sums(
     descending: bool = False,
     nulls_first: bool | None = None,
     ranges: int | None = None,
+    total: str | None = None,
+    piece: str | None = None,
 ) -> DataFrame:
-    """The sum of the whole number ``weight`` over the rows of the group that stand before each row."""
+    """The sum of the whole number ``weight`` over the rows of the group that stand before each row.
+
+    ``total`` names a column for the sum over the whole group, ``piece`` one for the row's range: the
+    rows come out dealt by (group, range), so work on parts of a range needs no further shuffle.
+    """
     _, sort = _ordered(order, descending, nulls_first)
-    cut = with_range(df, by, order, "__range", descending, nulls_first, ranges).withColumn("__weight", weight.cast("bigint"))
-    inside = Window.partitionBy(*by, "__range").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
-    rows = cut.withColumn("__inside", F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
+    cut = _cut(df, by, order, "__range", descending, nulls_first, ranges).withColumn("__weight", weight.cast("bigint"))
+    inside = Window.partitionBy(*by, "__range").orderBy(*sort)
+    sums = [F.coalesce(F.sum("__weight").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__inside")]
+    if total:
+        sums.append(F.sum("__weight").over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__whole"))
+    rows = cut.drop("__split").select("*", *sums)
     place = F.col("__range").desc() if descending else F.col("__range").asc()
-    before = Window.partitionBy(*by).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy(*by, "__range").agg(F.sum("__weight").alias("__total"))
+    ranges_of = Window.partitionBy(*by).orderBy(place)
     names = [f"__by{k}" for k in range(len(by))]
-    passed = totals.select(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("__range").alias("__at"), F.sum("__total").over(before).alias("__passed"))
+    totals = cut.where("__split").groupBy(*by, "__range").agg(F.sum("__weight").alias("__total"))
+    passed = totals.select(
+        *[F.col(c).alias(n) for c, n in zip(by, names)], F.col("__range").alias("__at"),
+        F.sum("__total").over(ranges_of.rowsBetween(Window.unboundedPreceding, -1)).alias("__passed"),
+        F.sum("__total").over(ranges_of.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__all"),
+    )
     on = [F.col("__range") == F.col("__at"), *[F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)]]
-    both = rows.join(F.broadcast(passed.where("__passed is not null")), on=on, how="left")
-    return both.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__inside") + F.coalesce("__passed", F.lit(0))).alias(out))
+    both = rows.join(F.broadcast(passed), on=on, how="left")
+    more = [F.coalesce("__all", "__whole").alias(total)] if total else []
+    more += [F.col("__range").alias(piece)] if piece else []
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__inside") + F.coalesce("__passed", F.lit(0))).alias(out), *more)
+
 
+def ranged_positions(
+    df: DataFrame, by: list[str], order: list[str], out: str, ranges: int | None = None, size: str | None = None, piece: str | None = None
+) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT, no task holding a whole group.
 
-def ranged_positions(df: DataFrame, by: list[str], order: list[str], out: str, ranges: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT, no task holding a whole group."""
-    return prefix_sums(df, by, order, F.lit(1), out, ranges=ranges).withColumn(out, F.col(out) + 1)
+    ``size`` names a column for the number of rows in the group; ``piece`` as in ``prefix_sums``.
+    """
+    return prefix_sums(df, by, order, F.lit(1), out, ranges=ranges, total=size, piece=piece).withColumn(out, F.col(out) + 1)
 
 
 def ranged_rolling(

@@ -121,9 +121,9 @@ def rank_within(
     return ranked.select(*df.columns, (F.col("__ahead") + 1).cast("bigint").alias(out))
 
 
-def row_positions(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT."""
-    return ranged_positions(df, by, order, out)
+def row_positions(df: DataFrame, by: list[str], order: list[str], out: str, size: str | None = None, piece: str | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending) as BIGINT; ``size`` and ``piece`` as in ``ranged_positions``."""
+    return ranged_positions(df, by, order, out, size=size, piece=piece)
 
 
 def rolling_rows(

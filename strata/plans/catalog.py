@@ -13,7 +13,7 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
 
@@ -213,19 +213,23 @@ def line_documents_of(lineitem: DataFrame, lines_per_document: int = 100) -> Dat
 
     An order longer than that has several documents, so no document grows with
     an order; ``is_last`` marks an order's last one. The size shows in no
-    answer: lines carry their position in the order.
+    answer: lines carry their position in the order. A document also ends where a range of
+    ``row_positions`` does, so documents are put together from the rows as they were dealt
+    for the positions: the lines are shuffled once. Lines without an order are in no document.
     """
+    columns = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     lines = row_positions(
-        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
-        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pos",
+        lineitem.where(F.col("l_orderkey").isNotNull()).select("l_orderkey", *columns),
+        ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pos", size="n_lines", piece="piece",
     )
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     part = F.floor((F.col("pos") - 1) / lines_per_document).cast("int")
-    docs = lines.withColumn("part", part).groupBy("l_orderkey", "part").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))).alias("ls"),
-        F.max("pos").alias("last_pos"),
-    )
-    docs = docs.join(sizes, "l_orderkey")
+    of_part = Window.partitionBy("l_orderkey", "piece", "part").orderBy("pos")
+    # The list is taken once for a part; of its rows, which all carry it, the last stays.
+    docs = lines.withColumn("part", part).select(
+        "l_orderkey", "pos", "n_lines",
+        F.lead("pos").over(of_part).isNull().alias("ends"),
+        F.collect_list(F.struct("pos", *columns)).over(of_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("ls"),
+    ).where("ends")
     body = F.struct(
         F.col("l_orderkey").alias("order"),
         F.struct(
@@ -238,7 +242,7 @@ def line_documents_of(lineitem: DataFrame, lines_per_document: int = 100) -> Dat
             F.transform("ls.l_shipdate", lambda d: F.date_format(d, "yyyy-MM-dd")).alias("shipdate"),
         ).alias("lines"),
     )
-    return docs.select("l_orderkey", (F.col("last_pos") == F.col("n_lines")).alias("is_last"), F.to_variant_object(body).alias("doc"))
+    return docs.select("l_orderkey", (F.col("pos") == F.col("n_lines")).alias("is_last"), F.to_variant_object(body).alias("doc"))
 
 
 def explode_lines(docs: DataFrame, ragged: bool) -> DataFrame:

@@ -75,3 +75,19 @@ def test_hard_tables(spark):
     assert sorted(r.p for r in row_positions(same, ["g"], ["o"], "p").collect()) == list(range(1, 51))
     odd = spark.createDataFrame([(i % 2, i, i) for i in range(9)], "g int, o int, `a.b` int")
     assert {r["a.b"]: r.n for r in R.ranged_rolling(odd, ["g"], ["o"], {"n": F.count(F.lit(1))}, 1, 4).collect()} == {i: 1 if i < 2 else 2 for i in range(9)}
+
+
+@pytest.mark.parametrize("ranges", [2, 16, 1024])
+def test_positions_with_the_size_of_their_group(spark, ranges):
+    df = rows_of(spark, ranges + 1)
+    w = Window.partitionBy("g").orderBy(sort_spec("v"), sort_spec("id"))
+    whole = Window.partitionBy("g")
+    want = {r.id: (r.p, r.n) for r in df.select("id", F.row_number().over(w).alias("p"), F.count(F.lit(1)).over(whole).alias("n")).collect()}
+    got = R.ranged_positions(df, ["g"], ["v", "id"], "p", ranges, size="n", piece="r")
+    rows = got.collect()
+    assert {r.id: (r.p, r.n) for r in rows} == want
+    # The positions of a piece follow one another.
+    pieces = {}
+    for r in rows:
+        pieces.setdefault((r.g, r.r), []).append(r.p)
+    assert all(max(p) - min(p) + 1 == len(p) for p in pieces.values())
